@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Letters outside ASCII whose decomposed form starts with an ASCII letter, found by rule.
 _FOLDED = [
@@ -126,7 +127,7 @@ def split_tokens(text: Column, separator: str = "|") -> Column:
     return F.filter(F.split(spaced, re.escape(separator)), lambda x: x != "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape_html(text: pd.Series) -> pd.Series:
     """Decode character references; the full reference table has no built-in equivalent."""
     return text.map(html.unescape, na_action="ignore")

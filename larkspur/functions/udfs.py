@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larkspur.functions import web
 
@@ -38,8 +39,10 @@ def employees_of(text):
     return ends[0], ends[-1]
 
 
-gender_udf = F.udf(gender_of, "string", useArrow=True)
-employees_udf = F.udf(employees_of, "struct<low:int,high:int>", useArrow=True)
+_RANGE = T.StructType([T.StructField("low", T.IntegerType()), T.StructField("high", T.IntegerType())])
+
+gender_udf = F.udf(gender_of, T.StringType(), useArrow=True)
+employees_udf = F.udf(employees_of, _RANGE, useArrow=True)
 
 
 def register_gender(spark: SparkSession, name: str = "parse_gender_udf") -> str:

@@ -51,54 +51,69 @@ def range_number(value: Column, points: Sequence[float]) -> Column:
     return F.aggregate(F.lit(steps), F.lit(0), advance)
 
 
-def prefix_counts(
-    df: DataFrame, by: Sequence[str], value: str, rows_per_range: int = ROWS_PER_RANGE
+def running_sums(
+    df: DataFrame,
+    by: Sequence[str],
+    order: str,
+    amounts: Sequence[str],
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
-    """One row per distinct (by, value) with its place in the group.
+    """Sums over the earlier rows of each group, and over the whole group.
 
-    Columns added: ``rows`` with this value, ``rows_before`` with a smaller value,
-    ``values_before`` distinct smaller values, and the group's totals ``group_rows``
-    and ``group_values``. ``value`` is numeric; rows without a value are left out.
+    The frame has one row per (by, order), and ``order`` is numeric. For every amount
+    column ``x`` the columns ``x_before`` and ``x_total`` are added. Rows are summed
+    within value ranges, and the range totals are then summed along each group, so no
+    task holds more than one range.
     """
-    by = list(by)
-    counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("rows"))
-    points = split_points(counted, value, rows_per_range)
-    counted = counted.withColumn("_range", range_number(F.col(value).cast("double"), points))
+    by, amounts = list(by), list(amounts)
+    points = split_points(df, order, rows_per_range)
+    ranged = df.withColumn("_range", range_number(F.col(order).cast("double"), points))
 
-    group = Window.partitionBy(*by)
-    earlier = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("bigint")
+    keys = [f"_{k}" for k in by]
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
-        counted.groupBy(*by, "_range")
-        .agg(F.sum("rows").alias("r"), F.count("*").alias("v"))
+        ranged.groupBy(*[F.col(k).alias(f"_{k}") for k in by], F.col("_range").alias("_r"))
+        .agg(*[F.sum(x).alias(f"_{x}") for x in amounts])
         .select(
-            *by,
-            "_range",
-            F.coalesce(F.sum("r").over(earlier), zero).alias("_rows"),
-            F.coalesce(F.sum("v").over(earlier), zero).alias("_values"),
-            F.sum("r").over(group).alias("group_rows"),
-            F.sum("v").over(group).alias("group_values"),
+            *keys,
+            "_r",
+            *[F.sum(f"_{x}").over(earlier).alias(f"_{x}_offset") for x in amounts],
+            *[F.sum(f"_{x}").over(whole).alias(f"{x}_total") for x in amounts],
         )
     )
-    inside = (
-        Window.partitionBy(*by, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    placed = counted.withColumn("_in_rows", F.coalesce(F.sum("rows").over(inside), zero)).withColumn(
-        "_in_values", F.count("*").over(inside)
+    inside = Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumns({f"_{x}_inside": F.sum(x).over(inside) for x in amounts})
+    on = F.col("_range") == F.col("_r")
+    for k in by:
+        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    joined = placed.join(totals, on)
+
+    def before(x: str) -> Column:
+        zero = F.lit(0)
+        return F.coalesce(F.col(f"_{x}_offset"), zero) + F.coalesce(F.col(f"_{x}_inside"), zero)
+
+    return joined.select(
+        *df.columns, *[before(x).alias(f"{x}_before") for x in amounts], *[f"{x}_total" for x in amounts]
     )
-    same = [placed[k].eqNullSafe(totals[k]) for k in [*by, "_range"]]
-    on = same[0]
-    for condition in same[1:]:
-        on = on & condition
-    return placed.join(totals, on).select(
-        *[placed[k] for k in by],
-        placed[value],
-        "rows",
-        (F.col("_rows") + F.col("_in_rows")).alias("rows_before"),
-        (F.col("_values") + F.col("_in_values")).alias("values_before"),
-        "group_rows",
-        "group_values",
+
+
+def prefix_counts(
+    df: DataFrame, by: Sequence[str], value: str, rows_per_range: int = ROWS_PER_RANGE
+) -> DataFrame:
+    """One row per distinct (by, value) with its place in the group.
+
+    Columns added: ``rows`` with this value, ``rows_before`` with a smaller value,
+    ``values_before`` distinct smaller values, and the group's totals ``rows_total``
+    and ``values_total``. ``value`` is numeric; rows without a value are left out.
+    """
+    counted = (
+        df.where(F.col(value).isNotNull())
+        .groupBy(*by, value)
+        .agg(F.count("*").alias("rows"))
+        .withColumn("values", F.lit(1).cast("bigint"))
     )
+    return running_sums(counted, by, value, ["rows", "values"], rows_per_range)
 
 
 def with_rank(
@@ -114,9 +129,9 @@ def with_rank(
     by = list(by)
     places = prefix_counts(df, by, value, rows_per_range)
     if descending and dense:
-        rank = F.col("group_values") - F.col("values_before")
+        rank = F.col("values_total") - F.col("values_before")
     elif descending:
-        rank = F.col("group_rows") - F.col("rows_before") - F.col("rows") + 1
+        rank = F.col("rows_total") - F.col("rows_before") - F.col("rows") + 1
     elif dense:
         rank = F.col("values_before") + 1
     else:
@@ -170,11 +185,11 @@ def exact_percentiles(
     places = prefix_counts(clean, by, "_x", rows_per_range)
     picks = []
     for name, q in quantiles.items():
-        position = (F.col("group_rows") - 1) * F.lit(float(q))
+        position = (F.col("rows_total") - 1) * F.lit(float(q))
         for side, index in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             here = (F.col("rows_before") <= index) & (index < F.col("rows_before") + F.col("rows"))
             picks.append(F.max(F.when(here, F.col("_x"))).alias(f"_{name}_{side}"))
-    out = places.groupBy(*by).agg(F.max("group_rows").alias("_n"), *picks)
+    out = places.groupBy(*by).agg(F.max("rows_total").alias("_n"), *picks)
     for name, q in quantiles.items():
         position = (F.col("_n") - 1) * F.lit(float(q))
         low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
