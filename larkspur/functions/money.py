@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.sources.literal import literal_rows
+
 # Currency symbol as it appears in carts, and its rate to US dollars.
 EXCHANGE_RATES = [
     ("CHF", "CHF", "Swiss Franc", 1.13, "CH"),
@@ -46,8 +48,9 @@ EXCHANGE_RATES = [
 
 
 def exchange_rates(spark: SparkSession) -> DataFrame:
-    """The rate table: a fixed list, so it is always small enough to broadcast."""
-    return spark.createDataFrame(
+    """The rate table, a constant list."""
+    return literal_rows(
+        spark,
         EXCHANGE_RATES,
         "symbol string, code string, currency_name string, exchange_rate double, country_code string",
     )

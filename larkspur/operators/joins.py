@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from larkspur.functions.text import fold_accents
 from larkspur.functions.web import ipv4_number
 from larkspur.operators.ordered import running_sums
+from larkspur.sources.literal import literal_rows
 
 IP_BLOCK = 1 << 16
 
@@ -68,7 +69,7 @@ CITY_LIKE = ("nuoc ngoai", "toan quoc")
 
 def admin_names(units: DataFrame, district: str, city: str) -> DataFrame:
     """(folded name, kind) of the known cities and districts; a name that is both is a city."""
-    extra = units.sparkSession.createDataFrame([(x,) for x in (EXTRA_CITY, *CITY_LIKE)], "name string")
+    extra = literal_rows(units.sparkSession, [(x,) for x in (EXTRA_CITY, *CITY_LIKE)], "name string")
     cities = units.select(F.col(city).alias("name")).unionByName(extra).select("name", F.lit("city").alias("kind"))
     districts = units.select(F.col(district).alias("name"), F.lit("district").alias("kind"))
     folded = cities.unionByName(districts).select(fold_accents(F.col("name")).alias("folded"), "kind")

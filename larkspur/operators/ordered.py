@@ -152,7 +152,7 @@ def dense_top_k(
     per group; the tied rows themselves are found again by a join on the value.
     """
     by = list(by)
-    order = Window.partitionBy(*by).orderBy(F.desc("_v"))
+    order = Window.partitionBy(*[f"_{b}" for b in by]).orderBy(F.desc("_v"))
     top = (
         df.where(F.col(value).isNotNull())
         .select(*[F.col(b).alias(f"_{b}") for b in by], F.col(value).alias("_v"))

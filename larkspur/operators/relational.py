@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larkspur.sources.literal import literal_rows
+
 
 def split_rows(df: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]:
     """(rows that pass, all other rows); a NULL predicate counts as not passed."""
@@ -30,5 +32,5 @@ def sentinels_to_null(df: DataFrame, columns: Sequence[str], sentinels: Sequence
 def with_unknown_member(df: DataFrame, key: str, key_value, default: str = "XNA") -> DataFrame:
     """The rows plus one row that stands for 'unknown': the key value, and a default text elsewhere."""
     values = [key_value if f.name == key else default for f in df.schema.fields]
-    unknown = df.sparkSession.createDataFrame([tuple(values)], df.schema)
+    unknown = literal_rows(df.sparkSession, [values], df.schema)
     return df.unionByName(unknown)

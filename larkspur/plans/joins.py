@@ -9,6 +9,7 @@ from larkspur.operators import joins as j
 from larkspur.operators.ordered import dense_top_k
 from larkspur.plans import standins as s
 from larkspur.plans.registry import Tables, query
+from larkspur.sources.literal import literal_rows
 
 c = F.col
 
@@ -152,8 +153,7 @@ def j05(t: Tables):
     usd = F.round(c("l_extendedprice") * c("exchange_rate"), 4).cast("decimal(28,4)")
     return (
         t.lineitem.withColumn("currency", symbol)
-        # the rate table is a constant list of 35 rows
-        .join(F.broadcast(exchange_rates(t.spark)), c("currency") == c("symbol"))
+        .join(exchange_rates(t.spark), c("currency") == c("symbol"))
         .groupBy("code")
         .agg(F.count("*").alias("rows"), F.round(F.sum(usd).cast("double"), 2).alias("usd"))
     )
@@ -287,7 +287,7 @@ def admin_units(spark):
     """A few administrative units: district, city."""
     rows = [("Ba Đình", "Hà Nội"), ("Cầu Giấy", "Hà Nội"), ("Quận 1", "Hồ Chí Minh"), ("Quận 3", "Hồ Chí Minh"),
             ("Hải Châu", "Đà Nẵng"), ("Phú Vang", "Huế")]
-    return spark.createDataFrame(rows, "district string, city string")
+    return literal_rows(spark, rows, "district string, city string")
 
 
 s.CTE["tagged"] = """
