@@ -57,54 +57,43 @@ def key_value_rows(df: DataFrame, keys: list[str], column: str, name: str = "key
 
 
 def python_type(value: str) -> Column:
-    """SQL text of the Python-style type name of a variant."""
-    return F.expr(
-        f"""case when {value} is null or is_variant_null({value}) then 'NoneType'
-                 when schema_of_variant({value}) like 'OBJECT%' then 'dict'
-                 when schema_of_variant({value}) like 'ARRAY%' then 'list'
-                 when schema_of_variant({value}) = 'STRING' then 'str'
-                 when schema_of_variant({value}) = 'BIGINT' then 'int'
-                 when schema_of_variant({value}) = 'BOOLEAN' then 'bool'
-                 else 'float' end"""
-    )
-
-
-def type_profile(df: DataFrame, json: str, label: str, max_depth: int = 16) -> DataFrame:
+    """Python-style type name of a variant column."""
+    kind = F.expr(f"schema_of_variant({value})")
+    names = {"STRING": "str", "BIGINT": "int", "BOOLEAN": "bool"}
+    out = F.when(kind.isNull() | (kind == "VOID"), "NoneType")
+    out = out.when(kind.startswith("OBJECT"), "dict").when(kind.startswith("ARRAY"), "list")
+    for spark_name, name in names.items():
+        out = out.when(kind == spark_name, name)
+    return out.otherwise("float")
+
+
+_CHILDREN = """flatten(transform({level}, n -> case
+    when schema_of_variant(n.v) like 'OBJECT%' then transform(
+        map_entries(cast(n.v as map<string, variant>)),
+        e -> named_struct('path', if(n.path = '', e.key, concat(n.path, '.', e.key)), 'named', true, 'v', e.value))
+    when schema_of_variant(n.v) like 'ARRAY%' then transform(
+        cast(n.v as array<variant>), x -> named_struct('path', n.path, 'named', false, 'v', x))
+    else array() end))"""
+
+
+def type_profile(df: DataFrame, json: str, label: str, max_depth: int = 12) -> DataFrame:
     """How often each type occurs at each path of a JSON text column, per label value.
 
-    Every nesting level is one pass of ``variant_explode``; paths of list elements carry
-    the path of the list. Levels are followed until no containers are left; input nested
-    deeper than ``max_depth`` is refused, since stopping there would lose paths. Counts are
-    summed per level before the levels are put together.
+    Every document is unfolded level by level inside its own row, so the table is read
+    once and only (label, path, type) counts are shuffled. Elements of a list carry the
+    path of the list. Documents nested deeper than ``max_depth`` raise an error, since
+    stopping there would lose paths.
     """
-    spark = df.sparkSession
-    level = df.select(
-        F.col(label).alias("label"), F.lit("").alias("path"), F.try_parse_json(F.col(json)).alias("v")
-    ).where("schema_of_variant(v) like 'OBJECT%' or schema_of_variant(v) like 'ARRAY%'")
-    profile = None
-    for _ in range(max_depth):
-        children = spark.sql(
-            """select label,
-                      case when t.key is null then path when path = '' then t.key
-                           else concat(path, '.', t.key) end as path,
-                      t.key is not null as named, t.value as v
-               from {level}, lateral variant_explode(v) as t""",
-            level=level,
-        )
-        counts = (
-            children.where("named")
-            .groupBy("label", "path", python_type("v").alias("type"))
-            .agg(F.count("*").alias("n"))
-        )
-        profile = counts if profile is None else profile.unionByName(counts)
-        level = children.where("schema_of_variant(v) like 'OBJECT%' or schema_of_variant(v) like 'ARRAY%'").select(
-            "label", "path", "v"
-        )
-        if level.isEmpty():
-            break
-    else:
-        raise ValueError(f"documents are nested deeper than {max_depth} levels")
-    return profile.groupBy("label", "path", "type").agg(F.sum("n").alias("n"))
+    nodes = df.select(F.col(label).alias("label"), F.try_parse_json(F.col(json)).alias("v")).selectExpr(
+        "label", "array(named_struct('path', '', 'named', false, 'v', v)) as l0"
+    )
+    for depth in range(max_depth):
+        nodes = nodes.selectExpr("*", _CHILDREN.format(level=f"l{depth}") + f" as l{depth + 1}")
+    levels = ", ".join(f"l{depth + 1}" for depth in range(max_depth))
+    unfolded = f"if(size(l{max_depth}) > 0, raise_error('documents are nested deeper than {max_depth} levels'), concat({levels}))"
+    found = nodes.selectExpr("label", f"explode({unfolded}) as n").where("n.named")
+    typed = found.select("label", F.col("n.path").alias("path"), F.col("n.v").alias("v"))
+    return typed.groupBy("label", "path", python_type("v").alias("type")).agg(F.count("*").alias("n"))
 
 
 def path_types(profile: DataFrame, by: Iterable[str] = ()) -> DataFrame:

@@ -195,7 +195,7 @@ select l_orderkey as _id, concat_ws('.', l_suppkey % 223 + 1, l_suppkey % 256, 0
     when 3 then format('{:,.2f}', l_extendedprice) when 4 then replace(format('{:.2f}', l_extendedprice), '.', ',')
     when 5 then format('{:.2f}', l_extendedprice) when 6 then '١٢٣٫٥' end as price1,
   case when l_linenumber <= 4 then l_extendedprice when l_linenumber = 5 then l_extendedprice end as value1,
-  '10.00' as price2, case l_suppkey % 6 when 0 then '€' when 1 then '$' when 2 then 'CHF' when 3 then '??' when 4 then '' else '₫' end as currency,
+  '10.00' as price2, case l_suppkey % 6 when 0 then '€' when 1 then '$' when 2 then 'CHF' when 3 then '??' when 4 then '' else 'kr' end as currency,
   cast(l_quantity as bigint) as amount1, case when l_quantity > 5 then 2 end as amount2
 from lineitem"""
 
@@ -216,7 +216,7 @@ def carts(t: Tables) -> DataFrame:
     text = F.lit(None).cast("string")
     for i, style in enumerate(styles, start=1):
         text = F.when(c("l_linenumber") == i, style).otherwise(text)
-    currency = s.pick(c("l_suppkey"), "€", "$", "CHF", "??", "", "₫")
+    currency = s.pick(c("l_suppkey"), "€", "$", "CHF", "??", "", "kr")
 
     def product(key, amount, price_text):
         return F.struct(
