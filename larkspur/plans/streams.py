@@ -300,6 +300,42 @@ def x19(t: Tables):
     )
 
 
+@query(
+    "q16_placeholder_dimension_rows",
+    s.with_(*READ, "enriched")
+    + """select 'product' as dimension, product_id as key, cast(null as varchar) as text from (select distinct product_id from enriched where product_id is not null)
+         union all select distinct 'location', ip_key, ip from enriched where ip is not null
+         union all select distinct 'user agent', user_agent_key, browser || ' ' || os from enriched where user_agent is not null""",
+)
+def q16(t: Tables):
+    """What an event batch adds to the dimensions: keys, and attributes only where the event has them."""
+    events = ev.enrich(messages(t))
+    products, locations, agents = star.product_rows(events), star.location_rows(events), star.user_agent_rows(events)
+    name = F.lit
+    return (
+        products.select(name("product").alias("dimension"), c("product_key").alias("key"), c("name").alias("text"))
+        .unionByName(locations.select(name("location").alias("dimension"), c("ip_key").alias("key"), c("ip_address").alias("text")))
+        .unionByName(
+            agents.select(
+                name("user agent").alias("dimension"), c("user_agent_key").alias("key"),
+                F.concat_ws(" ", "browser", "os").alias("text"),
+            )
+        )
+    )
+
+
+@query(
+    "q17_fact_projection",
+    s.with_(*READ, "enriched")
+    + """select distinct sales_key, full_date, full_time, ip_key, user_agent_key, product_id as product_key, referrer_domain as referrer_url,
+         collection, option, email_address, resolution, user_id_db, device_id, api_version, store_id, local_time, show_recommendation,
+         recommendation, utm_source, utm_medium from enriched where sales_key is not null""",
+)
+def q17(t: Tables):
+    """The twenty fact columns, without rows that have no key and without whole-row repeats."""
+    return star.fact_rows(ev.enrich(messages(t)))
+
+
 # --- reports ----------------------------------------------------------------------
 
 TODAY = "2024-01-15"

@@ -12,8 +12,12 @@ Schema = str | T.StructType
 
 
 def read_csv(spark: SparkSession, path: str, schema: Schema, columns: Sequence[str] | None = None, **options) -> DataFrame:
-    """CSV with a header; quoted fields may hold separators, doubled quotes and line breaks."""
-    reader = spark.read.schema(schema).options(header=True, quote='"', escape='"', multiLine=True, enforceSchema=False)
+    """CSV with a header; quoted fields may hold separators and doubled quotes.
+
+    Fields with line breaks need ``multiLine=True``. Each file is then read by one task, so
+    such exports are written in files of limited size.
+    """
+    reader = spark.read.schema(schema).options(header=True, quote='"', escape='"', enforceSchema=False)
     df = reader.options(**options).csv(path)
     return df.select(*columns) if columns else df
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.operators.mutation import insert_if_absent
+from larkspur.sources.literal import literal_rows
 
 # Fixed layout of the star schema: columns in table order, and the primary key first.
 FACT_SALES = (
@@ -37,7 +38,7 @@ def create_star(spark: SparkSession, root: str) -> None:
     """Empty tables under ``root``; a table that has files is left alone."""
     for name, columns in TABLES.items():
         schema = T.StructType([T.StructField(x, T.StringType()) for x in columns])
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{root}/{name}")
+        literal_rows(spark, [], schema).write.mode("ignore").parquet(f"{root}/{name}")
 
 
 def star_table(spark: SparkSession, root: str, name: str) -> DataFrame:
