@@ -192,8 +192,8 @@ _HTML_SQL = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(html
 
 
 def _unescape(sql: str) -> str:
-    for name, sign in (("&middot;", "·"), ("&copy;", "©"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        sql = f"replace({sql}, '{name}', '{sign}')"
+    for name, sign in (("middot", "·"), ("copy", "©"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        sql = f"regexp_replace({sql}, '&{name};?', '{sign}', 'g')"
     return sql
 
 
