@@ -14,25 +14,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larkspur.session import cut_lineage
+
 ROWS_PER_RANGE = 500_000
 MAX_RANGES = 1024
 
 
-def split_points(values: DataFrame, column: str, rows_per_range: int = ROWS_PER_RANGE) -> list[float]:
-    """Boundaries that cut a numeric column into ranges of about ``rows_per_range`` rows.
+def split_points(values: DataFrame, column: str, ranges: int) -> list[float]:
+    """Boundaries that cut a numeric column into about ``ranges`` equal parts.
 
     One row of at most 1,023 numbers reaches the driver, whatever the input size.
     """
-    steps = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
-    row = values.agg(
-        F.count("*").alias("n"),
-        F.percentile_approx(F.col(column).cast("double"), steps).alias("points"),
-    ).first()
-    ranges = min(MAX_RANGES, row["n"] // rows_per_range + 1)
-    if ranges == 1 or not row["points"]:
-        return []
-    stride = MAX_RANGES // ranges
-    return sorted(set(row["points"][stride - 1 :: stride]))
+    ranges = min(ranges, MAX_RANGES)
+    steps = [i / ranges for i in range(1, ranges)]
+    points = values.agg(F.percentile_approx(F.col(column).cast("double"), steps).alias("p")).first()["p"]
+    return sorted(set(points or []))
 
 
 def range_number(value: Column, points: Sequence[float]) -> Column:
@@ -61,40 +57,54 @@ def running_sums(
     """Sums over the earlier rows of each group, and over the whole group.
 
     The frame has one row per (by, order), and ``order`` is numeric. For every amount
-    column ``x`` the columns ``x_before`` and ``x_total`` are added. Rows are summed
-    within value ranges, and the range totals are then summed along each group, so no
-    task holds more than one range.
+    column ``x`` the columns ``x_before`` and ``x_total`` are added. The frame is written
+    once, so what lies before it runs once. Up to ``rows_per_range`` rows a window over
+    the groups will do. Beyond that, rows are summed within value ranges and the range
+    totals along each group, so no task holds more than one range.
     """
     by, amounts = list(by), list(amounts)
-    points = split_points(df, order, rows_per_range)
-    ranged = df.withColumn("_range", range_number(F.col(order).cast("double"), points))
+    df = cut_lineage(df.sparkSession, df, "ordered")
+    rows = df.count()  # from the file footers
+
+    def up_to_here(window):
+        return window.rowsBetween(Window.unboundedPreceding, -1)
+
+    def or_zero(column: Column) -> Column:
+        return F.coalesce(column, F.lit(0))
+
+    if rows <= rows_per_range:
+        group = Window.partitionBy(*by)
+        earlier = up_to_here(group.orderBy(order))
+        return df.select(
+            *df.columns,
+            *[or_zero(F.sum(x).over(earlier)).alias(f"{x}_before") for x in amounts],
+            *[F.sum(x).over(group).alias(f"{x}_total") for x in amounts],
+        )
 
+    points = split_points(df, order, rows // rows_per_range + 1)
+    ranged = df.withColumn("_range", range_number(F.col(order).cast("double"), points))
     keys = [f"_{k}" for k in by]
     whole = Window.partitionBy(*keys)
-    earlier = whole.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = up_to_here(whole.orderBy("_r"))
     totals = (
         ranged.groupBy(*[F.col(k).alias(f"_{k}") for k in by], F.col("_range").alias("_r"))
         .agg(*[F.sum(x).alias(f"_{x}") for x in amounts])
         .select(
             *keys,
             "_r",
-            *[F.sum(f"_{x}").over(earlier).alias(f"_{x}_offset") for x in amounts],
+            *[or_zero(F.sum(f"_{x}").over(earlier)).alias(f"_{x}_offset") for x in amounts],
             *[F.sum(f"_{x}").over(whole).alias(f"{x}_total") for x in amounts],
         )
     )
-    inside = Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranged.withColumns({f"_{x}_inside": F.sum(x).over(inside) for x in amounts})
+    inside = up_to_here(Window.partitionBy(*by, "_range").orderBy(order))
+    placed = ranged.withColumns({f"_{x}_inside": or_zero(F.sum(x).over(inside)) for x in amounts})
     on = F.col("_range") == F.col("_r")
     for k in by:
         on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    joined = placed.join(totals, on)
-
-    def before(x: str) -> Column:
-        zero = F.lit(0)
-        return F.coalesce(F.col(f"_{x}_offset"), zero) + F.coalesce(F.col(f"_{x}_inside"), zero)
-
-    return joined.select(
-        *df.columns, *[before(x).alias(f"{x}_before") for x in amounts], *[f"{x}_total" for x in amounts]
+    return placed.join(totals, on).select(
+        *df.columns,
+        *[(F.col(f"_{x}_offset") + F.col(f"_{x}_inside")).alias(f"{x}_before") for x in amounts],
+        *[f"{x}_total" for x in amounts],
     )
 
 

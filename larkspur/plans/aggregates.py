@@ -413,7 +413,7 @@ def a18_cast(t: Tables):
     "select word, count(*) as count from (select unnest(string_split(text, ' ')) as word from documents) group by word order by 2 desc, 1 limit 10",
 )
 def a19(t: Tables):
-    return a.most_frequent(t.documents.select(F.explode(F.split("text", " ")).alias("word")), "word", 10)
+    return a.most_frequent(t.spread("documents", "text").select(F.explode(F.split("text", " ")).alias("word")), "word", 10)
 
 
 @query(

@@ -78,7 +78,8 @@ from events"""
 
 def clicks(t: Tables, events: DataFrame | None = None) -> DataFrame:
     """The typed message fields, with repeated, missing and blank keys. Works on a stream, too."""
-    events = t.events if events is None else events
+    if events is None:
+        events = t.spread("events", "event_id", "ts", "user_id", "event_type", "props")
     n, user = c("event_id"), c("user_id")
     product = F.get_json_object("props", "$.k")
 
@@ -182,7 +183,9 @@ def drift(t: Tables) -> DataFrame:
         F.lit(',"cart_products":[{"product_id":'), word, F.lit(',"amount":2,"option":'),
         s.pick(n, '""', '{"option_label":"size","value_label":"7"}', "[]"), F.lit("}]}"),
     ]
-    return t.events.select("event_id", c("event_type").alias("collection"), F.concat(*parts).alias("doc"))
+    return t.spread("events", "event_id", "event_type").select(
+        "event_id", c("event_type").alias("collection"), F.concat(*parts).alias("doc")
+    )
 
 
 s.CTE["carts"] = """
@@ -228,7 +231,8 @@ def carts(t: Tables) -> DataFrame:
     second = product(c("l_partkey") + 1, F.when(c("l_quantity") > 5, 2), F.lit("10.00"))
     filled = (c("l_linenumber") < 7) | (c("l_linestatus") == "O")
     items = F.array(first, second)
-    return t.lineitem.select(
+    columns = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_returnflag l_linestatus l_shipdate"
+    return t.spread("lineitem", *columns.split()).select(
         c("l_orderkey").alias("_id"),
         F.concat_ws(".", (c("l_suppkey") % 223 + 1).cast("string"), (c("l_suppkey") % 256).cast("string"), F.lit("0"), F.lit("1")).alias("ip"),
         F.unix_timestamp(c("l_shipdate").cast("timestamp")).alias("time_stamp"),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larkspur.session import table
+from larkspur.session import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
 
+    def spread(self, name: str, *columns: str) -> DataFrame:
+        """Columns of a table, handed to all cores where the table has few files."""
+        return spread(table(self.spark, self.sf_dir, name).select(*columns))
+
 
 def query(name: str, sql: str | None = None):
     """Register ``fn(t: Tables) -> DataFrame`` under a name, with its check SQL if it has one."""

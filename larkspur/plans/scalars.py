@@ -69,7 +69,7 @@ def c04(t: Tables):
     """select doc_id, replace(replace(replace(replace(strip_accents(lower(text)), 'đ', 'd'), 'ß', 'ss'), 'æ', 'ae'), 'œ', 'oe') as folded from documents""",
 )
 def c05(t: Tables):
-    return t.documents.select("doc_id", text.fold_accents(c("text")).alias("folded"))
+    return t.spread("documents", "doc_id", "text").select("doc_id", text.fold_accents(c("text")).alias("folded"))
 
 
 def _category_sql() -> str:
@@ -204,7 +204,7 @@ def _unescape(sql: str) -> str:
     + r"""), '[\r\t\n]', ' ', 'g'), '\.{2,}', ' ', 'g'), '[{};():,."/<>-]', ' ', 'g'), '\s{2,}', ' ', 'g')) as text from pages""",
 )
 def c16(t: Tables):
-    return t.pages.select("page_id", text.clean_html(c("html")).alias("text"))
+    return t.spread("pages", "page_id", "html").select("page_id", text.clean_html(c("html")).alias("text"))
 
 
 @query(

@@ -88,4 +88,4 @@ def u06_recruit(t: Tables):
        from (select doc_id, string_split(text, ' ') as words from documents)""",
 )
 def u07(t: Tables):
-    return t.documents.select("doc_id", F.array_join(F.array_distinct(F.split("text", " ")), " ").alias("words"))
+    return t.spread("documents", "doc_id", "text").select("doc_id", F.array_join(F.array_distinct(F.split("text", " ")), " ").alias("words"))

@@ -36,6 +36,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Hand a scan of few files to all cores, for work that is heavy per row.
+
+    A scan that already has about as many partitions as the cluster has cores is returned
+    as it is, so large tables are never shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    return df.repartition(cores)
+
+
 def stream_table(spark: SparkSession, sf_dir: str, name: str, **options: str) -> DataFrame:
     """The same table as a file stream.
 
