@@ -60,7 +60,8 @@ def most_frequent_per(df: DataFrame, parent: str, child: str, name: str = "count
 def rows_at_extremes(df: DataFrame, column: str) -> DataFrame:
     """All rows that hold the column's overall minimum or maximum."""
     ends = df.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-    return df.join(ends.select(F.explode(F.array("lo", "hi")).alias(column)).distinct(), column, "left_semi")
+    ends = ends.select(F.explode(F.array("lo", "hi")).alias(column)).distinct()
+    return df.join(ends, column, "left_semi").select(*df.columns)
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:

@@ -35,7 +35,7 @@ def overlap_counts(intervals: DataFrame, low: str, high: str, points: DataFrame,
         .unionByName(marks(intervals, high, end, -F.count("*")))
     )
     summed = running_sums(steps, [], "place", ["change"])
-    return summed.where(F.col("place") % 3 == ask).select(
+    return summed.where(F.pmod(F.col("place"), F.lit(3)) == ask).select(
         ((F.col("place") - ask) / 3).cast("bigint").alias(point),
         F.col("change_before").cast("bigint").alias("overlaps"),
     )

@@ -52,7 +52,7 @@ def running_sums(
     by: Sequence[str],
     order: str,
     amounts: Sequence[str],
-    rows_per_range: int = ROWS_PER_RANGE,
+    rows_per_range: int | None = None,
 ) -> DataFrame:
     """Sums over the earlier rows of each group, and over the whole group.
 
@@ -63,6 +63,7 @@ def running_sums(
     totals along each group, so no task holds more than one range.
     """
     by, amounts = list(by), list(amounts)
+    rows_per_range = rows_per_range or ROWS_PER_RANGE
     df = cut_lineage(df.sparkSession, df, "ordered")
     rows = df.count()  # from the file footers
 
@@ -109,7 +110,7 @@ def running_sums(
 
 
 def prefix_counts(
-    df: DataFrame, by: Sequence[str], value: str, rows_per_range: int = ROWS_PER_RANGE
+    df: DataFrame, by: Sequence[str], value: str, rows_per_range: int | None = None
 ) -> DataFrame:
     """One row per distinct (by, value) with its place in the group.
 
@@ -133,7 +134,7 @@ def with_rank(
     name: str = "rank",
     dense: bool = False,
     descending: bool = True,
-    rows_per_range: int = ROWS_PER_RANGE,
+    rows_per_range: int | None = None,
 ) -> DataFrame:
     """Every row with its rank (or dense rank) by a numeric value within its group."""
     by = list(by)
@@ -182,7 +183,7 @@ def exact_percentiles(
     value: str,
     quantiles: dict[str, float],
     by: Sequence[str] = (),
-    rows_per_range: int = ROWS_PER_RANGE,
+    rows_per_range: int | None = None,
 ) -> DataFrame:
     """Exact, linearly interpolated percentiles per group; NULL and NaN values are skipped.
 

@@ -14,10 +14,10 @@ from larkspur.sources.readers import read_csv, read_files
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", rows_per_file: int = 0) -> None:
-    """CSV with a header. Quotes are doubled, blanks and empty texts survive."""
+    """CSV with a header. Quotes are doubled and blanks survive; an empty text reads back as NULL."""
     df.write.mode(mode).options(
         header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-        emptyValue='""', maxRecordsPerFile=rows_per_file,
+        maxRecordsPerFile=rows_per_file,
     ).csv(path)
 
 
