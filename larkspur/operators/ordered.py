@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from larkspur.session import cut_lineage
 
-ROWS_PER_RANGE = 500_000
+ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 1024
 
 

@@ -76,7 +76,8 @@ join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
 
 def invoices(t: Tables) -> DataFrame:
     return (
-        t.lineitem.join(t.orders, c("l_orderkey") == c("o_orderkey"))
+        t.spread("lineitem", "l_orderkey", "l_quantity", "l_extendedprice")
+        .join(t.orders, c("l_orderkey") == c("o_orderkey"))
         .join(t.customer, c("o_custkey") == c("c_custkey"))
         .join(t.nation, c("c_nationkey") == c("n_nationkey"))
         .select(

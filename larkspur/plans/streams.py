@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from larkspur.plans import standins as s
 from larkspur.plans.clicks import messages
 from larkspur.plans.registry import Tables, query
-from larkspur.session import new_folder, stream_table
+from larkspur.session import new_folder, spread, stream_table
 from larkspur.streaming import events as ev
 from larkspur.streaming import sinks, star
 
@@ -77,8 +77,8 @@ def x03(t: Tables):
 def x04(t: Tables):
     """Counts start over with every batch; the table is one batch if it is one file, so the sums are compared."""
     out = new_folder(t.spark, "batches")
-    lines = stream_table(t.spark, t.sf_dir, "documents", maxFilesPerTrigger="1")
-    count = sinks.per_batch(out, lambda rows: ev.word_counts(rows, "text"))
+    lines = stream_table(t.spark, t.sf_dir, "documents", maxFilesPerTrigger="1").select("text")
+    count = sinks.per_batch(out, lambda rows: ev.word_counts(spread(rows), "text"))
     sinks.finish(sinks.start(lines, new_folder(t.spark, "batches-checkpoint"), batch=count))
     return t.spark.read.parquet(f"{out}/*").groupBy("word").agg(F.sum("count").alias("count"))
 
@@ -135,8 +135,8 @@ def _loaded_star(t: Tables, runs: int = 1):
     root = new_folder(t.spark, "star")
     star.create_star(t.spark, root)
     for _ in range(runs):
-        enriched = ev.enrich(record_stream(t))
-        sinks.finish(sinks.start(enriched, new_folder(t.spark, "star-checkpoint"), batch=star.batch_loader(root)))
+        load = star.batch_loader(root, ev.enrich)
+        sinks.finish(sinks.start(record_stream(t), new_folder(t.spark, "star-checkpoint"), batch=load))
     return root
 
 
@@ -170,10 +170,10 @@ def x10(t: Tables):
     target = folder if "://" in folder else f"file://{folder}"
 
     def write(batch, batch_id):
-        rows = batch.na.drop(subset=["sales_key"]).select("sales_key", "full_date", "full_time")
+        rows = ev.enrich(spread(batch)).na.drop(subset=["sales_key"]).select("sales_key", "full_date", "full_time")
         star.write_from_tasks(rows, batch_id, target, "sales_key", writers=4).agg(F.sum("rows")).first()
 
-    sinks.finish(sinks.start(ev.enrich(record_stream(t)), new_folder(t.spark, "tasks-checkpoint"), batch=write))
+    sinks.finish(sinks.start(record_stream(t), new_folder(t.spark, "tasks-checkpoint"), batch=write))
     written = t.spark.read.parquet(folder)
     seen = F.concat("full_date", "full_time")
     return written.groupBy("sales_key").agg(F.min(seen).alias("first_seen"), F.count("*").alias("rows"))
@@ -198,8 +198,9 @@ def x12(t: Tables):
     root = new_folder(t.spark, "empty")
     star.create_star(t.spark, root)
     before = set(star.star_table(t.spark, root, "fact_sales").inputFiles())
-    none = ev.enrich(record_stream(t).where("offset < 0"))
-    sinks.finish(sinks.start(none, new_folder(t.spark, "empty-checkpoint"), batch=star.batch_loader(root)))
+    none = record_stream(t).where("offset < 0")
+    load = star.batch_loader(root, ev.enrich)
+    sinks.finish(sinks.start(none, new_folder(t.spark, "empty-checkpoint"), batch=load))
     fact = star.star_table(t.spark, root, "fact_sales")
     loads = len(set(fact.inputFiles()) - before)
     return fact.agg(F.lit(loads).cast("bigint").alias("loads"), F.count("*").alias("rows"))
@@ -321,6 +322,7 @@ def q16(t: Tables):
                 F.concat_ws(" ", "browser", "os").alias("text"),
             )
         )
+        .distinct()
     )
 
 
@@ -333,7 +335,7 @@ def q16(t: Tables):
 )
 def q17(t: Tables):
     """The twenty fact columns, without rows that have no key and without whole-row repeats."""
-    return star.fact_rows(ev.enrich(messages(t)))
+    return star.fact_rows(ev.enrich(messages(t))).distinct()
 
 
 # --- reports ----------------------------------------------------------------------

@@ -40,12 +40,14 @@ def spread(df: DataFrame) -> DataFrame:
     """Hand a scan of few files to all cores, for work that is heavy per row.
 
     A scan that already has about as many partitions as the cluster has cores is returned
-    as it is, so large tables are never shuffled here.
+    as it is, so large tables are never shuffled here. A partition, at most 128 MB by
+    default, is cut into no more than 32 pieces.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 > cores:
+    partitions = df.rdd.getNumPartitions()
+    if partitions * 2 > cores:
         return df
-    return df.repartition(cores)
+    return df.repartition(min(cores, max(1, partitions) * 32))
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, **options: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.operators.mutation import insert_if_absent
+from larkspur.session import spread
 from larkspur.sources.literal import literal_rows
 
 # Fixed layout of the star schema: columns in table order, and the primary key first.
@@ -46,24 +47,27 @@ def star_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{root}/{name}")
 
 
+# What a batch of events brings to each table. Rows may repeat: the insert keeps one per key,
+# so making them distinct here would only shuffle them once more.
+
+
 def product_rows(events: DataFrame) -> DataFrame:
-    """A placeholder row per product seen; its texts are filled in by other loads."""
+    """Placeholder rows for the products seen; their texts are filled in by other loads."""
     empty = [F.lit(None).cast("string").alias(x) for x in DIM_PRODUCT[1:]]
-    return events.select("product_key").na.drop().distinct().select("product_key", *empty)
+    return events.select("product_key").na.drop().select("product_key", *empty)
 
 
 def location_rows(events: DataFrame) -> DataFrame:
     empty = [F.lit(None).cast("string").alias(x) for x in DIM_LOCATION[2:]]
-    seen = events.select("ip_key", F.col("ip").alias("ip_address")).na.drop().distinct()
-    return seen.select("ip_key", "ip_address", *empty)
+    return events.select("ip_key", F.col("ip").alias("ip_address")).na.drop().select("*", *empty)
 
 
 def user_agent_rows(events: DataFrame) -> DataFrame:
-    return events.select(*DIM_USER_AGENT).na.drop().distinct()
+    return events.select(*DIM_USER_AGENT).na.drop()
 
 
 def fact_rows(events: DataFrame) -> DataFrame:
-    return events.na.drop(subset=["sales_key"]).select(*FACT_SALES).distinct()
+    return events.na.drop(subset=["sales_key"]).select(*FACT_SALES)
 
 
 LOADS: dict[str, tuple[Callable[[DataFrame], DataFrame], tuple[str, ...]]] = {
@@ -87,13 +91,17 @@ def load_star(events: DataFrame, root: str) -> None:
         new.write.mode("append").parquet(f"{root}/{name}")
 
 
-def batch_loader(root: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that skips empty batches and reads each batch from its source once."""
+def batch_loader(root: str, transform: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function: transforms a batch of records and loads the star tables.
+
+    Empty batches are skipped. A batch from a topic of few partitions is spread over all
+    cores before the transform, and is transformed once for all four tables.
+    """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         if batch.isEmpty():
             return
-        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        held = transform(spread(batch)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             load_star(held, root)
         finally:

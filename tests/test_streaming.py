@@ -74,8 +74,7 @@ BATCHES = [
 
 
 def load(spark, folder, root, checkpoint):
-    enriched = ev.enrich(stream(spark, folder, RECORD))
-    sinks.finish(sinks.start(enriched, checkpoint, batch=star.batch_loader(root)))
+    sinks.finish(sinks.start(stream(spark, folder, RECORD), checkpoint, batch=star.batch_loader(root, ev.enrich)))
 
 
 def table(spark, root, name, *columns):
