@@ -26,8 +26,14 @@ CLICK_SCHEMA = T.StructType(
 
 
 def parse_json(df: DataFrame, column: str, schema: T.StructType) -> DataFrame:
-    """Typed columns from a JSON text column; unreadable text gives a row of NULLs."""
-    return df.select(F.from_json(F.col(column).cast("string"), schema).alias("data")).select("data.*")
+    """Typed columns from a JSON text column; unreadable text gives a row of NULLs.
+
+    The parsed struct goes through a one-element array, which the optimizer does not look
+    behind. Otherwise a later filter on a parsed or derived column would be pushed below
+    the parser and parse the text once more for every mention of a column.
+    """
+    data = F.from_json(F.col(column).cast("string"), schema)
+    return df.select(F.explode(F.array(data)).alias("data")).select("data.*")
 
 
 def list_of(text: Column, element: str) -> Column:

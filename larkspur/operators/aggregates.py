@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.operators.ordered import exact_percentiles
+from larkspur.session import cut_lineage
 
 
 def table_sizes(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -73,6 +74,8 @@ def box_plot(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Quartiles and whiskers per group; whiskers end at the last value within 1.5 box heights."""
     by = list(by)
     box = exact_percentiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
+    # one row per group, used on both sides of the join below
+    box = cut_lineage(df.sparkSession, box, "box")
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
     ends = (

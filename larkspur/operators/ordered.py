@@ -62,11 +62,19 @@ def running_sums(
     the groups will do. Beyond that, rows are summed within value ranges and the range
     totals along each group, so no task holds more than one range.
     """
-    by, amounts = list(by), list(amounts)
-    rows_per_range = rows_per_range or ROWS_PER_RANGE
+    df, rows = _written(df)
+    return _running_sums(df, rows, list(by), order, list(amounts), rows_per_range or ROWS_PER_RANGE)
+
+
+def _written(df: DataFrame) -> tuple[DataFrame, int]:
+    """The frame, read back from files, and its number of rows, read from their footers."""
     df = cut_lineage(df.sparkSession, df, "ordered")
-    rows = df.count()  # from the file footers
+    return df, df.count()
 
+
+def _running_sums(
+    df: DataFrame, rows: int, by: list[str], order: str, amounts: list[str], rows_per_range: int
+) -> DataFrame:
     def up_to_here(window):
         return window.rowsBetween(Window.unboundedPreceding, -1)
 
@@ -118,13 +126,12 @@ def prefix_counts(
     ``values_before`` distinct smaller values, and the group's totals ``rows_total``
     and ``values_total``. ``value`` is numeric; rows without a value are left out.
     """
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, value)
-        .agg(F.count("*").alias("rows"))
-        .withColumn("values", F.lit(1).cast("bigint"))
-    )
-    return running_sums(counted, by, value, ["rows", "values"], rows_per_range)
+    return running_sums(_value_counts(df, by, value), by, value, ["rows", "values"], rows_per_range)
+
+
+def _value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("rows"))
+    return counted.withColumn("values", F.lit(1).cast("bigint"))
 
 
 def with_rank(
@@ -187,13 +194,22 @@ def exact_percentiles(
 ) -> DataFrame:
     """Exact, linearly interpolated percentiles per group; NULL and NaN values are skipped.
 
-    The group is never gathered: the two rows on either side of each position are
-    picked out of the prefix counts by a plain aggregate.
+    Distinct values are counted first. While they are few, the built-in weighted percentile
+    takes them; it holds all values of a group in one task. Beyond ``rows_per_range`` the
+    two rows on either side of each position are picked out of the running counts instead,
+    and no group is ever gathered.
     """
     by = list(by)
+    rows_per_range = rows_per_range or ROWS_PER_RANGE
     number = F.col(value).cast("double")
     clean = df.select(*by, F.when(~F.isnan(number), number).alias("_x"))
-    places = prefix_counts(clean, by, "_x", rows_per_range)
+    counted, n = _written(_value_counts(clean, by, "_x"))
+    if n <= rows_per_range:
+        all_at_once = F.percentile("_x", [float(q) for q in quantiles.values()], F.col("rows"))
+        found = counted.groupBy(*by).agg(all_at_once.alias("_q"))
+        return found.select(*by, *[F.get("_q", i).alias(name) for i, name in enumerate(quantiles)])
+
+    places = _running_sums(counted, n, by, "_x", ["rows", "values"], rows_per_range)
     picks = []
     for name, q in quantiles.items():
         position = (F.col("rows_total") - 1) * F.lit(float(q))

@@ -200,7 +200,8 @@ select distinct l_orderkey as movie_id, p_type as genre from lineitem join part
 
 def genre(t: Tables) -> DataFrame:
     return (
-        t.lineitem.join(t.part, c("l_partkey") == c("p_partkey"))
+        t.spread("lineitem", "l_orderkey", "l_partkey")
+        .join(t.part, c("l_partkey") == c("p_partkey"))
         .select(c("l_orderkey").alias("movie_id"), c("p_type").alias("genre"))
         .distinct()
     )

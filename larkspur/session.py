@@ -47,7 +47,8 @@ def spread(df: DataFrame) -> DataFrame:
     partitions = df.rdd.getNumPartitions()
     if partitions * 2 > cores:
         return df
-    return df.repartition(min(cores, max(1, partitions) * 32))
+    # by value and not in turn: the latter sorts every partition first to be repeatable
+    return df.repartition(min(cores, max(1, partitions) * 32), *df.columns)
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, **options: str) -> DataFrame:
