@@ -117,9 +117,9 @@ def a06(t: Tables):
     )
 
 
-@query("a07_grand_total", s.with_("tmdb") + "select cast(sum(revenue_adj) as double) as total_revenue from tmdb")
+@query("a07_grand_total", s.with_("films") + "select cast(sum(revenue_adj) as double) as total_revenue from films")
 def a07(t: Tables):
-    return s.tmdb(t).agg(F.sum("revenue_adj").cast("double").alias("total_revenue"))
+    return s.films(t).agg(F.sum("revenue_adj").cast("double").alias("total_revenue"))
 
 
 @query(
@@ -273,17 +273,17 @@ s.CTE["roi"] = """
 select id, release_year, genres, "cast", director, popularity, cast(budget_adj as double) as budget, cast(revenue_adj as double) as revenue,
        case when budget_adj = 0 then case when revenue_adj > budget_adj then 'inf'::double when revenue_adj < budget_adj then '-inf'::double end
             else cast(revenue_adj - budget_adj as double) / cast(budget_adj as double) * 100 end as roi
-from tmdb"""
+from films"""
 
 
 def with_roi(t: Tables):
     profit = (c("revenue_adj") - c("budget_adj")).cast("double")
-    return s.tmdb(t).withColumn("roi", a.ratio_percent(profit, c("budget_adj").cast("double")))
+    return s.films(t).withColumn("roi", a.ratio_percent(profit, c("budget_adj").cast("double")))
 
 
 @query(
     "a14_median_global",
-    s.with_("tmdb", "roi") + "select round(median(roi), 4) as median_roi from roi where not isinf(roi)",
+    s.with_("films", "roi") + "select round(median(roi), 4) as median_roi from roi where not isinf(roi)",
 )
 def a14(t: Tables):
     """Infinite returns are taken out before the median."""
@@ -293,7 +293,7 @@ def a14(t: Tables):
 
 @query(
     "a14_median_per_year",
-    s.with_("tmdb", "roi")
+    s.with_("films", "roi")
     + "select release_year, round(median(roi), 4) as median_roi from roi where budget <> 0 group by release_year",
 )
 def a14_year(t: Tables):
@@ -305,7 +305,7 @@ def a14_year(t: Tables):
 
 @query(
     "a14_median_per_genre_with_infinite",
-    s.with_("tmdb", "roi")
+    s.with_("films", "roi")
     + """select genre, round(m, 4) as median_roi from (select genre, median(roi) as m from
          (select unnest(string_split(coalesce(genres, ''), '|')) as genre, roi from roi) group by genre) where isfinite(m)""",
 )
@@ -320,7 +320,7 @@ def a14_genre(t: Tables):
 
 @query(
     "a14_top_cast_by_median",
-    s.with_("tmdb", "roi")
+    s.with_("films", "roi")
     + """select name, round(m, 4) as median_roi from (select name, median(roi) as m from
          (select unnest(string_split(coalesce("cast", ''), '|')) as name, roi from roi) group by name)
          where isfinite(m) order by m desc, name limit 20""",
@@ -334,7 +334,7 @@ def a14_cast(t: Tables):
 
 @query(
     "a15_pearson",
-    s.with_("tmdb", "roi")
+    s.with_("films", "roi")
     + """select round(corr(budget, revenue), 6) as budget_revenue,
          round(corr(case when not isinf(roi) then popularity end, case when not isinf(roi) then roi end), 6) as popularity_roi from roi""",
 )
@@ -349,13 +349,13 @@ def a15(t: Tables):
 
 @query(
     "a16_linear_fit",
-    s.with_("tmdb", "roi")
+    s.with_("films", "roi")
     + """select round(regr_slope(revenue, budget), 6) as slope, round(regr_intercept(revenue, budget), 2) as intercept,
          round(regr_r2(revenue, budget), 6) as r2 from roi""",
 )
 def a16(t: Tables):
     y, x = c("revenue_adj").cast("double"), c("budget_adj").cast("double")
-    return s.tmdb(t).agg(
+    return s.films(t).agg(
         F.round(F.regr_slope(y, x), 6).alias("slope"),
         F.round(F.regr_intercept(y, x), 2).alias("intercept"),
         F.round(F.regr_r2(y, x), 6).alias("r2"),
@@ -367,23 +367,23 @@ _GENRE_TOKENS = """select unnest(string_split(replace(replace(genres, '"', ''),
 
 @query(
     "a17_list_frequency_shell",
-    s.with_("tmdb") + f"select name, count(*) as frequency from ({_GENRE_TOKENS.format(src='tmdb')}) where name <> '' group by name",
+    s.with_("films") + f"select name, count(*) as frequency from ({_GENRE_TOKENS.format(src='films')}) where name <> '' group by name",
 )
 def a17(t: Tables):
     """Shell flavour: rows are not made distinct, blanks become '_'."""
-    tokens = s.tmdb(t).select(F.explode(tx.split_tokens(c("genres"))).alias("name"))
+    tokens = s.films(t).select(F.explode(tx.split_tokens(c("genres"))).alias("name"))
     return a.value_counts(tokens, "name", "frequency")
 
 
 @query(
     "a17_list_frequency_notebook",
-    s.with_("tmdb")
+    s.with_("films")
     + """select genre, count(*) as count from (select unnest(string_split(genres, '|')) as genre from
-         (select distinct * from (select * from tmdb union all select * from tmdb where id % 2 = 0))) where genre <> '' group by genre""",
+         (select distinct * from (select * from films union all select * from films where id % 2 = 0))) where genre <> '' group by genre""",
 )
 def a17_notebook(t: Tables):
     """Notebook flavour: duplicate rows are dropped first, names are kept as written."""
-    movies = s.tmdb(t)
+    movies = s.films(t)
     repeated = movies.unionByName(movies.where(c("id") % 2 == 0))
     names = repeated.distinct().select(F.explode(F.split("genres", r"\|")).alias("genre")).where("genre <> ''")
     return a.value_counts(names, "genre")
@@ -391,20 +391,20 @@ def a17_notebook(t: Tables):
 
 @query(
     "a18_most_frequent_value",
-    s.with_("tmdb") + "select director, count(*) as count from tmdb group by 1 order by 2 desc, 1 limit 1",
+    s.with_("films") + "select director, count(*) as count from films group by 1 order by 2 desc, 1 limit 1",
 )
 def a18(t: Tables):
-    return a.most_frequent(s.tmdb(t), "director")
+    return a.most_frequent(s.films(t), "director")
 
 
 @query(
     "a18_most_frequent_cast",
-    s.with_("tmdb")
-    + """select name, count(*) as frequency from (select unnest(string_split(replace(replace("cast", '"', ''), ' ', '_'), '|')) as name from tmdb)
+    s.with_("films")
+    + """select name, count(*) as frequency from (select unnest(string_split(replace(replace("cast", '"', ''), ' ', '_'), '|')) as name from films)
          where name <> '' group by 1 order by 2 desc, 1 limit 1""",
 )
 def a18_cast(t: Tables):
-    tokens = s.tmdb(t).select(F.explode(tx.split_tokens(c("cast"))).alias("name"))
+    tokens = s.films(t).select(F.explode(tx.split_tokens(c("cast"))).alias("name"))
     return a.most_frequent(tokens, "name", 1, "frequency")
 
 
@@ -418,13 +418,13 @@ def a19(t: Tables):
 
 @query(
     "a20_argmax_per_parent",
-    s.with_("tmdb")
+    s.with_("films")
     + """select release_year, genre, count from (select release_year, genre, count(*) as count,
            row_number() over (partition by release_year order by count(*) desc, genre) as r
-         from (select release_year, unnest(string_split(coalesce(genres, ''), '|')) as genre from tmdb) group by 1, 2) where r = 1""",
+         from (select release_year, unnest(string_split(coalesce(genres, ''), '|')) as genre from films) group by 1, 2) where r = 1""",
 )
 def a20(t: Tables):
-    exploded = s.tmdb(t).select(
+    exploded = s.films(t).select(
         "release_year", F.explode(F.split(F.coalesce("genres", F.lit("")), r"\|")).alias("genre")
     )
     return a.most_frequent_per(exploded, "release_year", "genre")
@@ -432,12 +432,12 @@ def a20(t: Tables):
 
 @query(
     "a21_rows_at_extremes",
-    s.with_("tmdb")
-    + """select id, original_title, vote_average from tmdb where vote_average = (select min(vote_average) from tmdb)
-         or vote_average = (select max(vote_average) from tmdb)""",
+    s.with_("films")
+    + """select id, original_title, vote_average from films where vote_average = (select min(vote_average) from films)
+         or vote_average = (select max(vote_average) from films)""",
 )
 def a21(t: Tables):
-    return a.rows_at_extremes(s.tmdb(t), "vote_average").select("id", "original_title", "vote_average")
+    return a.rows_at_extremes(s.films(t), "vote_average").select("id", "original_title", "vote_average")
 
 
 _SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")

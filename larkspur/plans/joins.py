@@ -181,7 +181,7 @@ def _top_genres(t: Tables):
          where genre in (select genre from top_genres) group by name) where movie_rank <= 3""",
 )
 def j06(t: Tables):
-    """As the reference codes it: only the genres are limited to well-rated movies."""
+    """As coded: only the genres are limited to well-rated movies."""
     films = s.genre(t).join(_top_genres(t), "genre", "left_semi").select(c("movie_id").alias("film"))
     per_director = (
         s.director_mapping(t)

@@ -26,19 +26,19 @@ def p01(t: Tables):
 
 @query(
     "p02_derived_arithmetic",
-    s.with_("tmdb")
+    s.with_("films")
     + """select id, cast(revenue_adj - budget_adj as double) as profit,
-        round(cast((revenue_adj - budget_adj) as double) / nullif(cast(budget_adj as double), 0) * 100, 4) as roi from tmdb""",
+        round(cast((revenue_adj - budget_adj) as double) / nullif(cast(budget_adj as double), 0) * 100, 4) as roi from films""",
 )
 def p02(t: Tables):
     profit = c("revenue_adj") - c("budget_adj")
     roi = F.try_divide(profit.cast("double"), c("budget_adj").cast("double")) * 100
-    return s.tmdb(t).select("id", profit.cast("double").alias("profit"), F.round(roi, 4).alias("roi"))
+    return s.films(t).select("id", profit.cast("double").alias("profit"), F.round(roi, 4).alias("roi"))
 
 
-@query("p03_numeric_filter", s.with_("tmdb") + "select id, vote_average from tmdb where vote_average > 7.5")
+@query("p03_numeric_filter", s.with_("films") + "select id, vote_average from films where vote_average > 7.5")
 def p03(t: Tables):
-    return s.tmdb(t).where(c("vote_average") > 7.5).select("id", "vote_average")
+    return s.films(t).where(c("vote_average") > 7.5).select("id", "vote_average")
 
 
 @query(

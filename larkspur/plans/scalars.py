@@ -31,11 +31,11 @@ def c01(t: Tables):
 
 @query(
     "c02_split_to_array",
-    s.with_("tmdb") + """select id, cast(len(string_split("cast", '|')) as integer) as n, string_split("cast", '|')[1] as first from tmdb""",
+    s.with_("films") + """select id, cast(len(string_split("cast", '|')) as integer) as n, string_split("cast", '|')[1] as first from films""",
 )
 def c02(t: Tables):
     names = F.split("cast", r"\|")
-    return s.tmdb(t).select("id", F.size(names).alias("n"), F.get(names, 0).alias("first"))
+    return s.films(t).select("id", F.size(names).alias("n"), F.get(names, 0).alias("first"))
 
 
 @query(
@@ -57,11 +57,11 @@ def c03(t: Tables):
 
 @query(
     "c04_name_tokens",
-    s.with_("tmdb")
-    + """select id, token from (select id, unnest(string_split(replace(replace("cast", ' ', '_'), '"', ''), '|')) as token from tmdb) where token <> ''""",
+    s.with_("films")
+    + """select id, token from (select id, unnest(string_split(replace(replace("cast", ' ', '_'), '"', ''), '|')) as token from films) where token <> ''""",
 )
 def c04(t: Tables):
-    return s.tmdb(t).select("id", F.explode(text.split_tokens(c("cast"))).alias("token"))
+    return s.films(t).select("id", F.explode(text.split_tokens(c("cast"))).alias("token"))
 
 
 @query(
@@ -315,13 +315,13 @@ def _pivot_sql(name: str, pivot: int) -> str:
 
 @query(
     "d03_two_digit_years",
-    s.with_("tmdb") + f"select id, {_pivot_sql('shell', 31)}, {_pivot_sql('notebook', 30)} from tmdb",
+    s.with_("films") + f"select id, {_pivot_sql('shell', 31)}, {_pivot_sql('notebook', 30)} from films",
 )
 def d03(t: Tables):
     def iso(pivot):
         return F.date_format(dates.two_digit_year_date(c("release_date"), pivot), "yyyy-MM-dd")
 
-    return s.tmdb(t).select("id", iso(dates.SHELL_PIVOT).alias("shell"), iso(dates.NOTEBOOK_PIVOT).alias("notebook"))
+    return s.films(t).select("id", iso(dates.SHELL_PIVOT).alias("shell"), iso(dates.NOTEBOOK_PIVOT).alias("notebook"))
 
 
 @query(

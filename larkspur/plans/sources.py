@@ -129,11 +129,11 @@ def s10(t: Tables):
 
 @query(
     "s11_csv_sink",
-    s.with_("tmdb") + "select id, original_title, cast(vote_average as varchar) as vote_average from tmdb where vote_average > 7.5",
+    s.with_("films") + "select id, original_title, cast(vote_average as varchar) as vote_average from films where vote_average > 7.5",
 )
 def s11(t: Tables):
     folder = new_folder(t.spark, "rated")
-    writers.write_csv(s.tmdb(t).where(c("vote_average") > 7.5).select("id", "original_title", "vote_average"), folder)
+    writers.write_csv(s.films(t).where(c("vote_average") > 7.5).select("id", "original_title", "vote_average"), folder)
     return readers.read_csv(t.spark, folder, "id bigint, original_title string, vote_average string")
 
 

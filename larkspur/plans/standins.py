@@ -274,7 +274,7 @@ def director_mapping(t: Tables) -> DataFrame:
     return t.orders.select(c("o_orderkey").alias("movie_id"), c("o_custkey").alias("name_id"))
 
 
-CTE["tmdb"] = """
+CTE["films"] = """
 select o_orderkey as id, c_name as director, 'Film ' || o_orderkey as original_title,
        concat_ws('|', c_name, n_name, case when o_orderkey % 5 = 0 then '"Guest ' || (o_orderkey % 13) || '"' end) as "cast",
        case when o_orderkey % 11 <> 0 then concat_ws('|', c_mktsegment, o_orderpriority,
@@ -288,7 +288,7 @@ from orders join customer on o_custkey = c_custkey join nation on c_nationkey =
 """
 
 
-def tmdb(t: Tables) -> DataFrame:
+def films(t: Tables) -> DataFrame:
     guest = F.concat(F.lit('"Guest '), (c("o_orderkey") % 13).cast("string"), F.lit('"'))
     genres = F.concat_ws(
         "|", "c_mktsegment", "o_orderpriority", F.when(c("o_orderstatus") == "P", "Short Film")
