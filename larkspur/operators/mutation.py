@@ -74,7 +74,7 @@ def insert_if_absent(batch: DataFrame, target: DataFrame, keys: Sequence[str], *
     Rows with a NULL in the key are left out: a primary key cannot be NULL.
     """
     keyed = batch.na.drop(subset=list(keys))
-    return not_yet_stored(one_per_key(keyed, keys, *order), target, keys)
+    return one_per_key(not_yet_stored(keyed, target, keys), keys, *order)
 
 
 def insert_with_ids(target: DataFrame, rows: DataFrame, id_column: str, *order: Column) -> DataFrame:

@@ -15,9 +15,13 @@ SQL: dict[str, str] = {}
 
 
 class Tables:
-    """Attribute access to the given tables: ``t.orders`` reads orders.parquet."""
+    """Attribute access to the given tables: ``t.orders`` reads orders.parquet.
+
+    Days and hours are those of UTC, so the session is set to it.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark = spark
         self.sf_dir = sf_dir
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from larkspur.plans import standins as s
 from larkspur.plans.clicks import messages
 from larkspur.plans.registry import Tables, query
-from larkspur.session import new_folder, spread, stream_table
+from larkspur.session import new_folder, spread, stream_table, with_scheme
 from larkspur.streaming import events as ev
 from larkspur.streaming import sinks, star
 
@@ -167,7 +167,7 @@ def x09(t: Tables):
 )
 def x10(t: Tables):
     folder = new_folder(t.spark, "tasks")
-    target = folder if "://" in folder else f"file://{folder}"
+    target = with_scheme(t.spark, folder)
 
     def write(batch, batch_id):
         rows = ev.enrich(spread(batch)).na.drop(subset=["sales_key"]).select("sales_key", "full_date", "full_time")

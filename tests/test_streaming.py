@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larkspur.functions.nested import CLICK_SCHEMA
-from larkspur.session import new_folder
+from larkspur.session import new_folder, with_scheme
 from larkspur.streaming import events as ev
 from larkspur.streaming import sinks, star
 
@@ -130,7 +130,7 @@ def test_task_writers(spark, asked, used):
     df = spark.range(200).select(F.col("id").cast("string").alias("k"))
     folder = new_folder(spark, "tasks")
     for _ in range(2):  # the second run replaces the files of the first
-        written = star.write_from_tasks(df, 3, f"file://{folder}", "k", asked).collect()
+        written = star.write_from_tasks(df, 3, with_scheme(spark, folder), "k", asked).collect()
     assert len(written) == used and sum(r["rows"] for r in written) == 200
     assert spark.read.parquet(folder).count() == 200
 
