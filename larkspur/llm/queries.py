@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import quality_classifier, quality_rules
+from larkspur.llm import pii, quality_classifier, quality_rules, url_reputation
 from larkspur.llm.registry import QUERIES, SQL, query
 from larkspur.session import table
 
@@ -26,6 +26,109 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def joined_spans(spans: Column) -> Column:
+    """kind:start:end of each span, joined by commas."""
+    kinds = F.array(*[F.lit(k) for k in pii.KINDS])
+    one = F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["begin"], s["end"]))
+    return F.array_join(one, ",")
+
+
+@query("op3_pii_deobfuscation")
+def op3_pii_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and digest of what is in plain sight, and all spans."""
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    base, added = F.col("found.base"), F.col("found.added")
+    key = lambda s: F.struct(s["begin"].alias("begin"), s["kind"].alias("kind"), s["end"].alias("end"))
+    counts = [
+        F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(joined_spans(F.array_sort(F.transform(base, key))).cast("binary"), 256).alias("base_sha256"),
+        joined_spans(pii.all_spans(F.col("found"))).alias("spans"), F.size(added).cast("bigint").alias("n_added"),
+    )
+
+
+URL_RULES = [
+    url_reputation.Rule("allow", "com"),
+    url_reputation.Rule("block", "example.com", "/en/"),
+    url_reputation.Rule("allow", "www.example.com", "/en/"),
+    url_reputation.Rule("block", "net", "/es/"),
+    url_reputation.Rule("block", "net", "/fr/"),
+]
+
+_PRIOR_SQL = """
+  {level}_k as (
+    select coalesce(1 / greatest(least(extra / nullif(scale, 0), 1 / 2.0), 1 / 1001.0) - 1, 1000.0) as k
+    from (select sum(n * (good / n - prior) * (good / n - prior) - prior * (1 - prior)) as extra,
+                 sum((n - 1) * prior * (1 - prior)) as scale
+          from {level}_n where n > 0)),
+"""
+
+OP8_SQL = """
+with parts as (
+  select page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path
+  from pages),
+  named as (
+    select host, regexp_replace(host, '^.*@|:[0-9]*$|[.]$', '', 'g') as name from (select distinct host from parts)),
+  domains as (
+    select host, case
+      when regexp_matches(name, '^[0-9.]+$') then name
+      when regexp_matches(name, '[^.]+[.](ac|co|com|edu|gov|net|org)[.][a-z]{2}$')
+        then regexp_extract(name, '([^.]+[.](?:ac|co|com|edu|gov|net|org)[.][a-z]{2})$', 1)
+      else regexp_extract(name, '([^.]*[.])?[^.]*$') end as domain
+    from named),
+  hosts as (
+    select host, domain, case
+      when regexp_matches(domain, '^[0-9.]+$') or not regexp_matches(domain, '^[^.]+[.].') then domain
+      else regexp_extract(domain, '^[^.]+[.](.+)$', 1) end as suffix
+    from domains),
+  counted as (
+    select h.host, h.domain, h.suffix, cast(count(l.quality) as double) as n,
+           cast(count(case when l.quality > 0 then 1 end) as double) as good
+    from hosts h join parts p on p.host = h.host
+    left join labels l on l.doc_id = p.page_id
+    group by all),
+  overall as (select (coalesce(sum(good), 0) + 1) / (coalesce(sum(n), 0) + 2) as prior from counted),
+  suffix_n as (
+    select suffix, sum(n) as n, sum(good) as good, any_value(prior) as prior from counted cross join overall group by suffix),
+""" + _PRIOR_SQL.format(level="suffix") + """
+  suffix_rate as (select suffix, (good + k * prior) / (n + k) as rate from suffix_n cross join suffix_k),
+  domain_n as (
+    select suffix, domain, sum(n) as n, sum(good) as good, any_value(rate) as prior
+    from counted join suffix_rate using (suffix) group by suffix, domain),
+""" + _PRIOR_SQL.format(level="domain") + """
+  domain_rate as (select domain, (good + k * prior) / (n + k) as rate from domain_n cross join domain_k),
+  host_n as (select host, n, good, rate as prior from counted join domain_rate using (domain)),
+""" + _PRIOR_SQL.format(level="host") + """
+  posterior as (select host, n, k, (good + k * prior) / (n + k) as mean from host_n cross join host_k),
+  judged as (
+    select host, case when mean + 1.645 * sqrt(mean * (1 - mean) / (n + k + 1)) < 0.5 then 'block' else 'allow' end as verdict
+    from posterior),
+  rules(rule, host, path, verdict) as (values
+    ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+    ('www.example.com/en/', 'www.example.com', '/en/', 'allow'),
+    ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')),
+  hits as (
+    select host, path, arg_max(rule, length(rule)) as rule, arg_max(verdict, length(rule)) as verdict
+    from (select u.host, u.path, r.rule, r.verdict from (select distinct host, path from parts) u, rules r
+          where (u.host = r.host or ends_with(u.host, '.' || r.host)) and starts_with(u.path, r.path))
+    group by all)
+select p.page_id, p.host, p.path, h.rule, coalesce(h.verdict, j.verdict) as verdict
+from parts p join judged j on j.host = p.host left join hits h on h.host = p.host and h.path = p.path
+"""
+
+
+@query("op8_url_reputation", OP8_SQL)
+def op8_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict for every page's url; outcomes are the quality labels with the page's id."""
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    judged = url_reputation.judge_urls(pages, labels, URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 @query("op10_compression_bands")
 def op10_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word, line and compression measures of every document, and whether it is kept."""
