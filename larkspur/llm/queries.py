@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import pii, quality_classifier, quality_rules, url_reputation
+from larkspur.llm import packing, pii, quality_classifier, quality_rules, url_reputation
 from larkspur.llm.registry import QUERIES, SQL, query
 from larkspur.session import table
 
@@ -26,6 +26,13 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def tokenizer_path() -> str:
+    """The public byte-level vocabulary, on each machine where the package of vocabularies lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def joined_spans(spans: Column) -> Column:
     """kind:start:end of each span, joined by commas."""
     kinds = F.array(*[F.lit(k) for k in pii.KINDS])
@@ -48,6 +55,12 @@ def op3_pii_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_best_fit_packing")
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2,048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
+
+
 URL_RULES = [
     url_reputation.Rule("allow", "com"),
     url_reputation.Rule("block", "example.com", "/en/"),
