@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import packing, pii, quality_classifier, quality_rules, url_reputation
+from larkspur.llm import packing, pii, quality_classifier, quality_rules, topk, url_reputation
 from larkspur.llm.registry import QUERIES, SQL, query
 from larkspur.session import table
 
@@ -61,6 +61,29 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
 
 
+OP6_SQL = """
+with whole as (
+  select vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where embedding is not null and list_count(embedding) = len(embedding)
+    and list_count(list_filter(embedding, x -> isfinite(x))) = len(embedding)),
+scored as (
+  select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) as bigint) as score
+  from whole q join whole c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+  where q.vec_id % 50 = 0),
+ranked as (
+  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+  from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+
+@query("op6_dual_tree_top_k", OP6_SQL)
+def op6_dual_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors for every fiftieth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 URL_RULES = [
     url_reputation.Rule("allow", "com"),
     url_reputation.Rule("block", "example.com", "/en/"),
