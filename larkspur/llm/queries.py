@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import packing, pii, quality_classifier, quality_rules, topk, url_reputation
+from larkspur.llm import mixing, packing, pii, quality_classifier, quality_rules, token_rollups, topk, url_reputation
 from larkspur.llm.registry import QUERIES, SQL, query
 from larkspur.session import table
 
@@ -61,14 +61,29 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
 
 
+@query("op5_source_mixing")
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The probability of every document after raking to flatter shares, and whether it is sampled."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), mix_dimensions(), MIX_EXPONENTS)
+    return mixed.select("row.doc_id", "source", "lang", "topic", "tokens", "probability", "kept")
+
+
+def mix_dimensions() -> dict[str, Column]:
+    return {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic_of(F.col("text"))}
+
+
+#: Targets: sources, languages and topics nearer to equal shares than they are.
+MIX_EXPONENTS = {"source": 0.8, "lang": 0.9, "topic": 0.9}
+
+
 OP6_SQL = """
 with whole as (
-  select vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as v
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
   from embeddings
   where embedding is not null and list_count(embedding) = len(embedding)
-    and list_count(list_filter(embedding, x -> isfinite(x))) = len(embedding)),
+    and list_count(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
 scored as (
-  select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2])) as bigint) as score
+  select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
   from whole q join whole c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
   where q.vec_id % 50 = 0),
 ranked as (
@@ -84,6 +99,45 @@ def op6_dual_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+LONE_BAR = r"(?<![^\x20\x09-\x0D])\|(?![^\x20\x09-\x0D])"
+WORD_OR_SIGN = r"[A-Za-z0-9]+|[^A-Za-z0-9\x20\x09-\x0D]"
+
+OP7_SQL = r"""
+with counted as (
+  select source, lang, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words,
+         len(regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9]+|[^A-Za-z0-9\x20\x09-\x0D]')) as signs
+  from documents),
+kept as (
+  select source, lang, len(words) as n, len(list_filter(words, lambda w: w = '|')) as bars, signs from counted where len(words) >= 5)
+select source, lang, 'words-1' as version, count(*) as documents, cast(sum(n - bars) as bigint) as tokens from kept group by source, lang
+union all
+select source, lang, 'signs-1', count(*), cast(sum(signs) as bigint) from kept group by source, lang
+"""
+
+
+@query("op7_token_rollups", OP7_SQL)
+def op7_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals after a load, a batch of deletes, revisions and a second tokenizer, and both batches sent again.
+
+    The second batch takes out documents of fewer than five words, counts the others anew without lone bars, and
+    counts their words and signs under another version.
+    """
+    text = F.coalesce("text", F.lit(""))
+    words, bars = mixing.count_words(text), F.regexp_count(text, F.lit(LONE_BAR))
+    docs = table(spark, sf_dir, "documents").select("source", "lang", "text")
+    small, large = docs.where(words < 5), docs.where(words >= 5)
+    first = token_rollups.inserted(docs, "words-1", words)
+    second = (
+        token_rollups.deleted(small, "words-1", words)
+        .unionByName(token_rollups.revised(large.where(F.contains(text, F.lit("|"))), "words-1", words, words - bars))
+        .unionByName(token_rollups.inserted(large, "signs-1", F.regexp_count(text, F.lit(WORD_OR_SIGN))))
+    )
+    store = token_rollups.create_store(spark)
+    for batch, changes in (("load", first), ("revise", second), ("load", first), ("revise", second)):
+        token_rollups.commit(spark, store, batch, changes)
+    return token_rollups.totals(spark, store)
+
+
 URL_RULES = [
     url_reputation.Rule("allow", "com"),
     url_reputation.Rule("block", "example.com", "/en/"),
