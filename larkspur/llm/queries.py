@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import mixing, packing, pii, quality_classifier, quality_rules, token_rollups, topk, url_reputation
+from larkspur.llm import mixing, ngram_join, packing, pii, quality_classifier, quality_rules, token_rollups, topk, url_reputation
 from larkspur.llm.registry import QUERIES, SQL, query
 from larkspur.session import table
 
@@ -219,6 +219,12 @@ def op8_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op9_ngram_jaccard_join")
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size and component of every document under links of 3-word n-grams with a similarity of 0.9 or more."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), ngram_join.Threshold(3, 90))
+
+
 @query("op10_compression_bands")
 def op10_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word, line and compression measures of every document, and whether it is kept."""
