@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import mixing, ngram_join, packing, pii, quality_classifier, quality_rules, token_rollups, topk, url_reputation
+from larkspur.llm import mixing, ngram_join, packing, pii, quality_classifier, quality_rules, suffix_tree, token_rollups, topk, url_reputation
 from larkspur.llm.registry import QUERIES, SQL, query
 from larkspur.session import table
 
@@ -17,6 +17,12 @@ def fold(column: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % folds
 
 
+@query("op1_suffix_tree_scores")
+def op1_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a suffix tree learnt from the rows that are not held out."""
+    return suffix_tree.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) != 2)
+
+
 @query("op2_quality_classifier")
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learnt from the labels of the rows that are not held out."""
