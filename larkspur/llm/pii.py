@@ -29,7 +29,7 @@ Span = tuple[int, int, int]  # begin, end, index of the kind
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_DIGIT_CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+_DIGIT_CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
@@ -55,7 +55,7 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _addresses(text: str) -> Iterator[tuple[int, int]]:
-    for chain in _DIGIT_CHAIN.finditer(text):
+    for chain in _DIGIT_CHAIN.finditer(text) if "." in text else ():
         parts = chain.group().split(".")
         at = chain.start()
         for i in range(0, len(parts) - 3, 4):
