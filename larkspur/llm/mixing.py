@@ -145,6 +145,7 @@ def mix(
         chance(F.col(id_column), F.col(text), seed=settings.seed).alias("_chance"),
     )
     match = reduce(lambda a, b: a & b, (F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names))
+    likely = F.when(F.col("tokens") > 0, F.col("probability")).otherwise(0.0)
     return rows.join(calibrated, match).select(
-        "row", *names, "tokens", "probability", (F.col("_chance") < F.col("probability")).alias("kept")
+        "row", *names, "tokens", likely.alias("probability"), (F.col("_chance") < likely).alias("kept")
     )

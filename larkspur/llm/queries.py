@@ -154,7 +154,7 @@ URL_RULES = [
 
 _PRIOR_SQL = """
   {level}_k as (
-    select coalesce(1 / greatest(least(extra / nullif(scale, 0), 1 / 2.0), 1 / 1001.0) - 1, 1000.0) as k
+    select coalesce(1 / greatest(least(extra / nullif(scale, 0), 1 / 2.0), 1 / 21.0) - 1, 20.0) as k
     from (select sum(n * (good / n - prior) * (good / n - prior) - prior * (1 - prior)) as extra,
                  sum((n - 1) * prior * (1 - prior)) as scale
           from {level}_n where n > 0)),
@@ -168,7 +168,7 @@ with parts as (
     coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path
   from pages),
   named as (
-    select host, regexp_replace(host, '^.*@|:[0-9]*$|[.]$', '', 'g') as name from (select distinct host from parts)),
+    select host, regexp_replace(host, '^.*@|[.]?:[0-9]*$|[.]$', '', 'g') as name from (select distinct host from parts)),
   domains as (
     select host, case
       when regexp_matches(name, '^[0-9.]+$') then name

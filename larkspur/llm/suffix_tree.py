@@ -190,7 +190,7 @@ def grow(words: np.ndarray, word_counts: np.ndarray, runs: list[tuple[np.ndarray
         entries = np.bincount(context, minlength=n)
         rest = (counts[-1] - listed + d * entries) / counts[-1]
         own = (count - d) / counts[-1][context] + rest[context] * p[-1][shorter]
-        gain = np.bincount(context, weights=count * np.log(own / p[-1][shorter]), minlength=n)
+        gain = np.bincount(context, weights=count * np.log(own / p[-1][shorter]), minlength=n).astype(float)
         gain += (counts[-1] - listed) * np.log(np.maximum(rest, 1e-300))
         states.append((entries > 0) & (gain >= cfg.entry_cost * entries) & (gain >= cfg.min_divergence * counts[-1]))
         backoff.append(np.log10(np.maximum(rest, 1e-300)))

@@ -40,12 +40,12 @@ class Rule(NamedTuple):
 
 
 class Bound(NamedTuple):
-    """Block where mean + ``z`` deviations of the posterior is under ``least_good``; limits of a prior's strength."""
+    """Block where mean + ``z`` deviations of the posterior is under ``least_good``; a prior counts for so many pages."""
 
     least_good: float = 0.5
     z: float = 1.645
     weakest: float = 1.0
-    strongest: float = 1000.0
+    strongest: float = 20.0
 
 
 def url_host(url: Column) -> Column:
@@ -60,7 +60,7 @@ def url_path(url: Column) -> Column:
 
 def registered_domain(host: Column) -> Column:
     """The last two labels, or three under a registry's second level; an address of digits is its own domain."""
-    name = F.regexp_replace(host, r"^.*@|:[0-9]*$|\.$", "")
+    name = F.regexp_replace(host, r"^.*@|\.?:[0-9]*$|\.$", "")
     third = r"([^.]+\.(?:" + "|".join(SECOND_LEVEL) + r")\.[a-z]{2})$"
     longer = F.regexp_extract(name, third, 1)
     shorter = F.substring_index(name, ".", -2)
