@@ -66,10 +66,12 @@ def python_type(value: str) -> Column:
     """Python-style type name of a variant column."""
     kind = F.expr(f"schema_of_variant({value})")
     names = {"STRING": "str", "BIGINT": "int", "BOOLEAN": "bool"}
+    whole = kind.rlike(r"^DECIMAL\(\d+,\s*0\)$")
     out = F.when(kind.isNull() | (kind == "VOID"), "NoneType")
     out = out.when(kind.startswith("OBJECT"), "dict").when(kind.startswith("ARRAY"), "list")
     for spark_name, name in names.items():
         out = out.when(kind == spark_name, name)
+    out = out.when(whole, "int")
     return out.otherwise("float")
 
 
@@ -87,19 +89,23 @@ def type_profile(df: DataFrame, json: str, label: str, max_depth: int = 12) -> D
 
     Every document is unfolded level by level inside its own row, so the table is read
     once and only (label, path, type) counts are shuffled. Elements of a list carry the
-    path of the list. Documents nested deeper than ``max_depth`` raise an error, since
-    stopping there would lose paths.
+    path of the list. A document that is no JSON counts as type ``unreadable`` at the empty
+    path. Documents nested deeper than ``max_depth`` raise an error, since stopping there
+    would lose paths.
     """
-    nodes = df.select(F.col(label).alias("label"), F.try_parse_json(F.col(json)).alias("v")).selectExpr(
-        "label", "array(named_struct('path', '', 'named', false, 'v', v)) as l0"
+    text = F.col(json)
+    nodes = df.select(F.col(label).alias("label"), F.try_parse_json(text).alias("v"), text.isNotNull().alias("given")).selectExpr(
+        "label", "given and v is null as unreadable", "array(named_struct('path', '', 'named', false, 'v', v)) as l0"
     )
     for depth in range(max_depth):
         nodes = nodes.selectExpr("*", _CHILDREN.format(level=f"l{depth}") + f" as l{depth + 1}")
     levels = ", ".join(f"l{depth + 1}" for depth in range(max_depth))
     unfolded = f"if(size(l{max_depth}) > 0, raise_error('documents are nested deeper than {max_depth} levels'), concat({levels}))"
-    found = nodes.selectExpr("label", f"explode({unfolded}) as n").where("n.named")
-    typed = found.select("label", F.col("n.path").alias("path"), F.col("n.v").alias("v"))
-    return typed.groupBy("label", "path", python_type("v").alias("type")).agg(F.count("*").alias("n"))
+    nothing = "array(named_struct('path', '', 'named', true, 'v', cast(null as variant)))"
+    found = nodes.selectExpr("label", "unreadable", f"explode(if(unreadable, {nothing}, {unfolded})) as n").where("n.named")
+    typed = found.select("label", "unreadable", F.col("n.path").alias("path"), F.col("n.v").alias("v"))
+    kind = F.when(F.col("unreadable"), "unreadable").otherwise(python_type("v"))
+    return typed.groupBy("label", "path", kind.alias("type")).agg(F.count("*").alias("n"))
 
 
 def path_types(profile: DataFrame, by: Iterable[str] = ()) -> DataFrame:
@@ -151,7 +157,7 @@ def schema_from_paths(types: dict[str, set[str]]) -> T.StructType:
 def target_schema(profile: DataFrame, max_paths: int = 10_000) -> T.StructType:
     """Schema for the documents behind a type profile. Only the path list reaches the driver;
     documents with more distinct paths than a table can have columns are refused."""
-    rows = path_types(profile).limit(max_paths + 1).collect()
+    rows = path_types(profile.where("type != 'unreadable'")).limit(max_paths + 1).collect()
     if len(rows) > max_paths:
         raise ValueError(f"more than {max_paths} paths: keys are data here, use a map")
     return schema_from_paths({r["path"]: set(r["types"].split(",")) for r in rows})

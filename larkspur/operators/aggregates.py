@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.operators.ordered import exact_percentiles
+from larkspur.operators.ordered import percentiles_of, prefix_counts
 from larkspur.session import cut_lineage
 
 
@@ -71,20 +71,23 @@ def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> Dat
 
 
 def box_plot(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Quartiles and whiskers per group; whiskers end at the last value within 1.5 box heights."""
+    """Quartiles and whiskers per group; whiskers end at the last value within 1.5 box heights.
+
+    The rows are read once: both steps work on the counted distinct values.
+    """
     by = list(by)
-    box = exact_percentiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
-    # one row per group, used on both sides of the join below
-    box = cut_lineage(df.sparkSession, box, "box")
+    places = cut_lineage(df.sparkSession, prefix_counts(df.where(F.col(value).isNotNull() & ~F.isnan(value)), by, value), "places")
+    box = percentiles_of(places, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
+    box = box.select(*[F.col(b).alias(f"_{b}") for b in by], "q1", "median", "q3")
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
-    ends = (
-        df.join(box, by)
+    on = reduce(lambda a, b: a & b, (F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by))
+    return (
+        places.join(box, on)
         .where(inside)
-        .groupBy(*by)
+        .groupBy(*by, "q1", "median", "q3")
         .agg(F.min(value).alias("whisker_low"), F.max(value).alias("whisker_high"))
     )
-    return box.join(ends, by)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -117,27 +120,31 @@ def lists_per_key(df: DataFrame, key: str, value: str, chunk: int = 1000) -> Dat
 
 
 def above_group_mean(df: DataFrame, by: str, value: str, name: str = "above_mean") -> DataFrame:
-    """Every row, and whether its value lies above the mean of its group."""
-    mean = df.groupBy(F.col(by).alias("_g")).agg(
-        (F.sum(F.col(value).cast("decimal(28,4)")) / F.count(value)).alias("_mean")
-    )
+    """Every row, and whether its value lies above the mean of its group, compared in the value's own type."""
+    mean = df.groupBy(F.col(by).alias("_g")).agg(F.avg(value).alias("_mean"))
     return (
         df.join(mean, F.col(by).eqNullSafe(F.col("_g")))
-        .withColumn(name, F.col(value).cast("decimal(28,4)") > F.col("_mean"))
+        .withColumn(name, F.col(value) > F.col("_mean"))
         .drop("_g", "_mean")
     )
 
 
 def second_extremes(df: DataFrame, by: str, value: str) -> DataFrame:
-    """Second smallest and second largest distinct value of each group that has two."""
-    distinct = df.where(F.col(value).isNotNull()).select(by, value).distinct()
+    """Second smallest and second largest distinct value of each group that has two.
 
-    def second(order: Column, name: str) -> DataFrame:
-        ranked = distinct.withColumn("_r", F.row_number().over(Window.partitionBy(by).orderBy(order)))
-        return ranked.where("_r = 2").select(by, F.col(value).alias(name))
-
-    low, high = second(F.asc(value), "second_min"), second(F.desc(value), "second_max")
-    return low.join(high, by)
+    One sum of distinct values, then one of their two ends; no group is sorted or gathered.
+    """
+    distinct = df.where(F.col(value).isNotNull()).select(by, value).distinct()
+    ends = distinct.groupBy(F.col(by).alias("_g")).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    inner = distinct.join(ends, F.col(by).eqNullSafe(F.col("_g")))
+    return (
+        inner.groupBy(by)
+        .agg(
+            F.min(F.when(F.col(value) > F.col("_lo"), F.col(value))).alias("second_min"),
+            F.max(F.when(F.col(value) < F.col("_hi"), F.col(value))).alias("second_max"),
+        )
+        .where("second_min is not null")
+    )
 
 
 def field_stats(df: DataFrame, column: str) -> DataFrame:

@@ -21,9 +21,11 @@ def overlap_counts(intervals: DataFrame, low: str, high: str, points: DataFrame,
     Both columns are whole numbers (use ``unix_date`` for days). Intervals that contain
     p are those that start at or before p, less those that end before p, so starts and
     ends are counted per value and summed along the axis. No pairs are formed, and long
-    intervals cost no more than short ones.
+    intervals cost no more than short ones. An interval without one of its ends, or whose
+    end lies before its start, contains nothing.
     """
     start, ask, end = 0, 1, 2
+    intervals = intervals.where(F.col(low) <= F.col(high))
 
     def marks(df: DataFrame, column: str, kind: int, change: Column) -> DataFrame:
         place = F.col(column).cast("bigint") * 3 + kind

@@ -24,16 +24,24 @@ def create_if_absent(spark: SparkSession, name: str, schema: str | T.StructType)
 
 
 def replace_table(df: DataFrame, name: str) -> DataFrame:
-    """Write the rows to a new folder, then point the table at them.
+    """Write the rows to a new folder, then point the table at them in one step.
 
     The rows may come from the table itself: its old files stay until the new ones are
-    complete, and a failed write leaves the table as it was.
+    complete, and a failed write leaves the table as it was. Only a change of its columns
+    takes a new table.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.parquet(path)
-    spark.sql(f"drop table if exists {name}")
-    spark.catalog.createTable(name, path=path, source="parquet")
+    kept = spark.catalog.tableExists(name)
+    if kept and spark.table(name).schema != spark.read.parquet(path).schema:
+        spark.sql(f"drop table {name}")
+        kept = False
+    if kept:
+        spark.sql(f"alter table {name} set location '{path}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(name, path=path, source="parquet")
     return spark.table(name)
 
 
@@ -109,8 +117,12 @@ def delete_cascade(
     return left
 
 
-def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The target with matching rows replaced by the changes and the others added."""
+def upsert(target: DataFrame, changes: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
+    """The target with matching rows replaced by the changes and the others added.
+
+    Of several changes for one key the first by the given order counts, or by their other columns.
+    """
+    changes = one_per_key(changes, keys, *order)
     kept = target.join(changes.select(*keys), _same(target, changes, keys), "left_anti")
     return kept.unionByName(changes)
 

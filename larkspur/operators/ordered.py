@@ -2,99 +2,45 @@
 
 A window sorts each of its partitions in one task, so a ranking window over raw
 rows is as slow as its largest group. Here rows first collapse to one row per
-distinct (group, value), with a count. A group is then cut into value ranges, each
-range is summed on its own, and the ranges are joined up by their totals. Hot
-values are one row each; hot groups spread over as many tasks as there are ranges.
+distinct (group, value), with a count. These are range-partitioned on group and value and
+written, each partition is summed on its own, and the partitions are joined up by their
+totals. Hot values are one row each; hot groups spread over many partitions. There is one
+path for every size: a small frame is one range.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.session import cut_lineage
 
-ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 1024
-
-
-def split_points(values: DataFrame, column: str, ranges: int) -> list[float]:
-    """Boundaries that cut a numeric column into about ``ranges`` equal parts.
-
-    One row of at most 1,023 numbers reaches the driver, whatever the input size.
-    """
-    ranges = min(ranges, MAX_RANGES)
-    steps = [i / ranges for i in range(1, ranges)]
-    points = values.agg(F.percentile_approx(F.col(column).cast("double"), steps).alias("p")).first()["p"]
-    return sorted(set(points or []))
-
-
-def range_number(value: Column, points: Sequence[float]) -> Column:
-    """How many split points lie below ``value``: a binary search on a constant array."""
-    if not points:
-        return F.lit(0)
-    steps = [1 << i for i in range(len(points).bit_length() - 1, -1, -1)]
-    array = F.lit([float(p) for p in points])
-
-    def advance(position: Column, step: Column) -> Column:
-        there = position + step
-        return F.when(
-            (there <= len(points)) & (F.try_element_at(array, there) < value), there
-        ).otherwise(position)
-
-    return F.aggregate(F.lit(steps), F.lit(0), advance)
-
 
 def running_sums(
-    df: DataFrame,
-    by: Sequence[str],
-    order: str,
-    amounts: Sequence[str],
-    rows_per_range: int | None = None,
+    df: DataFrame, by: Sequence[str], order: str | Column, amounts: Sequence[str], ranges: int | None = None
 ) -> DataFrame:
     """Sums over the earlier rows of each group, and over the whole group.
 
-    The frame has one row per (by, order), and ``order`` is numeric. For every amount
-    column ``x`` the columns ``x_before`` and ``x_total`` are added. The frame is written
-    once, so what lies before it runs once. Up to ``rows_per_range`` rows a window over
-    the groups will do. Beyond that, rows are summed within value ranges and the range
-    totals along each group, so no task holds more than one range.
+    The frame has one row per (by, order), and ``order`` is of any type that sorts, or an
+    expression with a direction. For every amount column ``x`` the columns ``x_before`` and
+    ``x_total`` are added. The frame is written once, cut by group and order into ``ranges``
+    (default: the session's shuffle partitions, small ones merged): no task holds more than one.
     """
-    df, rows = _written(df)
-    return _running_sums(df, rows, list(by), order, list(amounts), rows_per_range or ROWS_PER_RANGE)
-
-
-def _written(df: DataFrame) -> tuple[DataFrame, int]:
-    """The frame, read back from files, and its number of rows, read from their footers."""
-    df = cut_lineage(df.sparkSession, df, "ordered")
-    return df, df.count()
-
-
-def _running_sums(
-    df: DataFrame, rows: int, by: list[str], order: str, amounts: list[str], rows_per_range: int
-) -> DataFrame:
-    def up_to_here(window):
-        return window.rowsBetween(Window.unboundedPreceding, -1)
+    by, amounts = list(by), list(amounts)
+    order = F.col(order).asc() if isinstance(order, str) else order
+    cut = [ranges] if ranges else []
+    ranged = df.repartitionByRange(*cut, *by, order).withColumn("_range", F.spark_partition_id())
+    ranged = cut_lineage(df.sparkSession, ranged, "ordered")
 
     def or_zero(column: Column) -> Column:
         return F.coalesce(column, F.lit(0))
 
-    if rows <= rows_per_range:
-        group = Window.partitionBy(*by)
-        earlier = up_to_here(group.orderBy(order))
-        return df.select(
-            *df.columns,
-            *[or_zero(F.sum(x).over(earlier)).alias(f"{x}_before") for x in amounts],
-            *[F.sum(x).over(group).alias(f"{x}_total") for x in amounts],
-        )
-
-    points = split_points(df, order, rows // rows_per_range + 1)
-    ranged = df.withColumn("_range", range_number(F.col(order).cast("double"), points))
     keys = [f"_{k}" for k in by]
     whole = Window.partitionBy(*keys)
-    earlier = up_to_here(whole.orderBy("_r"))
+    earlier = whole.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
         ranged.groupBy(*[F.col(k).alias(f"_{k}") for k in by], F.col("_range").alias("_r"))
         .agg(*[F.sum(x).alias(f"_{x}") for x in amounts])
@@ -105,33 +51,30 @@ def _running_sums(
             *[F.sum(f"_{x}").over(whole).alias(f"{x}_total") for x in amounts],
         )
     )
-    inside = up_to_here(Window.partitionBy(*by, "_range").orderBy(order))
+    inside = Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     placed = ranged.withColumns({f"_{x}_inside": or_zero(F.sum(x).over(inside)) for x in amounts})
-    on = F.col("_range") == F.col("_r")
-    for k in by:
-        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return placed.join(totals, on).select(
+    return placed.join(totals, _same(by) & (F.col("_range") == F.col("_r"))).select(
         *df.columns,
         *[(F.col(f"_{x}_offset") + F.col(f"_{x}_inside")).alias(f"{x}_before") for x in amounts],
         *[f"{x}_total" for x in amounts],
     )
 
 
+def _same(by: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by), F.lit(True))
+
+
 def prefix_counts(
-    df: DataFrame, by: Sequence[str], value: str, rows_per_range: int | None = None
+    df: DataFrame, by: Sequence[str], value: str, ranges: int | None = None, order: Column | None = None
 ) -> DataFrame:
     """One row per distinct (by, value) with its place in the group.
 
-    Columns added: ``rows`` with this value, ``rows_before`` with a smaller value,
-    ``values_before`` distinct smaller values, and the group's totals ``rows_total``
-    and ``values_total``. ``value`` is numeric; rows without a value are left out.
+    Columns added: ``rows`` with this value, ``rows_before`` with an earlier value,
+    ``values_before`` distinct earlier values, and the group's totals ``rows_total``
+    and ``values_total``. A missing value is a value; by default it comes first.
     """
-    return running_sums(_value_counts(df, by, value), by, value, ["rows", "values"], rows_per_range)
-
-
-def _value_counts(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("rows"))
-    return counted.withColumn("values", F.lit(1).cast("bigint"))
+    counted = df.groupBy(*by, value).agg(F.count("*").alias("rows")).withColumn("values", F.lit(1).cast("bigint"))
+    return running_sums(counted, by, value if order is None else order, ["rows", "values"], ranges)
 
 
 def with_rank(
@@ -141,24 +84,23 @@ def with_rank(
     name: str = "rank",
     dense: bool = False,
     descending: bool = True,
-    rows_per_range: int | None = None,
+    ranges: int | None = None,
+    nulls_last: bool = True,
 ) -> DataFrame:
-    """Every row with its rank (or dense rank) by a numeric value within its group."""
+    """Every row with its rank (or dense rank) by a value of any type that sorts, within its group.
+
+    Rows without a value share the last rank, or the first with ``nulls_last`` false.
+    """
     by = list(by)
-    places = prefix_counts(df, by, value, rows_per_range)
-    if descending and dense:
-        rank = F.col("values_total") - F.col("values_before")
-    elif descending:
-        rank = F.col("rows_total") - F.col("rows_before") - F.col("rows") + 1
-    elif dense:
-        rank = F.col("values_before") + 1
-    else:
-        rank = F.col("rows_before") + 1
-    lookup = places.select(*[F.col(k).alias(f"_{k}") for k in by], F.col(value).alias("_v"), rank.alias(name))
-    on = F.col(value) == F.col("_v")
-    for k in by:
-        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return df.join(lookup, on).drop("_v", *[f"_{k}" for k in by])
+    v = F.col(value)
+    order = {
+        (True, True): v.desc_nulls_last(), (True, False): v.desc_nulls_first(),
+        (False, True): v.asc_nulls_last(), (False, False): v.asc_nulls_first(),
+    }[descending, nulls_last]
+    places = prefix_counts(df, by, value, ranges, order)
+    rank = F.col("values_before" if dense else "rows_before") + 1
+    lookup = places.select(*[F.col(k).alias(f"_{k}") for k in by], v.alias("_v"), rank.alias(name))
+    return df.join(lookup, v.eqNullSafe(F.col("_v")) & _same(by)).drop("_v", *[f"_{k}" for k in by])
 
 
 def dense_top_k(
@@ -166,23 +108,25 @@ def dense_top_k(
 ) -> DataFrame:
     """Rows whose value is among the ``k`` highest distinct values of their group, ties kept.
 
-    Only distinct values are ranked, and each task passes on at most ``k`` of them
-    per group; the tied rows themselves are found again by a join on the value.
+    For aggregates, whose top values have few rows: each task passes on its rows of the ``k``
+    highest values per group only, and the input is read once.
+    """
+    order = Window.partitionBy(*by).orderBy(F.col(value).desc())
+    return df.where(F.col(value).isNotNull()).withColumn(name, F.dense_rank().over(order)).where(F.col(name) <= k)
+
+
+def dense_top_rows(
+    df: DataFrame, value: str, k: int, by: Sequence[str] = (), name: str = "rank"
+) -> DataFrame:
+    """The same for raw rows, where a top value may have a large share of them.
+
+    Only distinct values are ranked; the tied rows themselves are found again by a join on
+    the value. The input is used twice, so it is a table or has been written.
     """
     by = list(by)
-    order = Window.partitionBy(*[f"_{b}" for b in by]).orderBy(F.desc("_v"))
-    top = (
-        df.where(F.col(value).isNotNull())
-        .select(*[F.col(b).alias(f"_{b}") for b in by], F.col(value).alias("_v"))
-        .distinct()
-    )
-    if not by:
-        top = top.orderBy(F.desc("_v")).limit(k)
-    top = top.withColumn(name, F.dense_rank().over(order)).where(F.col(name) <= k)
-    on = F.col(value) == F.col("_v")
-    for b in by:
-        on = on & F.col(b).eqNullSafe(F.col(f"_{b}"))
-    return df.join(top, on).drop("_v", *[f"_{b}" for b in by])
+    values = df.select(*[F.col(b).alias(f"_{b}") for b in by], F.col(value).alias("_v")).distinct()
+    top = dense_top_k(values, "_v", k, [f"_{b}" for b in by], name)
+    return df.join(top, (F.col(value) == F.col("_v")) & _same(by)).drop("_v", *[f"_{b}" for b in by])
 
 
 def exact_percentiles(
@@ -190,37 +134,32 @@ def exact_percentiles(
     value: str,
     quantiles: dict[str, float],
     by: Sequence[str] = (),
-    rows_per_range: int | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Exact, linearly interpolated percentiles per group; NULL and NaN values are skipped.
 
-    Distinct values are counted first. While they are few, the built-in weighted percentile
-    takes them; it holds all values of a group in one task. Beyond ``rows_per_range`` the
-    two rows on either side of each position are picked out of the running counts instead,
-    and no group is ever gathered.
+    Distinct values are counted and summed along each group; the two rows on either side of each
+    position are picked out of the sums, so no group is ever gathered. Between an infinity and a
+    number lies that infinity, between the two infinities nothing: NaN.
     """
     by = list(by)
-    rows_per_range = rows_per_range or ROWS_PER_RANGE
     number = F.col(value).cast("double")
-    clean = df.select(*by, F.when(~F.isnan(number), number).alias("_x"))
-    counted, n = _written(_value_counts(clean, by, "_x"))
-    if n <= rows_per_range:
-        all_at_once = F.percentile("_x", [float(q) for q in quantiles.values()], F.col("rows"))
-        found = counted.groupBy(*by).agg(all_at_once.alias("_q"))
-        return found.select(*by, *[F.get("_q", i).alias(name) for i, name in enumerate(quantiles)])
-
-    places = _running_sums(counted, n, by, "_x", ["rows", "values"], rows_per_range)
+    clean = df.select(*by, F.when(~F.isnan(number), number).alias("_x")).where("_x is not null")
+    places = prefix_counts(clean, by, "_x", ranges)
+    return percentiles_of(places, "_x", quantiles, by)
+
+
+def percentiles_of(places: DataFrame, value: str, quantiles: dict[str, float], by: Sequence[str]) -> DataFrame:
+    """The percentiles from ``prefix_counts`` of the values."""
     picks = []
     for name, q in quantiles.items():
         position = (F.col("rows_total") - 1) * F.lit(float(q))
         for side, index in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             here = (F.col("rows_before") <= index) & (index < F.col("rows_before") + F.col("rows"))
-            picks.append(F.max(F.when(here, F.col("_x"))).alias(f"_{name}_{side}"))
+            picks.append(F.max(F.when(here, F.col(value))).alias(f"_{name}_{side}"))
     out = places.groupBy(*by).agg(F.max("rows_total").alias("_n"), *picks)
     for name, q in quantiles.items():
         position = (F.col("_n") - 1) * F.lit(float(q))
-        low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-        # equal neighbours are returned as they are, which also keeps infinities
-        between = low + (high - low) * (position - F.floor(position))
-        out = out.withColumn(name, F.when(low == high, low).otherwise(between))
+        low, high, f = F.col(f"_{name}_lo"), F.col(f"_{name}_hi"), position - F.floor(position)
+        out = out.withColumn(name, F.when((low == high) | (f == 0), low).otherwise((1 - f) * low + f * high))
     return out.select(*by, *quantiles)

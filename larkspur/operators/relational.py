@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larkspur.sources.literal import literal_rows
 
@@ -30,7 +31,8 @@ def sentinels_to_null(df: DataFrame, columns: Sequence[str], sentinels: Sequence
 
 
 def with_unknown_member(df: DataFrame, key: str, key_value, default: str = "XNA") -> DataFrame:
-    """The rows plus one row that stands for 'unknown': the key value, and a default text elsewhere."""
-    values = [key_value if f.name == key else default for f in df.schema.fields]
-    unknown = literal_rows(df.sparkSession, [values], df.schema)
+    """The rows plus one row that stands for 'unknown': the key value, a default in text columns, NULL in others."""
+    fields = [T.StructField(f.name, f.dataType) for f in df.schema.fields]
+    values = [key_value if f.name == key else default if isinstance(f.dataType, T.StringType) else None for f in fields]
+    unknown = literal_rows(df.sparkSession, [values], T.StructType(fields))
     return df.unionByName(unknown)

@@ -104,11 +104,12 @@ def sales_flat(fact: DataFrame, locations: DataFrame, products: DataFrame, days:
 
 
 def first_success(attempts: DataFrame, entity: str, methods: list[str]) -> DataFrame:
-    """Per entity the first attempt that gave a name: by method order, then by url.
+    """Per entity the first attempt that gave a name: by method order, then by url; unlisted methods come last.
 
     An entity without success gets one row that says so, with its first url.
     """
-    rank = F.array_position(F.lit(methods), F.col("method"))
+    place = F.array_position(F.lit(methods), F.col("method"))
+    rank = F.when(place > 0, place).otherwise(len(methods) + 1)
     good = attempts.where(F.col("name") != "fail").withColumn("_rank", rank)
     chosen = one_per_key(good, [entity], F.col("_rank"), F.col("url")).drop("_rank")
     lost = attempts.join(chosen.select(entity), entity, "left_anti").groupBy(entity).agg(F.min("url").alias("url"))

@@ -529,8 +529,22 @@ def a29(t: Tables):
        (select o_orderpriority as p, sum(cast(o_totalprice as decimal(28,4))) / count(*) as avg_price from orders group by 1) on p = o_orderpriority""",
 )
 def a32(t: Tables):
-    flagged = a.above_group_mean(t.orders, "o_orderpriority", "o_totalprice")
-    return flagged.select("o_orderkey", "above_mean")
+    prices = t.orders.withColumn("price", c("o_totalprice").cast("decimal(28,4)"))
+    return a.above_group_mean(prices, "o_orderpriority", "price").select("o_orderkey", "above_mean")
+
+
+@query(
+    "a32_fine_values",
+    """with v as (select o_orderkey, o_custkey % 5 as g, (o_orderkey % 8) / 1048576.0::double as tiny, (o_orderkey % 8) * 1e25::double as huge from orders),
+            m as (select g, avg(tiny) as mt, avg(huge) as mh from v group by g)
+       select o_orderkey, tiny > mt as tiny_above, huge > mh as huge_above from v join m using (g)""",
+)
+def a32_fine(t: Tables):
+    """Values far below one and far above any decimal type."""
+    step = (c("o_orderkey") % 8).cast("double")
+    values = t.orders.select("o_orderkey", (c("o_custkey") % 5).alias("g"), (step / 1048576.0).alias("tiny"), (step * F.lit(1e25)).alias("huge"))
+    flagged = a.above_group_mean(a.above_group_mean(values, "g", "tiny", "tiny_above"), "g", "huge", "huge_above")
+    return flagged.select("o_orderkey", "tiny_above", "huge_above")
 
 
 @query(

@@ -324,6 +324,21 @@ def j09(t: Tables):
     )
 
 
+@query(
+    "j09_open_and_inverted",
+    """with spans as (select case when o_orderkey % 7 <> 0 then o_custkey end as lo,
+                             case when o_orderkey % 5 <> 0 then o_custkey + o_orderkey % 40 - 10 end as hi from orders)
+       select c_custkey as place, (select count(*) from spans where lo <= c_custkey and c_custkey <= hi) as overlaps from customer""",
+)
+def j09_open(t: Tables):
+    """Intervals without a start or an end, and some that end before they start, hold nothing."""
+    key, order = c("o_custkey"), c("o_orderkey")
+    spans = t.orders.select(
+        F.when(order % 7 != 0, key).alias("lo"), F.when(order % 5 != 0, key + order % 40 - 10).alias("hi")
+    )
+    return j.overlap_counts(spans, "lo", "hi", t.customer.select(c("c_custkey").cast("bigint").alias("place")), "place")
+
+
 def event_ip():
     """An address per event, from its user and its number."""
     parts = [c("user_id") % 223 + 1, c("user_id") % 256, c("event_id") % 16, c("event_id") % 8]

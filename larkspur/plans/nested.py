@@ -207,6 +207,25 @@ def a31_combined(t: Tables):
     return nested.path_types(nested.type_profile(drift(t), "doc", "collection"))
 
 
+@query(
+    "a31_unreadable",
+    """select event_type as label, '' as path, 'unreadable' as type, count(*) as n from events where event_id % 3 = 0 group by 1
+       union all select event_type, 'id', 'int', count(*) from events where event_id % 3 > 0 group by 1
+       union all select event_type, 'size', 'float', count(*) from events where event_id % 3 = 2 group by 1""",
+)
+def a31_unreadable(t: Tables):
+    """Documents cut off in the middle, whole numbers beyond 64 bit, and missing documents."""
+    key = c("event_id").cast("string")
+    doc = (
+        F.when(c("event_id") % 3 == 0, F.concat(F.lit('{"id": '), key))
+        .when(c("event_id") % 3 == 1, F.concat(F.lit('{"id": 9999999999999999999999'), key, F.lit("}")))
+        .otherwise(F.concat(F.lit('{"id": '), key, F.lit(', "size": 0.5}')))
+    )
+    given = t.events.select("event_type", doc.alias("doc"))
+    missing = t.events.select("event_type", F.lit(None).cast("string").alias("doc"))
+    return nested.type_profile(given.unionByName(missing), "doc", "event_type")
+
+
 @query(
     "n07_schema_of_repaired",
     """select * from (values (0, 'cart_products', 'array<struct<amount:bigint,option:array<struct<option_label:string,value_label:string>>,product_id:bigint>>'),

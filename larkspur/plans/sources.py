@@ -196,6 +196,20 @@ def s15(t: Tables):
     return readers.read_files(t.spark, fmt, target, schema)
 
 
+@query(
+    "s15_missing_column",
+    "select p_partkey as product_id, cast(null as varchar) as url, cast(p_size as integer) as size, cast(null as double) as weight from part",
+)
+def s15_missing(t: Tables):
+    """The files lack two target columns and have others in another order."""
+    source, target = new_folder(t.spark, "raw"), new_folder(t.spark, "typed")
+    writers.write_csv(t.part.select(c("p_size").alias("size"), c("p_name").alias("name"), c("p_partkey").alias("product_id")), source)
+    schema = T.DataType.fromDDL("product_id bigint, url string, size int, weight double")
+    fmt = columnar_format(t.spark)
+    writers.convert_csv(t.spark, source, target, schema, fmt)
+    return readers.read_files(t.spark, fmt, target, schema)
+
+
 @query(
     "s16_folder_to_table_load",
     "select 'products' as folder, count(*) as rows from part union all select 'locations', count(*) from supplier",

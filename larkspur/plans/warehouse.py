@@ -341,7 +341,22 @@ def q10(t: Tables):
     target = m.replace_table(t.customer.select(key.alias("id"), c("c_name").alias("name")), m.unique_name("dim_customer"))
     changed = t.customer.where(key % 3 == 0).select(key.alias("id"), F.lit("changed").alias("name"))
     new = t.customer.select((-key - 1).alias("id"), F.lit("new").alias("name"))
-    return m.upsert(target, changed.unionByName(new), ["id"])
+    return m.replace_table(m.upsert(target, changed.unionByName(new), ["id"]), m.unique_name("dim_customer"))
+
+
+@query(
+    "q10_repeated_change",
+    """select c_custkey as id, case when c_custkey % 3 = 0 then 'second' else c_name end as name,
+              case when c_custkey % 3 = 0 then 2 else 0 end as version from customer""",
+)
+def q10_repeated(t: Tables):
+    """Two changes for one key: the later one counts, and the key has one row."""
+    key = c("c_custkey")
+    stored = t.customer.select(key.alias("id"), c("c_name").alias("name"), F.lit(0).alias("version"))
+    target = m.replace_table(stored, m.unique_name("dim_customer"))
+    hit = t.customer.where(key % 3 == 0)
+    first, second = (hit.select(key.alias("id"), F.lit(n).alias("name"), F.lit(v).alias("version")) for n, v in (("first", 1), ("second", 2)))
+    return m.upsert(target, first.unionByName(second), ["id"], -c("version"))
 
 
 @query(
@@ -370,6 +385,25 @@ def q18(t: Tables):
     )
 
 
+@query(
+    "q18_unknown_method",
+    """with tried as (select ps_key as product_id, method, place from (select p_partkey as ps_key, unnest([
+              {'method': 'mirror', 'place': 3, 'ok': p_partkey % 2 = 0}, {'method': 'aiohttp', 'place': 1, 'ok': p_partkey % 3 = 0},
+              {'method': 'playwright', 'place': 2, 'ok': p_partkey % 5 = 0}]) as a from part), lateral (select a.method as method, a.place as place, a.ok as ok) where ok)
+       select p_partkey as product_id, coalesce(arg_min(method, place), 'none') as method from part left join tried on product_id = p_partkey group by 1""",
+)
+def q18_unknown(t: Tables):
+    """A method that is not listed counts only where no listed one succeeded."""
+    key = c("p_partkey")
+    one = lambda method, divisor: F.struct(F.lit(method).alias("method"), (key % divisor == 0).alias("ok"))
+    tried = t.part.select(key.alias("product_id"), F.explode(F.array(one("mirror", 2), one("aiohttp", 3), one("playwright", 5))).alias("a"))
+    attempts = tried.select(
+        "product_id", F.concat(F.lit("https://shop/"), c("product_id")).alias("url"), F.when(c("a.ok"), "found").otherwise("fail").alias("name"),
+        F.lit("en").alias("language_code"), F.lit("200").alias("status_code"), "a.method",
+    )
+    return w.first_success(attempts, "product_id", ["aiohttp", "playwright"]).select("product_id", "method")
+
+
 @query(
     "q19_document_load",
     """select p_partkey as id, p_name as name, lower(replace(p_name, ' ', '-')) as url_key, cast(floor(p_retailprice) as bigint) as price from part""",

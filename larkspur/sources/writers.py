@@ -71,8 +71,9 @@ def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def convert_csv(spark: SparkSession, source: str, target: str, schema: T.StructType, fmt: str = "parquet") -> None:
-    """CSV files to another format under a target schema."""
-    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    """CSV files with one header to another format under a target schema; columns the header lacks become NULL."""
+    header = spark.read.options(header=True, quote='"', escape='"').csv(source).columns
+    texts = T.StructType([T.StructField(name, T.StringType()) for name in header])
     cast_to(read_csv(spark, source, texts), schema).write.format(fmt).mode("overwrite").save(target)
 
 

