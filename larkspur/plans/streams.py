@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from larkspur.plans import standins as s
 from larkspur.plans.clicks import messages
 from larkspur.plans.registry import Tables, query
-from larkspur.session import new_folder, spread, stream_table, with_scheme
+from larkspur.session import new_folder, spread, stream_table
 from larkspur.streaming import events as ev
 from larkspur.streaming import sinks, star
 
@@ -130,12 +130,12 @@ def x08(t: Tables):
     )
 
 
-def _loaded_star(t: Tables, runs: int = 1):
+def _loaded_star(t: Tables, runs: int = 1, writers: int | None = None):
     """Run the star load; every run starts from its own checkpoint and so replays the whole stream."""
     root = new_folder(t.spark, "star")
     star.create_star(t.spark, root)
     for _ in range(runs):
-        load = star.batch_loader(root, ev.enrich)
+        load = star.batch_loader(root, ev.enrich, writers)
         sinks.finish(sinks.start(record_stream(t), new_folder(t.spark, "star-checkpoint"), batch=load))
     return root
 
@@ -163,20 +163,18 @@ def x09(t: Tables):
 @query(
     "x10_load_from_tasks",
     s.with_(*READ, "enriched")
-    + "select sales_key, min(full_date || full_time) as first_seen, count(*) as rows from enriched where sales_key is not null group by 1",
+    + "select sales_key, min(full_date || full_time) as first_seen, cast(1 as bigint) as rows from enriched where sales_key is not null group by 1",
 )
 def x10(t: Tables):
-    folder = new_folder(t.spark, "tasks")
-    target = with_scheme(t.spark, folder)
+    """All four tables are loaded, each from four tasks; the first row per key stays."""
+    fact = star.star_table(t.spark, _loaded_star(t, writers=4), "fact_sales")
+    seen = F.concat("full_date", "full_time")
+    return fact.groupBy("sales_key").agg(F.min(seen).alias("first_seen"), F.count("*").alias("rows"))
 
-    def write(batch, batch_id):
-        rows = ev.enrich(spread(batch)).na.drop(subset=["sales_key"]).select("sales_key", "full_date", "full_time")
-        star.write_from_tasks(rows, batch_id, target, "sales_key", writers=4).agg(F.sum("rows")).first()
 
-    sinks.finish(sinks.start(record_stream(t), new_folder(t.spark, "tasks-checkpoint"), batch=write))
-    written = t.spark.read.parquet(folder)
-    seen = F.concat("full_date", "full_time")
-    return written.groupBy("sales_key").agg(F.min(seen).alias("first_seen"), F.count("*").alias("rows"))
+@query("x10_star_from_tasks", s.with_(*READ, "enriched") + _STAR_SQL)
+def x10_star(t: Tables):
+    return _star_sizes(t, _loaded_star(t, writers=2))
 
 
 @query(
@@ -254,14 +252,13 @@ def x16(t: Tables):
 @query("x17_bounded_intake", "select count(*) as rows, true as within_limit from events")
 def x17(t: Tables):
     """At most one file per batch; with a broker the limit is maxOffsetsPerTrigger."""
-    out = new_folder(t.spark, "intake")
-    source = stream_table(t.spark, t.sf_dir, "events", maxFilesPerTrigger="1")
-    stream = sinks.start(source.select("event_id"), new_folder(t.spark, "intake-checkpoint"), "parquet", out)
-    sinks.finish(stream)
-    files = len(t.events.inputFiles())
-    batches = sinks.progress(t.spark, stream).where("input_rows > 0").count()
-    enough = F.lit(batches >= min(files, 100))  # progress keeps the last hundred batches
-    return t.spark.read.parquet(out).agg(F.count("*").alias("rows"), F.first(enough).alias("within_limit"))
+    folder, out = new_folder(t.spark, "arrivals"), new_folder(t.spark, "intake")
+    t.events.select("event_id").repartition(7).write.parquet(folder)
+    source = t.spark.readStream.schema("event_id bigint").option("maxFilesPerTrigger", "1").parquet(folder)
+    write = sinks.counted(out)
+    sinks.finish(sinks.start(source, new_folder(t.spark, "intake-checkpoint"), batch=write))
+    kept = sinks.read_counted(t.spark, out)
+    return kept.agg(F.sum("input_rows").alias("rows"), (F.count_if(c("input_rows") > 0) == 7).alias("within_limit"))
 
 
 @query("x18_replay_or_resume", "select count(*) as first_run, cast(0 as bigint) as resumed, count(*) as replayed from events")
@@ -288,16 +285,12 @@ def x18(t: Tables):
 )
 def x19(t: Tables):
     text = c("value").cast("string")
-    watched = record_stream(t).observe(
-        "messages", F.count(text).alias("with_value"), F.count_if(~text.endswith("}")).alias("cut_off")
-    )
-    stream = sinks.start(watched, new_folder(t.spark, "progress"), "noop")
-    sinks.finish(stream)
-    batches = sinks.progress(t.spark, stream)
+    folder = new_folder(t.spark, "progress")
+    watch = sinks.counted(folder, {"with_value": F.count(text), "cut_off": F.count_if(~text.endswith("}"))})
+    sinks.finish(sinks.start(record_stream(t), new_folder(t.spark, "progress-checkpoint"), batch=watch))
+    batches = sinks.read_counted(t.spark, folder, "with_value", "cut_off")
     return batches.agg(
-        F.sum("input_rows").alias("input_rows"),
-        F.sum(c("observed")["messages.with_value"].cast("bigint")).alias("with_value"),
-        F.sum(c("observed")["messages.cut_off"].cast("bigint")).alias("cut_off"),
+        F.sum("input_rows").alias("input_rows"), F.sum("with_value").alias("with_value"), F.sum("cut_off").alias("cut_off"),
     )
 
 

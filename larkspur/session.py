@@ -83,20 +83,6 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def with_scheme(spark: SparkSession, folder: str) -> str:
-    """The folder as a full address, for clients other than Spark that write there.
-
-    A path without a scheme belongs to the cluster's default file system, which Spark
-    shows in the addresses of the files it has written.
-    """
-    if "://" in folder:
-        return folder
-    probe = new_folder(spark, "probe")
-    spark.range(1).write.parquet(probe)
-    address = spark.read.parquet(probe).inputFiles()[0]
-    return address[: address.index(probe)] + folder
-
-
 def cut_lineage(spark: SparkSession, df: DataFrame, label: str = "cut") -> DataFrame:
     """Write a frame to the shared folder and read it back.
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -36,8 +37,11 @@ def start(
 
 
 def finish(*queries: StreamingQuery) -> None:
-    """Wait for all; the first failure is raised."""
-    for query in queries:
+    """Wait for all; the first failure is raised, whichever query it comes from."""
+    running = list(queries)
+    while len(running) > 1:
+        running = [query for query in running if not query.awaitTermination(1)]
+    for query in running:
         query.awaitTermination()
 
 
@@ -66,8 +70,41 @@ def per_batch(path: str, transform: Callable[[DataFrame], DataFrame]) -> Callabl
     return write
 
 
+PROGRESS = "batch_id bigint, duration_ms bigint, input_rows bigint"
+
+
+def counted(
+    path: str, counts: Mapping[str, Column] | None = None, write: Callable[[DataFrame, int], None] | None = None
+) -> Callable[[DataFrame, int], None]:
+    """A batch function that keeps a row for every batch: its number, duration, input rows, and the given counts.
+
+    The counts are taken on the way through ``write``, which has to use the whole batch; without it the batch
+    is only read. A batch that runs again replaces its row.
+    """
+    counts = dict(counts or {})
+
+    def run(rows: DataFrame, batch_id: int) -> None:
+        seen = Observation()
+        watched = rows.observe(seen, F.count(F.lit(1)).alias("input_rows"), *[v.alias(k) for k, v in counts.items()])
+        start = time.monotonic()
+        if write:
+            write(watched, batch_id)
+        else:
+            watched.write.format("noop").mode("overwrite").save()
+        row = [batch_id, round(1000 * (time.monotonic() - start)), *[seen.get[k] for k in ("input_rows", *counts)]]
+        schema = PROGRESS + "".join(f", {k} bigint" for k in counts)
+        literal_rows(rows.sparkSession, [row], schema).write.mode("overwrite").parquet(f"{path}/batch-{batch_id:06d}")
+
+    return run
+
+
+def read_counted(spark: SparkSession, path: str, *counts: str) -> DataFrame:
+    """What ``counted`` has kept, for all batches."""
+    return spark.read.schema(PROGRESS + "".join(f", {k} bigint" for k in counts)).parquet(f"{path}/batch-*")
+
+
 def progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """One row per recent batch: its number, input rows, duration, and what ``observe`` counted."""
+    """One row for each of the last hundred batches: its number, input rows, duration, and what ``observe`` counted."""
     rows = [
         (
             p["batchId"],

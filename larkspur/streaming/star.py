@@ -78,20 +78,25 @@ LOADS: dict[str, tuple[Callable[[DataFrame], DataFrame], tuple[str, ...]]] = {
 }
 
 
-def load_star(events: DataFrame, root: str) -> None:
+def load_star(events: DataFrame, root: str, writers: int | None = None) -> None:
     """Append what is new in a batch of enriched events: dimensions first, then the fact.
 
     A key that the table already has, or that an earlier row of the batch brought, is not
-    added again, so loading a batch twice changes nothing.
+    added again, so loading a batch twice changes nothing. With ``writers`` each table is
+    written by that many tasks, for stores that allow so many connections.
     """
     spark = events.sparkSession
     for name, (rows, order) in LOADS.items():
         first: list[Column] = [F.col(x) for x in order]
         new = insert_if_absent(rows(events), star_table(spark, root, name), primary_key(name), *first)
+        if writers:
+            new = new.repartition(writers, *primary_key(name))
         new.write.mode("append").parquet(f"{root}/{name}")
 
 
-def batch_loader(root: str, transform: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+def batch_loader(
+    root: str, transform: Callable[[DataFrame], DataFrame], writers: int | None = None
+) -> Callable[[DataFrame, int], None]:
     """A foreachBatch function: transforms a batch of records and loads the star tables.
 
     Empty batches are skipped. A batch from a topic of few partitions is spread over all
@@ -103,39 +108,8 @@ def batch_loader(root: str, transform: Callable[[DataFrame], DataFrame]) -> Call
             return
         held = transform(spread(batch)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            load_star(held, root)
+            load_star(held, root, writers)
         finally:
             held.unpersist()
 
     return load
-
-
-def write_from_tasks(batch: DataFrame, batch_id: int, folder: str, key: str, writers: int) -> DataFrame:
-    """Write a batch from a fixed small number of tasks, each through its own client.
-
-    ``writers`` is held between 2 and 4, the number of connections the store allows. The
-    file name follows from batch and task, so a task that runs again replaces its own
-    file. Returns one row per task with the rows it wrote.
-    """
-    writers = min(4, max(2, writers))
-
-    def write(batches):
-        import pyarrow as pa
-        import pyarrow.fs as pafs
-        import pyarrow.parquet as pq
-        from pyspark import TaskContext
-
-        task = TaskContext.get().partitionId()
-        fs, path = pafs.FileSystem.from_uri(folder)
-        fs.create_dir(path, recursive=True)
-        sink, rows = None, 0
-        for record_batch in batches:
-            if sink is None:
-                sink = pq.ParquetWriter(f"{path}/batch-{batch_id:06d}-task-{task}.parquet", record_batch.schema, filesystem=fs)
-            sink.write_batch(record_batch)
-            rows += record_batch.num_rows
-        if sink is not None:
-            sink.close()
-        yield pa.RecordBatch.from_pydict({"task": [task], "rows": [rows]}, schema=pa.schema([("task", pa.int32()), ("rows", pa.int64())]))
-
-    return batch.repartition(writers, key).mapInArrow(write, "task int, rows bigint")

@@ -3,10 +3,11 @@
 import json
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from larkspur.functions.nested import CLICK_SCHEMA
-from larkspur.session import new_folder, with_scheme
+from larkspur.session import new_folder
 from larkspur.streaming import events as ev
 from larkspur.streaming import sinks, star
 
@@ -125,14 +126,41 @@ def test_documents_and_dead_letters(spark, rows):
     assert rows(ev.dead_letters(df).select("offset")) == [(6,), (8,)]
 
 
-@pytest.mark.parametrize("asked, used", [(1, 2), (3, 3), (50, 4)])
-def test_task_writers(spark, asked, used):
-    df = spark.range(200).select(F.col("id").cast("string").alias("k"))
-    folder = new_folder(spark, "tasks")
-    for _ in range(2):  # the second run replaces the files of the first
-        written = star.write_from_tasks(df, 3, with_scheme(spark, folder), "k", asked).collect()
-    assert len(written) == used and sum(r["rows"] for r in written) == 200
-    assert spark.read.parquet(folder).count() == 200
+def test_a_load_from_tasks_is_idempotent(spark):
+    df = spark.createDataFrame(BATCHES[0] + BATCHES[1], RECORD)
+    root = new_folder(spark, "star")
+    star.create_star(spark, root)
+    load = star.batch_loader(root, ev.enrich, writers=3)
+    sizes = []
+    for _ in range(2):
+        load(df, 0)
+        sizes.append([star.star_table(spark, root, name).count() for name in star.TABLES])
+    files = star.star_table(spark, root, "fact_sales").select("_metadata.file_name").distinct().count()
+    assert sizes[0] == sizes[1] and sizes[0][-1] > 0 and files <= 3
+
+
+def test_every_batch_is_counted(spark):
+    folder, path = files(spark, BATCHES, RECORD), new_folder(spark, "kept")
+    checkpoint = new_folder(spark, "c")
+    watch = sinks.counted(path, {"n": F.count("value")})
+    sinks.finish(sinks.start(stream(spark, folder, RECORD), checkpoint, batch=watch))
+    got = sinks.read_counted(spark, path, "n").orderBy("batch_id").collect()
+    assert [(r["input_rows"], r["n"]) for r in got] == [(4, 3), (4, 4)]
+
+
+def test_a_failure_of_any_query_is_raised(spark):
+    folder = files(spark, BATCHES, RECORD)
+
+    def fail(_rows, _batch_id):
+        raise ValueError("broken sink")
+
+    endless = sinks.start(stream(spark, folder, RECORD), new_folder(spark, "c"), "noop", interval="1 second")
+    broken = sinks.start(stream(spark, folder, RECORD), new_folder(spark, "c"), batch=fail)
+    try:
+        with pytest.raises(StreamingQueryException):
+            sinks.finish(endless, broken)
+    finally:
+        endless.stop()
 
 
 def test_progress_and_intake(spark):
