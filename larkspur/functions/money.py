@@ -80,8 +80,8 @@ def locale_price(text: Column) -> Column:
         .when(text.rlike(r"^\d+,\d{2}$"), swap(text, ",", "."))
         .otherwise(drop(text, ","))
     )
-    # Java reads a trailing f or d as a float suffix; a price never ends in one
-    return F.when(~plain.rlike("[fFdD]$"), plain.try_cast("double"))
+    # Java reads Infinity, NaN, exponents and float suffixes as numbers; a price has no letters
+    return F.when(~plain.rlike("[A-Za-z]"), plain.try_cast("double"))
 
 
 def loose_number(text: Column) -> Column:

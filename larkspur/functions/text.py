@@ -79,23 +79,17 @@ def gender_label(text: Column) -> Column:
 def head_count(text: Column) -> Column:
     """``struct<low:int, high:int>`` from '500-1000', 'More than 1000' or '5'.
 
-    An open range starts one above its number and has no upper end; other text gives NULLs.
+    An open range starts one above its number and has no upper end; other text, such as
+    '1-5-9' or '-5', gives NULLs.
     """
+    bounds = r"^\s*(\d+)\s*(?:-\s*(\d+)\s*)?$"
 
     def whole(part: Column) -> Column:
         return F.trim(part).try_cast("int")
 
-    parts = F.split(text, "-")
-    low = (
-        F.when(text.contains("More than"), whole(F.regexp_extract(text, r"\d+", 0)) + 1)
-        .when(text.contains("-"), whole(F.get(parts, 0)))
-        .otherwise(whole(text))
-    )
-    high = (
-        F.when(text.contains("More than"), F.lit(None).cast("int"))
-        .when(text.contains("-"), whole(F.get(parts, 1)))
-        .otherwise(whole(text))
-    )
+    first, last = F.regexp_extract(text, bounds, 1), F.regexp_extract(text, bounds, 2)
+    low = F.when(text.contains("More than"), whole(F.regexp_extract(text, r"\d+", 0)) + 1).otherwise(whole(first))
+    high = F.when(~text.contains("More than"), whole(F.when(last == "", first).otherwise(last)))
     return F.struct(low.alias("low"), high.alias("high"))
 
 

@@ -32,11 +32,10 @@ def employees_of(text):
     number = re.search(r"\d+", text)
     if "More than" in text and number:
         return int(number.group()) + 1, None
-    try:
-        ends = [int(part) for part in text.split("-")]
-    except ValueError:
+    ends = re.fullmatch(r"\s*(\d+)\s*(?:-\s*(\d+)\s*)?", text, re.ASCII)
+    if not ends:
         return None, None
-    return ends[0], ends[-1]
+    return int(ends[1]), int(ends[2] or ends[1])
 
 
 _RANGE = T.StructType([T.StructField("low", T.IntegerType()), T.StructField("high", T.IntegerType())])

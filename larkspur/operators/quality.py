@@ -19,16 +19,16 @@ def is_null(df: DataFrame, column: str) -> DataFrame:
 
 
 def key_report(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """One row per table and test (unique, not_null) with the number of failures."""
+    """One row per table and test (unique, not_null) with the number of failures; each table is read once."""
     parts = []
     for name, (df, key) in tables.items():
-        for test, bad in (("unique", not_unique(df, key)), ("not_null", is_null(df, key))):
-            failures = bad.agg(F.count("*").alias("failures"))
-            parts.append(
-                failures.select(
-                    F.lit(name).alias("table"), F.lit(key).alias("column"), F.lit(test).alias("test"), "failures"
-                )
-            )
+        counted = df.groupBy(key).agg(F.count("*").alias("n"))
+        missing = F.col(key).isNull()
+        tests = counted.agg(
+            F.count_if(~missing & (F.col("n") > 1)).alias("unique"),
+            F.coalesce(F.sum(F.when(missing, F.col("n"))), F.lit(0)).cast("bigint").alias("not_null"),
+        ).unpivot([], ["unique", "not_null"], "test", "failures")
+        parts.append(tests.select(F.lit(name).alias("table"), F.lit(key).alias("column"), "test", "failures"))
     return reduce(DataFrame.unionByName, parts)
 
 
