@@ -8,8 +8,8 @@ at least one. Sets of equal n-grams are one class. The steps:
    these are nearly all, and no more than a hash per some n-grams of theirs was shuffled.
 2. For the others, n-grams are counted. One that no other class holds cannot overlap; the rarest of the others
    bring up the candidates, by the prefix rule.
-3. A candidate pair is tested on its fragments: first the smaller of the two sizes in each fragment, summed, must
-   reach the overlap wanted; then the partial overlaps are counted fragment by fragment and summed per pair.
+3. A candidate pair is tested on its fragments: where the candidates meet, the smaller of the two sizes in each
+   fragment, summed, must reach the overlap wanted; then partial overlaps are counted by fragment and summed per pair.
 4. Pairs are tested first against the most central class of each n-gram. Only pairs that are not yet connected
    are tested after that, so a large group of near copies costs a star and not all its pairs.
 """
@@ -29,8 +29,8 @@ from larkspur.llm.components import components
 from larkspur.llm.words import chain, find_words, hash_words, mix, shingle_hashes, signed, slices
 from larkspur.session import cut_lineage
 
-#: Fragments in which overlaps are counted.
-FRAGMENTS = 64
+#: Fragments in which overlaps are counted, and finer ones whose sizes bound them before; powers of 2.
+FRAGMENTS, SIZED = 16, 64
 #: Buckets of the bit map of ids that spares most documents a shuffle; its size is fixed.
 MAP_BITS = 20
 
@@ -157,15 +157,14 @@ def _signature_rows(t: Threshold):
 def _gram_rows(words: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows_of, grams, size = [], [], 0
+            prints, grams, size = [], [], 0
             for row, g in _sets(batch.column("text"), words):
-                rows_of.append(row)
+                prints.append(_prints(g)[0])
                 grams.append(signed(g))
                 size += len(g)
                 if size > 1 << 19 or row + 1 == batch.num_rows:
-                    ids = batch.column("id").take(pa.array(rows_of))
-                    yield pa.RecordBatch.from_arrays([ids, pa.array(grams, type=pa.list_(pa.int64()))], names=["id", "grams"])
-                    rows_of, grams, size = [], [], 0
+                    yield pa.RecordBatch.from_arrays([pa.array(prints, pa.int64()), pa.array(grams, type=pa.list_(pa.int64()))], names=["id", "grams"])
+                    prints, grams, size = [], [], 0
 
     return rows
 
@@ -189,21 +188,25 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 class _Pairs:
-    """Candidate pairs and their test; keeps what it needs in written tables."""
+    """Candidate pairs of classes and their test; keeps what it needs in written tables."""
+
+    #: What is known of a class on its own.
+    ROW = ("id", "n", "alone", "sizes")
 
     def __init__(self, sets: DataFrame, t: Threshold):
         spark, self.t = sets.sparkSession, t
         rows = sets.select("id", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
         common = rows.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
         shared = cut_lineage(spark, rows.join(common, "gram").select("id", "n", "gram", "df"), "shared")
-        fragment = F.shiftrightunsigned("gram", 64 - int(math.log2(FRAGMENTS))).cast("int")
+        def cut(fragments: int) -> Column:
+            return F.shiftrightunsigned("gram", 64 - int(math.log2(fragments))).cast("int")
+
         self.segments = cut_lineage(
-            spark, shared.groupBy("id", fragment.alias("fragment")).agg(F.collect_list("gram").alias("segment")), "segments"
-        )
-        sizes = self.segments.groupBy("id").agg(
-            F.map_from_entries(F.collect_list(F.struct("fragment", F.size("segment").cast("int")))).alias("sizes")
+            spark, shared.groupBy("id", cut(FRAGMENTS).alias("fragment")).agg(F.collect_list("gram").alias("segment")), "segments"
         )
-        per_fragment = F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)), lambda f: F.coalesce(F.try_element_at("sizes", f), F.lit(0)).cast("smallint"))
+        counted = shared.groupBy("id", cut(SIZED).alias("fragment")).agg(F.count("*").cast("int").alias("size"))
+        sizes = counted.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("fragment", "size"))).alias("sizes"))
+        per_fragment = F.transform(F.sequence(F.lit(0), F.lit(SIZED - 1)), lambda f: F.coalesce(F.try_element_at("sizes", f), F.lit(0)))
         # by df and then by hash; n-grams of no other class stand first and are left out
         gathered = shared.groupBy("id", "n").agg(
             F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("grams"), (F.sum(F.log("df")) / F.first("n")).alias("weight")
@@ -216,14 +219,19 @@ class _Pairs:
             .join(sizes.select("id", per_fragment.alias("sizes")), "id"),
             "known",
         )
-        self.postings = cut_lineage(spark, self.known.select("id", "n", "alone", "weight", F.explode("prefix.gram").alias("gram")), "postings")
+        self.postings = cut_lineage(spark, self.known.select(*_Pairs.ROW, "weight", F.explode("prefix.gram").alias("gram")), "postings")
+
+    def _enough(self, overlap: Column, one: str = "n", other: str = "other_n") -> Column:
+        return overlap * (100 + self.t.percent) >= (F.col(one) + F.col(other)) * self.t.percent
 
     def _may_link(self) -> Column:
-        """Sizes fit, and the n-grams that each has alone are not too many."""
+        """The sizes allow it: the whole ones, those of what each has alone, and the smaller ones of each fragment, summed."""
         p = self.t.percent
+        bound = F.aggregate(F.zip_with("sizes", "other_sizes", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
         return (
             (F.least("n", "other_n") * 100 >= F.greatest("n", "other_n") * p)
             & ((F.col("alone") + F.col("other_alone")) * (100 + p) <= (F.col("n") + F.col("other_n")) * (100 - p))
+            & self._enough(bound)
         )
 
     def _labelled(self, labels: DataFrame | None) -> DataFrame:
@@ -238,19 +246,19 @@ class _Pairs:
         With ``among_rest`` the centre is sought among those that are not connected with that one.
         """
         rows = self._labelled(labels)
-        row = F.struct("weight", "id", "n", "alone", "component")
+        row = F.struct("weight", "id", "component", "n", "alone", "sizes")
         if among_rest:
             first = rows.groupBy(F.col("gram").alias("g")).agg(F.max(row)["component"].alias("first"))
             rows = rows.join(first, F.col("gram") == F.col("g")).where("component != first").select(*rows.columns)
         centres = rows.groupBy(F.col("gram").alias("g")).agg(F.max(row).alias("c"), F.count("*").alias("rows")).where("rows > 1")
-        centres = centres.select("g", *[F.col(f"c.{x}").alias(f"other_{x}") for x in ("id", "n", "alone", "component")])
+        centres = centres.select("g", *[F.col(f"c.{x}").alias(f"other_{x}") for x in (*self.ROW, "component")])
         met = rows.join(centres, (F.col("gram") == F.col("g")) & (F.col("component") != F.col("other_component")) & self._may_link())
         return self._distinct(met)
 
     def all_apart(self, labels: DataFrame) -> DataFrame:
         """All pairs of classes that share an n-gram of their prefixes and are not connected."""
         rows = self._labelled(labels)
-        names = ("id", "n", "alone", "component")
+        names = (*self.ROW, "component")
         apart = rows.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("gram")
         rows = cut_lineage(rows.sparkSession, rows.join(apart, "gram").select("gram", *names), "apart")
         others = rows.select(F.col("gram").alias("g"), *[F.col(x).alias(f"other_{x}") for x in names])
@@ -260,24 +268,18 @@ class _Pairs:
 
     @staticmethod
     def _distinct(met: DataFrame) -> DataFrame:
-        return met.select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b")).distinct()
+        first = F.col("id") < F.col("other_id")
+        both = [F.when(first, F.col(x)).otherwise(F.col(y)) for x, y in (("id", "other_id"), ("other_id", "id"), ("n", "other_n"), ("other_n", "n"))]
+        return met.select(*[c.alias(name) for c, name in zip(both, ("a", "b", "n_a", "n_b"))]).distinct()
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose overlap, counted by fragment and summed, reaches the threshold."""
-        spark, p = pairs.sparkSession, self.t.percent
-        left = self.known.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sizes").alias("sizes_a"))
-        right = self.known.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sizes").alias("sizes_b"))
-        bound = F.aggregate(F.zip_with("sizes_a", "sizes_b", lambda x, y: F.least(x, y).cast("int")), F.lit(0), lambda s, x: s + x)
-        enough = lambda overlap: overlap * (100 + p) >= (F.col("n_a") + F.col("n_b")) * p
-        near = cut_lineage(
-            spark, pairs.join(left, "a").join(right, "b").where(enough(bound)).select("a", "b", "n_a", "n_b"), "near"
-        )
         one = self.segments.select(F.col("id").alias("a"), "fragment", F.col("segment").alias("one"))
         two = self.segments.select(F.col("id").alias("b"), "fragment", F.col("segment").alias("two"))
-        partial = near.join(one, "a").join(two, ["b", "fragment"]).select(
+        partial = pairs.join(one, "a").join(two, ["b", "fragment"]).select(
             "a", "b", "n_a", "n_b", F.size(F.array_intersect("one", "two")).alias("overlap")
         )
-        return partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("overlap").alias("overlap")).where(enough(F.col("overlap"))).select("a", "b", "overlap")
+        return partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("overlap").alias("overlap")).where(self._enough(F.col("overlap"), "n_a", "n_b")).select("a", "b", "overlap")
 
 
 def near_duplicates(docs: DataFrame, threshold: Threshold = Threshold(), id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -285,7 +287,7 @@ def near_duplicates(docs: DataFrame, threshold: Threshold = Threshold(), id_colu
 
     Texts link if 100 x overlap >= percent x union of their distinct n-grams of lower-cased words; a text with fewer
     words is one n-gram. Null texts and texts without words have none and link with nothing. Rows that repeat an id
-    are separate texts with one name: their components meet. Rows with a null id are returned with a null component.
+    are texts of their own. Rows with a null id are returned with a null component.
     Columns other than the two are not read; an empty table gives an empty one.
     """
     spark, t = docs.sparkSession, threshold
@@ -304,18 +306,17 @@ def near_duplicates(docs: DataFrame, threshold: Threshold = Threshold(), id_colu
     met = sent.select("print1", F.min("print1").over(held).alias("low"), F.max("print1").over(held).alias("high"))
     met = cut_lineage(spark, met.where("low != high").select("print1").distinct(), "met")
 
-    # steps 2 to 4, on one text of each class that is left
-    left = cut_lineage(spark, classes.join(met, "print1", "left_semi").select(F.col("rep").alias("id")), "left")
-    grams = _only(named, left).mapInArrow(_gram_rows(t.words), f"id {kind}, grams array<bigint>")
-    first_of_id = grams.groupBy("id").agg(F.min(F.struct(F.size("grams").alias("n"), "grams"))["grams"].alias("grams"))
-    links = _links(cut_lineage(spark, first_of_id, "grams"), t)
+    # steps 2 to 4, on the texts of one id of each class that is left; a class goes by its first print
+    left = cut_lineage(spark, classes.join(met, "print1", "left_semi").select(F.col("rep").alias("id")).distinct(), "left")
+    grams = _only(named, left).mapInArrow(_gram_rows(t.words), "id bigint, grams array<bigint>")
+    linked = _links(cut_lineage(spark, grams.groupBy("id").agg(F.min("grams").alias("grams")), "grams"), t)
 
-    named_class = classes.join(links, F.col("rep") == F.col("node"), "left").select(
-        *[F.col(c).alias(f"_{c}") for c in same], F.coalesce("component", "rep").alias("component")
-    )
+    placed = classes.join(linked, F.col("print1") == F.col("node"), "left").withColumn("component", F.coalesce("component", "print1"))
+    smallest = placed.groupBy(F.col("component").alias("c")).agg(F.min("rep").alias("component_id"))
+    named_class = placed.join(smallest, F.col("component") == F.col("c")).select(*[F.col(x).alias(f"_{x}") for x in same], "component_id")
     on = (F.col("n") == F.col("_n")) & (F.col("print1") == F.col("_print1")) & (F.col("print2") == F.col("_print2"))
-    member = prints.join(named_class, on, "left").select("id", "n", F.coalesce("component", "id").alias("component"))
-    return member.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.col("component")).alias("component_id"))
+    member = prints.join(named_class, on, "left").withColumn("component_id", F.coalesce("component_id", "id"))
+    return member.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
 def _links(grams: DataFrame, t: Threshold) -> DataFrame:
