@@ -4,8 +4,8 @@ All n-grams have one global order, that of their hashes, and a set is cut where
 threshold differ in few n-grams, so if the order is cut into more fragments than that, they agree wholly in
 at least one. Sets of equal n-grams are one class. The steps:
 
-1. Every class sends one signature per fragment. Classes that share none with another have no link and are done;
-   these are nearly all, and no more than a hash per some n-grams of theirs was shuffled.
+1. Every class sends one signature per fragment. Classes that do not share as many as a link takes have none and are
+   done; these are nearly all, and no more than a hash per some n-grams of theirs was shuffled.
 2. For the others, n-grams are counted. One that no other class holds cannot overlap; the rarest of the others
    bring up the candidates, by the prefix rule.
 3. A candidate pair is tested on its fragments: where the candidates meet, the smaller of the two sizes in each
@@ -81,26 +81,29 @@ def _prints(grams: np.ndarray) -> tuple[int, int]:
     return int(one.sum(dtype=np.uint64).view(np.int64)), int(two.sum(dtype=np.uint64).view(np.int64))
 
 
-def signatures(grams: np.ndarray, t: Threshold) -> np.ndarray:
-    """A hash for each fragment of a set with something in it, in both of its windows.
+def signatures(grams: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
+    """A hash for each fragment of a set with something in it, in both of its windows; and for each hash its needs.
 
-    Two sets over the threshold share one of them. If so many fragments are empty that all those in which the two
-    agree might be, empty fragments have signatures too; that holds for both sets or for neither.
+    ``needs`` is the window's number, shifted by 32 bits, and how many hashes of this window a set over the threshold
+    has in common with this one at least: the fragments less those that may differ and those that are empty.
+    If so many are empty that nothing might be left, empty fragments have hashes too, and one is enough.
     """
     inner = np.concatenate([[np.uint64(0)], np.cumsum(mix(grams ^ np.uint64(0x8EBC6AF09C88C6E3)), dtype=np.uint64)])
     high = grams >> np.uint64(32)
-    out = []
+    out, needs = [], []
     for window, cuts, most in t.windows(len(grams)):
         fragment = ((high * np.uint64(cuts)) >> np.uint64(32)).astype(np.int64)
         begin = np.flatnonzero(np.concatenate([[True], fragment[1:] != fragment[:-1]]))
         content = inner[np.append(begin[1:], len(grams))] - inner[begin]
         full = fragment[begin]
-        if cuts - len(full) >= cuts - most:
+        need = max(1, len(full) - most)
+        if len(full) <= most:
             empty = np.setdiff1d(np.arange(cuts), full)
             full, content = np.concatenate([full, empty]), np.concatenate([content, np.zeros(len(empty), np.uint64)])
         place = mix((full + window * (1 << 40)).astype(np.uint64))
         out.append(chain(place, content))
-    return np.concatenate(out)
+        needs.append(np.full(len(full), (window << 32) + need, dtype=np.int64))
+    return np.concatenate(out), np.concatenate(needs)
 
 
 def _print_rows(words: int):
@@ -116,39 +119,42 @@ def _print_rows(words: int):
 
 
 def _signature_rows(t: Threshold):
-    """(signature, print1), at most two rows of one batch for a signature.
+    """(signature, print1, needs, hits), at most two rows of one batch for a signature.
 
-    Classes that meet within the batch need no other to be found: each is sent once more, under a signature of
-    its own and together with a void class, so that it counts as met.
+    Of the classes that meet within the batch in one signature the first and the last are sent. Those between have met
+    others already: these hits are summed for each class and window and sent once, under a signature
+    of their own and together with a void class, so that they count.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sent, tags = [], []
+            sent, tags, needed = [], [], []
             seen: set[tuple[int, int]] = set()
             for _, grams in _sets(batch.column("text"), t.words):
                 both = _prints(grams)
                 if len(grams) and both not in seen:  # copies of one batch send theirs once
                     seen.add(both)
-                    sent.append(signatures(grams, t))
+                    hashes, needs = signatures(grams, t)
+                    sent.append(hashes)
+                    needed.append(needs)
                     tags.append(np.full(len(sent[-1]), both[0], dtype=np.int64))
             if not sent:
                 continue
-            sign, tag = np.concatenate(sent), np.concatenate(tags)
+            sign, tag, need = np.concatenate(sent), np.concatenate(tags), np.concatenate(needed)
             order = np.lexsort((tag, sign))
-            sign, tag = sign[order], tag[order]
+            sign, tag, need = sign[order], tag[order], need[order]
             first = np.concatenate([[True], sign[1:] != sign[:-1]])
-            last = np.concatenate([first[1:], [True]])
-            group = np.cumsum(first) - 1
-            met = np.unique(tag[(tag[first] != tag[last])[group]])
-            own = mix(met.view(np.uint64) ^ np.uint64(0x589965CC75374CC3))
-            ends = first | last
+            ends = first | np.concatenate([first[1:], [True]])
+            between, hits = np.unique(np.stack([tag[~ends], need[~ends]]), axis=1, return_counts=True)
+            own = chain(mix(between[0].view(np.uint64) ^ np.uint64(0x589965CC75374CC3)), between[1].view(np.uint64))
+            void = np.zeros(len(own), np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(signed(np.concatenate([sign[ends], own, own]))),
-                    pa.array(np.concatenate([tag[ends], met, np.zeros(len(met), np.int64)])),
+                    pa.array(signed(np.concatenate([sign[ends], own, own]))), pa.array(np.concatenate([tag[ends], between[0], void])),
+                    pa.array(np.concatenate([need[ends], between[1], void])),
+                    pa.array(np.concatenate([np.ones(int(ends.sum()), np.int64), hits, void])),
                 ],
-                names=["signature", "print1"],
+                names=["signature", "print1", "needs", "hits"],
             )
 
     return rows
@@ -301,10 +307,12 @@ def near_duplicates(docs: DataFrame, threshold: Threshold = Threshold(), id_colu
     classes = cut_lineage(spark, classes, "classes")
 
     # step 1: classes that agree with another in a whole fragment
-    sent = named.select("text").mapInArrow(_signature_rows(t), "signature bigint, print1 bigint")
+    sent = named.select("text").mapInArrow(_signature_rows(t), "signature bigint, print1 bigint, needs bigint, hits bigint")
     held = Window.partitionBy("signature")
-    met = sent.select("print1", F.min("print1").over(held).alias("low"), F.max("print1").over(held).alias("high"))
-    met = cut_lineage(spark, met.where("low != high").select("print1").distinct(), "met")
+    met = sent.select("print1", "needs", "hits", F.min("print1").over(held).alias("low"), F.max("print1").over(held).alias("high"))
+    often = met.where("low != high").groupBy("print1", "needs").agg(F.sum("hits").alias("hits"))
+    enough = F.col("hits") >= F.col("needs").bitwiseAND(F.lit((1 << 32) - 1))
+    met = cut_lineage(spark, often.where("needs != 0").where(enough).select("print1").distinct(), "met")
 
     # steps 2 to 4, on the texts of one id of each class that is left; a class goes by its first print
     left = cut_lineage(spark, classes.join(met, "print1", "left_semi").select(F.col("rep").alias("id")).distinct(), "left")
