@@ -154,8 +154,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
     """Learn from the labelled rows, or from ``settings.sample`` of them picked by a hash of their id.
 
     A document with several labels counts with the more frequent one (1 in a tie); rows whose
-    id or label is null teach nothing, nor do labels without a document. A repeated document
-    is learnt from as often as it occurs in the first ``settings.sample`` rows. Without any label the model gives 0.5 to all.
+    id or label is null teach nothing, nor do labels without a document. Of documents with one id that
+    whose text has the smallest hash teaches. Without any label the model gives 0.5 to all.
     """
     one_label = (
         labels.where(F.col(id_column).isNotNull() & F.col(label).isNotNull())
@@ -167,7 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
     # the sample has a fixed bound, so it may be sent to the tasks and the texts are not shuffled
     labelled = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(sample), "id")
     learnt = (
-        labelled.orderBy(order, "id", F.xxhash64("text")).limit(settings.sample)
+        labelled.groupBy("id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text"))
         .withColumn("shard", F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(7)), F.lit(settings.shards)))
         .repartition(settings.shards, "shard")
         .sortWithinPartitions(order, "id")
