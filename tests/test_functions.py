@@ -212,7 +212,7 @@ def test_type_profile_and_schema(spark):
     got = {r["path"]: r["types"] for r in nested.path_types(profile).collect()}
     assert got == {
         "name": "NoneType,str", "age": "int,str", "scores": "list", "profile": "dict", "profile.active": "bool",
-        "profile.deep": "dict", "profile.deep.x": "NoneType", "items": "list", "items.k": "float,int", "items.m": "list",
+        "profile.deep": "dict", "profile.deep.x": "NoneType", "items": "list", "items.k": "float,int", "items.m": "list", "": "unreadable",
     }
     schema = nested.target_schema(profile)
     assert schema.simpleString() == (
