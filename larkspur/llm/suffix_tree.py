@@ -7,15 +7,17 @@ state if its distribution differs enough from that of its suffix: the log-likeli
 own occurrences must pay for the entries it lists. Suffixes of states are states. A word is scored by the
 longest state that ends where it begins.
 
-Word counts are exact and unbounded: they stay in a table, and rare words of a text are joined with it. A run of
-words is listed if it makes up at least ``min_share`` of all tokens, as in the published algorithm. The shares of one
-length sum to 1 at most, so no more than 1 / ``min_share`` runs can reach it, whatever the corpus: that is the
-bound of what goes to the driver and the tasks. Runs grow by a word per pass, and only from listed ones.
+Counts of words and of runs of words stay in tables, whose rows grow with the corpus: a run is listed if it occurs
+``min_count`` times, and discounting, the divergence test and the suffixes are aggregates of these tables and joins
+between them. Only runs with a share of ``sent_share`` or more go to the driver and, as a ``Tree``, to the tasks: the
+shares of one length sum to 1 at most, so there are no more than 1 / ``sent_share`` of them. With them go bit maps of
+fixed size over all states and listed runs, which can rule out a run but not confirm it. A word that both leave
+undecided is joined with the tables, with the same result; so what is sent decides only how much is joined.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -24,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.words import Slice, find_words, hash_words, signed, slices
+from larkspur.llm.words import Slice, chain, find_words, hash_words, signed, slices
 from larkspur.session import cut_lineage
 
 #: An index of a listed run needs fewer bits than this; two of them make a key.
@@ -33,18 +35,21 @@ INDEX_BITS = 24
 END = np.uint64(0x6C8E9CF570932BD5)
 #: Distinct keys that a task gathers before it hands them on.
 KEYS_KEPT = 1 << 21
+#: A bit map of runs has two to the power of this many bits.
+SIEVE_BITS = 27
 
 
 class Settings(NamedTuple):
     """Words of the longest context, least share of a listed run (and least count), discount, and the divergence test:
-    nats that a state must gain per listed entry, and per occurrence."""
+    nats that a state must gain per listed entry, and per occurrence. ``sent_share`` is that of a run sent to the tasks."""
 
     depth: int = 2
-    min_share: float = 5e-7
+    min_share: float = 0.0
     min_count: int = 2
     discount: float = 0.5
     entry_cost: float = 2.0
     min_divergence: float = 0.005
+    sent_share: float = 5e-7
 
 
 class Tokens(NamedTuple):
@@ -55,10 +60,11 @@ class Tokens(NamedTuple):
 
 
 class Tree(NamedTuple):
-    """Listed runs by length: sorted keys, and for each run the log10 probability of its last word after the others.
+    """Listed runs that are sent, by length: sorted keys, and for each run the log10 probability of its last word after the others.
 
     ``words`` are hashes; longer runs have keys made of the index of the run without its last word and of that word.
     ``states`` and ``backoff`` belong to runs as contexts: whether they are states, and the log10 of what they pass on.
+    ``sieves`` has for each length of context the bit maps of states and of runs listed in them; none if all runs are sent.
     """
 
     words: np.ndarray
@@ -70,6 +76,7 @@ class Tree(NamedTuple):
     tokens: int
     vocabulary: int
     discount: float
+    sieves: list[tuple[np.ndarray, np.ndarray]]
 
     def unseen(self) -> float:
         """The log10 probability of the unknown word at the root."""
@@ -113,27 +120,43 @@ def _runs(t: Tokens, words: np.ndarray, keys: list[np.ndarray]) -> list[np.ndarr
     return ids
 
 
-def _tally(keys_of: Callable[[Tokens], np.ndarray]):
-    """Counts of the keys of all texts, summed within the task as far as memory allows."""
+def _tally(length: int, listed: np.ndarray | None):
+    """Counts of the runs of ``length`` words of all texts, summed within the task as far as memory allows.
+
+    ``listed`` is a bit map of the runs that are a word shorter: a run with a part that it rules out is left away.
+    """
+    names = _names(length)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
         size = 0
+        sieve = listed.value if listed is not None else None
 
-        def summed() -> tuple[np.ndarray, np.ndarray]:
-            key, place = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-            return key, np.bincount(place, weights=np.concatenate([c for _, c in held]), minlength=len(key)).astype(np.int64)
+        def summed() -> tuple[np.ndarray, ...]:
+            parts = [np.concatenate(x) for x in zip(*held)]
+            _, at, place = np.unique(parts[0], return_index=True, return_inverse=True)
+            count = np.bincount(place, weights=parts[1], minlength=len(at)).astype(np.int64)
+            return parts[0][at], count, *[w[at] for w in parts[2:]]
 
-        def out(key: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for at in range(0, len(key), 1 << 16):
+        def out(_, count: np.ndarray, *of: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(count), 1 << 16):
                 part = slice(at, at + (1 << 16))
-                yield pa.RecordBatch.from_arrays([pa.array(key[part]), pa.array(count[part])], names=["key", "count"])
+                yield pa.RecordBatch.from_arrays([*[pa.array(signed(w[part])) for w in of], pa.array(count[part])], names=[*names, "count"])
 
         for batch in batches:
             for s in slices(batch.column("text")):
-                key, count = np.unique(keys_of(tokens_of(s)), return_counts=True)
-                held.append((key, count))
-                size += len(key)
+                t = tokens_of(s)
+                at = np.flatnonzero(_place(t) >= length - 1)
+                of = [t.hashes[at - i] for i in range(length - 1, -1, -1)]
+                if sieve is not None:
+                    kept = _seen(sieve, _sieve_key(of[:-1])) & _seen(sieve, _sieve_key(of[1:]))
+                    of = [w[kept] for w in of]
+                key = of[0]
+                for w in of[1:]:
+                    key = chain(key, w)
+                _, first, count = np.unique(key, return_index=True, return_counts=True)
+                held.append((key[first], count, *[w[first] for w in of]))
+                size += len(first)
                 if size > 2 * KEYS_KEPT:
                     held = [summed()]
                     size = len(held[0][0])
@@ -146,62 +169,107 @@ def _tally(keys_of: Callable[[Tokens], np.ndarray]):
     return rows
 
 
-def _counted(texts: DataFrame, keys_of: Callable[[Tokens], np.ndarray]) -> DataFrame:
-    return texts.mapInArrow(_tally(keys_of), "key bigint, count bigint").groupBy("key").agg(F.sum("count").alias("count"))
+def _names(length: int) -> list[str]:
+    return [f"w{i}" for i in range(length)]
+
 
+def _place(t: Tokens) -> np.ndarray:
+    """For each token how many there are before it in its text."""
+    return np.arange(len(t.hashes)) - np.repeat(t.first[:-1], np.diff(t.first))
 
-def _listed(counts: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """The keys that occur often enough, and their counts; at most 1 / min_share of them."""
-    rows = counts.where(F.col("count") >= F.lit(float(least))).toArrow()
-    return rows["key"].to_numpy(), rows["count"].to_numpy()
 
+def _sieve_key(of: list[np.ndarray]) -> np.ndarray:
+    """The bit of a run in a bit map, as ``_sieve`` tells it; of the words' hashes, which are mixed already."""
+    key = of[0].copy()
+    for i, w in enumerate(of[1:], 1):
+        key ^= (w << np.uint64(21 * i % 64)) | (w >> np.uint64((64 - 21 * i) % 64))
+    return key >> np.uint64(64 - SIEVE_BITS)
 
-def _word_keys(t: Tokens) -> np.ndarray:
-    return signed(t.hashes)
+
+def _seen(sieve: np.ndarray, key: np.ndarray) -> np.ndarray:
+    return (sieve[(key >> np.uint64(6)).astype(np.int64)] >> (key & np.uint64(63))) & np.uint64(1) != 0
+
+
+def _sieve(runs: DataFrame, length: int) -> np.ndarray:
+    """The bit map of the runs in a table: 2 ** ``SIEVE_BITS`` bits, however many there are."""
+    key = F.col("w0")
+    for i in range(1, length):
+        w, by = F.col(f"w{i}"), 21 * i % 64
+        key = key.bitwiseXOR(F.shiftleft(w, by).bitwiseOR(F.shiftrightunsigned(w, 64 - by)))
+    key = F.shiftrightunsigned(key, 64 - SIEVE_BITS)
+    bit = F.expr("shiftleft(1L, cast(key & 63 as int))")
+    found = runs.select(key.alias("key")).groupBy(F.shiftright("key", 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(1 << (SIEVE_BITS - 6), dtype=np.uint64)
+    out[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return out
 
 
-def _run_keys(shared, length: int) -> Callable[[Tokens], np.ndarray]:
-    """Keys of the runs of that length whose two parts (without the last and without the first word) are listed."""
+def _counted(texts: DataFrame, length: int, listed=None) -> DataFrame:
+    names = _names(length)
+    schema = ", ".join([*[f"{w} bigint" for w in names], "count bigint"])
+    return texts.mapInArrow(_tally(length, listed), schema).groupBy(*names).agg(F.sum("count").alias("count"))
 
-    def keys_of(t: Tokens) -> np.ndarray:
-        words, keys = shared.value
-        ids = _runs(t, words, keys)
-        context = _before(ids[length - 2], t.first)
-        both = (context >= 0) & (ids[length - 2] >= 0)
-        return (context[both] << INDEX_BITS) | ids[0][both]
 
-    return keys_of
+def _moved(names: list[str], by: int) -> list[Column]:
+    """The words of a run under the names they have in one that begins ``by`` words before (or after) it."""
+    return [F.col(w).alias(f"w{int(w[1:]) + by}") for w in names]
 
 
-def grow(words: np.ndarray, word_counts: np.ndarray, runs: list[tuple[np.ndarray, np.ndarray]], tokens: int, vocabulary: int, cfg: Settings) -> Tree:
-    """The tree from the listed runs: smoothed probabilities, the divergence test, and states closed under suffixes."""
-    d = cfg.discount
-    p = [np.maximum(word_counts - d, 0) / max(tokens, 1)]
-    counts, keys, suffix = [word_counts.astype(float)], [], [np.zeros(len(words), np.int64)]
-    states, backoff = [], []
-    for key, count in runs:
-        context, word = key >> INDEX_BITS, key & ((1 << INDEX_BITS) - 1)
-        n = len(counts[-1])
-        if len(counts) == 1:
-            shorter = word
+def smooth(runs: DataFrame, shorter: DataFrame, length: int, cfg: Settings) -> tuple[DataFrame, DataFrame]:
+    """The listed runs of a length with the probability ``p`` of their last word after the others, and their contexts.
+
+    ``shorter`` has all runs that are a word shorter, with ``count`` and ``p``. A context has ``state`` (its divergence
+    alone) and ``backoff``.
+    """
+    spark, names = runs.sparkSession, _names(length)
+    context, d = names[:-1], F.lit(cfg.discount)
+    sums = runs.groupBy(*context).agg(F.sum("count").alias("listed"), F.count("*").alias("entries"))
+    rest = (F.col("total") - F.col("listed") + d * F.col("entries")) / F.col("total")
+    contexts = sums.join(shorter.select(*context, F.col("count").alias("total")), context).withColumn("rest", rest)
+    contexts = cut_lineage(spark, contexts, "contexts")
+    lower = shorter.select(*_moved(context, 1), F.col("p").alias("low"))
+    p = (F.col("count") - d) / F.col("total") + F.col("rest") * F.col("low")
+    both = runs.join(contexts.select(*context, "total", "rest"), context).join(lower, names[1:])
+    smoothed = cut_lineage(spark, both.select(*names, "count", p.alias("p"), "low"), "runs")
+    gains = smoothed.groupBy(*context).agg(F.sum(F.col("count") * F.log(F.col("p") / F.col("low"))).alias("gain"))
+    floor = F.greatest("rest", F.lit(1e-300))
+    gain = F.col("gain") + (F.col("total") - F.col("listed")) * F.log(floor)
+    state = (gain >= cfg.entry_cost * F.col("entries")) & (gain >= cfg.min_divergence * F.col("total"))
+    tested = contexts.join(gains, context).select(*context, state.alias("state"), F.log10(floor).alias("backoff"))
+    return smoothed.drop("low"), cut_lineage(spark, tested, "tested")
+
+
+def _sent(tables: list[DataFrame], states: list[DataFrame], least: float, tokens: int, vocabulary: int, cfg: Settings, sieves) -> Tree:
+    """The tree of the runs that occur ``least`` times; at most 1 / sent_share of each length."""
+    words = word_counts = np.zeros(0)
+    keys, log_p, is_state, backoff = [], [], [], []
+    for k, runs in enumerate(tables):
+        names = _names(k + 1)
+        often = runs.where(F.col("count") >= F.lit(float(least)))
+        if k < cfg.depth:
+            often = often.join(states[k], names, "left")
         else:
-            shorter = _lookup(keys[-1], (suffix[-1][context] << INDEX_BITS) | word)
-        listed = np.bincount(context, weights=count, minlength=n)
-        entries = np.bincount(context, minlength=n)
-        rest = (counts[-1] - listed + d * entries) / counts[-1]
-        own = (count - d) / counts[-1][context] + rest[context] * p[-1][shorter]
-        gain = np.bincount(context, weights=count * np.log(own / p[-1][shorter]), minlength=n).astype(float)
-        gain += (counts[-1] - listed) * np.log(np.maximum(rest, 1e-300))
-        states.append((entries > 0) & (gain >= cfg.entry_cost * entries) & (gain >= cfg.min_divergence * counts[-1]))
-        backoff.append(np.log10(np.maximum(rest, 1e-300)))
-        keys.append(key)
-        counts.append(count.astype(float))
-        suffix.append(shorter)
-        p.append(own)
-    for k in range(len(states) - 1, 0, -1):  # a state's suffix is a state
-        states[k - 1][suffix[k][np.flatnonzero(states[k])]] = True
-    log_p = [np.log10(np.maximum(x, 1e-300)) for x in p]
-    return Tree(words, word_counts, keys, log_p, states, backoff, tokens, vocabulary, d)
+            often = often.withColumns({"state": F.lit(False), "backoff": F.lit(0.0)})
+        got = often.select(
+            *names, "count", F.log10(F.greatest("p", F.lit(1e-300))).alias("log_p"),
+            F.coalesce("state", F.lit(False)).alias("state"), F.coalesce("backoff", F.lit(0.0)).alias("backoff"),
+        ).toArrow()
+        of = [got[w].to_numpy().view(np.uint64) for w in names]
+        if not k:
+            order = np.argsort(of[0])
+            words, word_counts = of[0][order], got["count"].to_numpy()[order]
+        else:
+            key = _lookup(words, of[0])
+            for w, known in zip(of[1:], [*keys, None]):
+                key = (key << INDEX_BITS) | _lookup(words, w)
+                key = key if known is None else _lookup(known, key)
+            order = np.argsort(key)
+            keys.append(key[order])
+        log_p.append(got["log_p"].to_numpy()[order])
+        if k < cfg.depth:
+            is_state.append(got["state"].to_numpy()[order])
+            backoff.append(got["backoff"].to_numpy()[order])
+    return Tree(words, word_counts, keys, log_p, is_state, backoff, tokens, vocabulary, cfg.discount, sieves)
 
 
 def score_tokens(t: Tokens, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
@@ -218,47 +286,156 @@ def score_tokens(t: Tokens, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
     return log_p, rare
 
 
+def decide_tokens(t: Tokens, tree: Tree) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """As ``score_tokens``, as far as the tree decides; then the length of the first context that it leaves open (0: none).
+
+    The last part has for each length what the context passes on: 1 if it is no state, not a number if that is open.
+    """
+    ids = _runs(t, tree.words, tree.keys)
+    place = _place(t)
+    rare = ids[0] < 0
+    log_p = np.where(rare, 0.0, tree.log_p[0][ids[0]] if len(tree.words) else 0.0)
+    level = np.zeros(len(rare), dtype=np.int32)
+    alive, passed = np.ones(len(rare), dtype=bool), []
+    for k, (state, backoff) in enumerate(zip(tree.states, tree.backoff)):
+        context = _before(ids[k], t.first)
+        known = context >= 0
+        is_state = known.copy()
+        is_state[known] = state[context[known]]
+        run = ids[k + 1]
+        passes = np.ones(len(rare))
+        passes[is_state] = backoff[context[is_state]]
+        if tree.sieves:
+            states, listed = tree.sieves[k]
+            maybe, unlisted = np.zeros(len(rare), dtype=bool), np.zeros(len(rare), dtype=bool)
+            at = np.flatnonzero((place > k) & ~known & alive)
+            maybe[at] = _seen(states, _sieve_key([t.hashes[at - i] for i in range(k + 1, 0, -1)]))
+            at = np.flatnonzero((is_state & (run < 0)) & alive)
+            unlisted[at] = _seen(listed, _sieve_key([t.hashes[at - i] for i in range(k + 1, -1, -1)]))
+            passes[maybe] = np.nan
+            level[(level == 0) & (maybe | unlisted)] = k + 1
+            alive &= is_state | maybe
+        at = np.flatnonzero(is_state & (level == 0))
+        log_p[at] = np.where(run[at] >= 0, tree.log_p[k + 1][run[at]] if len(tree.keys[k]) else 0.0, passes[at] + log_p[at])
+        passed.append(passes)
+    return log_p, rare, level, passed
+
+
 def _score_rows(shared):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree: Tree = shared.value
         base_of = np.append(np.log10(tree.counts + 1.0), 0.0)
         key = TaskContext.get().partitionId() << 36
+        depth = len(tree.states)
         for batch in batches:
             for s in slices(batch.column("text")):
                 t = tokens_of(s)
-                log_p, rare = score_tokens(t, tree)
+                log_p, rare, level, passed = decide_tokens(t, tree)
                 base = base_of[np.where(rare, len(tree.words), _lookup(tree.words, t.hashes))]
-                place = np.concatenate([[0], np.cumsum(rare)])[t.first]
-                lists = pa.ListArray.from_arrays(pa.array(place.astype(np.int32)), pa.array(signed(t.hashes[rare])))
+                is_open = level > 0
+                alone = rare & ~is_open
+
+                def lists(chosen: np.ndarray, values: pa.Array) -> pa.ListArray:
+                    ends = np.concatenate([[0], np.cumsum(chosen)])[t.first]
+                    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
+
+                at = np.flatnonzero(is_open)
+                of = [pa.array(signed(t.hashes[np.maximum(at - i, 0)])) for i in range(depth, -1, -1)]
+                back = [pa.array(x[at], mask=np.isnan(x[at])) for x in passed]
+                open_names = [*_names(depth + 1), *[f"b{k + 1}" for k in range(depth)], "level", "is_rare", "l"]
+                left = pa.StructArray.from_arrays([*of, *back, pa.array(level[at]), pa.array(rare[at]), pa.array(log_p[at])], names=open_names)
+                log_p[at] = 0.0
                 n = np.diff(t.first)
                 columns = [
                     batch.column("id").slice(s.first_row, s.rows), batch.column("learnt").slice(s.first_row, s.rows),
-                    pa.array(key + np.arange(s.rows)), pa.array(n), pa.array(n - np.diff(place)),
-                    pa.array(np.add.reduceat(base, t.first[:-1])), pa.array(np.add.reduceat(log_p, t.first[:-1])), lists,
+                    pa.array(key + np.arange(s.rows)), pa.array(n), pa.array(n - np.add.reduceat(rare.astype(np.int64), t.first[:-1])),
+                    pa.array(np.add.reduceat(base, t.first[:-1])), pa.array(np.add.reduceat(log_p, t.first[:-1])),
+                    lists(alone, pa.array(signed(t.hashes[alone]))), lists(is_open, left),
                 ]
                 key += s.rows
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "learnt", "row", "n_tokens", "n_listed", "base", "log_p", "rare"])
+                names = ["id", "learnt", "row", "n_tokens", "n_listed", "base", "log_p", "rare", "open"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return rows
 
 
-def fit(texts: DataFrame, settings: Settings = Settings()) -> tuple[Tree, DataFrame]:
-    """The tree learnt from the column ``text``, and the table (key, count) of all words."""
+class Model(NamedTuple):
+    """What is sent to the tasks, and the tables: words (w0, count, p), and by length of context states and runs in them."""
+
+    tree: Tree
+    words: DataFrame
+    states: list[DataFrame]
+    runs: list[DataFrame]
+
+
+def learn(texts: DataFrame, settings: Settings = Settings()) -> Model:
+    """The model learnt from the column ``text``."""
     spark, cfg = texts.sparkSession, settings
-    all_words = cut_lineage(spark, _counted(texts, _word_keys), "words")
+    all_words = cut_lineage(spark, _counted(texts, 1), "words")
     total = all_words.agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
     n, v = total["n"] or 0, total["v"]
-    least = max(cfg.min_count, cfg.min_share * n)
-    key, count = _listed(all_words, least)
-    order = np.argsort(key.view(np.uint64))
-    words, word_counts = key.view(np.uint64)[order], count[order]
-    runs: list[tuple[np.ndarray, np.ndarray]] = []
+    least = float(max(cfg.min_count, cfg.min_share * n))
+    sent = max(least, cfg.sent_share * n)
+    tables = [all_words.withColumn("p", (F.col("count") - cfg.discount) / F.lit(float(max(n, 1))))]
+    states: list[DataFrame] = []
     for length in range(2, cfg.depth + 2):
-        shared = spark.sparkContext.broadcast((words, [k for k, _ in runs]))
-        key, count = _listed(_counted(texts, _run_keys(shared, length)), least)
-        order = np.argsort(key)
-        runs.append((key[order], count[order]))
-    return grow(words, word_counts, runs, n, v, cfg), all_words
+        listed = spark.sparkContext.broadcast(_sieve(tables[-1].where(F.col("count") >= least), length - 1))
+        counts = cut_lineage(spark, _counted(texts, length, listed).where(F.col("count") >= least), "counts")
+        runs, contexts = smooth(counts, tables[-1], length, cfg)
+        tables.append(runs)
+        states.append(contexts)
+    for k in range(len(states) - 2, -1, -1):  # a state's suffix is a state
+        names = _names(k + 1)
+        longer = states[k + 1].where("state").select(*_moved(_names(k + 2)[1:], -1)).distinct().withColumn("_longer", F.lit(True))
+        closed = states[k].join(longer, names, "left")
+        states[k] = cut_lineage(spark, closed.select(*names, (F.col("state") | F.col("_longer").isNotNull()).alias("state"), "backoff"), "closed")
+    true_states = [x.where("state") for x in states]
+    in_states = [runs.join(x.select(*_names(k + 1)), _names(k + 1), "left_semi") for k, (runs, x) in enumerate(zip(tables[1:], true_states))]
+    sieves = []
+    if sent > least:
+        in_states = [cut_lineage(spark, x, "in_states") for x in in_states]
+        sieves = [(_sieve(x, k + 1), _sieve(r, k + 2)) for k, (x, r) in enumerate(zip(true_states, in_states))]
+    return Model(_sent(tables, states, sent, n, v, cfg, sieves), tables[0], true_states, in_states)
+
+
+def fit(texts: DataFrame, settings: Settings = Settings()) -> tuple[Tree, DataFrame]:
+    """The tree that is sent, learnt from the column ``text``, and the table (w0, count, p) of all words."""
+    model = learn(texts, settings)
+    return model.tree, model.words
+
+
+def _joined(tokens: DataFrame, needs: Column, of: list[str], found: DataFrame, value: str) -> DataFrame:
+    """Tokens with ``value`` from the run table ``found`` for the words ``of`` where ``needs`` is true, else null.
+
+    Tokens that need nothing get a first word of their own, so that they are dealt out evenly.
+    """
+    keys = [f"_{i}" for i in range(len(of))]
+    table = found.select(*[F.col(f"w{i}").alias(f"_{i}") for i in range(len(of))], F.col(value).alias("_value"))
+    own = F.xxhash64("row", "l", *[c for c in tokens.columns if c.startswith("w")])
+    keyed = tokens.withColumns({"_needs": F.coalesce(needs, F.lit(False))} | {k: F.col(w) for k, w in zip(keys, of)})
+    keyed = keyed.withColumn("_0", F.when(F.col("_needs"), F.col("_0")).otherwise(own))
+    return keyed.join(table, keys, "left").withColumn("_value", F.when(F.col("_needs"), F.col("_value"))).drop(*keys, "_needs")
+
+
+def _opened(scored: DataFrame, model: Model) -> DataFrame:
+    """Row, training count (null: a word that was sent, 0: unknown) and log10 probability of each token left open."""
+    tree, depth = model.tree, len(model.states)
+    names = _names(depth + 1)
+    tokens = scored.select("row", F.explode("open").alias("o")).select("row", "o.*").withColumn("alive", F.lit(True))
+    tokens = _joined(tokens, F.col("is_rare"), names[-1:], model.words, "count")
+    tokens = tokens.withColumnRenamed("_value", "count").withColumn("count", F.when(F.col("is_rare"), F.coalesce("count", F.lit(0))))
+    at_root = F.when(F.col("count") > 0, F.log10((F.col("count") - tree.discount) / F.lit(float(max(tree.tokens, 1)))))
+    tokens = tokens.withColumn("l", F.col("l") + F.when(F.col("is_rare"), F.coalesce(at_root, F.lit(tree.unseen()))).otherwise(0.0))
+    for k in range(1, depth + 1):
+        context, now = names[depth - k : depth], F.col("alive") & (F.col("level") <= k)
+        tokens = _joined(tokens, now & F.col(f"b{k}").isNull(), context, model.states[k - 1], "backoff")
+        tokens = tokens.withColumn(f"b{k}", F.coalesce(f"b{k}", "_value", F.lit(1.0))).drop("_value")
+        tokens = tokens.withColumn("alive", F.col("alive") & ((F.col("level") > k) | (F.col(f"b{k}") <= 0)))
+        listed = model.runs[k - 1].withColumn("log_p", F.log10(F.greatest("p", F.lit(1e-300))))
+        tokens = _joined(tokens, now & (F.col(f"b{k}") <= 0), names[depth - k :], listed, "log_p")
+        lower = F.when(now & (F.col(f"b{k}") <= 0), F.col(f"b{k}") + F.col("l")).otherwise(F.col("l"))
+        tokens = tokens.withColumn("l", F.coalesce(F.col("_value"), lower)).drop("_value")
+    return tokens.select("row", "count", "l")
 
 
 def score(docs: DataFrame, train: Column, id_column: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -272,17 +449,22 @@ def score(docs: DataFrame, train: Column, id_column: str = "doc_id", text: str =
     spark = docs.sparkSession
     kind = docs.schema[id_column].dataType.simpleString()
     named = docs.select(F.col(id_column).alias("id"), F.coalesce(train, F.lit(False)).alias("learnt"), F.col(text).alias("text"))
-    tree, words = fit(named.where("learnt").select("text"), settings)
+    model = learn(named.where("learnt").select("text"), settings)
+    tree = model.tree
     shared = spark.sparkContext.broadcast(tree)
-    schema = f"id {kind}, learnt boolean, row bigint, n_tokens bigint, n_listed bigint, base double, log_p double, rare array<bigint>"
+    depth = len(tree.states)
+    open_type = ",".join([*[f"{w}:bigint" for w in _names(depth + 1)], *[f"b{k + 1}:double" for k in range(depth)], "level:int,is_rare:boolean,l:double"])
+    schema = f"id {kind}, learnt boolean, row bigint, n_tokens bigint, n_listed bigint, base double, log_p double, rare array<bigint>, open array<struct<{open_type}>>"
     scored = cut_lineage(spark, named.mapInArrow(_score_rows(shared), schema), "scored")
 
-    rare = scored.select("row", F.explode("rare").alias("word")).join(words, F.col("word") == F.col("key"), "left")
-    known = F.col("count").isNotNull()
+    rare = scored.select("row", F.explode("rare").alias("word")).join(model.words, F.col("word") == F.col("w0"), "left")
     at_root = F.log10((F.col("count") - tree.discount) / F.lit(float(max(tree.tokens, 1))))
-    sums = rare.groupBy(F.col("row").alias("of")).agg(
-        F.count("count").alias("n_rare"), F.sum(F.log10(F.coalesce("count", F.lit(0)) + 1)).alias("base_rare"),
-        F.sum(F.when(known, at_root).otherwise(F.lit(tree.unseen()))).alias("log_rare"),
+    parts = rare.select("row", F.coalesce("count", F.lit(0)).alias("count"), F.coalesce(at_root, F.lit(tree.unseen())).alias("l"))
+    if tree.sieves:
+        parts = parts.unionByName(_opened(scored, model))
+    sums = parts.groupBy(F.col("row").alias("of")).agg(
+        F.count_if(F.col("count") > 0).alias("n_rare"), F.sum(F.log10(F.coalesce("count", F.lit(0)) + 1)).alias("base_rare"),
+        F.sum("l").alias("log_rare"),
     )
     zero = F.lit(0.0)
     size = F.log10(F.lit(float(tree.tokens + tree.vocabulary + 1)))

@@ -114,3 +114,20 @@ def test_odd_rows(spark):
     untrained = st.score(docs, F.lit(False)).collect()
     assert {(r["score"], r["base_score"], r["n_known"], r["train_tokens"]) for r in untrained} == {(0.0, 0.0, 0, 0)}
     assert st.score(no_docs(spark), F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize("depth, cost, share", [(1, 0.1, 0.1), (2, 0.1, 0.07), (3, 0.0, 0.1), (2, 0.1, 0.9), (2, 2.0, 0.05)])
+def test_runs_that_are_not_sent_count_too(spark, depth, cost, share):
+    assert st.Settings().min_share == 0
+    cfg = st.Settings(depth=depth, entry_cost=cost, sent_share=share)
+    tests = [*TEXTS[:7], "a b unknown c a", "c c c a b", None]
+    rows = [(i, t, True) for i, t in enumerate(TEXTS)] + [(100 + i, t, False) for i, t in enumerate(tests)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, train boolean").repartition(4)
+    got = {r["doc_id"]: r for r in st.score(df, F.col("train"), settings=cfg).collect()}
+    whole = {r["doc_id"]: r for r in st.score(df, F.col("train"), settings=cfg._replace(sent_share=0.0)).collect()}
+    want, _ = brute(TEXTS, tests, cfg)
+    for i, w in enumerate(want):
+        assert got[100 + i]["score"] == pytest.approx(w, rel=1e-9)
+    for i, r in whole.items():
+        assert (got[i]["n_known"], got[i]["n_tokens"]) == (r["n_known"], r["n_tokens"])
+        assert got[i]["base_score"] == pytest.approx(r["base_score"], rel=1e-9)
