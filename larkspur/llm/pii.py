@@ -189,18 +189,25 @@ _SPELLED_PART = re.compile(rf"(?P<plus>plus\s+|\+\s*)|(?P<name>{_NAME})|(?P<digi
 
 _AT = re.compile(
     r"[(\[{<]\s{0,8}(?:at|@|arroba)\s{0,8}[)\]}>]|(?<=\s)(?:at|arroba|@)(?=\s)|(?<=[a-z0-9])[_*]{1,3}at[_*]{1,3}(?=[a-z0-9])"
+    r"|(?<=[a-z0-9._%+-])@(?=[a-z0-9-])"
 )
 _DOT = re.compile(rf"\s*[(\[{{<]\s*(?:\.|{_DOT_WORD})\s*[)\]}}>]\s*|\s+{_DOT_WORD}\s+|(?<=[a-z0-9])[_*]{{1,3}}{_DOT_WORD}[_*]{{1,3}}(?=[a-z0-9])")
 _LABEL = re.compile(r"[A-Za-z0-9-]+")
-_DOT_BEFORE = re.compile(rf"(?:[(\[{{<]\s*(?:\.|{_DOT_WORD})\s*[)\]}}>]|\s{_DOT_WORD})\s*\Z")
+_DOT_BEFORE = re.compile(rf"(?:\s*[(\[{{<]\s*(?:\.|{_DOT_WORD})\s*[)\]}}>]|\s{_DOT_WORD})\s*\Z")
 _NUMBER_DOT = re.compile(rf"(?<=[0-9])(?:\s*[(\[{{<]\s*(?:\.|{_DOT_WORD})\s*[)\]}}>]\s*|\s+{_DOT_WORD}\s+)(?=[0-9])")
 
 
 def _spelled_changes(low: str) -> Iterator[tuple[int, int, str]]:
-    """Digit names in runs with at least three of them, and what stands between the digits of such runs."""
+    """Digit names in runs with at least three of them, and what stands between the digits of such runs.
+
+    With one or two names a run counts if, written with digits, a finder takes a name in it for part of a number.
+    """
     for run in _SPELLED.finditer(low):
         parts = [(m.lastgroup, m.start() + run.start(), m.end() + run.start(), m.group()) for m in _SPELLED_PART.finditer(run.group())]
-        if sum(kind == "name" for kind, *_ in parts) < _LEAST_NAMES:
+        n_names = sum(kind == "name" for kind, *_ in parts)
+        if n_names < _LEAST_NAMES:
+            if n_names:
+                yield from _few_names(run, parts)
             continue
         for kind, begin, end, word in parts:
             if kind == "name":
@@ -213,10 +220,33 @@ def _spelled_changes(low: str) -> Iterator[tuple[int, int, str]]:
                 yield begin, end, ""
 
 
+def _few_names(run: re.Match[str], parts: list[tuple[str | None, int, int, str]]) -> list[tuple[int, int, str]]:
+    """The changes of a run with few digit names; none unless an address, card or phone has one of the names in it."""
+    changes = []
+    for kind, begin, end, word in parts:
+        if kind == "name":
+            changes.append((begin, end, _DIGIT_NAMES[word]))
+        elif kind == "plus":
+            changes.append((begin, end, "+"))
+        elif kind == "dot":
+            changes.append((begin, end, "."))
+        elif kind == "gap" and not word.isspace() and any(c.isalpha() for c in word):
+            changes.append((begin, end, "-"))
+    written = rewrite(run.group(), [(b - run.start(), e - run.start(), new) for b, e, new in changes])
+    names = [(b - run.start(), e - run.start()) for kind, b, e, _ in parts if kind == "name"]
+    for find_kind in _FINDERS[1:]:
+        for begin, end in find_kind(written.text):
+            begin, end, _ = written.source(begin, end)
+            if any(begin <= b and e <= end for b, e in names):
+                return changes
+    return []
+
+
 def _at_changes(text: str, low: str) -> Iterator[tuple[int, int, str]]:
     """At and dot disguises of one address: a local part, an at, a label, and at least one dot with a label.
 
-    A bare " at " or " @ " counts only with a disguised dot in the domain, for it is an ordinary word.
+    A bare " at " counts only with a disguised dot in the domain, for it is an ordinary word. An @ between word
+    characters is no disguise: it counts with a disguised dot on either side.
     """
     free = 0
     for at in _AT.finditer(low):
@@ -239,7 +269,8 @@ def _at_changes(text: str, low: str) -> Iterator[tuple[int, int, str]]:
                 if label:
                     dots.append((end, end + 1, ""))
         hidden = [d for d in dots if d[2]]
-        if not dots or at_begin < free or (sign in ("at", "arroba", "@") and not hidden):
+        in_sight = sign == "@" and at_begin == at.start()
+        if not dots or at_begin < free or (sign in ("at", "arroba") and not hidden):
             continue
         begin, before = at_begin, []
         while True:
@@ -254,9 +285,10 @@ def _at_changes(text: str, low: str) -> Iterator[tuple[int, int, str]]:
                 break
             before.append((dot.start(), begin, "."))
             begin = dot.start()
-        if begin < at_begin:
+        if begin < at_begin and (hidden or before or not in_sight):
             yield from reversed(before)
-            yield at_begin, at_end, "@"
+            if not in_sight:
+                yield at_begin, at_end, "@"
             yield from hidden
             free = end
 
@@ -287,7 +319,7 @@ def disguised(text: str, base: list[Span]) -> list[Span]:
     if any(name in low for name in _NAMES_SEEN):
         changes += _spelled_changes(low)
     dots = any(x in low for x in _DOTS_SEEN)
-    if dots or re.search(r"[(\[{<]\s*(?:at|@|arroba)\s*[)\]}>]|[_*]at[_*]", low):
+    if dots or re.search(r"[(\[{<]\s*(?:at|@|arroba)\s*[)\]}>]|[_*]at[_*]|\s@\s", low):
         changes += _at_changes(plain, low)
     if dots:
         changes += [(m.start(), m.end(), ".") for m in _NUMBER_DOT.finditer(low)]

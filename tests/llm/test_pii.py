@@ -96,3 +96,28 @@ def test_odd_rows(spark):
     clean = odd_docs(spark).select("doc_id", pii.redacted("text").alias("t")).collect()
     assert {r["doc_id"]: r["t"] for r in clean}[13] == "mail [email] or [phone]"
     assert {r["doc_id"]: r["t"] for r in clean}[1] is None
+
+
+@pytest.mark.parametrize("text, kind, hidden", [
+    ("write john@example[.]com today", "email", "john@example[.]com"),
+    ("write john@example (dot) com today", "email", "john@example (dot) com"),
+    ("write john@example dot com", "email", "john@example dot com"),
+    ("write john (dot) doe at example (dot) com today", "email", "john (dot) doe at example (dot) com"),
+    ("write john @ example.com today", "email", "john @ example.com"),
+    ("call +1 415 555 01 two three", "phone", "+1 415 555 01 two three"),
+    ("call plus 1 415 555 012 three now", "phone", "plus 1 415 555 012 three"),
+    ("host 192.168.one.two up", "ip", "192.168.one.two"),
+    ("host 192 dot 168 dot one dot 7 up", "ip", "192 dot 168 dot one dot 7"),
+    ("pay 4316 5226 7852 545 six, 20 times", "card", "4316 5226 7852 545 six"),
+])
+def test_partial_disguises(text, kind, hidden):
+    base, added = pii.find(text)
+    assert (pii.KINDS.index(kind), hidden) in [(k, text[b:e]) for b, e, k in added]
+    assert hidden not in pii.redact(text, base + added)
+
+
+@pytest.mark.parametrize("text", [
+    "sold at example.com", "chapter one 1.2.3", "two 2 many", "thanks @example.com", "x @ y", "one 1 of +1 two",
+])
+def test_partial_disguises_leave_clean_texts(text):
+    assert pii.find(text) == ([], [])
