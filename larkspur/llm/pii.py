@@ -135,7 +135,8 @@ class Mapped(NamedTuple):
         first, last = bisect_right(self.begins, begin) - 1, bisect_right(self.begins, end - 1) - 1
         low, low_end, low_copy = self.sources[first]
         high, high_end, high_copy = self.sources[last]
-        changed = any(not copy for _, _, copy in self.sources[first : last + 1])
+        pieces = self.sources[first : last + 1]
+        changed = any(not copy for _, _, copy in pieces) or any(a[1] != b[0] for a, b in zip(pieces, pieces[1:]))
         return (
             low + (begin - self.begins[first]) if low_copy else low,
             high + (end - self.begins[last]) if high_copy else high_end,
@@ -308,7 +309,8 @@ _DOTS_SEEN = ("dot", "punkt", "punto", "point", "[.]", "(.)", "{.}", "<.>")
 def disguised(text: str, base: list[Span]) -> list[Span]:
     """Identifiers that show only in the normalised text, as spans of the source, ordered as ``identifiers``.
 
-    A span is reported if something in it was rewritten and it overlaps no span of its kind in ``base``.
+    A span is reported if something in it was rewritten and it is more than a span of its kind in ``base``. A front
+    that only an invisible sign parts from such a span does not count as more.
     """
     first = rewrite(text, _glyph_changes(text)) if not text.isascii() and _SUSPECT.search(text) else None
     plain = first.text if first else text
@@ -332,7 +334,7 @@ def disguised(text: str, base: list[Span]) -> list[Span]:
         if first:
             begin, end, glyphs = first.source(begin, end)
             changed = changed or glyphs
-        if changed and not any(k == kind and b < end and begin < e for b, e, k in base):
+        if changed and not any(k == kind and e >= end and (b <= begin or text[b - 1] in _INVISIBLE) and b < end for b, e, k in base):
             out.append((begin, end, kind))
     return sorted(out, key=lambda s: (s[0], s[2]))
 

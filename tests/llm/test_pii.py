@@ -121,3 +121,22 @@ def test_partial_disguises(text, kind, hidden):
 ])
 def test_partial_disguises_leave_clean_texts(text):
     assert pii.find(text) == ([], [])
+
+
+@pytest.mark.parametrize("text, visible, whole", [
+    ("write joe@mail.exаmple.com now", "joe@mail.ex", "joe@mail.exаmple.com"),
+    ("write аdmin@mail.com now", "dmin@mail.com", "аdmin@mail.com"),
+    ("write joe@mail.ex​ample.com now", "joe@mail.ex", "joe@mail.ex​ample.com"),
+    ("write joe@mail.example[.]com now", "joe@mail.example", "joe@mail.example[.]com"),
+    ("write john (dot) doe@example.com now", "doe@example.com", "john (dot) doe@example.com"),
+])
+def test_a_visible_fragment_does_not_hide_the_whole(text, visible, whole):
+    base, added = pii.find(text)
+    assert [text[b:e] for b, e, _ in base] == [visible]
+    assert [text[b:e] for b, e, _ in added] == [whole]
+    assert pii.redact(text, base + added) == "write [email] now"
+
+
+def test_an_invisible_sign_alone_is_a_disguise():
+    text = "pay 4316\u200b522678525456 now"
+    assert pii.find(text) == ([], [(4, 21, pii.KINDS.index("card"))])
