@@ -3,7 +3,8 @@
 Repetitive text compresses far better than prose and random text far worse. Both
 ends are cut off: for the whole text, with limits by its length (short texts carry
 the frame's overhead, long ones gain from their own history), and for its chunks of
-a fixed size, so that one long run of either kind in a good text is found too.
+a fixed size, the last one aligned to the text's end, so that one long run of either kind
+in a good text is found too.
 """
 
 from __future__ import annotations
@@ -49,7 +50,8 @@ _BLANKS = " \t\n\v\f\r"
 
 MEASURES = (
     "struct<n_words:bigint,word_chars:bigint,n_symbols:bigint,n_dup_lines:bigint,n_repeat_words:bigint,"
-    "n_bytes:bigint,ratio:double,n_chunks:bigint,low_chunks:bigint,high_chunks:bigint>"
+    "n_bytes:bigint,ratio:double,n_chunks:bigint,low_chunks:bigint,high_chunks:bigint,"
+    "low_tail:bigint,high_tail:bigint>"
 )
 
 
@@ -74,7 +76,10 @@ def _repeated_lines(text: str) -> int:
 
 
 def measure(texts: pa.Array, level: int = 3, chunk_bytes: int = CHUNK_BYTES, chunk_band: Band = CHUNK_BAND) -> pa.Array:
-    """The measures of ``MEASURES`` for each text; a null text counts as empty and has ratio 1."""
+    """The measures of ``MEASURES`` for each text; a null text counts as empty and has ratio 1.
+
+    What whole chunks leave over at the end of a text is measured as the tail: a chunk that ends with the text.
+    """
     squeeze = zstandard.ZstdCompressor(level=level, write_checksum=False).compress
     columns: dict[str, list] = {x.split(":")[0]: [] for x in MEASURES[7:-1].split(",")}
     for s in slices(texts):
@@ -84,7 +89,7 @@ def measure(texts: pa.Array, level: int = 3, chunk_bytes: int = CHUNK_BYTES, chu
         columns["word_chars"].append(per_text(letters, s.offsets))
         columns["n_symbols"].append(per_text(_SYMBOL[s.data], s.offsets))
         columns["n_repeat_words"].append(_repeated_words(hash_words(s, words, lower=False), words.first))
-        dup, size, ratio, chunks, low, high = [], [], [], [], [], []
+        dup, size, ratio, chunks, low, high, low_tail, high_tail = [], [], [], [], [], [], [], []
         for begin, end in zip(s.offsets[:-1].tolist(), s.offsets[1:].tolist()):
             raw = s.data[begin:end].tobytes()
             dup.append(_repeated_lines(raw.decode()))
@@ -94,7 +99,11 @@ def measure(texts: pa.Array, level: int = 3, chunk_bytes: int = CHUNK_BYTES, chu
             chunks.append(len(parts))
             low.append(sum(x < chunk_band.low for x in parts))
             high.append(sum(x > chunk_band.high for x in parts))
-        for name, values in zip(("n_dup_lines", "n_bytes", "ratio", "n_chunks", "low_chunks", "high_chunks"), (dup, size, ratio, chunks, low, high)):
+            tail = len(squeeze(raw[-chunk_bytes:])) / chunk_bytes if parts and len(raw) % chunk_bytes else None
+            low_tail.append(tail is not None and tail < chunk_band.low)
+            high_tail.append(tail is not None and tail > chunk_band.high)
+        names = ("n_dup_lines", "n_bytes", "ratio", "n_chunks", "low_chunks", "high_chunks", "low_tail", "high_tail")
+        for name, values in zip(names, (dup, size, ratio, chunks, low, high, low_tail, high_tail)):
             columns[name].append(np.asarray(values))
     return pa.StructArray.from_arrays(
         [pa.array(np.concatenate(v or [np.zeros(0)]), type=pa.float64() if k == "ratio" else pa.int64()) for k, v in columns.items()],
@@ -113,13 +122,14 @@ def text_measures(text: str | Column, level: int = 3, chunk_bytes: int = CHUNK_B
 
 
 def within_bands(m: Column, bands: Sequence[Band] = BANDS, max_bad_chunks: float = MAX_BAD_CHUNKS) -> Column:
-    """Whether measured texts lie in the band of their length, and enough of their chunks in theirs."""
+    """Whether measured texts lie in the band of their length, and enough of their chunks in theirs, without and with the tail."""
     verdict = F.lit(True)
     for band in sorted(bands, key=lambda b: float("inf") if b.below is None else b.below, reverse=True):
         fits = m["ratio"].between(band.low, band.high)
         verdict = fits if band.below is None else F.when(m["n_bytes"] < band.below, fits).otherwise(verdict)
     bad = m["low_chunks"] + m["high_chunks"]
-    return verdict & (bad <= m["n_chunks"] * max_bad_chunks)
+    bad_tail = m["low_tail"] + m["high_tail"]
+    return verdict & (bad <= m["n_chunks"] * max_bad_chunks) & ((bad_tail == 0) | (bad + bad_tail <= (m["n_chunks"] + 1) * max_bad_chunks))
 
 
 def compression_bands(

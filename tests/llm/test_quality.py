@@ -56,6 +56,20 @@ def test_random_bytes_fail_and_a_bad_stretch_is_found(spark):
     assert {r["doc_id"]: r["in_bands"] for r in qr.compression_bands(df).collect()} == {1: False, 2: True, 3: False}
 
 
+def test_a_bad_tail_is_found(spark):
+    import random
+
+    rng = random.Random(3)
+    noise = "".join(chr(rng.randrange(33, 127)) for _ in range(4095))
+    prose = " ".join(rng.choice(["river", "stone", "bright", "walked", "toward", "morning", "quiet", "letters"]) + str(rng.randrange(99)) for _ in range(2000))
+    phrase = ("spam and more " * 300)[:4095]
+    texts = [(1, prose[:4096] + noise), (2, prose[:4096] + phrase), (3, prose[:8191]), (4, prose[:4096]), (5, prose[:4095])]
+    df = spark.createDataFrame(texts, "doc_id int, text string")
+    rows = {r["doc_id"]: r for r in qr.compression_bands(df).collect()}
+    assert [(rows[i]["measures"]["low_tail"], rows[i]["measures"]["high_tail"]) for i in range(1, 6)] == [(0, 1), (1, 0), (0, 0), (0, 0), (0, 0)]
+    assert {i: r["in_bands"] for i, r in rows.items()} == {1: False, 2: False, 3: True, 4: True, 5: True}
+
+
 def test_classifier_on_held_out_rows(spark):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     rows = QUERIES["op2_quality_classifier"](spark, "/root/testdata/sf0.01").join(labels, "doc_id").collect()
