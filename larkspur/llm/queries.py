@@ -52,9 +52,9 @@ def op3_pii_deobfuscation(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"))
     base, added = F.col("found.base"), F.col("found.added")
     key = lambda s: F.struct(s["begin"].alias("begin"), s["kind"].alias("kind"), s["end"].alias("end"))
-    counts = [
-        F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)
-    ]
+    # a one-argument function for each kind: a second argument would get the place in the array
+    of_kind = lambda k: lambda s: s["kind"] == k
+    counts = [F.size(F.filter(base, of_kind(k))).cast("bigint").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
     return found.select(
         "doc_id", *counts, F.sha2(joined_spans(F.array_sort(F.transform(base, key))).cast("binary"), 256).alias("base_sha256"),
         joined_spans(pii.all_spans(F.col("found"))).alias("spans"), F.size(added).cast("bigint").alias("n_added"),
