@@ -178,7 +178,7 @@ _DIGIT_NAMES = {
     "zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
     "null": "0", "eins": "1", "zwei": "2", "drei": "3", "vier": "4", "fünf": "5", "sechs": "6", "sieben": "7", "acht": "8", "neun": "9",
     "zéro": "0", "un": "1", "deux": "2", "trois": "3", "quatre": "4", "cinq": "5", "sept": "7", "huit": "8", "neuf": "9",
-    "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
+    "oh": "0", "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
 }
 _LEAST_NAMES = 3
 _NAME = "|".join(sorted(_DIGIT_NAMES, key=len, reverse=True))
@@ -192,9 +192,15 @@ _AT = re.compile(
     r"[(\[{<]\s{0,8}(?:at|@|arroba)\s{0,8}[)\]}>]|(?<=\s)(?:at|arroba|@)(?=\s)|(?<=[a-z0-9])[_*]{1,3}at[_*]{1,3}(?=[a-z0-9])"
     r"|(?<=[a-z0-9._%+-])@(?=[a-z0-9-])"
 )
+#: Top domains behind which a dot between blanks counts as a disguise; elsewhere it ends a sentence.
+_TOP = r"(?:com|net|org|edu|gov|info|io|de|fr|es|uk|eu)"
+_SPACED_DOT = re.compile(rf"\s{{1,8}}\.\s{{1,8}}(?=(?:[a-z0-9-]{{1,63}}\s{{1,8}}\.\s{{1,8}})?{_TOP}(?![\w-]))")
 _DOT = re.compile(rf"\s*[(\[{{<]\s*(?:\.|{_DOT_WORD})\s*[)\]}}>]\s*|\s+{_DOT_WORD}\s+|(?<=[a-z0-9])[_*]{{1,3}}{_DOT_WORD}[_*]{{1,3}}(?=[a-z0-9])")
 _LABEL = re.compile(r"[A-Za-z0-9-]+")
 _DOT_BEFORE = re.compile(rf"(?:\s*[(\[{{<]\s*(?:\.|{_DOT_WORD})\s*[)\]}}>]|\s{_DOT_WORD})\s*\Z")
+_SPACED_ADDRESS = re.compile(r"(?<![\w.])[0-9]{1,3}(?:\s{1,8}\.\s{1,8}[0-9]{1,3}){3}(?!\w)")
+_BLANK_DOT = re.compile(r"\s{1,8}\.\s{1,8}")
+_LONE_DOT = re.compile(r"\s\.\s")
 _NUMBER_DOT = re.compile(rf"(?<=[0-9])(?:\s*[(\[{{<]\s*(?:\.|{_DOT_WORD})\s*[)\]}}>]\s*|\s+{_DOT_WORD}\s+)(?=[0-9])")
 
 
@@ -260,7 +266,7 @@ def _at_changes(text: str, low: str) -> Iterator[tuple[int, int, str]]:
         label = _LABEL.match(text, end)
         while label:
             end = label.end()
-            dot = _DOT.match(low, end)
+            dot = _DOT.match(low, end) or _SPACED_DOT.match(low, end)
             if dot:
                 label = _LABEL.match(text, dot.end())
                 if label:
@@ -302,15 +308,15 @@ def _apart(changes: Iterable[tuple[int, int, str]]) -> Iterator[tuple[int, int,
             free = end
 
 
-_NAMES_SEEN = tuple(sorted({n for n in _DIGIT_NAMES if not any(o in n and o != n for o in _DIGIT_NAMES)}))
+_LONG_NAMES = [n for n in _DIGIT_NAMES if n != "oh"]
+_NAMES_SEEN = (*sorted({n for n in _LONG_NAMES if not any(o in n and o != n for o in _LONG_NAMES)}), " oh", "-oh", "oh ", "oh-")
 _DOTS_SEEN = ("dot", "punkt", "punto", "point", "[.]", "(.)", "{.}", "<.>")
 
 
 def disguised(text: str, base: list[Span]) -> list[Span]:
     """Identifiers that show only in the normalised text, as spans of the source, ordered as ``identifiers``.
 
-    A span is reported if something in it was rewritten and it is more than a span of its kind in ``base``. A front
-    that only an invisible sign parts from such a span does not count as more.
+    A span is reported if something in it was rewritten and no span of its kind in ``base`` holds all of it.
     """
     first = rewrite(text, _glyph_changes(text)) if not text.isascii() and _SUSPECT.search(text) else None
     plain = first.text if first else text
@@ -320,11 +326,15 @@ def disguised(text: str, base: list[Span]) -> list[Span]:
     changes: list[tuple[int, int, str]] = []
     if any(name in low for name in _NAMES_SEEN):
         changes += _spelled_changes(low)
-    dots = any(x in low for x in _DOTS_SEEN)
-    if dots or re.search(r"[(\[{<]\s*(?:at|@|arroba)\s*[)\]}>]|[_*]at[_*]|\s@\s", low):
+    dots, spaced = any(x in low for x in _DOTS_SEEN), _LONE_DOT.search(low) is not None
+    if dots or spaced or re.search(r"[(\[{<]\s*(?:at|@|arroba)\s*[)\]}>]|[_*]at[_*]|\s@\s", low):
         changes += _at_changes(plain, low)
     if dots:
         changes += [(m.start(), m.end(), ".") for m in _NUMBER_DOT.finditer(low)]
+    if spaced:
+        changes += [
+            (a.start() + m.start(), a.start() + m.end(), ".") for a in _SPACED_ADDRESS.finditer(low) for m in _BLANK_DOT.finditer(a.group())
+        ]
     if not first and not changes:
         return []
     second = rewrite(plain, _apart(changes))
@@ -334,7 +344,7 @@ def disguised(text: str, base: list[Span]) -> list[Span]:
         if first:
             begin, end, glyphs = first.source(begin, end)
             changed = changed or glyphs
-        if changed and not any(k == kind and e >= end and (b <= begin or text[b - 1] in _INVISIBLE) and b < end for b, e, k in base):
+        if changed and not any(k == kind and b <= begin and end <= e for b, e, k in base):
             out.append((begin, end, kind))
     return sorted(out, key=lambda s: (s[0], s[2]))
 
