@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import mixing, ngram_join, packing, pii, quality_classifier, quality_rules, suffix_tree, token_rollups, topk, url_reputation
+from larkspur.llm import html_extraction, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, suffix_tree, token_rollups, topk, url_reputation
 from larkspur.llm.registry import QUERIES, SQL, query
 from larkspur.session import table
 
@@ -243,3 +243,28 @@ def op10_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
         failed.alias("base_failed"), (~failed & F.col("in_bands")).alias("kept"),
         *[m[x].alias(x) for x in ("n_bytes", "ratio", "n_chunks", "low_chunks", "high_chunks")],
     )
+
+
+OP12_SQL = r"""
+with article as (
+  select page_id, url,
+         string_split_regex(regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '<br>', ' ', 'g'), '</?(p|h1)>') as parts
+  from pages),
+bare as (select page_id, url, list_transform(parts, lambda x: regexp_replace(x, '<[^>]*>', '', 'g')) as parts from article),
+decoded as (
+  select page_id, url, list_transform(parts, lambda x:
+    trim(regexp_replace(regexp_replace(regexp_replace(x, '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) as parts
+  from bare)
+select page_id, url, array_to_string(list_filter(parts, lambda x: x <> ''), chr(10)) as text,
+       cast(length(array_to_string(list_filter(parts, lambda x: x <> ''), chr(10))) as bigint) as n_chars
+from decoded
+"""
+
+
+@query("op12_html_extraction", OP12_SQL)
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, by the path that the pages of its host agree on.
+
+    The SQL reads the article element of the given pages, whose references are those of ``&`` and ``"``.
+    """
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
