@@ -60,6 +60,31 @@ def running_sums(
     )
 
 
+def carried(df: DataFrame, order: Sequence[str], values: dict[str, Column], ranges: int | None = None) -> DataFrame:
+    """For every row the last value that is not null, of this row or an earlier one, of each expression.
+
+    The order is over the whole frame and has no ties that matter. The frame is written once, cut by it into ``ranges``
+    (default: the session's shuffle partitions): each range is scanned on its own, and what its predecessors end with
+    is carried over from one row per range. So no key, however many rows follow it, brings them into one task.
+    """
+    order = list(order)
+    cut = [ranges] if ranges else []
+    own = {f"_carry_{name}": value for name, value in values.items()}
+    ranged = df.withColumns(own).repartitionByRange(*cut, *order).withColumn("_carry_range", F.spark_partition_id())
+    ranged = cut_lineage(df.sparkSession, ranged, "carried")
+    place = F.struct(*order)
+    ends = ranged.groupBy(F.col("_carry_range").alias("_carry_from")).agg(
+        *[F.max_by(v, F.when(F.col(v).isNotNull(), place)).alias(f"_end{v}") for v in own]
+    )
+    # one row per range
+    earlier = Window.orderBy("_carry_from").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ends.select("_carry_from", *[F.last(f"_end{v}", ignorenulls=True).over(earlier).alias(f"_start{v}") for v in own])
+    here = Window.partitionBy("_carry_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    scanned = ranged.withColumns({f"_here{v}": F.last(v, ignorenulls=True).over(here) for v in own})
+    found = {name: F.coalesce(f"_here_carry_{name}", f"_start_carry_{name}") for name in values}
+    return scanned.join(starts, F.col("_carry_range") == F.col("_carry_from")).select(*df.columns, *[v.alias(n) for n, v in found.items()])
+
+
 def _same(by: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by), F.lit(True))
 

@@ -139,3 +139,16 @@ def test_new_ids_run_on_across_ranges(spark):
     rows = spark.createDataFrame([(k, f"n{k}") for k in np.random.default_rng(0).permutation(60).tolist()], "k int, name string")
     got = mutation.insert_with_ids(target, rows, "id", F.col("k")).collect()
     assert {r["k"]: r["id"] for r in got} == {k: 42 + k for k in range(60)}
+
+
+@pytest.mark.parametrize("ranges", [1, 7])
+def test_carried_values_cross_ranges(spark, ranges):
+    rows = [(i, i * 10 if i % 37 == 5 else None, "x" if i == 50 else None, 1) for i in range(300)]
+    df = spark.createDataFrame(rows, "at int, mark int, once string, _r int").repartition(5)
+    got = {r["at"]: (r["last_mark"], r["last_once"]) for r in ordered.carried(df, ["at"], {"last_mark": F.col("mark"), "last_once": F.col("once")}, ranges).collect()}
+    mark = once = None
+    for at, m, o, _ in rows:
+        mark, once = (mark if m is None else m), (once if o is None else o)
+        assert got[at] == (mark, once)
+    empty = ordered.carried(df.where("at < 0"), ["at"], {"last_mark": F.col("mark")}, ranges)
+    assert empty.collect() == []
