@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import html_extraction, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, suffix_tree, token_rollups, topk, url_reputation
+from larkspur.llm import collocations, html_extraction, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, suffix_tree, token_rollups, topk, url_reputation
 from larkspur.llm.registry import QUERIES, SQL, query
 from larkspur.session import table
 
@@ -268,3 +268,9 @@ def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     The SQL reads the article element of the given pages, whose references are those of ``&`` and ``"``.
     """
     return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op13_phrase_collocations")
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of two to four words of every language."""
+    return collocations.top_phrases(table(spark, sf_dir, "documents"), 2000)
