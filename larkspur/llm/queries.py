@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import collocations, html_extraction, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, suffix_tree, token_rollups, topk, url_reputation
+from larkspur.llm import collocations, hard_negatives, html_extraction, mixing, ngram_join, packing, pii, quality_classifier, quality_rules, suffix_tree, token_rollups, topk, url_reputation
 from larkspur.llm.registry import QUERIES, SQL, query
 from larkspur.session import table
 
@@ -245,6 +245,38 @@ def op10_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP11_SQL = """
+with whole as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where label is not null and embedding is not null and list_count(embedding) = len(embedding)
+    and list_count(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+scored as (
+  select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+         cast(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+  from whole a join whole c on a.vec_id <> c.vec_id and len(a.v) = len(c.v)
+  where a.vec_id % 100 = 0),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score
+  from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, p.positive_id,
+       cast(row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id) as integer) as rank,
+       s.vec_id as negative_id, p.positive_score, s.score as negative_score
+from positives p join scored s on s.anchor_id = p.anchor_id
+where not s.same and 30 * p.positive_score <= 100 * s.score and 100 * s.score <= 90 * p.positive_score
+qualify row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id) <= 10
+"""
+
+
+@query("op11_hard_negatives", OP11_SQL)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every hundredth vector its five best of the label, and for each ten of other labels that score nearly as high."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 OP12_SQL = r"""
 with article as (
   select page_id, url,
