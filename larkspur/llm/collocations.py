@@ -257,14 +257,16 @@ def _whole(x: Column | str) -> Column:
 
 
 def _streams(spark: SparkSession, counts: DataFrame, longest: int) -> tuple[DataFrame, DataFrame]:
-    """The runs in prefix order with the counts of their fronts (``front1``…), and in suffix order with those of their ends."""
-    runs = counts.where("run <> ''").withColumn("words", F.split("run", " ")).withColumn("size", F.size("words"))
-    runs = runs.withColumn("back", F.reverse("words"))
+    """The runs in prefix order with the counts of their fronts (``front0``…), and in suffix order with those of their ends."""
+    words = F.when(F.col("run") == "", F.array().cast("array<string>")).otherwise(F.split("run", " "))
+    runs = counts.withColumn("words", words).withColumn("size", F.size("words")).withColumn("back", F.reverse("words"))
     lengths = range(1, longest)
     # a run that is kept occurs no more often than any part of it: every front is kept and lies before it, and no
     # other run of the front's length lies between them
-    prefix = carried(runs, ["lang", "words"], {f"front{k}": F.when(F.col("size") == k, F.col("f")) for k in lengths})
-    suffix = carried(runs, ["lang", "back"], {f"end{k}": F.when(F.col("size") == k, F.col("f")) for k in lengths})
+    # the empty run comes first of its language
+    fronts = {f"front{k}": F.when(F.col("size") == k, F.col("f")) for k in range(longest)}
+    prefix = carried(runs, ["lang", "words"], fronts)
+    suffix = carried(runs.where("size > 0"), ["lang", "back"], {f"end{k}": F.when(F.col("size") == k, F.col("f")) for k in lengths})
     return prefix, suffix
 
 
@@ -282,7 +284,7 @@ def phrases(docs: DataFrame, settings: Settings = Settings(), lang: str = "lang"
     texts = spread(docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")))
     counts = cut_lineage(spark, count_runs(texts, frequent_buckets(texts, cfg), cfg), "counts")
     prefix, suffix = _streams(spark, counts, cfg.longest)
-    prefix = prefix.where("size > 1").select("lang", "run", "size", "f", *[f"front{k}" for k in range(1, cfg.longest)])
+    prefix = prefix.where("size > 1").select("lang", "run", "size", "f", *[f"front{k}" for k in range(cfg.longest)])
     suffix = suffix.where("size > 1").select(F.col("lang").alias("_lang"), F.col("run").alias("_run"), *[f"end{k}" for k in range(1, cfg.longest)])
     same = (F.col("lang") == F.col("_lang")) & (F.col("run") == F.col("_run"))
     # in step: both sides sorted by run
@@ -309,10 +311,8 @@ def phrases(docs: DataFrame, settings: Settings = Settings(), lang: str = "lang"
         ratio = F.call_function("div", F.lit(2_000_000).cast("decimal(7,0)") * _whole("f"), _whole(f"front{k}") + _whole(rest))
         cuts.append(F.when(F.col("size") > k, F.struct(ratio.cast("bigint").alias("score"), F.lit(k).alias("k"), F.col(f"front{k}").alias("l"), rest.alias("r"))))
     lowest = F.array_min(F.array(*cuts))
-    totals = counts.where("run = ''").select(F.col("lang").alias("_lang"), F.col("f").alias("n"))
-    return (
-        kept.withColumn("cut", lowest).join(totals, F.col("lang") == F.col("_lang"))
-        .select("lang", F.col("run").alias("phrase"), F.col("f").alias("a"), "cut.l", "cut.r", "n", "cut.score")
+    return kept.withColumn("cut", lowest).select(
+        "lang", F.col("run").alias("phrase"), F.col("f").alias("a"), "cut.l", "cut.r", F.col("front0").alias("n"), "cut.score"
     )
 
 

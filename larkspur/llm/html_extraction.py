@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.llm.url_reputation import url_host
+from larkspur.session import cut_lineage
 
 
 class Settings(NamedTuple):
@@ -321,7 +322,8 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", keep: tuple[
     none with ``://``) use their own candidate. Rows may repeat, ids may be null, and other columns are not read. A page
     below whose winning path there is no text is empty too: the host's other pages say where its article would be.
     """
-    paths = host_paths(pages, url, html, settings).select("host", "path")
+    # written, so that its size is known before the pages are dealt: while it is small they stay where they are
+    paths = cut_lineage(pages.sparkSession, host_paths(pages, url, html, settings).select("host", "path"), "paths")
     row = pages.select(F.struct(*keep).alias("row"), url_host(F.col(url)).alias("host"), F.col(html).alias("html"))
     found = row.join(paths, "host", "left").select("row", page_texts(F.col("html"), F.col("path"), settings).alias("text"))
     return found.select("row.*", "text", F.length("text").cast("bigint").alias("n_chars"))
