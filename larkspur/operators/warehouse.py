@@ -88,6 +88,12 @@ def dim_date(spark, first: str = "2015-01-01", last: str = "2025-12-31") -> Data
     return dates.sunday_week_attributes(dates.calendar_span(spark, first, last))
 
 
+def dim_date_of(df: DataFrame, day: str) -> DataFrame:
+    """The calendar from the first to the last day in use; empty if there is none."""
+    first, last = df.agg(F.min(day).cast("string"), F.max(day).cast("string")).first()
+    return dim_date(df.sparkSession, first, last)
+
+
 def fact_sales(staged: DataFrame) -> DataFrame:
     return staged.withColumn("revenue", F.col("price") * F.col("amount"))
 

@@ -8,12 +8,13 @@ from larkspur.functions import text
 from larkspur.functions.money import exchange_rates, salary_columns
 from larkspur.operators import mutation as m
 from larkspur.operators import quality as q
+from larkspur.operators import versions as v
 from larkspur.operators import warehouse as w
 from larkspur.plans import standins as s
 from larkspur.plans.clicks import carts
 from larkspur.plans.joins import jobs
 from larkspur.plans.registry import Tables, query
-from larkspur.session import new_folder
+from larkspur.session import cut_lineage, new_folder
 from larkspur.sources.literal import literal_rows
 
 c = F.col
@@ -91,12 +92,14 @@ s.CTE["dim_location"] = """
 select distinct location_key, ip_address, country_short_name, country_long_name, coalesce(region_name, 'XNA') as region_name, coalesce(city_name, 'XNA') as city_name
 from stg_location union all select '-1', 'XNA', 'XNA', 'XNA', 'XNA', 'XNA'"""
 s.CTE["dim_product"] = "select distinct * from stg_product union all select -1, 'XNA'"
-s.CTE["dim_date"] = """
+_DAYS = """
 select cast(d as date) as full_date, dayname(d) as day_of_week, left(dayname(d), 3) as day_of_week_short,
   case when dayofweek(d) in (0, 6) then 'Weekend' else 'Weekday' end as is_weekday_or_weekend, cast(day(d) as integer) as day_of_month,
   strftime(d, '%Y-%m') as year_month, cast(month(d) as integer) as month, cast(dayofyear(d) as integer) as day_of_year,
   cast(strftime(d, '%U') as integer) as week_of_year, cast(quarter(d) as integer) as quarter_number, cast(year(d) as integer) as year_number
-from (select unnest(generate_series(timestamp '1995-01-01', timestamp '2000-12-31', interval 1 day)) as d)"""
+from (select unnest(generate_series(min(cast({day} as date))::timestamp, max(cast({day} as date))::timestamp, interval 1 day)) as d from {source})"""
+s.CTE["dim_date"] = _DAYS.format(day="full_date", source="stg_sales")
+s.CTE["order_days"] = _DAYS.format(day="o_orderdate", source="orders")
 _SOURCES = ("fx", "carts", "items", "ip_location", "crawled", "stg_location", "stg_product", "stg_sales")
 
 
@@ -104,8 +107,6 @@ def _sales(t: Tables):
     return w.stage_sales(carts(t), exchange_rates(t.spark), sha)
 
 
-def _days(t: Tables):
-    return w.dim_date(t.spark, "1995-01-01", "2000-12-31")
 
 
 @query("q11_stage_locations", s.with_("ip_location", "stg_location") + "select * from stg_location")
@@ -141,14 +142,14 @@ def q14_product(t: Tables):
 
 @query(
     "q14_dim_date_usage",
-    s.with_("dim_date")
+    s.with_("order_days")
     + """select year_month, is_weekday_or_weekend, cast(min(week_of_year) as integer) as first_week, count(*) as orders
-         from orders join dim_date on cast(o_orderdate as date) = full_date group by 1, 2""",
+         from orders join order_days on cast(o_orderdate as date) = full_date group by 1, 2""",
 )
 def q14_date(t: Tables):
     per_day = t.orders.groupBy(F.to_date("o_orderdate").alias("full_date")).agg(F.count("*").alias("n"))
     return (
-        per_day.join(_days(t), "full_date")
+        per_day.join(w.dim_date_of(per_day, "full_date"), "full_date")
         .groupBy("year_month", "is_weekday_or_weekend")
         .agg(F.min("week_of_year").alias("first_week"), F.sum("n").alias("orders"))
     )
@@ -166,6 +167,30 @@ def q15(t: Tables):
     )
 
 
+@query(
+    "q15_incremental_fact",
+    s.with_("fx", "carts", "items", "stg_sales")
+    + """select sales_key, strftime(full_date, '%Y-%m-%d') as full_date, round(price, 6) as price, amount, round(price * amount, 6) as revenue from stg_sales""",
+)
+def q15_incremental(t: Tables):
+    """A first run over most days, with one month's prices wrong, and a second that brings the rest and that month again.
+
+    The fact is cut by month: the second run reads and writes the months that it brings, and no other.
+    """
+    fact = w.fact_sales(_sales(t)).withColumn("month", F.date_format("full_date", "yyyy-MM"))
+    fact = cut_lineage(t.spark, fact, "fact")
+    late = fact.where(F.month("full_date") == 12)
+    again = fact.where(F.month("full_date") == 6)
+    first = fact.where(F.month("full_date") < 12).withColumn("price", F.when(F.month("full_date") != 6, c("price")))
+    root = _store(t, {"fact_sales": first.withColumn("revenue", c("price") * c("amount"))}, {"fact_sales": "month"})
+    change = v.Change(t.spark, root)
+    change.merge("fact_sales", late.unionByName(again), ["sales_key"])
+    change.commit()
+    return v.read(t.spark, root, "fact_sales").select(
+        "sales_key", F.date_format("full_date", "yyyy-MM-dd").alias("full_date"), F.round("price", 6).alias("price"), "amount", F.round("revenue", 6).alias("revenue")
+    )
+
+
 @query(
     "q15_sales_flat",
     s.with_(*_SOURCES, "dim_location", "dim_product", "dim_date")
@@ -175,11 +200,12 @@ def q15(t: Tables):
          left join dim_date d on f.full_date = d.full_date""",
 )
 def q15_flat(t: Tables):
+    sales = _sales(t)
     flat = w.sales_flat(
-        w.fact_sales(_sales(t)),
+        w.fact_sales(sales),
         w.dim_location(w.stage_locations(ip_location(t), sha), "-1"),
         w.dim_product(w.stage_products(crawled(t))),
-        _days(t),
+        w.dim_date_of(sales, "full_date"),
     )
     return flat.select(
         "sales_key", "product_key", "location_key", F.date_format("full_date", "yyyy-MM-dd").alias("full_date"),
@@ -266,16 +292,49 @@ def q05(t: Tables):
     )
 
 
+def _store(t: Tables, tables: dict, parts: dict | None = None):
+    """A store that holds these tables as its first contents; its folder."""
+    root = new_folder(t.spark, "store")
+    v.create(t.spark, root, {name: df.schema for name, df in tables.items()}, parts)
+    change = v.Change(t.spark, root)
+    for name, df in tables.items():
+        change.append(name, df)
+    change.commit()
+    return root
+
+
+def _told(t: Tables, **counts):
+    """What a change returned, as one row."""
+    return literal_rows(t.spark, [list(counts.values())], ", ".join(f"{name} bigint" for name in counts))
+
+
+def _inserted(t: Tables):
+    vendors = t.supplier.select(c("s_suppkey").alias("vendor_id"), c("s_name").alias("vendor_name"))
+    root = _store(t, {"vendors": vendors})
+    change = v.Change(t.spark, root)
+    new = t.customer.select("c_custkey", c("c_name").alias("vendor_name"))
+    counts = change.insert("vendors", new, "vendor_id", c("c_custkey"))
+    change.commit()
+    return root, counts
+
+
 @query(
     "q06_insert_new_ids",
     """select s_suppkey as vendor_id, s_name as vendor_name from supplier union all
        select (select max(s_suppkey) from supplier) + row_number() over (order by c_custkey), c_name from customer""",
 )
 def q06(t: Tables):
-    vendors = t.supplier.select(c("s_suppkey").alias("vendor_id"), c("s_name").alias("vendor_name"))
-    new = t.customer.select("c_custkey", c("c_name").alias("vendor_name"))
-    added = m.insert_with_ids(vendors, new, "vendor_id", c("c_custkey")).drop("c_custkey")
-    return vendors.unionByName(added)
+    """Read back from storage after the insert."""
+    return v.read(t.spark, _inserted(t)[0], "vendors")
+
+
+@query(
+    "q06_insert_returns",
+    "select (select count(*) from customer) as inserted, (select max(s_suppkey) from supplier) + (select count(*) from customer) as last_id",
+)
+def q06_returns(t: Tables):
+    inserted, last = _inserted(t)[1]
+    return _told(t, inserted=inserted, last_id=last)
 
 
 @query(
@@ -283,9 +342,27 @@ def q06(t: Tables):
     """select s_suppkey, case when s_suppkey = 7 then 'Renamed' else s_name end as s_name, s_nationkey from supplier""",
 )
 def q07(t: Tables):
-    return m.update_where(t.supplier, c("s_suppkey") == 7, {"s_name": F.lit("Renamed")}).select(
-        "s_suppkey", "s_name", "s_nationkey"
-    )
+    """Read back from storage after the update."""
+    root = _store(t, {"vendors": t.supplier.select("s_suppkey", "s_name", "s_nationkey")})
+    change = v.Change(t.spark, root)
+    change.update("vendors", c("s_suppkey") == 7, {"s_name": F.lit("Renamed")})
+    change.commit()
+    return v.read(t.spark, root, "vendors")
+
+
+@query(
+    "q07_update_returns",
+    """select (select count(*) from customer where c_nationkey = 3) as changed, (select count(*) from customer where c_nationkey = 3) as with_new_name,
+         (select count(*) from customer) as rows""",
+)
+def q07_returns(t: Tables):
+    """Cut by nation: the update writes one part again, and tells how many rows it changed."""
+    root = _store(t, {"clients": t.customer.select("c_custkey", "c_name", "c_nationkey")}, {"clients": "c_nationkey"})
+    change = v.Change(t.spark, root)
+    changed = change.update("clients", c("c_nationkey") == 3, {"c_name": F.lit("Moved")})
+    change.commit()
+    stored = v.read(t.spark, root, "clients")
+    return stored.agg(F.lit(changed).cast("bigint").alias("changed"), F.count_if(c("c_name") == "Moved").alias("with_new_name"), F.count("*").alias("rows"))
 
 
 @query(
@@ -296,19 +373,18 @@ def q07(t: Tables):
        from (select distinct l_suppkey, l_partkey from lineitem)""",
 )
 def q08(t: Tables):
-    doomed = t.part.where(c("p_size") == 11).select("p_partkey")
+    """Parts and their vendor rows go in one commit; kept rows are counted in storage."""
     bridge = t.lineitem.select("l_suppkey", "l_partkey").distinct()
-    left = m.delete_cascade(t.part, "p_partkey", doomed, {"vendor_parts": (bridge, "l_partkey")})
-    before = {"part": t.part, "vendor_parts": bridge}
-    after = {"part": left["parent"], "vendor_parts": left["vendor_parts"]}
-    rows = None
-    for name in before:
-        old = before[name].select(F.lit(1).alias("old"), F.lit(0).alias("new"))
-        new = after[name].select(F.lit(0).alias("old"), F.lit(1).alias("new"))
-        counts = old.unionByName(new).agg(F.sum("new").alias("kept"), (F.sum("old") - F.sum("new")).alias("removed"))
-        counts = counts.select(F.lit(name).alias("table"), "kept", "removed")
-        rows = counts if rows is None else rows.unionByName(counts)
-    return rows
+    root = _store(t, {"part": t.part, "vendor_parts": bridge})
+    change = v.Change(t.spark, root)
+    doomed = change.table("part").where(c("p_size") == 11).select("p_partkey")
+    removed = change.delete("part", "p_partkey", doomed, {"vendor_parts": "l_partkey"})
+    change.commit()
+    rows = [
+        v.read(t.spark, root, name).agg(F.lit(name).alias("table"), F.count("*").alias("kept"), F.lit(n).cast("bigint").alias("removed"))
+        for name, n in removed.items()
+    ]
+    return rows[0].unionByName(rows[1])
 
 
 @query(
@@ -318,30 +394,43 @@ def q08(t: Tables):
        union all select 'order_vendors', count(*) from lineitem where l_orderkey not in (select unit from bad)""",
 )
 def q09(t: Tables):
-    """Orders with their vendor rows; one unknown vendor rejects the whole order."""
+    """Orders with their vendor rows, stored by one commit; one unknown vendor rejects the whole order."""
     parents = t.orders.select(c("o_orderkey").alias("unit"), "o_custkey")
     bridge = t.lineitem.select(c("l_orderkey").alias("unit"), "l_suppkey")
     known = t.supplier.where(c("s_nationkey") < 24)
     orders, vendors = m.insert_all_or_nothing(parents, bridge, [("l_suppkey", known, "s_suppkey")])
-    parts = [
-        df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
-        for name, df in (("orders", orders), ("order_vendors", vendors))
-    ]
+    root = _store(t, {"orders": orders, "order_vendors": vendors})
+    parts = [v.read(t.spark, root, name).agg(F.lit(name).alias("table"), F.count("*").alias("rows")) for name in ("orders", "order_vendors")]
     return parts[0].unionByName(parts[1])
 
 
-@query(
-    "q10_upsert",
-    """select c_custkey as id, case when c_custkey % 3 = 0 then 'changed' else c_name end as name from customer
-       union all select -c_custkey - 1, 'new' from customer""",
-)
-def q10(t: Tables):
-    """Changes replace matching rows and add the others; the result is swapped in as the table."""
+_UPSERT_SQL = """select c_custkey as id, case when c_custkey % 3 = 0 then 'changed' else c_name end as name from customer
+       union all select -c_custkey - 1, 'new' from customer"""
+
+
+def _customer_changes(t: Tables):
     key = c("c_custkey")
-    target = m.replace_table(t.customer.select(key.alias("id"), c("c_name").alias("name")), m.unique_name("dim_customer"))
     changed = t.customer.where(key % 3 == 0).select(key.alias("id"), F.lit("changed").alias("name"))
-    new = t.customer.select((-key - 1).alias("id"), F.lit("new").alias("name"))
-    return m.replace_table(m.upsert(target, changed.unionByName(new), ["id"]), m.unique_name("dim_customer"))
+    return changed.unionByName(t.customer.select((-key - 1).alias("id"), F.lit("new").alias("name")))
+
+
+@query("q10_upsert", _UPSERT_SQL)
+def q10(t: Tables):
+    """Changes replace matching rows and add the others; the result is swapped in as the table."""
+    name = m.unique_name("dim_customer")
+    target = m.replace_table(t.customer.select(c("c_custkey").alias("id"), c("c_name").alias("name")), name)
+    return m.replace_table(m.upsert(target, _customer_changes(t), ["id"]), name)
+
+
+@query("q10_upsert_by_parts", _UPSERT_SQL)
+def q10_parts(t: Tables):
+    """The same in a store cut by buckets of the key, of which only those with changes are written again."""
+    bucket = v.bucket_of(["id"], 8).alias("bucket")
+    root = _store(t, {"dim_customer": t.customer.select(c("c_custkey").alias("id"), c("c_name").alias("name")).select("*", bucket)}, {"dim_customer": "bucket"})
+    change = v.Change(t.spark, root)
+    change.merge("dim_customer", _customer_changes(t).select("*", bucket), ["id"])
+    change.commit()
+    return v.read(t.spark, root, "dim_customer").drop("bucket")
 
 
 @query(
