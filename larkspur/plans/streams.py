@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.operators import versions
@@ -10,7 +13,7 @@ from larkspur.plans.clicks import messages
 from larkspur.plans.registry import Tables, query
 from larkspur.session import new_folder, spread, stream_table
 from larkspur.streaming import events as ev
-from larkspur.streaming import sinks, star
+from larkspur.streaming import reports, sinks, star
 
 c = F.col
 
@@ -55,18 +58,20 @@ _WORDS_SQL = "select word, count(*) as count from (select unnest(string_split(te
 
 
 def _running_counts(t: Tables, *filters):
-    """Whole-stream word counts in complete mode; one result per filter."""
+    """Whole-stream word counts, kept by changes; one result per filter.
+
+    The filter is applied to the kept counts: a count that no longer passes is a change, too.
+    """
     lines = stream_table(t.spark, t.sf_dir, "documents")
-    paths, running = [], []
-    for keep in filters:
-        out = new_folder(t.spark, "counts")
-        counts = keep(ev.word_counts(lines, "text"))
-        running.append(
-            sinks.start(counts, new_folder(t.spark, "counts-checkpoint"), batch=sinks.latest_result(out), mode="complete")
-        )
-        paths.append(out)
+    roots, running = [], []
+    for _ in filters:
+        root, checkpoint = new_folder(t.spark, "counts"), new_folder(t.spark, "counts-checkpoint")
+        versions.create(t.spark, root, {"counts": "word string, count bigint, _batch bigint"})
+        write = sinks.changes_into(root, "counts", ["word"], checkpoint)
+        running.append(sinks.start(ev.word_counts(lines, "text"), checkpoint, batch=write, mode="update"))
+        roots.append(root)
     sinks.finish(*running)
-    return [sinks.read_latest(t.spark, p) for p in paths]
+    return [keep(sinks.read_changes(t.spark, root, "counts", ["word"])) for keep, root in zip(filters, roots)]
 
 
 @query("x03_running_word_count", _WORDS_SQL)
@@ -313,6 +318,22 @@ def x19(t: Tables):
     )
 
 
+@query("x19_listened_progress", "select count(*) as input_rows, cast(1 as bigint) as ends, cast(0 as bigint) as failed from events")
+def x19_listened(t: Tables):
+    """A plain file sink, counted from outside by what Spark tells of every batch."""
+    log = sinks.ProgressLog(t.spark, new_folder(t.spark, "log"))
+    t.spark.streams.addListener(log)
+    try:
+        out, checkpoint = new_folder(t.spark, "listened"), new_folder(t.spark, "listened-checkpoint")
+        stream = sinks.start(record_stream(t).select("offset"), checkpoint, "parquet", out)
+        sinks.finish(stream)
+        log.wait(stream)
+    finally:
+        t.spark.streams.removeListener(log)
+    mine = log.rows().where(c("run") == str(stream.runId))
+    return mine.agg(F.sum("input_rows").alias("input_rows"), F.count_if(c("event") == "end").alias("ends"), F.count("error").alias("failed"))
+
+
 @query(
     "q16_placeholder_dimension_rows",
     s.with_(*READ, "enriched")
@@ -356,11 +377,8 @@ TODAY = "2024-01-15"
 
 
 def views(t: Tables):
-    """Enriched events of the report day, with the page's country and the hour."""
-    from larkspur.functions.web import domain_suffix
-
-    day = ev.enrich(messages(t)).where(c("full_date") == TODAY)
-    return day.withColumns({"country": domain_suffix(c("current_url")), "hour": F.substring("full_time", 1, 2)})
+    """Page views of the report day: of each message only the fields of the reports are read."""
+    return reports.page_views(messages(t)).where(c("full_date") == TODAY)
 
 
 s.CTE["views"] = f"""select *, string_split(suffix, '.')[-1] as country, left(full_time, 2) as hour from enriched where full_date = '{TODAY}'"""
@@ -401,3 +419,36 @@ def x24(t: Tables):
 @query("x25_hourly_views_by_browser_os", _REPORT + "select hour, browser, os, count(*) as views from views group by 1, 2, 3")
 def x25(t: Tables):
     return views(t).groupBy("hour", "browser", "os").agg(F.count("*").alias("views"))
+
+
+# --- the same reports from a stream -----------------------------------------------------
+
+
+def _kept_views(t: Tables):
+    """Run the stream that keeps the hourly counts; the folder of its store."""
+    root = new_folder(t.spark, "views")
+    reports.create(t.spark, root)
+    sinks.finish(reports.keep_counts(record_stream(t), root, new_folder(t.spark, "views-checkpoint")))
+    return root
+
+
+_ALL_REPORTS = " union all ".join(
+    f"select '{name}' as report, {first} as first, {second} as second, hour, count(*) as views from views group by 2, 3, 4"
+    for name, first, second in (
+        ("product", "product_id", "cast(null as varchar)"), ("country", "country", "cast(null as varchar)"),
+        ("referrer", "referrer_domain", "cast(null as varchar)"), ("store", "country", "store_id"), ("client", "browser", "os"),
+    )
+)
+
+
+@query("x20_running_top_products", _REPORT + "select product_id, count(*) as views from views where product_id is not null group by 1 order by 2 desc, 1 limit 10")
+def x20_running(t: Tables):
+    return reports.top(t.spark, _kept_views(t), "product", TODAY, 10).withColumnRenamed("first", "product_id")
+
+
+@query("x25_running_hourly_views", _REPORT + _ALL_REPORTS)
+def x25_running(t: Tables):
+    """Every report of the day by the hour, as the stream has kept it."""
+    root = _kept_views(t)
+    every = [reports.counts_of(t.spark, root, name, TODAY).withColumn("report", F.lit(name)) for name in reports.REPORTS]
+    return reduce(DataFrame.unionByName, every)

@@ -7,9 +7,10 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from larkspur.functions.nested import CLICK_SCHEMA
+from larkspur.operators import versions
 from larkspur.session import new_folder
 from larkspur.streaming import events as ev
-from larkspur.streaming import sinks, star
+from larkspur.streaming import reports, sinks, star
 
 RECORD = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
 
@@ -37,20 +38,47 @@ def click(**fields):
 LINES = [[("a b a",), ("c",)], [("a b",), ("dd dd dd",)]]
 
 
+def counts_store(spark):
+    root = new_folder(spark, "counts")
+    versions.create(spark, root, {"counts": "word string, count bigint, _batch bigint"})
+    return root
+
+
 def test_running_and_per_batch_counts_differ(spark, rows):
     folder = files(spark, LINES, "value string")
-    out, per = new_folder(spark, "out"), new_folder(spark, "per")
+    root, per, checkpoint = counts_store(spark), new_folder(spark, "per"), new_folder(spark, "c1")
     lines = stream(spark, folder, "value string")
+    write = sinks.changes_into(root, "counts", ["word"], checkpoint)
     sinks.finish(
-        sinks.start(ev.word_counts(lines, "value"), new_folder(spark, "c1"), batch=sinks.latest_result(out), mode="complete"),
+        sinks.start(ev.word_counts(lines, "value"), checkpoint, batch=write, mode="update"),
         sinks.start(lines, new_folder(spark, "c2"), batch=sinks.per_batch(per, lambda d: ev.word_counts(d, "value"))),
     )
-    total = sinks.read_latest(spark, out)
+    total = sinks.read_changes(spark, root, "counts", ["word"])
     assert rows(total) == [("a", 3), ("b", 2), ("c", 1), ("dd", 3)]
     batches = spark.read.parquet(f"{per}/*").groupBy("batch_id").agg(F.sum("count").alias("n"))
     assert rows(batches) == [(0, 4), (1, 5)]
     assert rows(ev.even_words(total)) == [("b", 2)]
     assert rows(ev.odd_long_words(total)) == [("dd", 3)]
+    # the second batch changed a, b and dd, and wrote no more than that
+    stored = versions.read(spark, root, "counts").groupBy("_batch").count()
+    assert rows(stored) == [(0, 3), (1, 3)]
+
+
+def test_kept_changes_are_bounded(spark, rows):
+    folder = files(spark, [[(f"w{i} same",)] for i in range(7)], "value string")
+    root, checkpoint = counts_store(spark), new_folder(spark, "c")
+    write = sinks.changes_into(root, "counts", ["word"], checkpoint, folders=3)
+    counts = ev.word_counts(stream(spark, folder, "value string"), "value")
+    sinks.finish(sinks.start(counts, checkpoint, batch=write, mode="update"))
+    assert rows(sinks.read_changes(spark, root, "counts", ["word"])) == [("same", 7)] + [(f"w{i}", 1) for i in range(7)]
+    now = versions.current(spark, root)
+    assert sum(len(f) for f in now.folders["counts"].values()) <= 4
+    kept = spark.read.option("basePath", f"{root}/versions").parquet(f"{root}/versions/version=*").select("version").distinct().count()
+    assert kept <= 5
+    # a batch that comes again adds nothing
+    before = now.number
+    write(spark.createDataFrame([("same", 99)], "word string, count bigint"), 6)
+    assert versions.current(spark, root).number == before
 
 
 def test_word_split_keeps_empty_words(spark, rows):
@@ -176,3 +204,59 @@ def test_layouts():
     assert len(star.FACT_SALES) == 20 and star.primary_key("dim_date") == ["full_date"]
     assert star.primary_key("fact_sales") == ["sales_key"] and star.primary_key("other") == ["id"]
     assert "sales_key" not in CLICK_SCHEMA.fieldNames()
+
+
+HOUR = 3600
+NOON = 1704110400
+
+
+def seen(offset, at, **fields):
+    return record(offset, click(id=f"e{offset}", time_stamp=at, current_url="https://www.shop.de/p", **fields))
+
+
+def test_running_reports_with_late_events(spark):
+    """An event within the delay counts in its hour, one that is later does not; hours leave the state."""
+    batches = [
+        [seen(0, NOON, product_id="1"), seen(1, NOON + 60, product_id="2"), record(2, None), record(3, '{"id": "x')],
+        [seen(4, NOON + 3 * HOUR, product_id="1")],
+        [seen(5, NOON + 2 * HOUR, product_id="1"), seen(6, NOON - 9 * HOUR, product_id="1")],  # late, and too late
+        [seen(7, NOON + 9 * HOUR, product_id="2")],
+        [seen(8, NOON + 9 * HOUR + 5, product_id="2")],
+    ]
+    folder, root = files(spark, batches, RECORD), new_folder(spark, "views")
+    reports.create(spark, root)
+    query = reports.keep_counts(stream(spark, folder, RECORD), root, new_folder(spark, "c"), "2 hours")
+    sinks.finish(query)
+    kept = {(r["first"], r["hour"]): r["views"] for r in reports.counts_of(spark, root, "product", "2024-01-01").collect()}
+    assert kept == {("1", "12"): 1, ("2", "12"): 1, ("1", "15"): 1, ("1", "14"): 1, ("2", "21"): 2}
+    # the batch report over the same events, without the one that came too late
+    whole = reports.page_views(spark.read.schema(RECORD).parquet(folder).where("offset <> 6"))
+    batch = {(r["product_id"], r["hour"]): r["count"] for r in whole.where("product_id is not null").groupBy("product_id", "hour").count().collect()}
+    assert batch == kept
+    assert [tuple(r) for r in reports.top(spark, root, "product", "2024-01-01", 1).collect()] == [("1", 3)]
+    sizes = [(p.stateOperators[0].numRowsTotal, p.stateOperators[0].numRowsRemoved) for p in query.recentProgress if p.stateOperators]
+    assert max(total for total, _ in sizes) > sizes[-1][0] and sum(removed for _, removed in sizes) > 0
+
+
+def test_progress_is_kept_from_outside(spark):
+    """More than a hundred batches of a plain file sink, and a query that fails."""
+    folder = files(spark, [[record(0, "x")]], RECORD)
+    many = new_folder(spark, "many")
+    spark.range(120).repartition(120).write.option("maxRecordsPerFile", 1).parquet(many)
+    log = sinks.ProgressLog(spark, new_folder(spark, "log"))
+    spark.streams.addListener(log)
+    try:
+        plain = sinks.start(stream(spark, many, "id bigint"), new_folder(spark, "c"), "parquet", new_folder(spark, "out"))
+        sinks.finish(plain)
+        broken = sinks.start(stream(spark, folder, RECORD).select(F.raise_error(F.lit("no way")).cast("int").alias("x")), new_folder(spark, "c"), "noop")
+        with pytest.raises(StreamingQueryException):
+            sinks.finish(broken)
+        log.wait(plain)
+        log.wait(broken)
+    finally:
+        spark.streams.removeListener(log)
+    kept = log.rows().where((F.col("run") == str(plain.runId)) & (F.col("event") == "batch"))
+    assert kept.where("input_rows > 0").count() > 100 and kept.agg(F.sum("input_rows")).first()[0] == 120
+    end = log.rows().where((F.col("run") == str(broken.runId)) & (F.col("event") == "end")).first()
+    assert "no way" in end["error"]
+    assert log.rows().where((F.col("run") == str(plain.runId)) & (F.col("event") == "end")).first()["error"] is None
