@@ -8,16 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TEXT_FIELDS_1 = (
-    "ip user_agent resolution user_id_db device_id api_version store_id local_time "
-    "show_recommendation current_url referrer_url email_address recommendation utm_source "
-    "utm_medium collection product_id"
-).split()
+from larkspur.session import cut_lineage
 
 # Fixed layout: the 21 fields of a click message, in message order.
 CLICK_SCHEMA = T.StructType(
     [T.StructField("_id", T.StringType()), T.StructField("time_stamp", T.LongType())]
-    + [T.StructField(name, T.StringType()) for name in _TEXT_FIELDS_1]
+    + [
+        T.StructField(name, T.StringType())
+        for name in [
+            "ip", "user_agent", "resolution", "user_id_db", "device_id", "api_version", "store_id", "local_time", "show_recommendation",
+            "current_url", "referrer_url", "email_address", "recommendation", "utm_source", "utm_medium", "collection", "product_id",
+        ]
+    ]
     + [
         T.StructField("option", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
         T.StructField("id", T.StringType()),
@@ -84,28 +86,42 @@ _CHILDREN = """flatten(transform({level}, n -> case
     else array() end))"""
 
 
-def type_profile(df: DataFrame, json: str, label: str, max_depth: int = 12) -> DataFrame:
+def type_profile(df: DataFrame, json: str, label: str, levels: int = 6) -> DataFrame:
     """How often each type occurs at each path of a JSON text column, per label value.
 
-    Every document is unfolded level by level inside its own row, so the table is read
-    once and only (label, path, type) counts are shuffled. Elements of a list carry the
-    path of the list. A document that is no JSON counts as type ``unreadable`` at the empty
-    path. Documents nested deeper than ``max_depth`` raise an error, since stopping there
-    would lose paths.
+    Every document is unfolded inside its own row, so the table is read once and only (label, path, type) counts are
+    shuffled. Elements of a list carry the path of the list. A document that is no JSON counts as type ``unreadable``
+    at the empty path. Documents may be nested to any depth: what lies below so many ``levels`` is written and unfolded
+    in a further round, until nothing is left. A table of shallow documents takes one round.
     """
-    text = F.col(json)
-    nodes = df.select(F.col(label).alias("label"), F.try_parse_json(text).alias("v"), text.isNotNull().alias("given")).selectExpr(
-        "label", "given and v is null as unreadable", "array(named_struct('path', '', 'named', false, 'v', v)) as l0"
-    )
-    for depth in range(max_depth):
-        nodes = nodes.selectExpr("*", _CHILDREN.format(level=f"l{depth}") + f" as l{depth + 1}")
-    levels = ", ".join(f"l{depth + 1}" for depth in range(max_depth))
-    unfolded = f"if(size(l{max_depth}) > 0, raise_error('documents are nested deeper than {max_depth} levels'), concat({levels}))"
-    nothing = "array(named_struct('path', '', 'named', true, 'v', cast(null as variant)))"
-    found = nodes.selectExpr("label", "unreadable", f"explode(if(unreadable, {nothing}, {unfolded})) as n").where("n.named")
-    typed = found.select("label", "unreadable", F.col("n.path").alias("path"), F.col("n.v").alias("v"))
-    kind = F.when(F.col("unreadable"), "unreadable").otherwise(python_type("v"))
-    return typed.groupBy("label", "path", kind.alias("type")).agg(F.count("*").alias("n"))
+    spark = df.sparkSession
+    todo = df.select(F.col(label).alias("label"), F.lit("").alias("path"), F.col(json).alias("text"))
+    counted = None
+    while True:
+        nodes = todo.select("label", "path", F.try_parse_json("text").alias("v"), F.col("text").isNotNull().alias("given")).selectExpr(
+            "label", "given and v is null as unreadable", "array(named_struct('path', path, 'named', false, 'v', v)) as l0"
+        )
+        for depth in range(levels):
+            nodes = nodes.selectExpr("*", _CHILDREN.format(level=f"l{depth}") + f" as l{depth + 1}")
+        # the last level is counted here, and goes on if it has children
+        inner = ", ".join(f"l{depth + 1}" for depth in range(levels))
+        nothing = "array(named_struct('path', '', 'named', true, 'v', cast(null as variant)))"
+        deeper = F.expr(f"filter(l{levels}, n -> schema_of_variant(n.v) like 'OBJECT<_%' or schema_of_variant(n.v) like 'ARRAY<_%')")
+        # one more row for each document, without a path, has the number of nodes that go on
+        last = "array(named_struct('path', cast(null as string), 'named', true, 'v', cast(null as variant)))"
+        watched = nodes.withColumn("deeper", F.size(deeper))
+        found = watched.selectExpr("label", "unreadable", "deeper", f"explode(concat(if(unreadable, {nothing}, concat({inner})), {last})) as n").where("n.named")
+        kind = F.when(F.col("unreadable"), "unreadable").otherwise(python_type("v"))
+        typed = found.select("label", "unreadable", "deeper", F.col("n.path").alias("path"), F.col("n.v").alias("v"))
+        counts = typed.groupBy("label", "path", kind.alias("type")).agg(F.count("*").alias("n"), F.sum("deeper").alias("deeper"))
+        counts = cut_lineage(spark, counts, "profile")
+        real = counts.where("path is not null").drop("deeper")
+        counted = real if counted is None else counted.unionByName(real)
+        if not counts.where("path is null").agg(F.sum("deeper")).first()[0]:
+            break
+        rest = nodes.select("label", F.explode(deeper).alias("n")).select("label", F.col("n.path").alias("path"), F.to_json("n.v").alias("text"))
+        todo = cut_lineage(spark, rest, "deeper")
+    return counted.groupBy("label", "path", "type").agg(F.sum("n").alias("n"))
 
 
 def path_types(profile: DataFrame, by: Iterable[str] = ()) -> DataFrame:
@@ -130,9 +146,13 @@ def schema_from_paths(types: dict[str, set[str]]) -> T.StructType:
     that are always null, become text.
     """
 
+    below: dict[str, list[str]] = {}
+    for path in types:
+        if path:
+            below.setdefault(path.rpartition(".")[0], []).append(path)
+
     def children(parent: str) -> list[str]:
-        start = f"{parent}." if parent else ""
-        return [p for p in types if p.startswith(start) and "." not in p[len(start) :] and p != parent]
+        return below.get(parent, [])
 
     def data_type(path: str) -> T.DataType:
         kinds = set(types[path]) - {"NoneType"}
@@ -154,10 +174,7 @@ def schema_from_paths(types: dict[str, set[str]]) -> T.StructType:
     return record("")
 
 
-def target_schema(profile: DataFrame, max_paths: int = 10_000) -> T.StructType:
-    """Schema for the documents behind a type profile. Only the path list reaches the driver;
-    documents with more distinct paths than a table can have columns are refused."""
-    rows = path_types(profile.where("type != 'unreadable'")).limit(max_paths + 1).collect()
-    if len(rows) > max_paths:
-        raise ValueError(f"more than {max_paths} paths: keys are data here, use a map")
+def target_schema(profile: DataFrame) -> T.StructType:
+    """Schema for the documents behind a type profile. Only the paths reach the driver, as many as the schema has fields."""
+    rows = path_types(profile.where("type != 'unreadable'")).collect()
     return schema_from_paths({r["path"]: set(r["types"].split(",")) for r in rows})

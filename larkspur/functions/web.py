@@ -74,3 +74,27 @@ def ipv4_number(ip: Column) -> Column:
     for part in bytes_[1:]:
         in_range = in_range & part.between(0, 255)
     return F.when(shape & in_range, total)
+
+
+_HEX_GROUP = r"[0-9A-Fa-f]{1,4}"
+
+
+def address_key(ip: Column) -> Column:
+    """32 hex digits that sort like the address, for IPv4 (as ``::ffff:a.b.c.d``) and IPv6; NULL for other text."""
+    four = ipv4_number(ip)
+    mapped = F.concat(F.lit("00000000000000000000ffff"), F.lower(F.lpad(F.hex(four), 8, "0")))
+    # an IPv4 tail is two groups
+    tail = F.regexp_extract(ip, r"^[0-9A-Fa-f:]*:(\d+\.\d+\.\d+\.\d+)$", 1)
+    tail_hex = F.lower(F.lpad(F.hex(ipv4_number(tail)), 8, "0"))
+    text = F.when(tail == "", ip).otherwise(
+        F.concat(F.substring(ip, F.lit(1), F.length(ip) - F.length(tail)), F.substring(tail_hex, 1, 4), F.lit(":"), F.substring(tail_hex, 5, 4))
+    )
+    sides = F.split(text, "::", -1)
+    groups = lambda side: F.filter(F.split(side, ":", -1), lambda g: g != "")
+    left, right = groups(F.get(sides, 0)), groups(F.coalesce(F.get(sides, 1), F.lit("")))
+    missing = 8 - F.size(left) - F.size(right)
+    filled = F.concat(left, F.array_repeat(F.lit("0"), F.when(F.size(sides) == 2, missing).otherwise(0)), right)
+    whole = F.lower(F.array_join(F.transform(filled, lambda g: F.lpad(g, 4, "0")), ""))
+    single = rf"^({_HEX_GROUP}(:{_HEX_GROUP})*)?(::({_HEX_GROUP}(:{_HEX_GROUP})*)?)?$"
+    sound = text.rlike(single) & text.contains(":") & (F.size(filled) == 8) & ((F.size(sides) == 1) | (missing > 0))
+    return F.when(four.isNotNull(), mapped).when(sound, whole)

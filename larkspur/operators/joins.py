@@ -6,15 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from larkspur.functions.text import fold_accents
-from larkspur.functions.web import ipv4_number
-from larkspur.operators.ordered import running_sums
+from larkspur.functions.web import address_key
+from larkspur.operators.ordered import carried, running_sums
 from larkspur.sources.literal import literal_rows
 
-IP_BLOCK = 1 << 16
-
-
 def overlap_counts(intervals: DataFrame, low: str, high: str, points: DataFrame, point: str) -> DataFrame:
     """For every distinct point, how many closed intervals contain it.
 
@@ -43,24 +41,33 @@ def overlap_counts(intervals: DataFrame, low: str, high: str, points: DataFrame,
     )
 
 
+def _end_of(ranges: DataFrame, column: str) -> Column:
+    """A range's end as an address key: a number is an IPv4 address, text is any address."""
+    if isinstance(ranges.schema[column].dataType, T.StringType):
+        return address_key(F.col(column))
+    return F.concat(F.lit("00000000000000000000ffff"), F.lower(F.lpad(F.hex(F.col(column).cast("bigint")), 8, "0")))
+
+
 def locate_ips(addresses: DataFrame, ip: str, ranges: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Location columns for every distinct address, NULL where no range holds it.
+    """Location columns for every distinct IPv4 or IPv6 address, NULL where no range holds it.
 
-    Addresses are made distinct first, so a busy address is looked up once. ``ranges``
-    has ``ip_from`` and ``ip_to`` as numbers, without overlaps; each is listed under the
-    blocks of 65,536 addresses it touches, which turns the range test into an equi join
-    with one residual comparison.
+    ``ranges`` has ``ip_from`` and ``ip_to`` as IPv4 numbers or as text, without overlaps. An as-of join: starts of ranges and
+    distinct addresses are laid out in one order, and each address takes the last start before it, carried across
+    the cuts of the order. A range is one row however wide it is, and a busy address is looked up once.
     """
-    block = F.explode(
-        F.sequence(F.floor(F.col("ip_from") / IP_BLOCK), F.floor(F.col("ip_to") / IP_BLOCK))
-    ).alias("_block")
-    listed = ranges.select("ip_from", "ip_to", *columns, block)
     distinct = addresses.select(ip).where(F.col(ip).isNotNull()).distinct()
-    numbered = distinct.withColumn("_n", ipv4_number(F.col(ip)))
-    inside = (F.floor(F.col("_n") / IP_BLOCK) == F.col("_block")) & F.col("_n").between(
-        F.col("ip_from"), F.col("ip_to")
+    place = F.struct(*columns)
+    starts = ranges.select(
+        _end_of(ranges, "ip_from").alias("_at"), F.lit(0).alias("_kind"), F.struct(_end_of(ranges, "ip_to").alias("last"), place.alias("place")).alias("_range"),
+        F.lit(None).cast("string").alias("_ip"),
+    ).where("_at is not null")
+    nowhere = F.lit(None).cast(starts.schema["_range"].dataType)
+    asked = distinct.select(address_key(F.col(ip)).alias("_at"), F.lit(1).alias("_kind"), nowhere.alias("_range"), F.col(ip).alias("_ip"))
+    found = carried(starts.unionByName(asked), ["_at", "_kind", "_ip"], {"_held": F.when(F.col("_kind") == 0, F.col("_range"))})
+    holds = F.col("_at") <= F.col("_held.last")
+    return found.where("_kind = 1").select(
+        F.col("_ip").alias(ip), *[F.when(holds, F.col(f"_held.place.{x}")).alias(x) for x in columns]
     )
-    return numbered.join(listed, inside, "left").select(ip, *columns)
 
 
 # Spellings repaired before matching, city added to the list, and names that count as cities.

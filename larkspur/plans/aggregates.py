@@ -576,7 +576,10 @@ def a34(t: Tables):
     s.with_("survey") + """select "Gender" as gender, count(1) as num_users from survey group by 1""",
 )
 def a35(t: Tables):
-    from larkspur.operators.mutation import refresh_table
+    """The table holds other rows before; each run has a table of its own."""
+    from larkspur.operators.mutation import refresh_table, replace_table, unique_name
 
     counts = s.survey(t).groupBy(c("Gender").alias("gender")).agg(F.count("*").alias("num_users"))
-    return refresh_table(counts, "user_reports")
+    name = unique_name("user_reports")
+    replace_table(counts.withColumn("num_users", -c("num_users")), name)
+    return refresh_table(counts, name)

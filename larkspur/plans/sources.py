@@ -178,6 +178,18 @@ def s14(t: Tables):
     return files.agg(F.sum("n").alias("rows"), (F.max("n") <= 1000).alias("all_within"))
 
 
+@query(
+    "s14_exact_batches",
+    """select cast(count(*) // 1000 as bigint) as full_files, cast(case when count(*) % 1000 > 0 then 1 else 0 end as bigint) as other_files, count(*) as rows from orders""",
+)
+def s14_exact(t: Tables):
+    """All files but the last hold the given number of rows, however the rows were partitioned."""
+    folder = new_folder(t.spark, "export")
+    writers.write_batches(t.orders.select("o_orderkey").repartition(7), folder, 1000)
+    files = t.spark.read.parquet(folder).groupBy("_metadata.file_path").agg(F.count("*").alias("n"))
+    return files.agg(F.count_if(c("n") == 1000).alias("full_files"), F.count_if(c("n") != 1000).alias("other_files"), F.sum("n").alias("rows"))
+
+
 @query(
     "s15_csv_to_target_schema",
     "select p_partkey as product_id, p_name as name, cast(p_retailprice as double) as price, cast(null as varchar) as url, try_cast(p_brand as integer) as code from part",
@@ -210,6 +222,23 @@ def s15_missing(t: Tables):
     return readers.read_files(t.spark, fmt, target, schema)
 
 
+@query(
+    "s15_headers_by_file",
+    """select p_partkey as id, p_name as name, cast(null as integer) as size from part where p_partkey % 3 = 0 union all
+       select p_partkey, p_name, cast(p_size as integer) from part where p_partkey % 3 = 1 union all
+       select p_partkey, null, cast(p_size as integer) from part where p_partkey % 3 = 2""",
+)
+def s15_headers(t: Tables):
+    """Three kinds of files in one folder: other columns, and another order."""
+    source, target = new_folder(t.spark, "raw"), new_folder(t.spark, "typed")
+    columns = [c("p_partkey").alias("id"), c("p_name").alias("name"), c("p_size").alias("size")]
+    for i, chosen in enumerate(([0, 1], [2, 1, 0], [0, 2])):
+        writers.write_csv(t.part.where(c("p_partkey") % 3 == i).select(*[columns[k] for k in chosen]), source, "append")
+    schema = T.DataType.fromDDL("id bigint, name string, size int")
+    writers.convert_csv(t.spark, source, target, schema)
+    return readers.read_files(t.spark, "parquet", target, schema)
+
+
 @query(
     "s16_folder_to_table_load",
     "select 'products' as folder, count(*) as rows from part union all select 'locations', count(*) from supplier",
@@ -293,6 +322,21 @@ def s19_blob(t: Tables):
     return t.spark.read.parquet(folder).join(wanted, "page_id").select("page_id", "url", F.sha2("data", 256).alias("digest"))
 
 
+@query(
+    "s19_blob_round_trip",
+    "select cast(page_id % 40 as varchar) as id, sha256(string_agg(html, chr(10) order by page_id) || chr(10)) as digest from pages where page_id % 40 % 2 = 0 group by 1",
+)
+def s19_round_trip(t: Tables):
+    """Files of pages stored as blobs, and those with an even id fetched by it."""
+    folder, table = new_folder(t.spark, "blobs"), new_folder(t.spark, "blob-table")
+    pages = t.pages.select((c("page_id") % 40).alias("id"), "page_id", "html")
+    pages.repartition("id").sortWithinPartitions("id", "page_id").select("id", "html").write.partitionBy("id").text(folder)
+    files = t.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(folder)
+    writers.store_blobs(files, r"^id=(\d+)/", folders=1).write.parquet(table)
+    wanted = t.pages.select((c("page_id") % 40).cast("string").alias("id")).distinct().where("cast(id as int) % 2 = 0")
+    return t.spark.read.parquet(table).join(wanted, "id").select("id", F.sha2("drawing_data", 256).alias("digest"))
+
+
 @query(
     "s20_seed_lookup",
     s.with_("fx") + """select code, count(*) as orders from orders join fx on symbol = case o_custkey % 4 when 0 then '€' when 1 then '£' when 2 then 'zł' else '₫' end group by 1""",

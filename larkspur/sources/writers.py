@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.operators.mutation import one_per_key, replace_table
-from larkspur.session import new_folder
+from larkspur.session import cut_lineage, new_folder
+from larkspur.sources.literal import literal_rows
 from larkspur.sources.readers import read_csv, read_files
 
 
@@ -33,9 +36,24 @@ def write_repartitioned(df: DataFrame, path: str, partitions: int, fmt: str = "p
     df.repartition(partitions).write.format(fmt).mode(mode).save(path)
 
 
-def write_batches(df: DataFrame, path: str, rows_per_file: int, fmt: str = "parquet", mode: str = "errorifexists") -> None:
-    """Files of a fixed largest size."""
-    df.write.format(fmt).mode(mode).option("maxRecordsPerFile", rows_per_file).save(path)
+def write_batches(df: DataFrame, path: str, rows_per_file: int, fmt: str = "parquet", mode: str = "errorifexists") -> int:
+    """Files of exactly ``rows_per_file`` rows, but for one with the rest; returns the number of files.
+
+    The rows are written once to know how many each file has; sums over the files number all rows, and a batch is
+    a number's quotient. Batches are dealt out whole and in order, so the writer's limit falls on their edges.
+    """
+    rows = cut_lineage(df.sparkSession, df, "batches")
+    place = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    sizes = place.groupBy("_file").agg(F.count("*").alias("_n"))
+    # one row per file
+    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("_all"))
+    numbered = place.join(offsets, "_file").withColumn("_place", F.col("_before") + F.col("_row"))
+    batches = -(-(sizes.agg(F.sum("_n")).first()[0] or 0) // rows_per_file)
+    batch = F.floor(F.col("_place") / rows_per_file)
+    dealt = numbered.withColumn("_batch", batch).repartitionByRange(max(1, batches), "_batch").sortWithinPartitions("_place")
+    dealt.select(*df.columns).write.format(fmt).mode(mode).option("maxRecordsPerFile", rows_per_file).save(path)
+    return batches
 
 
 def write_jdbc(df: DataFrame, url: str, name: str, properties: Mapping[str, str], mode: str = "append", batch: int = 10_000) -> None:
@@ -70,11 +88,27 @@ def cast_to(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def csv_headers(spark: SparkSession, source: str) -> dict[str, list[str]]:
+    """The files of each header line; there are few different ones."""
+    lines = spark.read.text(source).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place")
+    )
+    first = lines.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    return {r["header"]: r["files"] for r in first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()}
+
+
 def convert_csv(spark: SparkSession, source: str, target: str, schema: T.StructType, fmt: str = "parquet") -> None:
-    """CSV files with one header to another format under a target schema; columns the header lacks become NULL."""
-    header = spark.read.options(header=True, quote='"', escape='"').csv(source).columns
-    texts = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    cast_to(read_csv(spark, source, texts), schema).write.format(fmt).mode("overwrite").save(target)
+    """CSV files to another format under a target schema, each read by its own header.
+
+    Headers may differ in order and in columns; columns that a file lacks become NULL, others are left out.
+    """
+    parts = []
+    for header, files in csv_headers(spark, source).items():
+        names = next(csv.reader([header]), [])
+        texts = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        parts.append(cast_to(read_csv(spark, files, texts), schema))
+    rows = reduce(DataFrame.unionByName, parts) if parts else literal_rows(spark, [], schema)
+    rows.write.format(fmt).mode("overwrite").save(target)
 
 
 def load_folders(spark: SparkSession, root: str, tables: Mapping[str, str], fmt: str = "parquet") -> dict[str, DataFrame]:
@@ -100,11 +134,12 @@ def unprocessed(df: DataFrame, manifest: DataFrame) -> DataFrame:
     return df.withColumn("path", F.col("_metadata.file_path")).join(manifest, "path", "left_anti")
 
 
-def store_blobs(files: DataFrame, key_pattern: str) -> DataFrame:
-    """Rows of a binaryFile scan as (id, extension, data); the id is found in the file name."""
+def store_blobs(files: DataFrame, key_pattern: str, folders: int = 0) -> DataFrame:
+    """Rows of a binaryFile scan as (id, extension, data); the id is found in the file name and so many folders before it."""
     name = F.element_at(F.split("path", "/"), -1)
+    told = F.substring_index("path", "/", -1 - folders)
     return files.select(
-        F.regexp_extract(name, key_pattern, 1).alias("id"),
+        F.regexp_extract(told, key_pattern, 1).alias("id"),
         F.substring_index(name, ".", -1).alias("file_extension"),
         F.col("content").alias("drawing_data"),
     )

@@ -218,8 +218,26 @@ def test_type_profile_and_schema(spark):
     assert schema.simpleString() == (
         "struct<age:string,items:array<struct<k:double,m:array<string>>>,name:string,profile:map<string,string>,scores:array<string>>"
     )
-    with pytest.raises(Exception, match="nested deeper"):
-        nested.type_profile(df, "doc", "label", max_depth=2).collect()
+    rounds = nested.type_profile(df, "doc", "label", levels=1)
+    assert sorted(map(tuple, rounds.collect())) == sorted(map(tuple, profile.collect()))
+
+
+def test_documents_of_any_depth(spark):
+    def nest(n):
+        return '{"a":' * n + "1" + "}" * n
+
+    df = spark.createDataFrame([("t", nest(14)), ("t", nest(200)), ("u", nest(3)), ("u", "[[[[[[[[[[1]]]]]]]]]]"), ("u", "{}")], "label string, doc string")
+    got = {(r["label"], r["path"]): (r["type"], r["n"]) for r in nested.type_profile(df, "doc", "label", levels=25).collect() if r["type"] != "int"}
+    path = lambda n: ".".join("a" * n)
+    assert got == {
+        **{("t", path(n)): ("dict", 2 if n < 14 else 1) for n in range(1, 200)}, **{("u", path(n)): ("dict", 1) for n in (1, 2)},
+    }
+
+
+def test_schema_of_many_paths(spark):
+    wide = "{" + ",".join(f'"k{i}":{i}' for i in range(20_000)) + "}"
+    profile = nested.type_profile(spark.createDataFrame([("t", wide)], "label string, doc string"), "doc", "label")
+    assert len(nested.target_schema(profile).fields) == 20_000
 
 
 def test_function_registry(spark):

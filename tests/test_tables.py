@@ -133,6 +133,31 @@ def test_ip_ranges(spark):
     assert got == {"1.0.0.0": "A", "1.0.0.255": "A", "1.0.1.0": "B", "1.255.255.255": "B", "2.0.0.0": None, "bad": None}
 
 
+def test_ip_ranges_of_both_versions(spark):
+    ranges = spark.createDataFrame(
+        [("0.0.0.0", "9.255.255.255", "wide"), ("10.0.0.0", "10.0.0.0", "one"), ("2001:db8::", "2001:db8:ffff:ffff:ffff:ffff:ffff:ffff", "six"), ("::", "::1", "zero")],
+        "ip_from string, ip_to string, city string",
+    )
+    want = {
+        "0.0.0.0": "wide", "9.1.1.1": "wide", "10.0.0.0": "one", "10.0.0.1": None, "2001:DB8::1": "six", "2001:db8:0:0:0:0:0:1": "six", "2001:db9::": None,
+        "::": "zero", "::2": None, "::ffff:9.0.0.1": "wide", "1::2::3": None, ":::": None, "1:2:3:4:5:6:7": None, "1:2:3:4:5:6:7:8:9": None, "g::": None, "": None,
+    }
+    df = spark.createDataFrame([(x,) for x in want] * 2 + [(None,)], "ip string")
+    assert {r["ip"]: r["city"] for r in joins.locate_ips(df, "ip", ranges, ["city"]).collect()} == want
+
+
+@pytest.mark.parametrize("rows, partitions, size", [(10_500, 7, 1000), (2000, 3, 1000), (5, 1, 10), (0, 1, 10)])
+def test_batches_hold_exactly_the_given_rows(spark, rows, partitions, size):
+    from larkspur.session import new_folder
+
+    folder = new_folder(spark, "export")
+    assert writers.write_batches(spark.range(rows).repartition(partitions), folder, size) == -(-rows // size)
+    read = spark.read.schema("id bigint").parquet(folder)
+    sizes = sorted(r["count"] for r in read.groupBy("_metadata.file_path").count().collect())
+    assert sizes == ([rows % size] if rows % size else []) + [size] * (rows // size)
+    assert sorted(r["id"] for r in read.collect()) == list(range(rows))
+
+
 def test_lists_of_a_hot_key_are_cut_and_whole(spark):
     df = spark.createDataFrame([("hot", i) for i in range(1000)] * 2 + [("cold", 1)], "k string, v int")
     got = aggregates.lists_per_key(df, "k", "v", chunk=50).collect()
