@@ -1,8 +1,9 @@
 """Mixing sources to target weights: raking by iterative proportional fitting, then sampling.
 
 Tokens are summed by cell (one value for each dimension: source, language, topic). Raking scales the
-cells of one dimension after another until all marginals are the targets. A document is then kept
-with the probability of its cell, scaled so that the expected tokens are the budget. DataFrame
+cells of one dimension after another until all marginals are the targets, and no cell above the tokens that it
+has: a document is then kept with the probability of its cell, weight by tokens, and the sample is expected to
+have the targets' marginals. The budget is the most at which every value can reach its target. DataFrame
 functions only: documents are read once for the sums and once for the sample, and everything
 between works on cells, by sums and joins that shrink before they are shuffled. Single
 aggregate rows go to the driver.
@@ -23,11 +24,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 class Settings(NamedTuple):
-    """``keep`` is the share of all tokens to expect in the sample (None: the most that keeps all probabilities exact)."""
+    """``keep`` is the greatest share of all tokens to expect in the sample, ``slack`` what stays below the most that the targets allow."""
 
-    keep: float | None = 0.8
-    rounds: int = 30
-    tolerance: float = 1e-4
+    keep: float = 0.8
+    slack: float = 0.02
+    rounds: int = 60
+    tolerance: float = 1e-3
     seed: int = 17
 
 
@@ -38,12 +40,12 @@ def count_words(text: Column) -> Column:
 def topic_of(text: Column) -> Column:
     """What kind of text it is, from the share of its signs: empty, numeric, marked, listed or prose."""
     size = F.length(text)
-    without = lambda signs: size - F.length(F.translate(text, signs, ""))
+    count = lambda signs: F.regexp_count(text, F.lit(signs))
     return (
         F.when(text.isNull() | (size == 0), "empty")
-        .when(without("0123456789") * 50 >= size, "numeric")
-        .when(without("#*$%&|<>=_!") * 100 >= size, "marked")
-        .when((without("\n") + 1) * 60 > size, "listed")
+        .when(count("[0-9]") * 50 >= size, "numeric")
+        .when(count("[#*$%&|<>=_!]") * 100 >= size, "marked")
+        .when(F.size(F.split(text, "\n")) * 60 > size, "listed")
         .otherwise("prose")
     )
 
@@ -54,34 +56,59 @@ def tempered(cells: DataFrame, dimension: str, exponent: float) -> DataFrame:
     return sums.select(dimension, F.pow(F.col("tokens").cast("double"), F.lit(exponent)).alias("share"))
 
 
-def rake(cells: DataFrame, targets: Mapping[str, DataFrame], settings: Settings = Settings()) -> DataFrame:
-    """``cells`` (the dimensions and ``tokens``) with the raked ``weight`` of each.
-
-    Targets need not sum to 1. A value without a target, or with one of 0, weighs nothing; a target whose value has no
-    tokens is spread over the others. Marginals that contradict each other end as near as the last round came.
-    """
-    spark = cells.sparkSession
-    dims = list(targets)
-    total = cells.agg(F.sum("tokens").alias("t")).first()["t"] or 0
+def _shares(cells: DataFrame, targets: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The targets of the values that have tokens, to a sum of 1 for each dimension: ``wanted, share``."""
     shares = {}
     for d, wanted in targets.items():
         values = cells.where("tokens > 0").select(d).distinct()
         share = wanted.groupBy(F.col(d).alias("value")).agg(F.sum("share").alias("share")).where("share > 0")
-        present = cut_lineage(spark, share.join(values, F.col("value").eqNullSafe(F.col(d)), "left_semi"), "target")
+        present = cut_lineage(cells.sparkSession, share.join(values, F.col("value").eqNullSafe(F.col(d)), "left_semi"), "target")
         whole = present.agg(F.sum("share").alias("s")).first()["s"]
         shares[d] = present.select(F.col("value").alias("wanted"), (F.col("share") / F.lit(whole or 1.0)).alias("share"))
-    weighted = cells.select(*dims, "tokens", F.col("tokens").cast("double").alias("weight"))
+    return shares
+
+
+def reachable(cells: DataFrame, shares: Mapping[str, DataFrame]) -> float:
+    """The most tokens of a sample in which every value has its target: the least, over values, of its tokens by its share."""
+    most = float(cells.agg(F.sum("tokens").alias("t")).first()["t"] or 0)
+    for d, share in shares.items():
+        tokens = cells.groupBy(F.col(d).alias("value")).agg(F.sum("tokens").alias("tokens"))
+        held = tokens.join(share, F.col("value").eqNullSafe(F.col("wanted"))).agg(F.min(F.col("tokens") / F.col("share")).alias("m")).first()["m"]
+        most = min(most, most if held is None else held)
+    return most
+
+
+def rake(cells: DataFrame, targets: Mapping[str, DataFrame], settings: Settings = Settings(), bounded: bool = False) -> DataFrame:
+    """``cells`` (the dimensions and ``tokens``) with the raked ``weight`` of each.
+
+    Without a bound the weights sum to the tokens. With it no weight passes its cell's tokens: cells that are full stay so while
+    the others of a value make up for them, and the sum is the most that the targets allow, less the slack, and at most ``keep`` of
+    all. Targets need not sum to 1. A value without a target, or with one of 0, weighs nothing; a target whose value has no
+    tokens is spread over the others. Marginals that contradict each other end as near as the last round came; see ``marginals``.
+    """
+    spark = cells.sparkSession
+    dims = list(targets)
+    total = float(cells.agg(F.sum("tokens").alias("t")).first()["t"] or 0)
+    shares = _shares(cells, targets)
+    budget = min(settings.keep * total, (1 - settings.slack) * reachable(cells, shares)) if bounded else total
+    weighted = cells.select(*dims, "tokens", (F.col("tokens") * F.lit(budget / total if total else 0.0)).alias("weight"))
+    full = F.col("weight") >= F.col("tokens") * (1 - 1e-12)
     for _ in range(settings.rounds):
         gaps = []
         for d in dims:
-            now = weighted.groupBy(F.col(d).alias("value")).agg(F.sum("weight").alias("now"))
-            wanted_now = F.coalesce("share", F.lit(0.0)) * F.lit(float(total))
+            now = weighted.groupBy(F.col(d).alias("value")).agg(
+                F.sum("weight").alias("now"), F.sum(F.when(full, F.col("weight")).otherwise(0.0) if bounded else F.lit(0.0)).alias("full")
+            )
+            wanted_now = F.coalesce("share", F.lit(0.0)) * F.lit(budget)
+            change = F.when((wanted_now > F.col("now")) & (F.col("now") > F.col("full")), (wanted_now - F.col("full")) / (F.col("now") - F.col("full")))
+            change = change.when(F.col("now") > 0, wanted_now / F.col("now")).otherwise(0.0)
             factor = now.join(shares[d], F.col("value").eqNullSafe(F.col("wanted")), "left").select(
-                "value", F.when(F.col("now") > 0, wanted_now / F.col("now")).otherwise(0.0).alias("factor")
+                "value", change.alias("factor"), F.when(F.col("now") > 0, F.abs(wanted_now / F.col("now") - 1)).otherwise(0.0).alias("off")
             )
-            gap = F.when(F.col("weight") > 0, F.abs(F.col("factor") - 1)).otherwise(0.0)
+            raised = F.col("weight") * F.col("factor")
+            gap = F.when(F.col("weight") > 0, F.col("off")).otherwise(0.0)
             weighted = weighted.join(factor, F.col(d).eqNullSafe(F.col("value"))).select(
-                *dims, "tokens", *gaps, (F.col("weight") * F.col("factor")).alias("weight"), gap.alias(f"_gap_{d}")
+                *dims, "tokens", *gaps, (F.least(F.col("tokens").cast("double"), raised) if bounded else raised).alias("weight"), gap.alias(f"_gap_{d}")
             )
             gaps.append(f"_gap_{d}")
         weighted = cut_lineage(spark, weighted, "raked")
@@ -92,28 +119,20 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], settings: Settings
     return weighted
 
 
-def probabilities(raked: DataFrame, keep: float | None) -> DataFrame:
-    """The raked cells with the ``probability`` of a document: weight by tokens, scaled to the budget, 1 at most.
+def marginals(raked: DataFrame, targets: Mapping[str, DataFrame]) -> DataFrame:
+    """``dimension, value, share, target``: what the weights give each value, and what it should have; tells what could not be reached."""
+    out = []
+    for d, share in _shares(raked, targets).items():
+        sums = raked.groupBy(F.col(d).cast("string").alias("value")).agg(F.sum("weight").alias("weight"))
+        whole = raked.agg(F.sum("weight").alias("w")).first()["w"] or 1.0
+        met = sums.join(share, F.col("value").eqNullSafe(F.col("wanted")), "left")
+        out.append(met.select(F.lit(d).alias("dimension"), "value", (F.col("weight") / whole).alias("share"), F.coalesce("share", F.lit(0.0)).alias("target")))
+    return reduce(DataFrame.unionByName, out)
 
-    Cells that reach 1 give up what they lack to the others. Without ``keep`` nothing is cut off at 1.
-    """
-    gain = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)
-    cells = raked.withColumn("gain", gain)
-    if keep is None:
-        most = cells.agg(F.max("gain").alias("m")).first()["m"] or 1.0
-        return cells.withColumn("probability", F.col("gain") / F.lit(most)).drop("gain")
-    total = cells.agg(F.sum("tokens").alias("t")).first()["t"] or 0
-    scale, capped = 0.0, -1
-    while True:
-        full = F.col("gain") * scale >= 1
-        row = cells.agg(
-            F.sum(F.when(full, F.col("tokens"))).alias("full"), F.sum(F.when(~full, F.col("weight"))).alias("rest"), F.count_if(full).alias("n")
-        ).first()
-        if row["n"] == capped or not row["rest"]:
-            break
-        capped = row["n"]
-        scale = max(scale, (keep * total - (row["full"] or 0)) / row["rest"])
-    return cells.withColumn("probability", F.least(F.lit(1.0), F.col("gain") * F.lit(scale))).drop("gain")
+
+def probabilities(raked: DataFrame) -> DataFrame:
+    """The raked cells with the ``probability`` of a document: weight by tokens, which the bound keeps from passing 1."""
+    return raked.withColumn("probability", F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("weight") / F.col("tokens"))).otherwise(0.0))
 
 
 def chance(*columns: Column, seed: int) -> Column:
@@ -138,7 +157,7 @@ def mix(
     cells = cut_lineage(spark, sums, "cells")
     wanted = {n: (targets or {}).get(n, None) for n in names}
     wanted = {n: tempered(cells, n, (exponents or {}).get(n, 1.0)) if t is None else t for n, t in wanted.items()}
-    calibrated = probabilities(rake(cells, wanted, settings), settings.keep)
+    calibrated = probabilities(rake(cells, wanted, settings, bounded=True))
     calibrated = cut_lineage(spark, calibrated.select(*[F.col(n).alias(f"_{n}") for n in names], "probability"), "probabilities")
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in dimensions.items()], words.alias("tokens"),

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larkspur.llm import mixing, token_rollups
-from larkspur.llm.queries import QUERIES, SQL
+from larkspur.llm.queries import MIX_EXPONENTS, QUERIES, SQL
 from tests.compare import compare, duck
 from tests.llm.frames import SF_DIR, no_docs, odd_docs, odd_rows, words
 
@@ -31,27 +31,47 @@ def test_raking_against_numpy(spark):
         assert r["weight"] == pytest.approx(want[i, j], rel=1e-6, abs=1e-9)
 
 
-def test_probabilities_meet_the_budget(spark):
-    raked = spark.createDataFrame([("a", 100, 10.0), ("b", 100, 150.0), ("c", 100, 140.0), ("d", 0, 0.0)], "source string, tokens bigint, weight double")
-    p = {r["source"]: r["probability"] for r in mixing.probabilities(raked, 0.7).collect()}
-    assert sum(100 * p[x] for x in "abc") == pytest.approx(210)
-    assert p["b"] == p["c"] == 1.0 and p["d"] == 0
-    exact = {r["source"]: r["probability"] for r in mixing.probabilities(raked, None).collect()}
-    assert exact["b"] == 1.0 and exact["a"] == pytest.approx(10 / 150)
+def test_bounded_raking_meets_targets_without_passing_a_cell(spark):
+    table = np.array([[40.0, 10, 5], [300, 20, 0], [7, 80, 9]])
+    targets = {
+        "source": spark.createDataFrame([(None, 0.3), ("s1", 0.3), ("s2", 0.4)], "source string, share double"),
+        "lang": spark.createDataFrame([("l0", 0.5), ("l1", 0.4), ("l2", 0.1)], "lang string, share double"),
+    }
+    cells = cells_of(spark, table)
+    raked = mixing.probabilities(mixing.rake(cells, targets, mixing.Settings(keep=1.0, rounds=200, tolerance=1e-6), bounded=True))
+    rows = raked.collect()
+    # the third language has 14 tokens and a tenth of the sample
+    assert sum(r["weight"] for r in rows) == pytest.approx(0.98 * 140, rel=1e-3)
+    assert all(0 <= r["weight"] <= r["tokens"] and r["probability"] == pytest.approx(r["weight"] / r["tokens"] if r["tokens"] else 0) for r in rows)
+    told = {(r["dimension"], r["value"]): (r["share"], r["target"]) for r in mixing.marginals(raked, targets).collect()}
+    assert len(told) == 6 and all(share == pytest.approx(target, rel=1e-3) for share, target in told.values())
 
 
 def test_sample_follows_its_probabilities(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     mixed = QUERIES["op5_source_mixing"](spark, "/root/testdata/sf0.01").cache()
-    row = mixed.agg(F.sum("tokens").alias("all"), F.sum(F.col("tokens") * F.col("probability")).alias("expected"), F.sum(F.when(F.col("kept"), F.col("tokens"))).alias("kept")).first()
-    assert row["expected"] / row["all"] == pytest.approx(0.8, abs=0.01)
-    assert row["kept"] / row["all"] == pytest.approx(0.8, abs=0.06)
-    assert mixed.count() == 1000
+    expected = F.sum(F.col("tokens") * F.col("probability")).alias("expected")
+    row = mixed.agg(F.sum("tokens").alias("all"), expected, F.sum(F.when(F.col("kept"), F.col("tokens"))).alias("kept")).first()
+    assert row["kept"] / row["all"] == pytest.approx(row["expected"] / row["all"], abs=0.06)
+    # expected marginals lie within a hundredth of their targets
+    for d, exponent in MIX_EXPONENTS.items():
+        sums = {r[d]: (r["tokens"], r["expected"]) for r in mixed.groupBy(d).agg(F.sum("tokens").alias("tokens"), expected).collect() if r["tokens"]}
+        whole = sum(t**exponent for t, _ in sums.values())
+        for tokens, got in sums.values():
+            assert got / row["expected"] == pytest.approx(tokens**exponent / whole, rel=0.01)
+    assert mixed.count() == docs.count() == 1000
     again = QUERIES["op5_source_mixing"](spark, "/root/testdata/sf0.01")
     assert not mixed.select("doc_id", "kept").exceptAll(again.select("doc_id", "kept")).count()
     plan = mixed._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_topics(spark):
+    texts = {"a" * 49 + "1": "numeric", "a" * 70 + "1": "prose", "a" * 99 + "|": "marked", "x" * 58 + "\n": "listed", "x" * 120 + "\n": "prose", "": "empty"}
+    df = spark.createDataFrame([(x,) for x in texts] + [(None,)], "t string")
+    assert {r["t"]: r["k"] for r in df.select("t", mixing.topic_of(F.col("t")).alias("k")).collect()} == {**texts, None: "empty"}
+
+
 def test_mixing_odd_rows(spark):
     docs = odd_docs(spark)
     dims = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic_of(F.col("text"))}
