@@ -191,17 +191,18 @@ with parts as (
   suffix_n as (
     select suffix, sum(n) as n, sum(good) as good, any_value(prior) as prior from counted cross join overall group by suffix),
 """ + _PRIOR_SQL.format(level="suffix") + """
-  suffix_rate as (select suffix, (good + k * prior) / (n + k) as rate from suffix_n cross join suffix_k),
   domain_n as (
-    select suffix, domain, sum(n) as n, sum(good) as good, any_value(rate) as prior
-    from counted join suffix_rate using (suffix) group by suffix, domain),
+    select d.suffix, d.domain, d.n, d.good, (s.good - d.good + k * s.prior) / (s.n - d.n + k) as prior
+    from (select suffix, domain, sum(n) as n, sum(good) as good from counted group by all) d
+    join suffix_n s on s.suffix = d.suffix cross join suffix_k),
 """ + _PRIOR_SQL.format(level="domain") + """
-  domain_rate as (select domain, (good + k * prior) / (n + k) as rate from domain_n cross join domain_k),
-  host_n as (select host, n, good, rate as prior from counted join domain_rate using (domain)),
+  host_n as (
+    select h.host, h.n, h.good, (d.good - h.good + k * d.prior) / (d.n - h.n + k) as prior
+    from counted h join domain_n d on d.domain = h.domain cross join domain_k),
 """ + _PRIOR_SQL.format(level="host") + """
   posterior as (select host, n, k, (good + k * prior) / (n + k) as mean from host_n cross join host_k),
   judged as (
-    select host, case when mean + 1.645 * sqrt(mean * (1 - mean) / (n + k + 1)) < 0.5 then 'block' else 'allow' end as verdict
+    select host, case when mean + 1.645 * sqrt(mean * (1 - mean) / (n + k + 1)) < (select prior from overall) then 'block' else 'allow' end as verdict
     from posterior),
   rules(rule, host, path, verdict) as (values
     ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),

@@ -4,8 +4,8 @@ Labelled page outcomes (1 good, 0 bad) are counted by host, registered domain an
 suffix. Each level's rate is shrunk towards that of the level above by a beta-binomial
 prior: the suffix towards all pages, the domain towards its suffix, the host towards its
 domain. How strong a prior is follows from how much the rates at that level really differ,
-by the method of moments. A host is blocked if the upper bound of its rate's posterior is
-low: little evidence leaves the bound high, so a host is blocked for what is known of it.
+by the method of moments. A host is blocked if the upper bound of its rate's posterior is under the
+rate of all pages: little evidence leaves the bound high, so a host is blocked for what is known of it.
 
 DataFrame functions only. Counts shrink before the shuffle, so a host with a third of all
 pages is one row per task; three single aggregate rows go to the driver.
@@ -40,9 +40,9 @@ class Rule(NamedTuple):
 
 
 class Bound(NamedTuple):
-    """Block where mean + ``z`` deviations of the posterior is under ``least_good``; a prior counts for so many pages."""
+    """Block where mean + ``z`` deviations of the posterior is under ``share`` of the rate of all pages; a prior counts for so many pages."""
 
-    least_good: float = 0.5
+    share: float = 1.0
     z: float = 1.645
     weakest: float = 1.0
     strongest: float = 20.0
@@ -102,6 +102,8 @@ def _strength(level: DataFrame, bound: Bound) -> float:
 def host_reputation(outcomes: DataFrame, hosts: DataFrame, bound: Bound = Bound()) -> DataFrame:
     """The posterior of each host: ``host, domain, suffix, n, good, mean, upper, blocked``.
 
+    A host is blocked if even the upper bound of its rate is under that of all pages.
+
     ``outcomes`` has a ``host`` and an ``outcome`` of 0 or 1 per labelled page (null: not counted) and
     ``hosts`` the hosts to judge, without repeats. A host without outcomes has its domain's rate, a domain
     without any its suffix's, a suffix without any that of all pages, which is 1/2 if there are none at all.
@@ -124,20 +126,28 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame, bound: Bound = Bound(
     def above(*keys: str) -> DataFrame:
         return by_host.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
 
-    def shrunk(level: DataFrame, name: str) -> DataFrame:
-        kappa = F.lit(_strength(level.where("n > 0"), bound))
-        mean = (F.col("good") + kappa * F.col("prior")) / (F.col("n") + kappa)
-        return level.withColumns({name: mean, "kappa": kappa})
+    def strength(level: DataFrame) -> Column:
+        return F.lit(_strength(level.where("n > 0"), bound))
+
+    def others(kappa: Column) -> Column:
+        """The rate above, without the pages of the one below: its own are counted once, in its own row."""
+        return (F.col("all_good") - F.col("good") + kappa * F.col("prior")) / (F.col("all_n") - F.col("n") + kappa)
+
+    def whole(level: DataFrame) -> DataFrame:
+        return level.withColumnsRenamed({"n": "all_n", "good": "all_good"})
 
     total = by_host.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
     overall = ((total["good"] or 0) + 1) / ((total["n"] or 0) + 2)
-    suffixes = shrunk(above("suffix").withColumn("prior", F.lit(overall)), "rate").select("suffix", F.col("rate").alias("prior"))
-    domains = shrunk(above("suffix", "domain").join(suffixes, "suffix"), "rate").select("domain", F.col("rate").alias("prior"))
-    hosts_left = shrunk(by_host.join(domains, "domain"), "mean")
+    suffixes = above("suffix").withColumn("prior", F.lit(overall))
+    domains = above("suffix", "domain").join(whole(suffixes), "suffix").withColumn("prior", others(strength(suffixes)))
+    domains = domains.select("domain", "n", "good", "prior")
+    judged = by_host.join(whole(domains), "domain").withColumn("prior", others(strength(domains)))
+    kappa = strength(judged)
+    hosts_left = judged.withColumns({"mean": (F.col("good") + kappa * F.col("prior")) / (F.col("n") + kappa), "kappa": kappa})
     deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + F.col("kappa") + 1))
     upper = F.col("mean") + F.lit(bound.z) * deviation
     return hosts_left.select(
-        "host", "domain", "suffix", "n", "good", "mean", upper.alias("upper"), (upper < bound.least_good).alias("blocked")
+        "host", "domain", "suffix", "n", "good", "mean", upper.alias("upper"), (upper < F.lit(bound.share * overall)).alias("blocked")
     )
 
 

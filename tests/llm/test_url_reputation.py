@@ -56,6 +56,16 @@ def test_little_evidence_blocks_nobody(spark):
     assert got["new.spam.net"]["upper"] > got["bad.spam.net"]["upper"]
 
 
+def test_a_bad_host_needs_pages(spark):
+    """A host that is bad on many pages goes, one with as bad a share of few pages stays; so does one that is a little worse than all."""
+    outcomes = [(f"h{i % 30}.com", int(i // 30 % 10 > 0)) for i in range(3000)] + [("bad.net", int(i % 2)) for i in range(100)] + [("few.org", i) for i in range(2)]
+    outcomes += [("near.org", int(i % 8 > 0)) for i in range(64)]
+    df = spark.createDataFrame(outcomes, "host string, outcome int")
+    got = {r["host"]: r["blocked"] for r in ur.host_reputation(df, df.select("host").distinct()).collect()}
+    assert got["bad.net"] and not got["few.org"] and not got["near.org"]
+    assert sum(got.values()) == 1
+
+
 def test_odd_rows(spark):
     pages = spark.createDataFrame([(i if i % 4 else None, u, "v", 1) for i, u in enumerate(URLS)] + [(5, URLS[5], "v", 1)], "page_id bigint, url string, verdict string, n int")
     labels = spark.createDataFrame([(1, 0), (1, 1), (2, None), (None, 0), (77, 0), (5, 1)], "doc_id bigint, quality int")
