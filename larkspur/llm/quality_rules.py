@@ -1,7 +1,8 @@
 """Quality rules: compression bands, with the counts that plain rules need.
 
 Repetitive text compresses far better than prose and random text far worse. Both
-ends are cut off: for the whole text, with limits by its length (short texts carry
+ends are cut off: what compresses no better than its single bytes allow is noise in any alphabet, and
+ratios out of their band fail: for the whole text, with limits by its length (short texts carry
 the frame's overhead, long ones gain from their own history), and for its chunks of
 a fixed size, the last one aligned to the text's end, so that one long run of either kind
 in a good text is found too.
@@ -41,6 +42,23 @@ BANDS = (
 )
 CHUNK_BYTES = 4096
 CHUNK_BAND = Band(None, 0.20, 0.76)
+class Noise(NamedTuple):
+    """Ratio by the entropy of single bytes, above which there is nothing in the text but its alphabet.
+
+    A compressor that finds no repeats gets no further than that entropy, whatever the alphabet: digits, letters or ideographs.
+    ``chunk`` and ``whole`` hold for mostly one-byte text, the ``wide`` ones where a share of ``wide_share`` of the bytes belongs to
+    longer characters, whose first bytes repeat. Texts under ``least`` bytes cannot be told apart so.
+    """
+
+    chunk: float = 1.0
+    whole: float = 0.995
+    wide_chunk: float = 0.96
+    wide_whole: float = 0.92
+    wide_share: float = 0.3
+    least: int = 4096
+
+
+NOISE = Noise()
 #: The share of a text's whole chunks that may lie outside the chunk band.
 MAX_BAD_CHUNKS = 0.25
 
@@ -51,7 +69,7 @@ _BLANKS = " \t\n\v\f\r"
 MEASURES = (
     "struct<n_words:bigint,word_chars:bigint,n_symbols:bigint,n_dup_lines:bigint,n_repeat_words:bigint,"
     "n_bytes:bigint,ratio:double,n_chunks:bigint,low_chunks:bigint,high_chunks:bigint,"
-    "low_tail:bigint,high_tail:bigint>"
+    "low_tail:bigint,high_tail:bigint,noisy_chunks:bigint,noisy:bigint>"
 )
 
 
@@ -75,7 +93,21 @@ def _repeated_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
-def measure(texts: pa.Array, level: int = 3, chunk_bytes: int = CHUNK_BYTES, chunk_band: Band = CHUNK_BAND) -> pa.Array:
+def is_noise(raw: np.ndarray, ratio: float, noise: Noise, whole: bool) -> bool:
+    """Whether bytes that compress to a ratio have nothing that repeats beyond single bytes."""
+    if len(raw) < noise.least or ratio < 0.3:
+        return False
+    counts = np.bincount(raw, minlength=256)
+    share = counts[counts > 0] / len(raw)
+    entropy = -float((share * np.log2(share)).sum()) / 8
+    wide = counts[128:].sum() >= noise.wide_share * len(raw)
+    limit = (noise.wide_whole if wide else noise.whole) if whole else (noise.wide_chunk if wide else noise.chunk)
+    return ratio > limit * entropy
+
+
+def measure(
+    texts: pa.Array, level: int = 3, chunk_bytes: int = CHUNK_BYTES, chunk_band: Band = CHUNK_BAND, noise: Noise = NOISE
+) -> pa.Array:
     """The measures of ``MEASURES`` for each text; a null text counts as empty and has ratio 1.
 
     What whole chunks leave over at the end of a text is measured as the tail: a chunk that ends with the text.
@@ -89,7 +121,7 @@ def measure(texts: pa.Array, level: int = 3, chunk_bytes: int = CHUNK_BYTES, chu
         columns["word_chars"].append(per_text(letters, s.offsets))
         columns["n_symbols"].append(per_text(_SYMBOL[s.data], s.offsets))
         columns["n_repeat_words"].append(_repeated_words(hash_words(s, words, lower=False), words.first))
-        dup, size, ratio, chunks, low, high, low_tail, high_tail = [], [], [], [], [], [], [], []
+        dup, size, ratio, chunks, low, high, low_tail, high_tail, noisy_chunks, noisy = ([] for _ in range(10))
         for begin, end in zip(s.offsets[:-1].tolist(), s.offsets[1:].tolist()):
             raw = s.data[begin:end].tobytes()
             dup.append(_repeated_lines(raw.decode()))
@@ -102,8 +134,12 @@ def measure(texts: pa.Array, level: int = 3, chunk_bytes: int = CHUNK_BYTES, chu
             tail = len(squeeze(raw[-chunk_bytes:])) / chunk_bytes if parts and len(raw) % chunk_bytes else None
             low_tail.append(tail is not None and tail < chunk_band.low)
             high_tail.append(tail is not None and tail > chunk_band.high)
-        names = ("n_dup_lines", "n_bytes", "ratio", "n_chunks", "low_chunks", "high_chunks", "low_tail", "high_tail")
-        for name, values in zip(names, (dup, size, ratio, chunks, low, high, low_tail, high_tail)):
+            own = s.data[begin:end]
+            pieces = [(own[i * chunk_bytes : (i + 1) * chunk_bytes], x) for i, x in enumerate(parts)] + ([(own[-chunk_bytes:], tail)] if tail is not None else [])
+            noisy_chunks.append(sum(is_noise(piece, x, noise, False) for piece, x in pieces))
+            noisy.append(is_noise(own, ratio[-1], noise, True))
+        names = ("n_dup_lines", "n_bytes", "ratio", "n_chunks", "low_chunks", "high_chunks", "low_tail", "high_tail", "noisy_chunks", "noisy")
+        for name, values in zip(names, (dup, size, ratio, chunks, low, high, low_tail, high_tail, noisy_chunks, noisy)):
             columns[name].append(np.asarray(values))
     return pa.StructArray.from_arrays(
         [pa.array(np.concatenate(v or [np.zeros(0)]), type=pa.float64() if k == "ratio" else pa.int64()) for k, v in columns.items()],
@@ -122,13 +158,17 @@ def text_measures(text: str | Column, level: int = 3, chunk_bytes: int = CHUNK_B
 
 
 def within_bands(m: Column, bands: Sequence[Band] = BANDS, max_bad_chunks: float = MAX_BAD_CHUNKS) -> Column:
-    """Whether measured texts lie in the band of their length, and enough of their chunks in theirs, without and with the tail."""
+    """Whether measured texts lie in the band of their length, and enough of their chunks in theirs, without and with the tail.
+
+    Not a single chunk may be noise.
+    """
     verdict = F.lit(True)
     for band in sorted(bands, key=lambda b: float("inf") if b.below is None else b.below, reverse=True):
         fits = m["ratio"].between(band.low, band.high)
         verdict = fits if band.below is None else F.when(m["n_bytes"] < band.below, fits).otherwise(verdict)
     bad = m["low_chunks"] + m["high_chunks"]
     bad_tail = m["low_tail"] + m["high_tail"]
+    verdict = verdict & (m["noisy_chunks"] + m["noisy"] == 0)
     return verdict & (bad <= m["n_chunks"] * max_bad_chunks) & ((bad_tail == 0) | (bad + bad_tail <= (m["n_chunks"] + 1) * max_bad_chunks))
 
 

@@ -1,6 +1,7 @@
 import re
 import zlib
 
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -56,6 +57,31 @@ def test_random_bytes_fail_and_a_bad_stretch_is_found(spark):
     assert {r["doc_id"]: r["in_bands"] for r in qr.compression_bands(df).collect()} == {1: False, 2: True, 3: False}
 
 
+@pytest.mark.parametrize("alphabet", [
+    "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+    "".join(chr(x) for x in range(0x4E00, 0x9FA5)), "".join(chr(x) for x in range(0x430, 0x450)),
+])
+def test_random_words_of_any_alphabet_fail(spark, alphabet):
+    import random
+
+    rng = random.Random(3)
+    noise = " ".join("".join(rng.choice(alphabet) for _ in range(rng.randrange(3, 10))) for _ in range(1800))
+    df = spark.createDataFrame([(1, noise), (2, noise[:6000])], "doc_id int, text string")
+    assert [r["in_bands"] for r in qr.compression_bands(df).collect()] == [False, False]
+
+
+def test_one_chunk_of_noise_breaks_a_text(spark):
+    import random
+
+    rng = random.Random(3)
+    texts = [d["text"] for d in documents() if len(d["text"]) > 4200 and qr.measure(pa.array([d["text"]])).to_pylist()[0]["n_repeat_words"] < 50]
+    prose = " ".join(texts)[:40_000]
+    noise = "".join(chr(rng.randrange(33, 127)) for _ in range(4096))
+    rows = [(1, prose), (2, prose[:12_288] + noise[:4000]), (3, prose[:8192].encode()[:8192].decode(errors="ignore") + noise * 2 + prose[8192:]), (4, prose[:12_288])]
+    found = {r["doc_id"]: r["in_bands"] for r in qr.compression_bands(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert found == {1: True, 2: False, 3: False, 4: True}
+
+
 def test_a_bad_tail_is_found(spark):
     import random
 
