@@ -184,13 +184,11 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     buckets = ids.select(_bucket(F.col("id")).alias("b")).distinct().toArrow()["b"].to_numpy()
     bits = np.zeros(1 << MAP_BITS, dtype=bool)
     bits[buckets] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
-
-    @F.arrow_udf("boolean")
-    def listed(bucket: pa.Array) -> pa.Array:
-        return pa.array(np.unpackbits(shared.value).astype(bool)[bucket.to_numpy(zero_copy_only=False)])
-
-    return docs.where(listed(_bucket(F.col("id")))).join(ids, "id", "left_semi")
+    # a constant of the plan, read without a Python worker beside the one that lists the n-grams
+    bitmap, bucket = F.lit(np.packbits(bits).tobytes()), _bucket(F.col("id"))
+    byte = F.conv(F.hex(F.substring(bitmap, (bucket / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    listed = F.floor(byte / F.pow(F.lit(2), 7 - bucket % 8)) % 2 == 1
+    return docs.where(listed).join(ids, "id", "left_semi")
 
 
 class _Pairs:
