@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import html
 import re
 import unicodedata
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from larkspur.functions.charrefs import decode_references
 
 # Letters outside ASCII whose decomposed form starts with an ASCII letter, found by rule.
 _FOLDED = [
@@ -121,18 +120,12 @@ def split_tokens(text: Column, separator: str = "|") -> Column:
     return F.filter(F.split(spaced, re.escape(separator)), lambda x: x != "")
 
 
-@F.pandas_udf(T.StringType())
-def unescape_html(text: pd.Series) -> pd.Series:
-    """Decode character references; the full reference table has no built-in equivalent."""
-    return text.map(html.unescape, na_action="ignore")
-
-
 def html_text(markup: Column) -> Column:
     """The visible text of a page: comments, scripts, styles and templates out, tags dropped."""
     text = F.regexp_replace(markup, r"(?s)<!--.*?-->", "")
     text = F.regexp_replace(text, r"(?is)<(script|style|template)\b[^>]*>.*?</\1\s*>", "")
     text = F.regexp_replace(text, r"<[^>]*>", "")
-    return unescape_html(text)
+    return decode_references(text)
 
 
 def plain_words(text: Column) -> Column:
@@ -154,7 +147,7 @@ def element_text(markup: Column, tag: str, css_class: str | None = None) -> Colu
     """Stripped text of the first element with this tag and class, 'fail' if there is none or it is empty."""
     attrs = r"[^>]*" if css_class is None else rf'[^>]*\bclass="(?:[^"]*\s)?{css_class}(?:\s[^"]*)?"[^>]*'
     inner = F.regexp_extract(markup, rf"(?is)<{tag}\b{attrs}>(.*?)</{tag}\s*>", 1)
-    text = F.trim(unescape_html(F.regexp_replace(inner, r"<[^>]*>", "")))
+    text = F.trim(decode_references(F.regexp_replace(inner, r"<[^>]*>", "")))
     return F.coalesce(F.nullif(text, F.lit("")), F.lit("fail"))
 
 
@@ -179,7 +172,7 @@ def common_prefix(low: Column, high: Column) -> Column:
     The length is found by halving steps, so long texts are compared about once.
     """
     n = F.least(F.length(low), F.length(high))
-    steps = F.lit([1 << i for i in range(24, -1, -1)])
+    steps = F.lit([1 << i for i in range(30, -1, -1)])
 
     def grow(size: Column, step: Column) -> Column:
         same = F.substr(low, size + 1, step) == F.substr(high, size + 1, step)

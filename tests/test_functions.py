@@ -1,12 +1,16 @@
 """Column functions on hand-written rows."""
 
+import html
 import math
+from html.entities import html5
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur.functions import dates, keys, money, nested, text, udfs, web
+from larkspur.functions.charrefs import decode_references
+from larkspur.functions.text import common_prefix
 
 c = F.col
 
@@ -257,3 +261,23 @@ def test_ratio_percent(spark):
 def test_click_schema_has_21_fields():
     assert len(nested.CLICK_SCHEMA.fields) == 21
     assert nested.CLICK_SCHEMA["option"].dataType == T.ArrayType(T.MapType(T.StringType(), T.StringType()))
+
+
+def test_character_references_as_the_standard_library_decodes_them(spark):
+    texts = [None, "", "plain", "&", "a&", "&&", "&;", "&#;", "&#x;", "&#xg;", "& amp;", "&am", "&amp", "&amp;lt;", "&notit;", "&#-1;", "&#x41 &#65&#66", "&" + "a" * 50 + ";"]
+    for name in html5:
+        texts += [f"a &{name}b", f"&{name.rstrip(';')}x&{name[:-1]};;", f"&&{name}é"]
+    codes = [*range(0x180), *range(0xD7FE, 0xD802), *range(0xDFFE, 0xE002), *range(0xFDCE, 0xFDF2), 0xFEFF, 0xFFFE, 0x10000, 0x1FFFF, 0x10FFFF, 0x110000, 10**9, 2**64 + 65]
+    for code in codes:
+        texts += [f"&#{code};", f"x&#00{code}y", f"&#x{code:x};z", f"&#X000000000{code:X}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", decode_references(F.col("t")).alias("u"))
+    got = {r["i"]: r["u"] for r in df.collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == (None if t is None else html.unescape(t)), t
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_common_prefix_of_long_texts(spark):
+    df = spark.range(1).select(F.repeat(F.lit("a"), 40_000_000).alias("a"))
+    both = df.select(common_prefix(F.concat("a", F.lit("x")), F.concat("a", F.lit("y"))).alias("p"))
+    assert both.select(F.length("p")).first()[0] == 40_000_000
