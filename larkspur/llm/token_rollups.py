@@ -29,17 +29,24 @@ def create_store(spark: SparkSession, folder: str | None = None) -> str:
 
 
 def inserted(docs: DataFrame, version: str, tokens: Column) -> DataFrame:
-    """Changes that count the documents with their tokens; a null count is 0."""
+    """Changes that count the documents with their tokens, one for each row; a null count is 0.
+
+    Null sources and languages are kept, repeated rows count each, no rows give no changes. Only ``source``, ``lang`` and
+    what ``tokens`` names are read, so further columns may have any names.
+    """
     return _signed(docs, version, 1, tokens)
 
 
 def deleted(docs: DataFrame, version: str, tokens: Column) -> DataFrame:
-    """Changes that take the documents back with the tokens they were counted with."""
+    """Changes that take the documents back with the tokens they were counted with; rows are read as by ``inserted``.
+
+    Nothing is looked up: what was never counted goes below 0 and is shown so.
+    """
     return _signed(docs, version, -1, tokens)
 
 
 def revised(docs: DataFrame, version: str, old: Column, new: Column) -> DataFrame:
-    """Changes that replace the documents' counts."""
+    """Changes that replace the documents' counts; the number of documents stays. Rows are read as by ``inserted``."""
     return deleted(docs, version, old).unionByName(inserted(docs, version, new))
 
 
