@@ -8,8 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.operators.ordered import percentiles_of, prefix_counts
-from larkspur.session import cut_lineage
+from larkspur.operators.ordered import exact_percentiles
 
 
 def table_sizes(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -73,17 +72,17 @@ def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> Dat
 def box_plot(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Quartiles and whiskers per group; whiskers end at the last value within 1.5 box heights.
 
-    The rows are read once: both steps work on the counted distinct values.
+    The quartiles are selected by histograms, and the whiskers are an aggregate of one more pass over the two columns.
     """
     by = list(by)
-    places = cut_lineage(df.sparkSession, prefix_counts(df.where(F.col(value).isNotNull() & ~F.isnan(value)), by, value), "places")
-    box = percentiles_of(places, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
+    rows = df.where(F.col(value).isNotNull() & ~F.isnan(value)).select(*by, value)
+    box = exact_percentiles(rows, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
     box = box.select(*[F.col(b).alias(f"_{b}") for b in by], "q1", "median", "q3")
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
-    on = reduce(lambda a, b: a & b, (F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by))
+    on = reduce(lambda a, b: a & b, (F.col(b).eqNullSafe(F.col(f"_{b}")) for b in by), F.lit(True))
     return (
-        places.join(box, on)
+        rows.join(box, on)
         .where(inside)
         .groupBy(*by, "q1", "median", "q3")
         .agg(F.min(value).alias("whisker_low"), F.max(value).alias("whisker_high"))

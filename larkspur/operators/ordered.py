@@ -5,11 +5,13 @@ rows is as slow as its largest group. Here rows first collapse to one row per
 distinct (group, value), with a count. These are range-partitioned on group and value and
 written, each partition is summed on its own, and the partitions are joined up by their
 totals. Hot values are one row each; hot groups spread over many partitions. There is one
-path for every size: a small frame is one range.
+path for every size: a small frame is one range. Percentiles need no order of all rows: histograms
+that are refined around the wanted places select them.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -154,28 +156,109 @@ def dense_top_rows(
     return df.join(top, (F.col(value) == F.col("_v")) & _same(by)).drop("_v", *[f"_{b}" for b in by])
 
 
+#: Steps of the first histogram for each doubling of a value, and of each cell that is cut again.
+OCTAVE_STEPS = 256
+CELL_STEPS = 4096
+#: Rows of an open cell whose values are counted one by one.
+GATHERED = 1 << 16
+
+
 def exact_percentiles(
     df: DataFrame,
     value: str,
     quantiles: dict[str, float],
     by: Sequence[str] = (),
-    ranges: int | None = None,
+    gathered: int | None = None,
 ) -> DataFrame:
     """Exact, linearly interpolated percentiles per group; NULL and NaN values are skipped.
 
-    Distinct values are counted and summed along each group; the two rows on either side of each
-    position are picked out of the sums, so no group is ever gathered. Between an infinity and a
-    number lies that infinity, between the two infinities nothing: NaN.
+    Selection by histograms: rows are counted in cells along a logarithmic scale, and only cells that hold a
+    wanted place are looked at again. A cell with one value is done. If any other has more than ``gathered`` rows, the
+    rows of these cells are written and cut into finer cells between their smallest and largest value, all groups
+    and places at once; five rounds tell any two doubles apart. The values of what is left are counted. Nothing is
+    sorted by ranges, only rows of open cells are written, and a value that a third of the rows hold is a cell of
+    its own. The input is read twice or, in long tails, three times: what is costly to derive is better written before. Between an infinity and a number lies that infinity, between the two infinities nothing: NaN.
     """
-    by = list(by)
+    spark, by = df.sparkSession, list(by)
     number = F.col(value).cast("double")
-    clean = df.select(*by, F.when(~F.isnan(number), number).alias("_x")).where("_x is not null")
-    places = prefix_counts(clean, by, "_x", ranges)
-    return percentiles_of(places, "_x", quantiles, by)
+    rows = df.select(*by, F.when(~F.isnan(number), number).alias("_x")).where("_x is not null")
+    rows = rows.withColumns({"_cell": F.lit(0.0), "_before": F.lit(0).cast("bigint"), "_n": F.lit(None).cast("bigint")})
+    code, places = _scale(F.col("_x")), []
+    while True:
+        cells = cut_lineage(spark, _wanted_cells(rows, by, code, quantiles), "cells")
+        places.append(
+            cells.where("_lo = _hi").select(
+                *by, F.col("_lo").alias("_x"), "rows", F.col("_first").alias("rows_before"), F.col("_total").alias("rows_total")
+            )
+        )
+        open_cells = cells.where("_lo < _hi")
+        largest = open_cells.agg(F.max("rows")).first()[0]
+        if largest is None:
+            break
+        rows = _rows_of(rows, by, code, open_cells)
+        if largest <= (gathered or GATHERED):
+            places.append(_counted_values(rows, by))
+            break
+        rows = cut_lineage(spark, rows, "open")
+        code = F.floor((F.col("_x") - F.col("_cell")) / (F.col("_end") - F.col("_cell")) * CELL_STEPS)
+    return percentiles_of(reduce(DataFrame.unionByName, places), "_x", quantiles, by)
+
+
+def _scale(x: Column) -> Column:
+    """A whole number that never falls while a double rises: its sign and its place among the powers of two."""
+    size = F.floor(F.log2(F.abs(x)) * OCTAVE_STEPS) + 1100 * OCTAVE_STEPS
+    least, most = F.lit(-math.inf), F.lit(math.inf)
+    end = F.lit(4096 * OCTAVE_STEPS).cast("bigint")
+    return F.when(x == most, end).when(x == least, -end).when(x > 0, size).when(x < 0, -size).otherwise(F.lit(0).cast("bigint"))
+
+
+def _wanted_cells(rows: DataFrame, by: list[str], code: Column, quantiles: dict[str, float]) -> DataFrame:
+    """The cells that hold a place some percentile needs, with ``_lo`` and ``_hi``, and rows in and before them.
+
+    A cell of the last round has no more cells than the scale has steps, so the window over them is bounded.
+    """
+    counted = (
+        rows.withColumn("_code", code)
+        .groupBy(*by, "_cell", "_code")
+        .agg(
+            F.count("*").alias("rows"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"),
+            F.max("_before").alias("_before"), F.max("_n").alias("_n"),
+        )
+    )
+    whole = Window.partitionBy(*by, "_cell")
+    earlier = whole.orderBy("_code").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumns({
+        "_first": F.col("_before") + F.coalesce(F.sum("rows").over(earlier), F.lit(0)),
+        "_total": F.coalesce("_n", F.sum("rows").over(whole)),
+    })
+    wanted = F.lit(False)
+    for q in quantiles.values():
+        position = (F.col("_total") - 1) * F.lit(float(q))
+        for index in (F.floor(position), F.ceil(position)):
+            wanted = wanted | ((F.col("_first") <= index) & (index < F.col("_first") + F.col("rows")))
+    return placed.where(wanted).select(*by, "_cell", "_code", "_lo", "_hi", "rows", "_first", "_total")
+
+
+def _rows_of(rows: DataFrame, by: list[str], code: Column, cells: DataFrame) -> DataFrame:
+    """The rows that lie in the given cells, each with its cell."""
+    own = [*by, "_cell", "_code"]
+    found = cells.select(*[F.col(k).alias(f"_of_{k}") for k in own], "_lo", "_hi", "_first", "_total")
+    on = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in own))
+    return rows.withColumn("_code", code).join(found, on).select(
+        *by, "_x", F.col("_lo").alias("_cell"), F.col("_hi").alias("_end"), F.col("_first").alias("_before"), F.col("_total").alias("_n")
+    )
+
+
+def _counted_values(rows: DataFrame, by: list[str]) -> DataFrame:
+    """The places of all values in cells that have few rows."""
+    counted = rows.groupBy(*by, "_cell", "_before", "_n", "_x").agg(F.count("*").alias("rows"))
+    earlier = Window.partitionBy(*by, "_cell").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_before") + F.coalesce(F.sum("rows").over(earlier), F.lit(0))
+    return counted.select(*by, "_x", "rows", before.alias("rows_before"), F.col("_n").alias("rows_total"))
 
 
 def percentiles_of(places: DataFrame, value: str, quantiles: dict[str, float], by: Sequence[str]) -> DataFrame:
-    """The percentiles from ``prefix_counts`` of the values."""
+    """The percentiles from ``rows``, ``rows_before`` and ``rows_total`` of the values, as ``prefix_counts`` has them."""
     picks = []
     for name, q in quantiles.items():
         position = (F.col("rows_total") - 1) * F.lit(float(q))

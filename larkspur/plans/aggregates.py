@@ -9,6 +9,7 @@ from larkspur.operators import aggregates as a
 from larkspur.operators.ordered import exact_percentiles
 from larkspur.plans import standins as s
 from larkspur.plans.registry import Tables, query
+from larkspur.session import cut_lineage
 
 c = F.col
 
@@ -281,13 +282,18 @@ def with_roi(t: Tables):
     return s.films(t).withColumn("roi", a.ratio_percent(profit, c("budget_adj").cast("double")))
 
 
+def roi_rows(t: Tables, *columns: str):
+    """The returns and these columns, written once: percentiles read their input more than once."""
+    return cut_lineage(t.spark, with_roi(t).select(*columns, "roi"), "roi")
+
+
 @query(
     "a14_median_global",
     s.with_("films", "roi") + "select round(median(roi), 4) as median_roi from roi where not isinf(roi)",
 )
 def a14(t: Tables):
     """Infinite returns are taken out before the median."""
-    finite = with_roi(t).select(a.finite_or_null(c("roi")).alias("roi"))
+    finite = roi_rows(t).select(a.finite_or_null(c("roi")).alias("roi"))
     return exact_percentiles(finite, "roi", {"median_roi": 0.5}).select(F.round("median_roi", 4).alias("median_roi"))
 
 
@@ -297,7 +303,7 @@ def a14(t: Tables):
     + "select release_year, round(median(roi), 4) as median_roi from roi where budget <> 0 group by release_year",
 )
 def a14_year(t: Tables):
-    paid = with_roi(t).where(c("budget_adj") != 0)
+    paid = roi_rows(t, "release_year", "budget_adj").where(c("budget_adj") != 0)
     return exact_percentiles(paid, "roi", {"m": 0.5}, ["release_year"]).select(
         "release_year", F.round("m", 4).alias("median_roi")
     )
@@ -311,7 +317,7 @@ def a14_year(t: Tables):
 )
 def a14_genre(t: Tables):
     """Infinite returns take part in the median; groups whose median is infinite are dropped."""
-    exploded = with_roi(t).select(
+    exploded = roi_rows(t, "genres").select(
         F.explode(F.split(F.coalesce("genres", F.lit("")), r"\|")).alias("genre"), "roi"
     )
     medians = exact_percentiles(exploded, "roi", {"m": 0.5}, ["genre"])
@@ -326,7 +332,7 @@ def a14_genre(t: Tables):
          where isfinite(m) order by m desc, name limit 20""",
 )
 def a14_cast(t: Tables):
-    exploded = with_roi(t).select(F.explode(F.split(F.coalesce("cast", F.lit("")), r"\|")).alias("name"), "roi")
+    exploded = roi_rows(t, "cast").select(F.explode(F.split(F.coalesce("cast", F.lit("")), r"\|")).alias("name"), "roi")
     medians = exact_percentiles(exploded, "roi", {"m": 0.5}, ["name"])
     top = medians.where(a.finite_or_null(c("m")).isNotNull()).orderBy(F.desc("m"), "name").limit(20)
     return top.select("name", F.round("m", 4).alias("median_roi"))

@@ -89,6 +89,45 @@ def test_percentiles_skip_nan_and_keep_infinity(spark):
     assert got == {"a": 1.5, "b": math.inf}
 
 
+@pytest.mark.parametrize("gathered", [None, 1, 20])
+def test_percentiles_of_any_doubles(spark, gathered):
+    """Values side by side, of every size and sign, zeros of both signs, and one value with a third of all rows."""
+    rng = random.Random(3)
+    close = [1.0]
+    for _ in range(60):
+        close.append(math.nextafter(close[-1], 2))
+    wide = [rng.choice((-1, 1)) * rng.random() * 2.0 ** rng.randint(-1074, 1020) for _ in range(301)]
+    groups = {
+        "close": close, "wide": wide, "tiny": [5e-324 * i for i in range(-40, 41)], "zeros": [0.0, -0.0, 0.0, 1.0],
+        "whole": [float(i) for i in range(10**15, 10**15 + 3000)], "hot": [7.25] * 500 + [rng.gauss(0, 1e6) for _ in range(1000)],
+        "ends": [math.inf, -math.inf, *wide[:9]], "one": [3.0], None: [2.0, 4.0],
+    }
+    df = spark.createDataFrame([(g, v) for g, values in groups.items() for v in values], "g string, v double").repartition(5)
+    quantiles = {"low": 0.0, "q1": 0.25, "m": 0.5, "p90": 0.9, "high": 1.0}
+    got = {r["g"]: r for r in ordered.exact_percentiles(df, "v", quantiles, ["g"], gathered).collect()}
+    assert set(got) == set(groups)
+    for g, values in groups.items():
+        values = sorted(values)
+        for name, q in quantiles.items():
+            at = (len(values) - 1) * q
+            low, high, f = values[math.floor(at)], values[math.ceil(at)], at - math.floor(at)
+            want = low if low == high or not f else (1 - f) * low + f * high
+            assert got[g][name] == want, (g, name)
+
+
+def test_percentiles_of_nothing(spark):
+    none = spark.createDataFrame([("a", None)], "g string, v double")
+    assert ordered.exact_percentiles(none, "v", {"m": 0.5}, ["g"]).collect() == []
+    assert [tuple(r) for r in ordered.exact_percentiles(none, "v", {"m": 0.5}).collect()] == [(None,)]
+
+
+def test_percentiles_write_no_sorted_copy(spark):
+    """Neither a sort by ranges nor a window over rows of the input."""
+    df = spark.range(5000).select((F.col("id") % 3).alias("g"), (F.col("id") * 1.5).alias("v"))
+    plan = ordered.exact_percentiles(df, "v", {"m": 0.5}, ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+
+
 def test_dense_top_k_keeps_all_ties(skewed):
     frame, df = skewed
     frame = frame.dropna(subset=["v"])
