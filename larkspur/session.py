@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,12 +86,49 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+class Written(NamedTuple):
+    """A frame that reads what was written, and the folder it lies in."""
+
+    frame: DataFrame
+    folder: str
+
+
+def written(spark: SparkSession, df: DataFrame, label: str = "cut") -> Written:
+    """Write a frame to the shared folder; for steps whose folder is removed once nothing reads it any more."""
+    folder = new_folder(spark, label)
+    df.write.parquet(folder)
+    return Written(spark.read.schema(df.schema).parquet(folder), folder)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a query are removed as soon as it ends.
+
+    For a row of written steps: what a step has shuffled is of no use once its result is written, and would
+    otherwise stay on the executors' disks until the driver happens to collect garbage. While a query runs, its files are
+    there for retries as ever; a frame that is run twice shuffles twice.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def cut_lineage(spark: SparkSession, df: DataFrame, label: str = "cut") -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Later stages read the files, so a lost executor costs a re-read and not the
     whole upstream plan.
     """
-    path = new_folder(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(spark, df, label).frame
