@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.words import Slice, chain, find_words, hash_words, signed, slices
-from larkspur.session import cut_lineage
+from larkspur.session import Written, cut_lineage, remove_folder, shuffles_dropped, written
 
 #: An index of a listed run needs fewer bits than this; two of them make a key.
 INDEX_BITS = 24
@@ -215,7 +215,7 @@ def _moved(names: list[str], by: int) -> list[Column]:
     return [F.col(w).alias(f"w{int(w[1:]) + by}") for w in names]
 
 
-def smooth(runs: DataFrame, shorter: DataFrame, length: int, cfg: Settings) -> tuple[DataFrame, DataFrame]:
+def smooth(runs: DataFrame, shorter: DataFrame, length: int, cfg: Settings) -> tuple[Written, DataFrame]:
     """The listed runs of a length with the probability ``p`` of their last word after the others, and their contexts.
 
     ``shorter`` has all runs that are a word shorter, with ``count`` and ``p``. A context has ``state`` (its divergence
@@ -226,17 +226,19 @@ def smooth(runs: DataFrame, shorter: DataFrame, length: int, cfg: Settings) -> t
     sums = runs.groupBy(*context).agg(F.sum("count").alias("listed"), F.count("*").alias("entries"))
     rest = (F.col("total") - F.col("listed") + d * F.col("entries")) / F.col("total")
     contexts = sums.join(shorter.select(*context, F.col("count").alias("total")), context).withColumn("rest", rest)
-    contexts = cut_lineage(spark, contexts, "contexts")
+    contexts, used = written(spark, contexts, "contexts")
     lower = shorter.select(*_moved(context, 1), F.col("p").alias("low"))
     p = (F.col("count") - d) / F.col("total") + F.col("rest") * F.col("low")
     both = runs.join(contexts.select(*context, "total", "rest"), context).join(lower, names[1:])
-    smoothed = cut_lineage(spark, both.select(*names, "count", p.alias("p"), "low"), "runs")
-    gains = smoothed.groupBy(*context).agg(F.sum(F.col("count") * F.log(F.col("p") / F.col("low"))).alias("gain"))
+    smoothed = written(spark, both.select(*names, "count", p.alias("p"), "low"), "runs")
+    gains = smoothed.frame.groupBy(*context).agg(F.sum(F.col("count") * F.log(F.col("p") / F.col("low"))).alias("gain"))
     floor = F.greatest("rest", F.lit(1e-300))
     gain = F.col("gain") + (F.col("total") - F.col("listed")) * F.log(floor)
     state = (gain >= cfg.entry_cost * F.col("entries")) & (gain >= cfg.min_divergence * F.col("total"))
     tested = contexts.join(gains, context).select(*context, state.alias("state"), F.log10(floor).alias("backoff"))
-    return smoothed.drop("low"), cut_lineage(spark, tested, "tested")
+    tested = cut_lineage(spark, tested, "tested")
+    remove_folder(spark, used)
+    return smoothed._replace(frame=smoothed.frame.drop("low")), tested
 
 
 def _sent(tables: list[DataFrame], states: list[DataFrame], least: float, tokens: int, vocabulary: int, cfg: Settings, sieves) -> Tree:
@@ -378,11 +380,14 @@ def learn(texts: DataFrame, settings: Settings = Settings()) -> Model:
     sent = max(least, cfg.sent_share * n)
     tables = [all_words.withColumn("p", (F.col("count") - cfg.discount) / F.lit(float(max(n, 1))))]
     states: list[DataFrame] = []
+    folders: list[str] = []
     for length in range(2, cfg.depth + 2):
         listed = spark.sparkContext.broadcast(_sieve(tables[-1].where(F.col("count") >= least), length - 1))
-        counts = cut_lineage(spark, _counted(texts, length, listed).where(F.col("count") >= least), "counts")
-        runs, contexts = smooth(counts, tables[-1], length, cfg)
-        tables.append(runs)
+        counts = written(spark, _counted(texts, length, listed).where(F.col("count") >= least), "counts")
+        runs, contexts = smooth(counts.frame, tables[-1], length, cfg)
+        remove_folder(spark, counts.folder)
+        tables.append(runs.frame)
+        folders.append(runs.folder)
         states.append(contexts)
     for k in range(len(states) - 2, -1, -1):  # a state's suffix is a state
         names = _names(k + 1)
@@ -395,7 +400,11 @@ def learn(texts: DataFrame, settings: Settings = Settings()) -> Model:
     if sent > least:
         in_states = [cut_lineage(spark, x, "in_states") for x in in_states]
         sieves = [(_sieve(x, k + 1), _sieve(r, k + 2)) for k, (x, r) in enumerate(zip(true_states, in_states))]
-    return Model(_sent(tables, states, sent, n, v, cfg, sieves), tables[0], true_states, in_states)
+    tree = _sent(tables, states, sent, n, v, cfg, sieves)
+    if sieves:  # all that is still looked up is in tables of its own
+        for folder in folders:
+            remove_folder(spark, folder)
+    return Model(tree, tables[0], true_states, in_states)
 
 
 def fit(texts: DataFrame, settings: Settings = Settings()) -> tuple[Tree, DataFrame]:
@@ -418,7 +427,11 @@ def _joined(tokens: DataFrame, needs: Column, of: list[str], found: DataFrame, v
 
 
 def _opened(scored: DataFrame, model: Model) -> DataFrame:
-    """Row, training count (null: a word that was sent, 0: unknown) and log10 probability of each token left open."""
+    """Row, training count (null: a word that was sent, 0: unknown) and log10 probability of each token left open.
+
+    Each length of context is a written step, so that only the joins of one are on disk at a time.
+    """
+    spark, folder = scored.sparkSession, None
     tree, depth = model.tree, len(model.states)
     names = _names(depth + 1)
     tokens = scored.select("row", F.explode("open").alias("o")).select("row", "o.*").withColumn("alive", F.lit(True))
@@ -434,8 +447,13 @@ def _opened(scored: DataFrame, model: Model) -> DataFrame:
         listed = model.runs[k - 1].withColumn("log_p", F.log10(F.greatest("p", F.lit(1e-300))))
         tokens = _joined(tokens, now & (F.col(f"b{k}") <= 0), names[depth - k :], listed, "log_p")
         lower = F.when(now & (F.col(f"b{k}") <= 0), F.col(f"b{k}") + F.col("l")).otherwise(F.col("l"))
-        tokens = tokens.withColumn("l", F.coalesce(F.col("_value"), lower)).drop("_value")
-    return tokens.select("row", "count", "l")
+        tokens = tokens.withColumn("l", F.coalesce(F.col("_value"), lower)).drop("_value", f"b{k}")
+        if k == depth:
+            tokens = tokens.select("row", "count", "l")
+        done, (tokens, folder) = folder, written(spark, tokens, "opened")
+        if done:
+            remove_folder(spark, done)
+    return tokens
 
 
 def score(docs: DataFrame, train: Column, id_column: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -446,6 +464,11 @@ def score(docs: DataFrame, train: Column, id_column: str = "doc_id", text: str =
     the tree. Without any training rows both are 0, for the unknown word is all there is. Rows are scored one by
     one: ids may be null or repeat. Columns other than those named are not read.
     """
+    with shuffles_dropped(docs.sparkSession):
+        return _scored(docs, train, id_column, text, settings)
+
+
+def _scored(docs: DataFrame, train: Column, id_column: str, text: str, settings: Settings) -> DataFrame:
     spark = docs.sparkSession
     kind = docs.schema[id_column].dataType.simpleString()
     named = docs.select(F.col(id_column).alias("id"), F.coalesce(train, F.lit(False)).alias("learnt"), F.col(text).alias("text"))
