@@ -35,8 +35,9 @@ INDEX_BITS = 24
 END = np.uint64(0x6C8E9CF570932BD5)
 #: Distinct keys that a task gathers before it hands them on.
 KEYS_KEPT = 1 << 21
-#: A bit map of runs has two to the power of this many bits.
+#: A bit map of runs has two to the power of this many bits at most, and no more than ``SIEVE_ROOM`` to 2 * ``SIEVE_ROOM`` for each run.
 SIEVE_BITS = 27
+SIEVE_ROOM = 16
 
 
 class Settings(NamedTuple):
@@ -179,27 +180,30 @@ def _place(t: Tokens) -> np.ndarray:
 
 
 def _sieve_key(of: list[np.ndarray]) -> np.ndarray:
-    """The bit of a run in a bit map, as ``_sieve`` tells it; of the words' hashes, which are mixed already."""
+    """The key of a run, whose first bits are its place in a bit map, as ``_sieve`` tells it; of the words' hashes, which are mixed already."""
     key = of[0].copy()
     for i, w in enumerate(of[1:], 1):
         key ^= (w << np.uint64(21 * i % 64)) | (w >> np.uint64((64 - 21 * i) % 64))
-    return key >> np.uint64(64 - SIEVE_BITS)
+    return key
 
 
 def _seen(sieve: np.ndarray, key: np.ndarray) -> np.ndarray:
+    bits = len(sieve).bit_length() + 5
+    key = key >> np.uint64(64 - bits)
     return (sieve[(key >> np.uint64(6)).astype(np.int64)] >> (key & np.uint64(63))) & np.uint64(1) != 0
 
 
 def _sieve(runs: DataFrame, length: int) -> np.ndarray:
-    """The bit map of the runs in a table: 2 ** ``SIEVE_BITS`` bits, however many there are."""
+    """The bit map of the runs in a table: up to 2 ** ``SIEVE_BITS`` bits, however many there are."""
+    bits = min(SIEVE_BITS, max(6, (SIEVE_ROOM * runs.count()).bit_length()))
     key = F.col("w0")
     for i in range(1, length):
         w, by = F.col(f"w{i}"), 21 * i % 64
         key = key.bitwiseXOR(F.shiftleft(w, by).bitwiseOR(F.shiftrightunsigned(w, 64 - by)))
-    key = F.shiftrightunsigned(key, 64 - SIEVE_BITS)
+    key = F.shiftrightunsigned(key, 64 - bits)
     bit = F.expr("shiftleft(1L, cast(key & 63 as int))")
     found = runs.select(key.alias("key")).groupBy(F.shiftright("key", 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    out = np.zeros(1 << (SIEVE_BITS - 6), dtype=np.uint64)
+    out = np.zeros(1 << (bits - 6), dtype=np.uint64)
     out[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return out
 
@@ -386,6 +390,7 @@ def learn(texts: DataFrame, settings: Settings = Settings()) -> Model:
         counts = written(spark, _counted(texts, length, listed).where(F.col("count") >= least), "counts")
         runs, contexts = smooth(counts.frame, tables[-1], length, cfg)
         remove_folder(spark, counts.folder)
+        listed.destroy()
         tables.append(runs.frame)
         folders.append(runs.folder)
         states.append(contexts)
@@ -479,6 +484,7 @@ def _scored(docs: DataFrame, train: Column, id_column: str, text: str, settings:
     open_type = ",".join([*[f"{w}:bigint" for w in _names(depth + 1)], *[f"b{k + 1}:double" for k in range(depth)], "level:int,is_rare:boolean,l:double"])
     schema = f"id {kind}, learnt boolean, row bigint, n_tokens bigint, n_listed bigint, base double, log_p double, rare array<bigint>, open array<struct<{open_type}>>"
     scored = cut_lineage(spark, named.mapInArrow(_score_rows(shared), schema), "scored")
+    shared.destroy()
 
     rare = scored.select("row", F.explode("rare").alias("word")).join(model.words, F.col("word") == F.col("w0"), "left")
     at_root = F.log10((F.col("count") - tree.discount) / F.lit(float(max(tree.tokens, 1))))
