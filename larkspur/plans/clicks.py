@@ -11,6 +11,9 @@ from larkspur.plans.registry import Tables
 
 c = F.col
 
+# A document or message is some hundred times its stored row, and takes up to a millisecond to unfold.
+ROWS_PER_TASK = 100_000
+
 # User agents with the browser and system they must be recognised as.
 AGENTS = [
     ("Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/91.0.4472.124 Safari/537.36", "Chrome", "Windows"),
@@ -79,7 +82,7 @@ from events"""
 def clicks(t: Tables, events: DataFrame | None = None) -> DataFrame:
     """The typed message fields, with repeated, missing and blank keys. Works on a stream, too."""
     if events is None:
-        events = t.spread("events", "event_id", "ts", "user_id", "event_type", "props")
+        events = t.spread("events", "event_id", "ts", "user_id", "event_type", "props", most=ROWS_PER_TASK)
     n, user = c("event_id"), c("user_id")
     product = F.get_json_object("props", "$.k")
 
@@ -183,7 +186,7 @@ def drift(t: Tables) -> DataFrame:
         F.lit(',"cart_products":[{"product_id":'), word, F.lit(',"amount":2,"option":'),
         s.pick(n, '""', '{"option_label":"size","value_label":"7"}', "[]"), F.lit("}]}"),
     ]
-    return t.spread("events", "event_id", "event_type").select(
+    return t.spread("events", "event_id", "event_type", most=ROWS_PER_TASK).select(
         "event_id", c("event_type").alias("collection"), F.concat(*parts).alias("doc")
     )
 

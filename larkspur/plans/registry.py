@@ -28,9 +28,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
 
-    def spread(self, name: str, *columns: str) -> DataFrame:
-        """Columns of a table, handed to all cores where the table has few files."""
-        return spread(table(self.spark, self.sf_dir, name).select(*columns))
+    def spread(self, name: str, *columns: str, most: int | None = None) -> DataFrame:
+        """Columns of a table, handed to all cores where the table has few files, or with ``most`` rows to a task."""
+        return spread(table(self.spark, self.sf_dir, name).select(*columns), most)
 
 
 def query(name: str, sql: str | None = None):

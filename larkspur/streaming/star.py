@@ -15,6 +15,8 @@ from larkspur.operators import versions
 from larkspur.operators.mutation import insert_if_absent, one_per_key
 from larkspur.session import spread
 
+ROWS_PER_TASK = 100_000  # a message grows when it is parsed
+
 # Fixed layout of the star schema: columns in table order, and the primary key first.
 FACT_SALES = [
     "sales_key", "full_date", "full_time", "ip_key", "user_agent_key", "product_key", "referrer_url", "collection", "option",
@@ -155,7 +157,7 @@ def batch_loader(
     def load(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        held = transform(spread(batch)).persist(StorageLevel.MEMORY_AND_DISK)
+        held = transform(spread(batch, ROWS_PER_TASK)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             load_star(held, root, writers, source, batch_id, days_back)
         finally:

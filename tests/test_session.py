@@ -31,3 +31,13 @@ def test_setting_is_restored_after_an_error(spark):
     except ValueError:
         pass
     assert spark.conf.get(KEY, None) == before
+
+
+def test_rows_of_a_task_do_not_grow_with_the_table(spark):
+    df = spark.range(0, 5000, 1, 8).withColumn("x", F.col("id") % 3)
+    dealt = session.spread(df, 100)
+    sizes = [len(part) for part in dealt.rdd.glom().collect()]
+    assert len(sizes) == 50 and sum(sizes) == 5000 and max(sizes) < 200
+    assert session.spread(df, 5000).rdd.getNumPartitions() == 8
+    # not fewer than there are cores
+    assert session.spread(df, 2500).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
