@@ -76,13 +76,18 @@ def not_yet_stored(batch: DataFrame, target: DataFrame, keys: Sequence[str]) ->
     return batch.join(present, keys, "left_anti")
 
 
-def insert_if_absent(batch: DataFrame, target: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
+def insert_if_absent(batch: DataFrame, target: DataFrame, keys: Sequence[str], *order: Column, small: bool = False) -> DataFrame:
     """The rows to append so that the first row per key wins, in the batch and against the target.
 
-    Rows with a NULL in the key are left out: a primary key cannot be NULL.
+    Rows with a NULL in the key are left out: a primary key cannot be NULL. Both sides are shuffled by key. Of a
+    ``small`` batch (its rows have been counted) the keys may be broadcast instead, so the target stays where it is:
+    the planner cannot tell, for it takes a key column of a cached or wide frame for a fraction of its size.
     """
-    keyed = batch.na.drop(subset=list(keys))
-    return one_per_key(not_yet_stored(keyed, target, keys), keys, *order)
+    keys = list(keys)
+    keyed = batch.na.drop(subset=keys)
+    if small:
+        return one_per_key(not_yet_stored(keyed, target, keys), keys, *order)
+    return one_per_key(keyed, keys, *order).join(target.select(*keys).hint("merge"), keys, "left_anti")
 
 
 def insert_with_ids(target: DataFrame, rows: DataFrame, id_column: str, *order: Column) -> DataFrame:

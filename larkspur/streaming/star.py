@@ -15,6 +15,7 @@ from larkspur.operators import versions
 from larkspur.operators.mutation import insert_if_absent, one_per_key
 from larkspur.session import spread
 
+SMALL_BATCH = 100_000  # rows whose keys may go to all tasks
 ROWS_PER_TASK = 100_000  # a message grows when it is parsed
 
 # Fixed layout of the star schema: columns in table order, and the primary key first.
@@ -123,6 +124,7 @@ def load_star(
     change = versions.Change(spark, root)
     if source is not None and not change.apply_once(source, batch):
         return dict.fromkeys(LOADS, 0)
+    small = events.count() <= SMALL_BATCH
 
     def add(name: str) -> int:
         rows, order = LOADS[name]
@@ -132,7 +134,7 @@ def load_star(
         if stored is None:
             new = one_per_key(coming.na.drop(subset=key), key, *first)
         else:
-            new = insert_if_absent(coming, stored, key, *first)
+            new = insert_if_absent(coming, stored, key, *first, small=small)
         return change.append(name, new.repartition(writers, *key) if writers else new)
 
     # the tables are written side by side; nothing shows before the commit

@@ -19,6 +19,16 @@ def test_insert_if_absent(spark, rows):
     assert rows(mutation.insert_if_absent(batch, target, ["k"], c("v"))) == [("b", 4), ("c", None)]
 
 
+def test_keys_of_a_large_batch_are_not_broadcast(spark, rows):
+    target = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    held = spark.createDataFrame([("a", 9), ("b", 5), ("b", 4), (None, 1), ("c", None)], "k string, v int").persist()
+    new = mutation.insert_if_absent(held, target, ["k"], c("v"))
+    assert "Broadcast" not in new._jdf.queryExecution().executedPlan().toString()
+    small = mutation.insert_if_absent(held, target, ["k"], c("v"), small=True)
+    assert rows(new) == rows(small) == [("b", 4), ("c", None)]
+    held.unpersist()
+
+
 def test_upsert_twice_changes_nothing(spark, rows):
     target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     changes = spark.createDataFrame([(2, "B"), (3, "C")], "k int, v string")
