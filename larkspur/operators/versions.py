@@ -129,17 +129,22 @@ class Change:
             return [WHOLE]
         return [r[0] for r in rows.select(part_text(F.col(column))).distinct().collect()]
 
-    def _written(self, name: str, rows: DataFrame) -> dict[str, Folder]:
-        """Write rows to a new folder; a folder and its row count for every part."""
+    def _written(self, name: str, *slices: DataFrame) -> dict[str, Folder]:
+        """Write rows to a new folder, slice after slice; a folder and its row count for every part."""
         schema, column = self.schemas[name], self.part_columns[name]
         path = f"{self.root}/data/{name}/{uuid.uuid4().hex}"
-        typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+        typed = [rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]) for rows in slices]
         if column is None:
-            seen = Observation()
-            typed.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
-            return {WHOLE: Folder(path, seen.get["n"])}
+            count = 0
+            for rows in typed:
+                seen = Observation()
+                rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+                count += seen.get["n"]
+            return {WHOLE: Folder(path, count)}
         # names of folders in hex: values may hold any character
-        typed.withColumn("_part", F.concat(F.lit("x"), F.hex(part_text(F.col(column))))).write.partitionBy("_part").parquet(path)
+        part = F.concat(F.lit("x"), F.hex(part_text(F.col(column))))
+        for rows in typed:
+            rows.withColumn("_part", part).write.mode("append").partitionBy("_part").parquet(path)
         try:
             counts = self.spark.read.schema("_part string").parquet(path).groupBy("_part").count().collect()
         except Exception as nothing:
@@ -148,9 +153,9 @@ class Change:
             counts = []
         return {bytes.fromhex(r["_part"][1:]).decode(): Folder(f"{path}/_part={r['_part']}", r["count"]) for r in counts}
 
-    def append(self, name: str, rows: DataFrame) -> int:
-        """Add rows; returns how many."""
-        written = self._written(name, rows)
+    def append(self, name: str, *slices: DataFrame) -> int:
+        """Add rows, which may come in slices that are written one after the other; returns how many."""
+        written = self._written(name, *slices)
         for part, folder in written.items():
             if folder.rows:
                 self.folders[name].setdefault(part, []).append(folder)

@@ -13,10 +13,11 @@ from pyspark.sql import types as T
 
 from larkspur.operators import versions
 from larkspur.operators.mutation import insert_if_absent, one_per_key
-from larkspur.session import spread
+from larkspur.session import new_folder, remove_folder, spread
 
 SMALL_BATCH = 100_000  # rows whose keys may go to all tasks
 ROWS_PER_TASK = 100_000  # a message grows when it is parsed
+ROWS_PER_WRITER = 500_000  # of a limited number of writers, at a time
 
 # Fixed layout of the star schema: columns in table order, and the primary key first.
 FACT_SALES = [
@@ -110,6 +111,24 @@ def stored_rows(change: versions.Change, name: str, rows: DataFrame, days_back:
     return change.table(name, parts)
 
 
+def slices(spark: SparkSession, folder: str, schema: T.StructType, writers: int, keys: list[str]) -> list[DataFrame]:
+    """The rows of a folder in slices, none with more rows than so many writers take at a time.
+
+    A slice is some whole files, none larger than what one writer takes; their names and counts go to the driver.
+    """
+    name = F.element_at(F.split("_metadata.file_path", "/"), -1)
+    read = spark.read.schema(schema)
+    groups: list[list[str]] = []
+    room = 0
+    for file, n in read.parquet(folder).groupBy(name.alias("file")).count().collect():
+        if n > room or not groups:
+            groups.append([])
+            room = writers * ROWS_PER_WRITER
+        groups[-1].append(f"{folder}/{file}")
+        room -= n
+    return [read.parquet(*files).repartition(writers, *keys) for files in groups]
+
+
 def load_star(
     events: DataFrame, root: str, writers: int | None = None, source: str | None = None, batch: int = 0, days_back: int | None = None, folders: int = 8
 ) -> dict[str, int]:
@@ -117,8 +136,9 @@ def load_star(
 
     A key that the table already has, or that an earlier row of the batch brought, is not added again, so loading a
     batch twice changes nothing; with a ``source`` a batch number that is already committed is not even looked at. A crash
-    before the commit leaves all four tables as they were. With ``writers`` each table is written by that many tasks,
-    for stores that allow so many connections. A day with more than so many ``folders`` is written as one.
+    before the commit leaves all four tables as they were. With ``writers`` each table is written by that many tasks at a
+    time, for stores that allow so many connections; a large batch is written by them in slices, so no task holds a
+    fixed share of it. A day with more than so many ``folders`` is written as one.
     """
     spark = events.sparkSession
     change = versions.Change(spark, root)
@@ -135,7 +155,15 @@ def load_star(
             new = one_per_key(coming.na.drop(subset=key), key, *first)
         else:
             new = insert_if_absent(coming, stored, key, *first, small=small)
-        return change.append(name, new.repartition(writers, *key) if writers else new)
+        if not writers:
+            return change.append(name, new)
+        if small:
+            return change.append(name, new.repartition(writers, *key))
+        folder = new_folder(spark, "new")
+        new.write.option("maxRecordsPerFile", ROWS_PER_WRITER).parquet(folder)
+        added = change.append(name, *slices(spark, folder, new.schema, writers, key))
+        remove_folder(spark, folder)
+        return added
 
     # the tables are written side by side; nothing shows before the commit
     with ThreadPoolExecutor(len(LOADS)) as pool:

@@ -167,6 +167,37 @@ def test_a_load_from_tasks_is_idempotent(spark):
     assert sizes[0] == sizes[1] and sizes[0][-1] > 0 and files <= 3
 
 
+def test_a_large_batch_is_written_in_slices(spark, monkeypatch):
+    """Two writers with one row each at a time: more than one write, and the rows that one write gives."""
+    clicks = [record(n, click(id=f"e{n % 7}", product_id=str(n % 5), ip=f"1.1.1.{n % 3}", time_stamp=1704067207 + 40000 * n)) for n in range(14)]
+    df = spark.createDataFrame(clicks + BATCHES[0], RECORD)
+
+    def loaded(writers):
+        root = new_folder(spark, "star")
+        star.create_star(spark, root)
+        load = star.batch_loader(root, ev.enrich, writers)
+        for n in range(2):
+            load(df, n)
+        return {name: table(spark, root, name, *columns) for name, columns in star.TABLES.items()}
+
+    whole = loaded(None)
+    monkeypatch.setattr(star, "SMALL_BATCH", 10)
+    monkeypatch.setattr(star, "ROWS_PER_WRITER", 1)
+    writes = []
+    one = versions.Change.append
+
+    def append(change, name, *slices):
+        if name == "fact_sales":
+            writes.append([(s.rdd.getNumPartitions(), s.count()) for s in slices])
+        return one(change, name, *slices)
+
+    monkeypatch.setattr(versions.Change, "append", append)
+    assert loaded(2) == whole and len(whole["fact_sales"]) > 10
+    first, second = writes
+    assert {partitions for partitions, _ in first} == {2} and max(n for _, n in first) <= 2 and second == []
+    assert sum(n for _, n in first) == len(whole["fact_sales"])
+
+
 def test_every_batch_is_counted(spark):
     folder, path = files(spark, BATCHES, RECORD), new_folder(spark, "kept")
     checkpoint = new_folder(spark, "c")
