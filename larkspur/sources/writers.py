@@ -36,11 +36,14 @@ def write_repartitioned(df: DataFrame, path: str, partitions: int, fmt: str = "p
     df.repartition(partitions).write.format(fmt).mode(mode).save(path)
 
 
-def write_batches(df: DataFrame, path: str, rows_per_file: int, fmt: str = "parquet", mode: str = "errorifexists") -> int:
+def write_batches(
+    df: DataFrame, path: str, rows_per_file: int, fmt: str = "parquet", mode: str = "errorifexists", rows_per_task: int = 500_000
+) -> int:
     """Files of exactly ``rows_per_file`` rows, but for one with the rest; returns the number of files.
 
     The rows are written once to know how many each file has; sums over the files number all rows, and a batch is
-    a number's quotient. Batches are dealt out whole and in order, so the writer's limit falls on their edges.
+    a number's quotient. Batches are dealt out whole and in order, so the writer's limit falls on their edges. A task
+    writes as many batches as ``rows_per_task`` holds, for each task sends its figures to the driver.
     """
     rows = cut_lineage(df.sparkSession, df, "batches")
     place = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
@@ -51,7 +54,8 @@ def write_batches(df: DataFrame, path: str, rows_per_file: int, fmt: str = "parq
     numbered = place.join(offsets, "_file").withColumn("_place", F.col("_before") + F.col("_row"))
     batches = -(-(sizes.agg(F.sum("_n")).first()[0] or 0) // rows_per_file)
     batch = F.floor(F.col("_place") / rows_per_file)
-    dealt = numbered.withColumn("_batch", batch).repartitionByRange(max(1, batches), "_batch").sortWithinPartitions("_place")
+    tasks = -(-batches // max(1, rows_per_task // rows_per_file))
+    dealt = numbered.withColumn("_batch", batch).repartitionByRange(max(1, tasks), "_batch").sortWithinPartitions("_place")
     dealt.select(*df.columns).write.format(fmt).mode(mode).option("maxRecordsPerFile", rows_per_file).save(path)
     return batches
 

@@ -168,6 +168,14 @@ def test_batches_hold_exactly_the_given_rows(spark, rows, partitions, size):
     assert sorted(r["id"] for r in read.collect()) == list(range(rows))
 
 
+def test_a_task_writes_many_batches(spark):
+    folder = new_folder(spark, "batches")
+    assert writers.write_batches(spark.range(95).repartition(3), folder, 10, rows_per_task=40) == 10
+    files = spark.read.parquet(folder).groupBy(c("_metadata.file_name").alias("f")).count().collect()
+    assert sorted(r["count"] for r in files) == [5] + [10] * 9
+    assert len({r["f"].split("-")[1] for r in files}) <= 3
+
+
 def test_lists_of_a_hot_key_are_cut_and_whole(spark):
     df = spark.createDataFrame([("hot", i) for i in range(1000)] * 2 + [("cold", 1)], "k string, v int")
     got = aggregates.lists_per_key(df, "k", "v", chunk=50).collect()
