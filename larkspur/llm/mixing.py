@@ -5,7 +5,8 @@ cells of one dimension after another until all marginals are the targets, and no
 has: a document is then kept with the probability of its cell, weight by tokens, and the sample is expected to
 have the targets' marginals. The budget is the most at which every value can reach its target. DataFrame
 functions only: documents are read once for the sums and once for the sample, and everything
-between works on cells, by sums and joins that shrink before they are shuffled. Single
+between works on cells: up to ``CELLS_TO_A_TASK`` of them lie in one partition and are raked by windows, without a shuffle or a
+broadcast in any round; more are raked by sums and joins that shrink before they are shuffled. Single
 aggregate rows go to the driver.
 """
 
@@ -15,12 +16,14 @@ from collections.abc import Mapping
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.session import cut_lineage
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: So many cells are raked by one task; more are dealt out.
+CELLS_TO_A_TASK = 100_000
 
 
 class Settings(NamedTuple):
@@ -78,6 +81,15 @@ def reachable(cells: DataFrame, shares: Mapping[str, DataFrame]) -> float:
     return most
 
 
+def _with_sums(cells: DataFrame, dimension: str, sums: Mapping[str, Column], few: bool) -> DataFrame:
+    """Each cell with the sums over the cells of its value; by windows if all lie in one partition."""
+    if few:
+        value = Window.partitionBy(dimension)
+        return cells.withColumns({name: F.sum(x).over(value) for name, x in sums.items()})
+    by_value = cells.groupBy(F.col(dimension).alias("_value")).agg(*[F.sum(x).alias(name) for name, x in sums.items()])
+    return cells.join(by_value, F.col(dimension).eqNullSafe(F.col("_value"))).drop("_value")
+
+
 def rake(cells: DataFrame, targets: Mapping[str, DataFrame], settings: Settings = Settings(), bounded: bool = False) -> DataFrame:
     """``cells`` (the dimensions and ``tokens``) with the raked ``weight`` of each.
 
@@ -88,35 +100,43 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], settings: Settings
     """
     spark = cells.sparkSession
     dims = list(targets)
-    total = float(cells.agg(F.sum("tokens").alias("t")).first()["t"] or 0)
+    sums = cells.agg(F.sum("tokens").alias("t"), F.count("*").alias("n")).first()
+    total, few = float(sums["t"] or 0), sums["n"] <= CELLS_TO_A_TASK
+
+    def together(frame: DataFrame) -> DataFrame:
+        return frame.coalesce(1) if few else frame
+
+    cells = together(cells)
     shares = _shares(cells, targets)
     budget = min(settings.keep * total, (1 - settings.slack) * reachable(cells, shares)) if bounded else total
     weighted = cells.select(*dims, "tokens", (F.col("tokens") * F.lit(budget / total if total else 0.0)).alias("weight"))
+    for d in dims:
+        aimed = (F.coalesce("share", F.lit(0.0)) * F.lit(budget)).alias(f"_aim_{d}")
+        weighted = weighted.join(shares[d], F.col(d).eqNullSafe(F.col("wanted")), "left").select(*weighted.columns, aimed)
+    weighted = together(cut_lineage(spark, weighted, "aimed"))
+    aims = [f"_aim_{d}" for d in dims]
     full = F.col("weight") >= F.col("tokens") * (1 - 1e-12)
     for _ in range(settings.rounds):
         gaps = []
         for d in dims:
-            now = weighted.groupBy(F.col(d).alias("value")).agg(
-                F.sum("weight").alias("now"), F.sum(F.when(full, F.col("weight")).otherwise(0.0) if bounded else F.lit(0.0)).alias("full")
-            )
-            wanted_now = F.coalesce("share", F.lit(0.0)) * F.lit(budget)
-            change = F.when((wanted_now > F.col("now")) & (F.col("now") > F.col("full")), (wanted_now - F.col("full")) / (F.col("now") - F.col("full")))
-            change = change.when(F.col("now") > 0, wanted_now / F.col("now")).otherwise(0.0)
-            factor = now.join(shares[d], F.col("value").eqNullSafe(F.col("wanted")), "left").select(
-                "value", change.alias("factor"), F.when(F.col("now") > 0, F.abs(wanted_now / F.col("now") - 1)).otherwise(0.0).alias("off")
-            )
-            raised = F.col("weight") * F.col("factor")
-            gap = F.when(F.col("weight") > 0, F.col("off")).otherwise(0.0)
-            weighted = weighted.join(factor, F.col(d).eqNullSafe(F.col("value"))).select(
-                *dims, "tokens", *gaps, (F.least(F.col("tokens").cast("double"), raised) if bounded else raised).alias("weight"), gap.alias(f"_gap_{d}")
+            held = F.when(full, F.col("weight")).otherwise(0.0) if bounded else F.lit(0.0)
+            weighted = _with_sums(weighted, d, {"_now": F.col("weight"), "_full": held}, few)
+            aim, now, fixed = F.col(f"_aim_{d}"), F.col("_now"), F.col("_full")
+            change = F.when((aim > now) & (now > fixed), (aim - fixed) / (now - fixed))
+            change = change.when(now > 0, aim / now).otherwise(0.0)
+            off = F.when(now > 0, F.abs(aim / now - 1)).otherwise(0.0)
+            raised = F.col("weight") * change
+            gap = F.when(F.col("weight") > 0, off).otherwise(0.0)
+            weighted = weighted.select(
+                *dims, "tokens", *aims, *gaps, (F.least(F.col("tokens").cast("double"), raised) if bounded else raised).alias("weight"), gap.alias(f"_gap_{d}")
             )
             gaps.append(f"_gap_{d}")
-        weighted = cut_lineage(spark, weighted, "raked")
+        weighted = together(cut_lineage(spark, weighted, "raked"))
         worst = weighted.agg(F.max(F.greatest(*gaps) if len(gaps) > 1 else F.col(gaps[0])).alias("m")).first()["m"]
         weighted = weighted.drop(*gaps)
         if worst is None or worst <= settings.tolerance:
             break
-    return weighted
+    return weighted.drop(*aims)
 
 
 def marginals(raked: DataFrame, targets: Mapping[str, DataFrame]) -> DataFrame:

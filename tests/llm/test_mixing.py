@@ -47,6 +47,32 @@ def test_bounded_raking_meets_targets_without_passing_a_cell(spark):
     assert len(told) == 6 and all(share == pytest.approx(target, rel=1e-3) for share, target in told.values())
 
 
+def test_many_cells_are_raked_as_few_ones(spark, monkeypatch):
+    rows = [(f"s{i % 7}" if i % 7 else None, f"l{i % 5}", 1 + i * i % 40) for i in range(35)]
+    cells = spark.createDataFrame(rows, "source string, lang string, tokens bigint").repartition(3)
+    targets = {d: mixing.tempered(cells, d, 0.5) for d in DIMS}
+    found = []
+    for limit in (100, 34):
+        monkeypatch.setattr(mixing, "CELLS_TO_A_TASK", limit)
+        found.append({r["source"] + r["lang"] if r["source"] else r["lang"]: r["weight"] for r in mixing.rake(cells, targets, bounded=True).collect()})
+    assert len(found[0]) == 35 and found[0] == pytest.approx(found[1], rel=1e-9)
+
+
+def test_a_round_on_few_cells_is_two_tasks(spark):
+    cells = spark.createDataFrame([(f"s{i % 7}", f"l{i % 5}", 1 + i * i % 40) for i in range(35)], "source string, lang string, tokens bigint")
+    targets = {d: mixing.tempered(cells, d, 0.5) for d in DIMS}
+    context, tasks = spark.sparkContext, []
+    for rounds in (1, 3):
+        context.setJobGroup(f"rounds-{rounds}", "raking")
+        mixing.rake(cells, targets, mixing.Settings(rounds=rounds, tolerance=0.0))
+        status = context.statusTracker()
+        stages = {s for j in status.getJobIdsForGroup(f"rounds-{rounds}") for s in status.getJobInfo(j).stageIds}
+        tasks.append(sum(status.getStageInfo(s).numTasks for s in stages))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    # a written step and its check, each without a shuffle
+    assert tasks[1] - tasks[0] == 2 * 2
+
+
 def test_sample_follows_its_probabilities(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     mixed = QUERIES["op5_source_mixing"](spark, "/root/testdata/sf0.01").cache()
