@@ -8,33 +8,49 @@ own occurrences must pay for the entries it lists. Suffixes of states are states
 longest state that ends where it begins.
 
 Counts of words and of runs of words stay in tables, whose rows grow with the corpus: a run is listed if it occurs
-``min_count`` times, and discounting, the divergence test and the suffixes are aggregates of these tables and joins
-between them. Only runs with a share of ``sent_share`` or more go to the driver and, as a ``Tree``, to the tasks: the
+``min_count`` times, and discounting, the divergence test and the suffixes are made from these tables. A run is known by a
+hash of the runs at its front and at its end that are a word shorter. The parts of a run are listed if it is, so the log
+probability of a word is a sum with one term for each length of context that is a state: how much a listed run
+gains over its end, or what the context passes on. Every term has a key and is looked up apart from the others.
+
+Only runs and contexts with a share of ``sent_share`` or more go to the driver and, as a ``Tree``, to the tasks: the
 shares of one length sum to 1 at most, so there are no more than 1 / ``sent_share`` of them. With them go bit maps of
-fixed size over all states and listed runs, which can rule out a run but not confirm it. A word that both leave
-undecided is joined with the tables, with the same result; so what is sent decides only how much is joined.
+fixed size over all states and listed runs, which can rule out a run but not confirm it. Terms that both leave
+undecided are looked up in the tables: their keys are dealt out by range, as the tables are. So what is sent
+decides only how much is looked up. Keys travel in arrays, one row for each range that a task has keys for.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from larkspur.llm.words import Slice, chain, find_words, hash_words, signed, slices
-from larkspur.session import Written, cut_lineage, remove_folder, shuffles_dropped, written
+from larkspur.session import cut_lineage, remove_folder, shuffles_dropped, written
 
-#: An index of a listed run needs fewer bits than this; two of them make a key.
-INDEX_BITS = 24
 #: The hash of the token that ends a text.
 END = np.uint64(0x6C8E9CF570932BD5)
 #: Distinct keys that a task gathers before it hands them on.
-KEYS_KEPT = 1 << 21
+KEYS_KEPT = 1 << 20
+#: Tokens learnt from for each task that sums or looks up keys, and ranges of keys for each of these tasks.
+TASK_TOKENS = 1 << 20
+TASK_RANGES = 4
+#: Bytes of text to a token, about; only for the number of tasks.
+TOKEN_BYTES = 6
+#: Parts of the texts that are scored one after the other, so that the open keys of one are on disk at a time.
+SCORED_PARTS = 4
+#: What tells the key of a context from that of the same words as a run.
+CONTEXT = np.uint64(0x2545F4914F6CDD1D)
 #: A bit map of runs has two to the power of this many bits at most, and no more than ``SIEVE_ROOM`` to 2 * ``SIEVE_ROOM`` for each run.
 SIEVE_BITS = 27
 SIEVE_ROOM = 16
@@ -61,19 +77,17 @@ class Tokens(NamedTuple):
 
 
 class Tree(NamedTuple):
-    """Listed runs that are sent, by length: sorted keys, and for each run the log10 probability of its last word after the others.
+    """What is sent: words with their counts and log10 probabilities at the root, and contexts and runs by the length of the context.
 
-    ``words`` are hashes; longer runs have keys made of the index of the run without its last word and of that word.
-    ``states`` and ``backoff`` belong to runs as contexts: whether they are states, and the log10 of what they pass on.
-    ``sieves`` has for each length of context the bit maps of states and of runs listed in them; none if all runs are sent.
+    All keys are sorted. ``contexts`` has keys, whether they are states, and the log10 of what they pass on; ``runs`` the keys of those
+    listed in states, and the log10 of their gain. ``sieves`` has for each length the bit maps of states and of runs listed in them; none if all is sent.
     """
 
     words: np.ndarray
     counts: np.ndarray
-    keys: list[np.ndarray]
-    log_p: list[np.ndarray]
-    states: list[np.ndarray]
-    backoff: list[np.ndarray]
+    log_p: np.ndarray
+    contexts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+    runs: list[tuple[np.ndarray, np.ndarray]]
     tokens: int
     vocabulary: int
     discount: float
@@ -95,372 +109,486 @@ def tokens_of(s: Slice) -> Tokens:
 
 
 def _lookup(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """The index of each value in the sorted keys, or -1."""
-    if not len(keys):
-        return np.full(len(values), -1, dtype=np.int64)
-    at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
-    return np.where(keys[at] == values, at, -1)
+    """The index of each value in the sorted keys, or -1. Looked up in order, which reads memory in order."""
+    out = np.full(len(values), -1, dtype=np.int64)
+    if not len(keys) or not len(values):
+        return out
+    order = np.argsort(values)
+    sorted_values = values[order]
+    at = np.minimum(np.searchsorted(keys, sorted_values), len(keys) - 1)
+    out[order] = np.where(keys[at] == sorted_values, at, -1)
+    return out
+
+
+def _before(keys: np.ndarray) -> np.ndarray:
+    """For each token what the one before it has; of use only behind the begin of a text."""
+    return np.concatenate([keys[:1], keys[:-1]])
+
+
+def _place(t: Tokens) -> np.ndarray:
+    """For each token how many there are before it in its text."""
+    return np.arange(len(t.hashes)) - np.repeat(t.first[:-1], np.diff(t.first))
+
 
+def _longer(keys: np.ndarray) -> np.ndarray:
+    """The keys of the runs that end at each token and are a word longer than those of ``keys``."""
+    return chain(_before(keys), keys)
 
-def _before(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """For each token what the one before it has; -1 at the begin of a text."""
-    out = np.concatenate([[-1], ids[:-1]])
-    out[first[:-1]] = -1
+
+def _seen(sieve: np.ndarray, key: np.ndarray) -> np.ndarray:
+    bits = len(sieve).bit_length() + 5
+    key = key >> np.uint64(64 - bits)
+    return (sieve[(key >> np.uint64(6)).astype(np.int64)] >> (key & np.uint64(63))) & np.uint64(1) != 0
+
+
+def _sieve(runs: DataFrame) -> np.ndarray:
+    """The bit map of the keys in a table: up to 2 ** ``SIEVE_BITS`` bits, however many there are."""
+    bits = min(SIEVE_BITS, max(6, (SIEVE_ROOM * runs.count()).bit_length()))
+    key = F.shiftrightunsigned("key", 64 - bits)
+    bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    found = runs.select(key.alias("place")).groupBy(F.shiftright("place", 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6), dtype=np.uint64)
+    out[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return out
 
 
-def _runs(t: Tokens, words: np.ndarray, keys: list[np.ndarray]) -> list[np.ndarray]:
-    """For each length the index of the listed run that ends at each token, or -1."""
-    ids = [_lookup(words, t.hashes)]
-    for known in keys:
-        context = _before(ids[-1], t.first)
-        both = (context >= 0) & (ids[0] >= 0)
-        found = np.full(len(t.hashes), -1, dtype=np.int64)
-        found[both] = _lookup(known, (context[both] << INDEX_BITS) | ids[0][both])
-        ids.append(found)
-    return ids
+class Deal(NamedTuple):
+    """In how many tasks keys meet, and in how many ranges (a power of two) they are dealt out."""
 
+    tasks: int
+    bits: int
 
-def _tally(length: int, listed: np.ndarray | None):
-    """Counts of the runs of ``length`` words of all texts, summed within the task as far as memory allows.
+    def ranges(self, key: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+        """The columns, each cut into one array for each range of keys that is not empty."""
+        order = np.argsort(key)
+        edges = np.searchsorted(key[order], np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits))
+        edges = np.append(edges, len(key))
+        full = np.flatnonzero(np.diff(edges))
+        offsets = pa.array(np.append(edges[full], len(key)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x[order])) for x in columns.values()]
+        return pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), *lists], names=["range", *columns])
 
-    ``listed`` is a bit map of the runs that are a word shorter: a run with a part that it rules out is left away.
-    """
-    names = _names(length)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-        size = 0
-        sieve = listed.value if listed is not None else None
+def _deal(tokens: int) -> Deal:
+    tasks = 1 + tokens // TASK_TOKENS
+    return Deal(tasks, (TASK_RANGES * tasks).bit_length())
+
+
+def _flat(batches: list[pa.RecordBatch], name: str) -> np.ndarray:
+    """The arrays of a column, one after the other."""
+    return np.concatenate([x.column(name).flatten().to_numpy(zero_copy_only=False) for x in batches])
+
 
-        def summed() -> tuple[np.ndarray, ...]:
-            parts = [np.concatenate(x) for x in zip(*held)]
-            _, at, place = np.unique(parts[0], return_index=True, return_inverse=True)
-            count = np.bincount(place, weights=parts[1], minlength=len(at)).astype(np.int64)
-            return parts[0][at], count, *[w[at] for w in parts[2:]]
+def _in_parts(names: list[str], columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(columns[0]), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(x[at : at + (1 << 16)]) for x in columns], names=names)
 
-        def out(_, count: np.ndarray, *of: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for at in range(0, len(count), 1 << 16):
-                part = slice(at, at + (1 << 16))
-                yield pa.RecordBatch.from_arrays([*[pa.array(signed(w[part])) for w in of], pa.array(count[part])], names=[*names, "count"])
 
+def _tally(lengths: list[int], listed, deal: Deal):
+    """Counts of the runs of so many words of all texts, summed within the task as far as memory allows.
+
+    ``listed`` is a bit map of the runs that are a word shorter, or None: a run with a part that it rules out is left away.
+    A word alone is its own ``ctx``.
+    """
+
+    def found(t: Tokens, length: int) -> tuple[np.ndarray, ...]:
+        if length == 1:
+            key, count = np.unique(t.hashes, return_counts=True)
+            return key, key, np.zeros(len(key), dtype=np.uint64), count
+        low = t.hashes
+        for _ in range(length - 2):
+            low = _longer(low)
+        context = _before(low)
+        at = np.flatnonzero(_place(t) >= length - 1)
+        context, low = context[at], low[at]
+        if listed is not None:
+            kept = _seen(listed.value, context)
+            kept[kept] = _seen(listed.value, low[kept])
+            context, low = context[kept], low[kept]
+        key, first, count = np.unique(chain(context, low), return_index=True, return_counts=True)
+        return key, context[first], low[first], count
+
+    def summed(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        key, context, low, count = (np.concatenate(x) for x in zip(*held))
+        _, at, place = np.unique(key, return_index=True, return_inverse=True)
+        return key[at], context[at], low[at], np.bincount(place, weights=count, minlength=len(at)).astype(np.int64)
+
+    def out(length: int, key: np.ndarray, context: np.ndarray, low: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+        made = deal.ranges(key, {"ctx": signed(context), "low": signed(low), "count": count})
+        return made.append_column("length", pa.array(np.full(made.num_rows, length, dtype=np.int32)))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[np.ndarray, ...]]] = {x: [] for x in lengths}
+        size = dict.fromkeys(lengths, 0)
         for batch in batches:
             for s in slices(batch.column("text")):
                 t = tokens_of(s)
-                at = np.flatnonzero(_place(t) >= length - 1)
-                of = [t.hashes[at - i] for i in range(length - 1, -1, -1)]
-                if sieve is not None:
-                    kept = _seen(sieve, _sieve_key(of[:-1])) & _seen(sieve, _sieve_key(of[1:]))
-                    of = [w[kept] for w in of]
-                key = of[0]
-                for w in of[1:]:
-                    key = chain(key, w)
-                _, first, count = np.unique(key, return_index=True, return_counts=True)
-                held.append((key[first], count, *[w[first] for w in of]))
-                size += len(first)
-                if size > 2 * KEYS_KEPT:
-                    held = [summed()]
-                    size = len(held[0][0])
-                    if size > KEYS_KEPT:
-                        yield from out(*held.pop())
-                        size = 0
-        if held:
-            yield from out(*summed())
+                for x in lengths:
+                    held[x].append(found(t, x))
+                    size[x] += len(held[x][-1][0])
+                    if size[x] > 2 * KEYS_KEPT:
+                        held[x] = [summed(held[x])]
+                        size[x] = len(held[x][0][0])
+                        if size[x] > KEYS_KEPT:
+                            yield out(x, *held[x].pop())
+                            size[x] = 0
+        for x in lengths:
+            if held[x]:
+                yield out(x, *summed(held[x]))
 
     return rows
 
 
-def _names(length: int) -> list[str]:
-    return [f"w{i}" for i in range(length)]
+def _add_up(least: float):
+    """The sums of the counts of a range's runs: of all words, and of those longer ones that reach ``least``."""
 
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[pa.RecordBatch]] = {}
+        for batch in batches:
+            for x in pc.unique(batch.column("length")).to_pylist():
+                held.setdefault(x, []).append(batch.filter(pc.equal(batch.column("length"), x)))
+        for x, parts in held.items():
+            context, low, count = (_flat(parts, name) for name in ("ctx", "low", "count"))
+            key = context.view(np.uint64) if x == 1 else chain(context.view(np.uint64), low.view(np.uint64))
+            order = np.argsort(key)
+            key = key[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            total = np.add.reduceat(count[order], first)
+            if x > 1:
+                first, total = first[total >= least], total[total >= least]
+            length = np.full(len(first), x, dtype=np.int32)
+            yield from _in_parts(["length", "ctx", "low", "count"], [length, context[order[first]], low[order[first]], total])
 
-def _place(t: Tokens) -> np.ndarray:
-    """For each token how many there are before it in its text."""
-    return np.arange(len(t.hashes)) - np.repeat(t.first[:-1], np.diff(t.first))
+    return rows
 
 
-def _sieve_key(of: list[np.ndarray]) -> np.ndarray:
-    """The key of a run, whose first bits are its place in a bit map, as ``_sieve`` tells it; of the words' hashes, which are mixed already."""
-    key = of[0].copy()
-    for i, w in enumerate(of[1:], 1):
-        key ^= (w << np.uint64(21 * i % 64)) | (w >> np.uint64((64 - 21 * i) % 64))
-    return key
+def _counted(texts: DataFrame, lengths: list[int], listed, deal: Deal, least: float) -> DataFrame:
+    """The runs of so many words with their counts; and the keys of the runs a word shorter at their fronts and ends."""
+    dealt = texts.mapInArrow(_tally(lengths, listed, deal), "range int, ctx array<bigint>, low array<bigint>, count array<bigint>, length int")
+    return dealt.repartition(deal.tasks, "range").mapInArrow(_add_up(least), "length int, ctx bigint, low bigint, count bigint")
 
 
-def _seen(sieve: np.ndarray, key: np.ndarray) -> np.ndarray:
-    bits = len(sieve).bit_length() + 5
-    key = key >> np.uint64(64 - bits)
-    return (sieve[(key >> np.uint64(6)).astype(np.int64)] >> (key & np.uint64(63))) & np.uint64(1) != 0
+def _smoothed(cfg: Settings, sent: float, last: bool):
+    """The entries of ``smooth`` for whole contexts: their runs with ``low_p``, and a row with the count of each."""
 
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [x for x in batches if x.num_rows]
+        if not held:
+            return
+        got = pa.Table.from_batches(held)
+        ctx, low, count, low_p = (got[x].to_numpy() for x in ("ctx", "low", "count", "low_p"))
+        is_run = ~got["is_context"].to_numpy()
+        at = np.flatnonzero(~is_run)
+        at = at[np.argsort(ctx[at].view(np.uint64))]
+        contexts, suffix, total = ctx[at], low[at], count[at]
+        ctx, low, count, low_p = (x[is_run] for x in (ctx, low, count, low_p))
+        of, n = _lookup(contexts.view(np.uint64), ctx.view(np.uint64)), len(contexts)
+        entries = np.bincount(of, minlength=n)
+        unlisted = total - np.bincount(of, weights=count, minlength=n)
+        rest = (unlisted + cfg.discount * entries) / total
+        p = (count - cfg.discount) / total[of] + rest[of] * low_p
+        ratio = np.log(np.maximum(p, 1e-300)) - np.log(np.maximum(low_p, 1e-300))
+        passed = np.log(np.maximum(rest, 1e-300))
+        gain = np.bincount(of, weights=count * ratio, minlength=n) + unlisted * passed
+        state = (gain >= cfg.entry_cost * entries) & (gain >= cfg.min_divergence * total)
+        key = signed(chain(ctx.view(np.uint64), low.view(np.uint64)))
+        value, in_state = (ratio - passed[of]) / np.log(10), state[of]
+        used = np.flatnonzero((entries > 0) & (state | (total >= sent) | (not last)))
+        none, zero = np.zeros(len(key), dtype=np.int64), np.zeros(len(used))
+        kept = in_state if last else np.ones(len(key), dtype=bool)
+        runs = [key, none, none, count, none.astype(float), value, in_state, none.astype(bool)] if last else [key, ctx, low, count, p, value, in_state, none.astype(bool)]
+        names = ["key", "ctx", "low", "count", "p", "value", "state", "is_context"]
+        yield from _in_parts(names, [x[kept] for x in runs])
+        yield from _in_parts(names, [contexts[used], contexts[used], suffix[used], total[used], zero, passed[used] / np.log(10), state[used], ~zero.astype(bool)])
+
+    return rows
 
-def _sieve(runs: DataFrame, length: int) -> np.ndarray:
-    """The bit map of the runs in a table: up to 2 ** ``SIEVE_BITS`` bits, however many there are."""
-    bits = min(SIEVE_BITS, max(6, (SIEVE_ROOM * runs.count()).bit_length()))
-    key = F.col("w0")
-    for i in range(1, length):
-        w, by = F.col(f"w{i}"), 21 * i % 64
-        key = key.bitwiseXOR(F.shiftleft(w, by).bitwiseOR(F.shiftrightunsigned(w, 64 - by)))
-    key = F.shiftrightunsigned(key, 64 - bits)
-    bit = F.expr("shiftleft(1L, cast(key & 63 as int))")
-    found = runs.select(key.alias("key")).groupBy(F.shiftright("key", 6).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    out = np.zeros(1 << (bits - 6), dtype=np.uint64)
-    out[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    return out
 
+def smooth(runs: DataFrame, shorter: DataFrame, cfg: Settings, sent: float, last: bool) -> DataFrame:
+    """The listed runs of a length, and a row for each of their contexts (``is_context``).
 
-def _counted(texts: DataFrame, length: int, listed=None) -> DataFrame:
-    names = _names(length)
-    schema = ", ".join([*[f"{w} bigint" for w in names], "count bigint"])
-    return texts.mapInArrow(_tally(length, listed), schema).groupBy(*names).agg(F.sum("count").alias("count"))
+    ``shorter`` has the listed runs that are a word shorter, with ``count`` and ``p``. A run has the probability ``p`` of its last word after
+    the others and as ``value`` the log10 of its gain over the run without its first word, less what its context passes on. A
+    context has that as its value, and in ``low`` its suffix. ``state`` is the divergence of the context alone. Of the
+    ``last`` length only what a term may need is kept: runs in states, states, and contexts that are sent.
+    """
+    ends = runs.join(shorter.select(F.col("key").alias("low"), F.col("p").alias("low_p")), "low")
+    entries = ends.select("ctx", "low", "count", "low_p", F.lit(False).alias("is_context"))
+    totals = shorter.select(F.col("key").alias("ctx"), "low", "count", F.lit(0.0).alias("low_p"), F.lit(True).alias("is_context"))
+    schema = "key bigint, ctx bigint, low bigint, count bigint, p double, value double, state boolean, is_context boolean"
+    return entries.unionByName(totals).repartition("ctx").mapInArrow(_smoothed(cfg, sent, last), schema)
 
 
-def _moved(names: list[str], by: int) -> list[Column]:
-    """The words of a run under the names they have in one that begins ``by`` words before (or after) it."""
-    return [F.col(w).alias(f"w{int(w[1:]) + by}") for w in names]
+def _sorted(of: DataFrame, *columns: str) -> tuple[np.ndarray, ...]:
+    """The keys of a table in order, and its columns."""
+    got = of.select("key", *columns).toArrow()
+    key = got["key"].to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    return key[order], *[got[c].to_numpy()[order] for c in columns]
 
 
-def smooth(runs: DataFrame, shorter: DataFrame, length: int, cfg: Settings) -> tuple[Written, DataFrame]:
-    """The listed runs of a length with the probability ``p`` of their last word after the others, and their contexts.
+class Index(NamedTuple):
+    """A tree's keys by length of run: those of runs listed in states and those of contexts in one order, with the places of both or -1."""
 
-    ``shorter`` has all runs that are a word shorter, with ``count`` and ``p``. A context has ``state`` (its divergence
-    alone) and ``backoff``.
-    """
-    spark, names = runs.sparkSession, _names(length)
-    context, d = names[:-1], F.lit(cfg.discount)
-    sums = runs.groupBy(*context).agg(F.sum("count").alias("listed"), F.count("*").alias("entries"))
-    rest = (F.col("total") - F.col("listed") + d * F.col("entries")) / F.col("total")
-    contexts = sums.join(shorter.select(*context, F.col("count").alias("total")), context).withColumn("rest", rest)
-    contexts, used = written(spark, contexts, "contexts")
-    lower = shorter.select(*_moved(context, 1), F.col("p").alias("low"))
-    p = (F.col("count") - d) / F.col("total") + F.col("rest") * F.col("low")
-    both = runs.join(contexts.select(*context, "total", "rest"), context).join(lower, names[1:])
-    smoothed = written(spark, both.select(*names, "count", p.alias("p"), "low"), "runs")
-    gains = smoothed.frame.groupBy(*context).agg(F.sum(F.col("count") * F.log(F.col("p") / F.col("low"))).alias("gain"))
-    floor = F.greatest("rest", F.lit(1e-300))
-    gain = F.col("gain") + (F.col("total") - F.col("listed")) * F.log(floor)
-    state = (gain >= cfg.entry_cost * F.col("entries")) & (gain >= cfg.min_divergence * F.col("total"))
-    tested = contexts.join(gains, context).select(*context, state.alias("state"), F.log10(floor).alias("backoff"))
-    tested = cut_lineage(spark, tested, "tested")
-    remove_folder(spark, used)
-    return smoothed._replace(frame=smoothed.frame.drop("low")), tested
-
-
-def _sent(tables: list[DataFrame], states: list[DataFrame], least: float, tokens: int, vocabulary: int, cfg: Settings, sieves) -> Tree:
-    """The tree of the runs that occur ``least`` times; at most 1 / sent_share of each length."""
-    words = word_counts = np.zeros(0)
-    keys, log_p, is_state, backoff = [], [], [], []
-    for k, runs in enumerate(tables):
-        names = _names(k + 1)
-        often = runs.where(F.col("count") >= F.lit(float(least)))
-        if k < cfg.depth:
-            often = often.join(states[k], names, "left")
-        else:
-            often = often.withColumns({"state": F.lit(False), "backoff": F.lit(0.0)})
-        got = often.select(
-            *names, "count", F.log10(F.greatest("p", F.lit(1e-300))).alias("log_p"),
-            F.coalesce("state", F.lit(False)).alias("state"), F.coalesce("backoff", F.lit(0.0)).alias("backoff"),
-        ).toArrow()
-        of = [got[w].to_numpy().view(np.uint64) for w in names]
-        if not k:
-            order = np.argsort(of[0])
-            words, word_counts = of[0][order], got["count"].to_numpy()[order]
-        else:
-            key = _lookup(words, of[0])
-            for w, known in zip(of[1:], [*keys, None]):
-                key = (key << INDEX_BITS) | _lookup(words, w)
-                key = key if known is None else _lookup(known, key)
-            order = np.argsort(key)
-            keys.append(key[order])
-        log_p.append(got["log_p"].to_numpy()[order])
-        if k < cfg.depth:
-            is_state.append(got["state"].to_numpy()[order])
-            backoff.append(got["backoff"].to_numpy()[order])
-    return Tree(words, word_counts, keys, log_p, is_state, backoff, tokens, vocabulary, cfg.discount, sieves)
+    keys: list[np.ndarray]
+    runs: list[np.ndarray]
+    contexts: list[np.ndarray]
 
 
-def score_tokens(t: Tokens, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
-    """For each token the log10 probability as far as listed words tell it, and whether its own count is still to be added."""
-    ids = _runs(t, tree.words, tree.keys)
-    rare = ids[0] < 0
-    log_p = np.where(rare, 0.0, tree.log_p[0][ids[0]] if len(tree.words) else 0.0)
-    for k, (state, passed) in enumerate(zip(tree.states, tree.backoff)):
-        context = _before(ids[k], t.first)
-        at = np.flatnonzero(context >= 0)
-        at = at[state[context[at]]]
-        run = ids[k + 1][at]
-        log_p[at] = np.where(run >= 0, tree.log_p[k + 1][run] if len(tree.keys[k]) else 0.0, passed[context[at]] + log_p[at])
-    return log_p, rare
-
-
-def decide_tokens(t: Tokens, tree: Tree) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """As ``score_tokens``, as far as the tree decides; then the length of the first context that it leaves open (0: none).
-
-    The last part has for each length what the context passes on: 1 if it is no state, not a number if that is open.
+def _index(tree: Tree) -> Index:
+    empty = np.zeros(0, dtype=np.uint64)
+    runs, contexts = [tree.words, *[x[0] for x in tree.runs]], [*[x[0] for x in tree.contexts], empty]
+    keys = [np.union1d(x, y) for x, y in zip(runs, contexts)]
+    return Index(keys, *[[_lookup(x, y).astype(np.int32) for x, y in zip(of, keys)] for of in (runs, contexts)])
+
+
+def _at(places: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """The places at an index, -1 where that is -1."""
+    out = np.full(len(index), -1, dtype=np.int64)
+    known = index >= 0
+    out[known] = places[index[known]]
+    return out
+
+
+def _terms(t: Tokens, tree: Tree, index: Index) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """For each token the sum of the log10 terms that the tree decides, and its place among the words that are sent, or -1.
+
+    The last part has the tokens and keys of the terms that it leaves open.
     """
-    ids = _runs(t, tree.words, tree.keys)
+    here = _lookup(index.keys[0], t.hashes)
+    word = _at(index.runs[0], here)
+    rare = np.flatnonzero(word < 0)
+    log_p = np.full(len(word), tree.unseen())
+    log_p[word >= 0] = tree.log_p[word[word >= 0]]
+    left = [(rare, t.hashes[rare])]
+    at, keys = np.arange(len(word)), t.hashes
     place = _place(t)
-    rare = ids[0] < 0
-    log_p = np.where(rare, 0.0, tree.log_p[0][ids[0]] if len(tree.words) else 0.0)
-    level = np.zeros(len(rare), dtype=np.int32)
-    alive, passed = np.ones(len(rare), dtype=bool), []
-    for k, (state, backoff) in enumerate(zip(tree.states, tree.backoff)):
-        context = _before(ids[k], t.first)
-        known = context >= 0
-        is_state = known.copy()
-        is_state[known] = state[context[known]]
-        run = ids[k + 1]
-        passes = np.ones(len(rare))
-        passes[is_state] = backoff[context[is_state]]
+    for k, ((_, states, passed), (_, gain)) in enumerate(zip(tree.contexts, tree.runs)):
+        at = at[place[at] > k]  # only where the shorter context may be a state
+        found = _at(index.contexts[k], here[at - 1])
+        is_state = found >= 0
+        is_state[is_state] = states[found[is_state]]
+        some = is_state.copy()
+        if tree.sieves:
+            unknown = np.flatnonzero(found < 0)
+            unknown = unknown[_seen(tree.sieves[k][0], keys[at[unknown] - 1])]
+            some[unknown] = True
+            left.append((at[unknown], keys[at[unknown] - 1] ^ CONTEXT))
+        log_p[at[is_state]] += passed[found[is_state]]
+        keys = _longer(keys)
+        at = at[some]
+        # all places behind these runs may ask for them as contexts
+        follow = np.flatnonzero(place > k) if k + 1 < len(tree.contexts) else at
+        here = np.full(len(word), -1, dtype=np.int64)
+        here[follow] = _lookup(index.keys[k + 1], keys[follow])
+        run = _at(index.runs[k + 1], here[at])
+        log_p[at[run >= 0]] += gain[run[run >= 0]]
         if tree.sieves:
-            states, listed = tree.sieves[k]
-            maybe, unlisted = np.zeros(len(rare), dtype=bool), np.zeros(len(rare), dtype=bool)
-            at = np.flatnonzero((place > k) & ~known & alive)
-            maybe[at] = _seen(states, _sieve_key([t.hashes[at - i] for i in range(k + 1, 0, -1)]))
-            at = np.flatnonzero((is_state & (run < 0)) & alive)
-            unlisted[at] = _seen(listed, _sieve_key([t.hashes[at - i] for i in range(k + 1, -1, -1)]))
-            passes[maybe] = np.nan
-            level[(level == 0) & (maybe | unlisted)] = k + 1
-            alive &= is_state | maybe
-        at = np.flatnonzero(is_state & (level == 0))
-        log_p[at] = np.where(run[at] >= 0, tree.log_p[k + 1][run[at]] if len(tree.keys[k]) else 0.0, passes[at] + log_p[at])
-        passed.append(passes)
-    return log_p, rare, level, passed
-
-
-def _score_rows(shared):
+            open_at = at[run < 0]
+            open_at = open_at[_seen(tree.sieves[k][1], keys[open_at])]
+            left.append((open_at, keys[open_at]))
+    return log_p, word, left
+
+
+def score_tokens(t: Tokens, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
+    """For each token the log10 probability as far as the tree tells it, without what the root gives to a word that is not sent; and whether it is one."""
+    log_p, word, _ = _terms(t, tree, _index(tree))
+    return np.where(word < 0, log_p - tree.unseen(), log_p), word < 0
+
+
+ASK_SCHEMA = "range int, row bigint, id {kind}, learnt boolean, n_tokens bigint, n_known bigint, base double, log_p double, keys array<bigint>, at array<smallint>, value array<double>, count array<bigint>"
+
+
+def _ask(shared, deal: Deal, schema: pa.Schema):
+    """A row for each text with all that the tree decides, and rows with the keys of all open terms, dealt out by range.
+
+    Open keys come with the place of their text behind the text numbered ``row``.
+    """
+
+    def full(batch: dict[str, pa.Array], n: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([batch[f.name].cast(f.type) if f.name in batch else pa.nulls(n, f.type) for f in schema], schema=schema)
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree: Tree = shared.value
+        tree, index = shared.value
         base_of = np.append(np.log10(tree.counts + 1.0), 0.0)
-        key = TaskContext.get().partitionId() << 36
-        depth = len(tree.states)
+        row = first = TaskContext.get().partitionId() << 36
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            keys, at = (np.concatenate(x) for x in zip(*held))
+            made = deal.ranges(keys, {"keys": signed(keys), "at": at.astype(np.int16)})
+            n = made.num_rows
+            return full({x: made.column(x) for x in ("range", "keys", "at")} | {"row": pa.array(np.full(n, first))}, n)
+
         for batch in batches:
             for s in slices(batch.column("text")):
                 t = tokens_of(s)
-                log_p, rare, level, passed = decide_tokens(t, tree)
-                base = base_of[np.where(rare, len(tree.words), _lookup(tree.words, t.hashes))]
-                is_open = level > 0
-                alone = rare & ~is_open
-
-                def lists(chosen: np.ndarray, values: pa.Array) -> pa.ListArray:
-                    ends = np.concatenate([[0], np.cumsum(chosen)])[t.first]
-                    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
-
-                at = np.flatnonzero(is_open)
-                of = [pa.array(signed(t.hashes[np.maximum(at - i, 0)])) for i in range(depth, -1, -1)]
-                back = [pa.array(x[at], mask=np.isnan(x[at])) for x in passed]
-                open_names = [*_names(depth + 1), *[f"b{k + 1}" for k in range(depth)], "level", "is_rare", "l"]
-                left = pa.StructArray.from_arrays([*of, *back, pa.array(level[at]), pa.array(rare[at]), pa.array(log_p[at])], names=open_names)
-                log_p[at] = 0.0
+                log_p, word, left = _terms(t, tree, index)
+                text = np.repeat(np.arange(s.rows), np.diff(t.first))
+                rare = word < 0
                 n = np.diff(t.first)
-                columns = [
-                    batch.column("id").slice(s.first_row, s.rows), batch.column("learnt").slice(s.first_row, s.rows),
-                    pa.array(key + np.arange(s.rows)), pa.array(n), pa.array(n - np.add.reduceat(rare.astype(np.int64), t.first[:-1])),
-                    pa.array(np.add.reduceat(base, t.first[:-1])), pa.array(np.add.reduceat(log_p, t.first[:-1])),
-                    lists(alone, pa.array(signed(t.hashes[alone]))), lists(is_open, left),
-                ]
-                key += s.rows
-                names = ["id", "learnt", "row", "n_tokens", "n_listed", "base", "log_p", "rare", "open"]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                yield full({
+                    "range": pa.array(((row + np.arange(s.rows)) % (1 << deal.bits)).astype(np.int32)), "row": pa.array(row + np.arange(s.rows)),
+                    "id": batch.column("id").slice(s.first_row, s.rows), "learnt": batch.column("learnt").slice(s.first_row, s.rows),
+                    "n_tokens": pa.array(n), "n_known": pa.array(n - np.add.reduceat(rare.astype(np.int64), t.first[:-1])),
+                    "base": pa.array(np.add.reduceat(base_of[word], t.first[:-1])), "log_p": pa.array(np.add.reduceat(log_p, t.first[:-1])),
+                }, s.rows)
+                if row + s.rows - first > 1 << 15 and held:  # places are short numbers
+                    yield out()
+                    held, size, first = [], 0, row
+                for at, keys in left:
+                    held.append((keys, row - first + text[at]))
+                    size += len(keys)
+                row += s.rows
+                if size > KEYS_KEPT:
+                    yield out()
+                    held, size, first = [], 0, row
+        if size:
+            yield out()
+
+    return rows
+
+
+def _table(deal: Deal):
+    """Keys with value and count, dealt out by range."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def out() -> pa.RecordBatch:
+            key, value, count = (np.concatenate([x.column(name).to_numpy() for x in held]) for name in ("key", "value", "count"))
+            return deal.ranges(key.view(np.uint64), {"keys": key, "value": value, "count": count})
+
+        size = 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size > KEYS_KEPT:
+                yield out()
+                held, size = [], 0
+        if size:
+            yield out()
+
+    return rows
+
+
+PART = ["row", "id", "learnt", "n_tokens", "n_known", "base", "log_p"]
+
+
+def _answer(schema: pa.Schema):
+    """The rows of texts as they are; and for each text the sums of the terms that are found in the table's rows of the same ranges."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table: list[pa.RecordBatch] = []
+        asked: list[tuple[int, np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            is_text, is_table = pc.is_valid(batch.column("n_tokens")), pc.is_valid(batch.column("value"))
+            texts = batch.filter(is_text)
+            if texts.num_rows:
+                yield texts.select(PART)
+            if pc.any(is_table).as_py():
+                table.append(batch.filter(is_table).select(["keys", "value", "count"]))
+            asks = batch.filter(pc.invert(pc.or_(is_text, is_table))).select(["row", "keys", "at"])
+            for i in range(asks.num_rows):
+                part = asks.slice(i, 1)
+                asked.append((part.column("row")[0].as_py(), part.column("keys").flatten().to_numpy(), part.column("at").flatten().to_numpy()))
+        if not table or not asked:
+            return
+        keys, value, count = (_flat(table, x) for x in ("keys", "value", "count"))
+        keys = keys.view(np.uint64)
+        order = np.argsort(keys)
+        keys, value, count = keys[order], value[order], count[order]
+        base = np.log10(count + 1.0)
+        by_row: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for row, of, at in asked:
+            by_row.setdefault(row, []).append((of, at))
+        for row, parts in by_row.items():  # the keys of one row come from the same texts
+            of, at = (np.concatenate(x) for x in zip(*parts))
+            found = _lookup(keys, of.view(np.uint64))
+            at, found = at[found >= 0], found[found >= 0]
+            if not len(at):
+                continue
+            text, place = np.unique(at, return_inverse=True)
+            n = len(text)
+            sums = [np.bincount(place, weights=x[found], minlength=n) for x in (count > 0, base, value)]
+            got = {"row": pa.array(row + text.astype(np.int64)), "n_known": pa.array(sums[0].astype(np.int64)), "base": pa.array(sums[1]), "log_p": pa.array(sums[2])}
+            yield pa.RecordBatch.from_arrays([got[f.name] if f.name in got else pa.nulls(n, f.type) for f in schema], schema=schema)
 
     return rows
 
 
 class Model(NamedTuple):
-    """What is sent to the tasks, and the tables: words (w0, count, p), and by length of context states and runs in them."""
+    """What is sent to the tasks, and the tables: words (key, count, p), and the terms (key, value, count) of all that is not sent."""
 
     tree: Tree
     words: DataFrame
-    states: list[DataFrame]
-    runs: list[DataFrame]
+    terms: DataFrame
+    folders: list[str]
 
 
 def learn(texts: DataFrame, settings: Settings = Settings()) -> Model:
-    """The model learnt from the column ``text``."""
+    """The model learnt from the column ``text``. Its tables are read from the folders that are named in it."""
     spark, cfg = texts.sparkSession, settings
-    all_words = cut_lineage(spark, _counted(texts, 1), "words")
-    total = all_words.agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
+    deal = _deal((texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // TOKEN_BYTES)
+    runs = written(spark, _counted(texts, [1, 2], None, deal, float(cfg.min_count)), "counts")
+    total = runs.frame.where("length = 1").agg(F.sum("count").alias("n"), F.count("*").alias("v")).first()
     n, v = total["n"] or 0, total["v"]
     least = float(max(cfg.min_count, cfg.min_share * n))
     sent = max(least, cfg.sent_share * n)
-    tables = [all_words.withColumn("p", (F.col("count") - cfg.discount) / F.lit(float(max(n, 1))))]
-    states: list[DataFrame] = []
-    folders: list[str] = []
+    words = written(spark, runs.frame.where("length = 1").select(F.col("ctx").alias("key"), "count"), "words")
+    folders = [words.folder]
+    all_words = words.frame.select("key", F.lit(0).cast("bigint").alias("low"), "count", ((F.col("count") - cfg.discount) / F.lit(float(max(n, 1)))).alias("p"))
+    shorter = all_words.where(F.col("count") >= least)
+    tables: list[DataFrame] = []
     for length in range(2, cfg.depth + 2):
-        listed = spark.sparkContext.broadcast(_sieve(tables[-1].where(F.col("count") >= least), length - 1))
-        counts = written(spark, _counted(texts, length, listed).where(F.col("count") >= least), "counts")
-        runs, contexts = smooth(counts.frame, tables[-1], length, cfg)
-        remove_folder(spark, counts.folder)
-        listed.destroy()
-        tables.append(runs.frame)
-        folders.append(runs.folder)
-        states.append(contexts)
-    for k in range(len(states) - 2, -1, -1):  # a state's suffix is a state
-        names = _names(k + 1)
-        longer = states[k + 1].where("state").select(*_moved(_names(k + 2)[1:], -1)).distinct().withColumn("_longer", F.lit(True))
-        closed = states[k].join(longer, names, "left")
-        states[k] = cut_lineage(spark, closed.select(*names, (F.col("state") | F.col("_longer").isNotNull()).alias("state"), "backoff"), "closed")
-    true_states = [x.where("state") for x in states]
-    in_states = [runs.join(x.select(*_names(k + 1)), _names(k + 1), "left_semi") for k, (runs, x) in enumerate(zip(tables[1:], true_states))]
-    sieves = []
-    if sent > least:
-        in_states = [cut_lineage(spark, x, "in_states") for x in in_states]
-        sieves = [(_sieve(x, k + 1), _sieve(r, k + 2)) for k, (x, r) in enumerate(zip(true_states, in_states))]
-    tree = _sent(tables, states, sent, n, v, cfg, sieves)
-    if sieves:  # all that is still looked up is in tables of its own
-        for folder in folders:
-            remove_folder(spark, folder)
-    return Model(tree, tables[0], true_states, in_states)
+        if length > 2:
+            listed = spark.sparkContext.broadcast(_sieve(shorter))
+            runs = written(spark, _counted(texts, [length], listed, deal, least), "counts")
+            listed.destroy()
+        of_length = runs.frame.where((F.col("length") == length) & (F.col("count") >= least))
+        smoothed = written(spark, smooth(of_length, shorter, cfg, sent, length == cfg.depth + 1), "runs")
+        remove_folder(spark, runs.folder)
+        folders.append(smoothed.folder)
+        tables.append(smoothed.frame)
+        shorter = smoothed.frame.where("not is_context")
+
+    states = [x.where("state") for x in tables]
+    closed: list[np.ndarray] = [np.zeros(0, dtype=np.uint64)] * cfg.depth
+    often = F.col("count") >= F.lit(float(sent))
+    for k in range(cfg.depth - 2, -1, -1):  # a state's suffix is a state
+        longer = states[k + 1].where("is_context").select(F.col("low").alias("ctx")).distinct()
+        more = written(spark, tables[k].where("not state").join(longer, "ctx", "left_semi").select(*tables[k].columns), "closed")
+        folders.append(more.folder)
+        closed[k] = _sorted(more.frame.where("is_context").where(often))[0]
+        states[k] = states[k].unionByName(more.frame)
+
+    sieves, contexts, gains = [], [], []
+    log_p = F.log10(F.greatest("p", F.lit(1e-300)))
+    key, count, sent_log_p = _sorted(all_words.where(often).withColumn("log_p", log_p), "count", "log_p")
+    unseen = Tree(key, count, sent_log_p, [], [], n, v, cfg.discount, []).unseen()  # what a word has until it is found
+    terms = all_words.where(~often).select("key", (log_p - F.lit(unseen)).alias("value"), "count")
+    for k, (every, state) in enumerate(zip(tables, states)):
+        known, is_state, passed = _sorted(every.where("is_context").where(often), "state", "value")
+        contexts.append((known, is_state | np.isin(known, closed[k]), passed))
+        of_state, listed = state.where("is_context"), state.where("not is_context")
+        gains.append(_sorted(listed.where(often), "value"))
+        if sent > least:
+            sieves.append((_sieve(of_state), _sieve(listed)))
+        none = F.lit(0).cast("bigint").alias("count")
+        apart = F.col("key").bitwiseXOR(F.lit(int(CONTEXT.view(np.int64)))).alias("key")
+        terms = terms.unionByName(of_state.where(~often).select(apart, "value", none)).unionByName(listed.where(~often).select("key", "value", none))
+    # a run's value is less what its context passes on, which is a term of its own; together they are the run's gain
+    tree = Tree(key, count, sent_log_p, contexts, gains, n, v, cfg.discount, sieves)
+    return Model(tree, all_words, terms, folders)
 
 
 def fit(texts: DataFrame, settings: Settings = Settings()) -> tuple[Tree, DataFrame]:
-    """The tree that is sent, learnt from the column ``text``, and the table (w0, count, p) of all words."""
+    """The tree that is sent, learnt from the column ``text``, and the table (key, count, p) of all words."""
     model = learn(texts, settings)
     return model.tree, model.words
 
 
-def _joined(tokens: DataFrame, needs: Column, of: list[str], found: DataFrame, value: str) -> DataFrame:
-    """Tokens with ``value`` from the run table ``found`` for the words ``of`` where ``needs`` is true, else null.
-
-    Tokens that need nothing get a first word of their own, so that they are dealt out evenly.
-    """
-    keys = [f"_{i}" for i in range(len(of))]
-    table = found.select(*[F.col(f"w{i}").alias(f"_{i}") for i in range(len(of))], F.col(value).alias("_value"))
-    own = F.xxhash64("row", "l", *[c for c in tokens.columns if c.startswith("w")])
-    keyed = tokens.withColumns({"_needs": F.coalesce(needs, F.lit(False))} | {k: F.col(w) for k, w in zip(keys, of)})
-    keyed = keyed.withColumn("_0", F.when(F.col("_needs"), F.col("_0")).otherwise(own))
-    return keyed.join(table, keys, "left").withColumn("_value", F.when(F.col("_needs"), F.col("_value"))).drop(*keys, "_needs")
-
-
-def _opened(scored: DataFrame, model: Model) -> DataFrame:
-    """Row, training count (null: a word that was sent, 0: unknown) and log10 probability of each token left open.
-
-    Each length of context is a written step, so that only the joins of one are on disk at a time.
-    """
-    spark, folder = scored.sparkSession, None
-    tree, depth = model.tree, len(model.states)
-    names = _names(depth + 1)
-    tokens = scored.select("row", F.explode("open").alias("o")).select("row", "o.*").withColumn("alive", F.lit(True))
-    tokens = _joined(tokens, F.col("is_rare"), names[-1:], model.words, "count")
-    tokens = tokens.withColumnRenamed("_value", "count").withColumn("count", F.when(F.col("is_rare"), F.coalesce("count", F.lit(0))))
-    at_root = F.when(F.col("count") > 0, F.log10((F.col("count") - tree.discount) / F.lit(float(max(tree.tokens, 1)))))
-    tokens = tokens.withColumn("l", F.col("l") + F.when(F.col("is_rare"), F.coalesce(at_root, F.lit(tree.unseen()))).otherwise(0.0))
-    for k in range(1, depth + 1):
-        context, now = names[depth - k : depth], F.col("alive") & (F.col("level") <= k)
-        tokens = _joined(tokens, now & F.col(f"b{k}").isNull(), context, model.states[k - 1], "backoff")
-        tokens = tokens.withColumn(f"b{k}", F.coalesce(f"b{k}", "_value", F.lit(1.0))).drop("_value")
-        tokens = tokens.withColumn("alive", F.col("alive") & ((F.col("level") > k) | (F.col(f"b{k}") <= 0)))
-        listed = model.runs[k - 1].withColumn("log_p", F.log10(F.greatest("p", F.lit(1e-300))))
-        tokens = _joined(tokens, now & (F.col(f"b{k}") <= 0), names[depth - k :], listed, "log_p")
-        lower = F.when(now & (F.col(f"b{k}") <= 0), F.col(f"b{k}") + F.col("l")).otherwise(F.col("l"))
-        tokens = tokens.withColumn("l", F.coalesce(F.col("_value"), lower)).drop("_value", f"b{k}")
-        if k == depth:
-            tokens = tokens.select("row", "count", "l")
-        done, (tokens, folder) = folder, written(spark, tokens, "opened")
-        if done:
-            remove_folder(spark, done)
-    return tokens
-
-
 def score(docs: DataFrame, train: Column, id_column: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """One row per row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -478,28 +606,32 @@ def _scored(docs: DataFrame, train: Column, id_column: str, text: str, settings:
     kind = docs.schema[id_column].dataType.simpleString()
     named = docs.select(F.col(id_column).alias("id"), F.coalesce(train, F.lit(False)).alias("learnt"), F.col(text).alias("text"))
     model = learn(named.where("learnt").select("text"), settings)
-    tree = model.tree
-    shared = spark.sparkContext.broadcast(tree)
-    depth = len(tree.states)
-    open_type = ",".join([*[f"{w}:bigint" for w in _names(depth + 1)], *[f"b{k + 1}:double" for k in range(depth)], "level:int,is_rare:boolean,l:double"])
-    schema = f"id {kind}, learnt boolean, row bigint, n_tokens bigint, n_listed bigint, base double, log_p double, rare array<bigint>, open array<struct<{open_type}>>"
-    scored = cut_lineage(spark, named.mapInArrow(_score_rows(shared), schema), "scored")
-    shared.destroy()
-
-    rare = scored.select("row", F.explode("rare").alias("word")).join(model.words, F.col("word") == F.col("w0"), "left")
-    at_root = F.log10((F.col("count") - tree.discount) / F.lit(float(max(tree.tokens, 1))))
-    parts = rare.select("row", F.coalesce("count", F.lit(0)).alias("count"), F.coalesce(at_root, F.lit(tree.unseen())).alias("l"))
-    if tree.sieves:
-        parts = parts.unionByName(_opened(scored, model))
-    sums = parts.groupBy(F.col("row").alias("of")).agg(
-        F.count_if(F.col("count") > 0).alias("n_rare"), F.sum(F.log10(F.coalesce("count", F.lit(0)) + 1)).alias("base_rare"),
-        F.sum("l").alias("log_rare"),
-    )
-    zero = F.lit(0.0)
+    tree, deal = model.tree, _deal(model.tree.tokens)
+    # what is still looked up, in a table of its own
+    terms = written(spark, model.terms.mapInArrow(_table(deal), "range int, keys array<bigint>, value array<double>, count array<bigint>"), "terms")
+    for folder in model.folders:
+        remove_folder(spark, folder)
+    none = np.zeros(0, dtype=np.uint64)  # the keys go with the index
+    bare = tree._replace(words=none, contexts=[(none, *x[1:]) for x in tree.contexts], runs=[(none, x[1]) for x in tree.runs])
+    shared = spark.sparkContext.broadcast((bare, _index(tree)))
+    schema = StructType.fromDDL(ASK_SCHEMA.format(kind=kind))
+    of_part = StructType([schema[x] for x in PART])
     size = F.log10(F.lit(float(tree.tokens + tree.vocabulary + 1)))
-    return scored.join(sums, F.col("row") == F.col("of"), "left").select(
-        F.col("id").alias(id_column), (~F.col("learnt")).alias("held_out"), "n_tokens",
-        (F.col("n_listed") + F.coalesce("n_rare", F.lit(0))).alias("n_known"), F.lit(tree.tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("base_rare", zero) - F.col("n_tokens") * size).alias("base_score"),
-        (F.col("log_p") + F.coalesce("log_rare", zero)).alias("score"),
-    )
+    parts = SCORED_PARTS if deal.tasks > 1 else 1
+    scored = []
+    for i in range(parts):
+        some = named.where(F.pmod(F.xxhash64(F.col("id").cast("string"), "text"), F.lit(parts)) == i) if parts > 1 else named
+        asked = some.mapInArrow(_ask(shared, deal, to_arrow_schema(schema)), schema)
+        met = asked.unionByName(terms.frame, allowMissingColumns=True).repartition(deal.tasks, "range")
+        sums = met.mapInArrow(_answer(to_arrow_schema(of_part)), of_part).groupBy("row").agg(
+            F.first("id", ignorenulls=True).alias("id"), F.first("learnt", ignorenulls=True).alias("learnt"),
+            F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base"), F.sum("log_p").alias("log_p"),
+        )
+        scored.append(cut_lineage(spark, sums.select(
+            F.col("id").alias(id_column), (~F.col("learnt")).alias("held_out"), "n_tokens",
+            "n_known", F.lit(tree.tokens).cast("bigint").alias("train_tokens"),
+            (F.col("base") - F.col("n_tokens") * size).alias("base_score"), F.col("log_p").alias("score"),
+        ), "scored"))
+    shared.destroy()
+    remove_folder(spark, terms.folder)
+    return reduce(DataFrame.unionByName, scored)

@@ -1,5 +1,6 @@
 import itertools
 import math
+import os
 import zlib
 from collections import Counter
 
@@ -8,6 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from larkspur import session as session_module
 from larkspur.llm import suffix_tree as st
 from larkspur.llm.queries import QUERIES
 from larkspur.llm.words import slices
@@ -131,3 +133,21 @@ def test_runs_that_are_not_sent_count_too(spark, depth, cost, share):
     for i, r in whole.items():
         assert (got[i]["n_known"], got[i]["n_tokens"]) == (r["n_known"], r["n_tokens"])
         assert got[i]["base_score"] == pytest.approx(r["base_score"], rel=1e-9)
+
+
+def test_open_words_are_not_written(spark, monkeypatch):
+    """Of the folders that a query writes only that of its rows is left, and none has a row for each open word."""
+    made = []
+
+    def noted(session, df, label="cut"):
+        out = write(session, df, label)
+        made.append((label, out.folder, out.frame.count()))
+        return out
+
+    write = session_module.written
+    monkeypatch.setattr(session_module, "written", noted)
+    monkeypatch.setattr(st, "written", noted)
+    df = spark.createDataFrame([(i, " ".join(TEXTS), True) for i in range(40)], "doc_id bigint, text string, train boolean").repartition(2)
+    got = st.score(df, F.col("train"), settings=st.Settings(sent_share=0.9))
+    assert got.count() == 40 and max(n for *_, n in made) < 40 * sum(len(t.split()) for t in TEXTS) / 4
+    assert {label for label, folder, _ in made if os.path.exists(folder.removeprefix("file:"))} == {"scored"}
